@@ -17,6 +17,11 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)`` with ``value`` computed once, also when ``body`` uses it inside a lambda."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def strings(items: Sequence[str]) -> Column:
     return F.array(*[F.lit(i) for i in items]) if items else F.expr("cast(array() as array<string>)")
 
@@ -290,8 +295,9 @@ def is_grounded(claim, facts_text, article, context_chars: int | None = None) ->
     nums = stat_numbers(claim)
     long_words = F.transform(F.filter(words(claim), lambda w: F.length(w) > 5),
                              lambda w: strip_chars(F.lower(w), r".,;:%()\[\]"))
-    return ((F.size(nums) > 0) & F.exists(nums, lambda n: F.contains(ctx, n))
-            & ((F.size(long_words) == 0) | F.exists(long_words, lambda w: F.contains(ctx, w))))
+    found = let(ctx, lambda c: F.exists(nums, lambda n: F.contains(c, n))
+                & ((F.size(long_words) == 0) | F.exists(long_words, lambda w: F.contains(c, w))))
+    return (F.size(nums) > 0) & found
 
 
 # ── timing helpers on one text ─────────────────────────────────────────────
@@ -303,39 +309,52 @@ def split_phrases(c) -> Column:
     return F.filter(F.transform(F.split(_col(c), "[,.;:]+", -1), strip), lambda p: p != "")
 
 
-def chunk_words(phrase, size: int) -> Column:
-    w = words(phrase)
-    return F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0)), F.lit(size)),
-                       lambda i: F.array_join(F.slice(w, i + 1, F.lit(size)), " "))
+def _pieces(phrases) -> Column:
+    """array<struct<text,n>>: phrases with their word counts; long ones cut into pieces of a few words."""
+    size = max(1, int(K.SHOT_TARGET_MAX_S * K.WORDS_PER_SECOND))
+
+    def piece(w, text):
+        whole = F.array(F.struct(text.alias("text"), F.size(w).alias("n")))
+        parts = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0)), F.lit(size)), lambda i: F.struct(
+            F.array_join(F.slice(w, i + 1, F.lit(size)), " ").alias("text"), F.least(F.lit(size), F.size(w) - i).alias("n")))
+        return F.when(F.size(w) / F.lit(K.WORDS_PER_SECOND) > K.SHOT_TARGET_MAX_S, parts).otherwise(whole)
+
+    return F.flatten(F.transform(_col(phrases), lambda p: let(words(p), lambda w: piece(w, p))))
 
 
 def chunk_long(phrases) -> Column:
     """Cut phrases that would last too long into pieces of a few words."""
-    size = max(1, int(K.SHOT_TARGET_MAX_S * K.WORDS_PER_SECOND))
-    return F.flatten(F.transform(_col(phrases), lambda p: F.when(
-        estimate_s(p) > K.SHOT_TARGET_MAX_S, chunk_words(p, size)).otherwise(F.array(p))))
+    return F.transform(_pieces(phrases), lambda p: p["text"])
 
 
 def pack_phrases(phrases) -> Column:
-    """Greedy packing of phrases into spans of up to the target length."""
+    """Greedy packing of phrases into spans of up to the target length.
+
+    Joining two phrases adds up their word counts, so the fold carries counts
+    and never splits a text again.
+    """
     none = F.expr("cast(array() as array<string>)")
 
+    def secs(n):
+        return n / F.lit(K.WORDS_PER_SECOND)
+
     def step(acc, p):
         first = acc["cur"] == ""
-        trial = F.when(first, p).otherwise(strip_chars(F.concat(acc["cur"], F.lit(", "), p), ", "))
-        fits = first | (estimate_s(trial) <= K.SHOT_TARGET_MAX_S)
+        fits = first | (secs(acc["n"] + p["n"]) <= K.SHOT_TARGET_MAX_S)
         return F.struct(F.when(fits, acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["cur"]))).alias("done"),
-                        F.when(fits, trial).otherwise(p).alias("cur"))
+                        F.when(first | ~fits, p["text"]).otherwise(F.concat(acc["cur"], F.lit(", "), p["text"])).alias("cur"),
+                        F.when(first | ~fits, p["n"]).otherwise(acc["n"] + p["n"]).alias("n"))
 
     def finish(acc):
-        done, cur, n = acc["done"], acc["cur"], F.size(acc["done"])
-        merged = F.concat(F.slice(done, F.lit(1), F.greatest(n - 1, F.lit(0))),
-                          F.array(F.concat(F.get(done, n - 1), F.lit(", "), cur)))
+        done, cur, k = acc["done"], acc["cur"], F.size(acc["done"])
+        merged = F.concat(F.slice(done, F.lit(1), F.greatest(k - 1, F.lit(0))),
+                          F.array(F.concat(F.get(done, k - 1), F.lit(", "), cur)))
         return (F.when(cur == "", done)
-                .when((n > 0) & (estimate_s(cur) < K.SHOT_TARGET_MIN_S / 2), merged)
+                .when((k > 0) & (secs(acc["n"]) < K.SHOT_TARGET_MIN_S / 2), merged)
                 .otherwise(F.concat(done, F.array(cur))))
 
-    return F.aggregate(chunk_long(phrases), F.struct(none.alias("done"), F.lit("").alias("cur")), step, finish)
+    start = F.struct(none.alias("done"), F.lit("").alias("cur"), F.lit(0).alias("n"))
+    return F.aggregate(_pieces(phrases), start, step, finish)
 
 
 def srt_time(seconds, rounded: bool = True) -> Column:

@@ -20,3 +20,114 @@ def mine_numeric_sentences(df: DataFrame, cap: int | None = None, id: str = "doc
         found = F.slice(found, 1, cap)
     return df.where(F.rlike(text, F.lit(r"\p{Nd}"))).select(id, F.posexplode(found).alias("p", "sentence")).select(
         id, F.col("p").cast("bigint").alias("pos"), "sentence")
+
+
+def locate_verbatim(facts: DataFrame, docs: DataFrame, on: str = "doc_id", quote: str = "quote", text: str = "text") -> DataFrame:
+    """Facts with ``char_offset`` of the quote in their own document, NULL if absent."""
+    d = docs.select(on, X.normalize_for_match(text).alias("_text"))
+    f = facts.withColumn("_quote", X.normalize_for_match(quote))
+    return f.join(d, on, "left").withColumn("char_offset", X.locate_in("_quote", "_text")).drop("_text", "_quote")
+
+
+def _gram_keys(words: str):
+    """Hashes of all shingles of the word array column ``words``."""
+    rest = [F.slice(F.col(words), F.lit(k), F.greatest(F.size(words), F.lit(1))) for k in range(2, SHINGLE + 1)]
+    zipped = F.arrays_zip(F.col(words).alias("w1"), *[r.alias(f"w{k}") for k, r in enumerate(rest, 2)])
+    last = f"w{SHINGLE}"
+    return F.transform(F.filter(zipped, lambda z: z[last].isNotNull()),
+                       lambda z: F.xxhash64(*[z[f"w{k}"] for k in range(1, SHINGLE + 1)]))
+
+
+def _char_keys(c, n):
+    return X.let(F.col(c), lambda t: F.transform(
+        F.sequence(F.lit(1), F.greatest(F.length(t) - (n - 1), F.lit(1))), lambda i: F.xxhash64(F.substring(t, i, F.lit(n)))))
+
+
+def find_quotes(quotes: DataFrame, docs: DataFrame, quote_id: str = "item_id", quote: str = "text",
+                doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(quote_id, copies, doc_id, char_offset): which documents hold which quote.
+
+    Equal quotes are collapsed first (lowest id stands for all). A quote's
+    smallest interior word shingle is its key; a document can only hold the
+    quote if it has a shingle with that key, so candidates come from an equi
+    join and every candidate is then verified on the whole text. Interior words
+    are used because a quote may begin or end inside a word. Quotes too short
+    for a shingle take the same road over their character trigrams, and run
+    only if there are any.
+    """
+    q = (quotes.select(quote_id, X.normalize_for_match(quote).alias("_q")).where("_q <> ''")
+         .groupBy("_q").agg(F.min(quote_id).alias(quote_id), F.count("*").alias("copies")))
+    d = docs.select(doc_id, X.normalize_for_match(text).alias("_t"))
+    q = q.withColumn("_w", F.split("_q", " ")).withColumn("_in", F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 2, F.lit(0))))
+    q = q.withColumn("_key", F.array_min(_gram_keys("_in"))).drop("_w", "_in")
+    long_q, short_q = q.where("_key IS NOT NULL"), q.where("_key IS NULL").drop("_key")
+
+    keyed = d.select(doc_id, F.split("_t", " ").alias("_w")).select(doc_id, F.explode(F.array_distinct(_gram_keys("_w"))).alias("_key"))
+    pairs = keyed.join(long_q, "_key").drop("_key")
+    if not short_q.isEmpty():
+        for n, cond in ((3, F.length("_q") >= 3), (1, F.length("_q") < 3)):
+            part = short_q.where(cond).withColumn("_key", F.array_min(_char_keys("_q", n)))
+            chars = d.select(doc_id, F.explode(F.array_distinct(_char_keys("_t", n))).alias("_key"))
+            pairs = pairs.unionByName(chars.join(part, "_key").drop("_key"))
+    hits = pairs.join(d, doc_id).withColumn("char_offset", X.locate_in("_q", "_t")).where("char_offset IS NOT NULL")
+    return hits.select(quote_id, "copies", doc_id, F.col("char_offset").cast("bigint").alias("char_offset"))
+
+
+def gate_facts(facts: DataFrame, docs: DataFrame, on: str = "doc_id", quote: str = "quote", value: str = "value",
+               text: str = "text") -> DataFrame:
+    """Facts plus status ('kept'/'dropped'), reason and char_offset."""
+    located = locate_verbatim(facts, docs, on, quote, text)
+    groups = X.words(F.regexp_replace(value, r"[^\p{Nd}.]", " "))
+    inside = X.let(X.normalize_for_match(quote), lambda q: F.forall(groups, lambda g: F.contains(q, g)))
+    reason = F.when(F.col("char_offset").isNull(), "not located in canonical text").when(~inside, "value digits not inside the quote")
+    return (located.withColumn("reason", reason)
+            .withColumn("status", F.when(F.col("reason").isNull(), "kept").otherwise("dropped"))
+            .withColumn("char_offset", F.when(F.col("reason").isNull(), F.col("char_offset"))))
+
+
+def fact_yield(docs: DataFrame, gated: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """Per document: sentences mined, facts kept and dropped, and the failure if there is one."""
+    mined = docs.select(id, F.size(X.numeric_sentence_array(text)).cast("bigint").alias("mined"))
+    counts = gated.groupBy(id).agg(F.count_if(F.col("status") == "kept").alias("kept"),
+                                   F.count_if(F.col("status") == "dropped").alias("dropped"))
+    out = mined.join(counts, id, "left").fillna(0, ["kept", "dropped"])
+    return out.withColumn("failure", F.when(F.col("mined") == 0, "no numeric sentences").when(F.col("kept") == 0, "no fact kept"))
+
+
+def tiered_facts(articles: DataFrame, model: DataFrame, mined: DataFrame, qualitative: DataFrame, templates: DataFrame,
+                 id: str = "article_id", least: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(facts, meta). Facts come from the first tier that brings at least ``least`` of them.
+
+    Tiers: model facts; with mined facts whose claim the model did not give;
+    with qualitative points; with the category's templates; else an error.
+    """
+    fresh = mined.join(model.select(id, "claim").distinct(), [id, "claim"], "left_anti")
+    with_src = lambda df, n: df.withColumn("source", F.lit(n))
+    pool = with_src(model, 1).unionByName(with_src(fresh, 2)).unionByName(with_src(qualitative, 3), allowMissingColumns=True)
+    n = lambda k: F.count_if(F.col("source") == k)
+    counts = pool.groupBy(id).agg(n(1).alias("m"), n(2).alias("r"), n(3).alias("q"))
+    per_cat = templates.groupBy("category").agg(F.count("*").alias("t"))
+    meta = (articles.join(counts, id, "left").join(per_cat, "category", "left").fillna(0, ["m", "r", "q", "t"]))
+    c = F.col("m") + F.col("r")
+    tier = (F.when(F.col("m") >= least, 1).when(c >= least, F.when(F.col("m") > 0, 1).otherwise(2))
+            .when(c + F.col("q") >= least, 3).when(F.col("t") > 0, 4))
+    upto = F.when(F.col("m") >= least, 1).when(c >= least, 2).when(c + F.col("q") >= least, 3).when(F.col("t") > 0, 4)
+    meta = meta.select(id, "category", tier.alias("tier_used"), upto.alias("_upto"),
+                       F.when((F.col("m") < least) & (c >= least), c).otherwise(F.col("m")).alias("numeric_count"),
+                       F.when((c < least) & upto.isNotNull(), F.col("q")).otherwise(0).alias("punch_points_count"),
+                       (upto == 4).alias("_tpl"))
+    facts = pool.join(meta.select(id, "_upto"), id).where(F.col("source") <= F.col("_upto")).drop("_upto")
+    filled = meta.where("_tpl").select(id, "category").join(templates, "category").drop("category").withColumn("source", F.lit(4))
+    facts = facts.unionByName(filled, allowMissingColumns=True)
+    return facts, meta.select(id, "category", "tier_used", "numeric_count", "punch_points_count",
+                              F.coalesce("_tpl", F.lit(False)).alias("fell_back"),
+                              F.when(F.col("tier_used").isNull(), "no tier produced facts").alias("error"))
+
+
+def rule_fact_rows(differentiators: DataFrame, cta_lines: DataFrame) -> DataFrame:
+    """(id, text, kind): differentiators, then call-to-action lines as cta1, cta2, …
+
+    ``cta_lines`` carries its 0-based ``ord``, so numbering needs no global sort.
+    """
+    return differentiators.select("id", "text", F.lit("differentiator").alias("kind")).unionByName(
+        cta_lines.select(F.concat(F.lit("cta"), (F.col("ord") + 1).cast("string")).alias("id"), "text", F.lit("cta").alias("kind")))

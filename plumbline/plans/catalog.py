@@ -1,4 +1,4 @@
 """Importing this module fills the registry."""
 
-from plumbline.plans import page_queries, text_queries  # noqa: F401
+from plumbline.plans import fact_queries, gate_queries, page_queries, segment_queries, text_queries  # noqa: F401
 from plumbline.plans.registry import ORACLES, QUERIES, SURVEY_IDS  # noqa: F401
