@@ -7,7 +7,7 @@ from pyspark.sql import Column, functions as F
 from plumbline import constants as K
 from plumbline.functions.text import _col, any_contains
 
-_AUTHORITY = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
+_AUTHORITY = r"^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)"
 
 
 def netloc(url) -> Column:
@@ -16,7 +16,7 @@ def netloc(url) -> Column:
 
 def path(url) -> Column:
     """Path without query, fragment and last-segment parameters."""
-    p = F.regexp_extract(_col(url), r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
+    p = F.regexp_extract(_col(url), r"^[\x00-\x20]*(?:[A-Za-z][A-Za-z0-9+.\-]*:)?(?://[^/?#]*)?([^?#]*)", 1)
     return F.regexp_replace(p, ";[^/]*$", "")
 
 
@@ -45,10 +45,10 @@ def domain(url) -> Column:
 
 def on_domain(host_col, domains) -> Column:
     """True when the host is one of ``domains`` or a subdomain of one."""
-    out = F.lit(False)
-    for d in domains:
-        out = out | (_col(host_col) == d) | F.endswith(_col(host_col), F.lit("." + d))
-    return out
+    if not domains:
+        return F.lit(False)
+    names = "|".join(d.replace(".", "[.]") for d in domains)
+    return F.rlike(_col(host_col), F.lit(f"^(?:.*[.])?(?:{names})$"))
 
 
 def classify_link(url, strict: bool = False) -> Column:

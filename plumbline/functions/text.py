@@ -148,10 +148,17 @@ def prompt_windows(prompt: str, width: int = 40, step: int = 20) -> list[str]:
 
 
 def any_contains(c, phrases: Sequence[str]) -> Column:
-    out = F.lit(False)
-    for p in phrases:
-        out = out | F.contains(_col(c), F.lit(p))
-    return out
+    """True if the text holds one of the phrases; the text is computed once."""
+    if not phrases:
+        return F.lit(False)
+
+    def found(t):
+        out = F.contains(t, F.lit(phrases[0]))
+        for p in phrases[1:]:
+            out = out | F.contains(t, F.lit(p))
+        return out
+
+    return let(_col(c), found)
 
 
 def description_gate(description, visible_text, prompt: str) -> Column:

@@ -136,10 +136,10 @@ def beat_spans(read):
     return spans(read).select("run_id", "pos", F.round("span_s", 3).alias("span_s"))
 
 
-@query("T9", f"""WITH {PARTS_SQL}, p2 AS (SELECT run_id, pos, round(duration_s, 2) AS duration_s FROM parts), t AS (SELECT run_id, pos, duration_s, coalesce(sum(duration_s) OVER (PARTITION BY run_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS t0 FROM p2)
+@query("T9", f"""WITH {PARTS_SQL}, p2 AS (SELECT run_id, pos, floor(duration_s * 100) / 100 AS duration_s FROM parts), t AS (SELECT run_id, pos, duration_s, coalesce(sum(duration_s) OVER (PARTITION BY run_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS t0 FROM p2)
 SELECT run_id, pos, round(t0, 3) AS start_s, round(t0 + duration_s / 2, 3) AS mid_s FROM t""")
 def timeline(read):
-    out = S.timeline(parts(read).withColumn("duration_s", F.round("duration_s", 2)), order=("pos",))
+    out = S.timeline(parts(read).withColumn("duration_s", F.floor(F.col("duration_s") * 100) / 100), order=("pos",))
     return out.select("run_id", "pos", "start_s", "mid_s")
 
 
@@ -192,7 +192,7 @@ cues AS (SELECT doc, idx, start_s, CASE n WHEN 1 THEN end_s WHEN 2 THEN e1 ELSE
    upper(CASE n WHEN 1 THEN {strip('word')} WHEN 2 THEN {strip('word')} || ' ' || {strip('w1')} ELSE {strip('word')} || ' ' || {strip('w1')} || ' ' || {strip('w2')} END) AS text FROM j JOIN walk USING (doc, idx))"""
 
 
-@query("T11", f"WITH RECURSIVE {CUES_SQL} SELECT doc, idx, start_s, end_s, md5(replace(text, 'ß', 'SS')) AS text_md5 FROM cues")
+@query("T11", f"WITH RECURSIVE {CUES_SQL} SELECT doc, idx, start_s, end_s, md5(replace(replace(text, 'ß', 'SS'), 'ẞ', 'SS')) AS text_md5 FROM cues")
 def group_cues(read):
     cues = S.group_cues(cue_words(read))
     return cues.select("doc", "idx", "start_s", "end_s", F.md5("text").alias("text_md5"))
