@@ -6,7 +6,7 @@ import json
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline import constants as K
 from plumbline.functions import text as X
@@ -158,7 +158,7 @@ def clean_model_text(df: DataFrame, raw: str = "raw", mode: str = "outermost") -
     ``mode``: 'outermost' block, or the 'last' object after thinking.
     """
     pick = _repair if mode == "outermost" else _last_object
-    schema = df.schema.add("json", "string")
+    schema = T.StructType([*df.schema.fields, T.StructField("json", T.StringType())])
 
     def run(batches):
         for pdf in batches:

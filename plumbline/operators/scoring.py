@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from plumbline.functions.structured import CONTRACTS, contract_problems
 
@@ -22,7 +22,7 @@ def score_with(df: DataFrame, make: Callable[[], Callable[[dict, str | None], ob
     if contract is not None and contract not in CONTRACTS:
         raise ValueError(f"unknown contract {contract}")
     cols = inputs or df.columns
-    schema = df.schema.add("answer", "string").add("attempts", "int").add("problem", "string")
+    schema = T.StructType([*df.schema.fields, T.StructField("answer", T.StringType()), T.StructField("attempts", T.IntegerType()), T.StructField("problem", T.StringType())])
 
     def run(batches):
         client = make()

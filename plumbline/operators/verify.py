@@ -211,8 +211,9 @@ def review_sheet(shots: DataFrame, verdicts: DataFrame, scripts: DataFrame) -> D
     return shots.join(v, ["run_id", "id"], "left").join(s, ["run_id", "pos"], "left")
 
 
-def _utc(created: str) -> Column:
-    c = F.col(created)
+def _utc(created) -> Column:
+    """Instant of an ISO text; naive texts are UTC whatever the session zone is."""
+    c = X._col(created)
     zoned = F.rlike(c, F.lit(r"[T ].*(Z|[+-]\d{2}:?\d{2})$"))
     dated = F.rlike(c, F.lit(r"^\d{4}-\d{2}-\d{2}$"))
     return F.when(zoned, c).when(dated, F.concat(c, F.lit("T00:00:00Z"))).when(F.rlike(c, F.lit(r"^\d{4}-\d{2}-\d{2}[T ]\d")), F.concat(c, F.lit("Z"))).try_cast("timestamp")
@@ -224,7 +225,7 @@ def history_stats(history: DataFrame, now: str, days: int = 30) -> DataFrame:
     Naive times are UTC, unreadable ones are skipped. One pass, pre-aggregated
     per task.
     """
-    recent = history.where(_utc("created_at") >= F.lit(now).cast("timestamp") - F.expr(f"interval {int(days)} days"))
+    recent = history.where(_utc("created_at") >= _utc(F.lit(now)) - F.expr(f"interval {int(days)} days"))
     ok = F.map_keys(F.map_filter(F.coalesce("publish_results", F.expr("cast(map() as map<string,struct<success:boolean>>)")), lambda k, v: F.coalesce(v["success"], F.lit(False))))
     row = lambda m, k: F.struct(F.lit(m).alias("metric"), k.alias("key"))
     rows = F.concat(F.array(row("count", F.lit("")), row("region", F.coalesce("region", F.lit("unknown")))), F.transform(ok, lambda p: row("platform", p)))

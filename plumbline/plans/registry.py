@@ -24,6 +24,7 @@ def query(survey_id: str, sql: str | None = None, name: str | None = None):
                 return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
             read.spark = spark
+            read.path = lambda table: f"{sf_dir}/{table}.parquet"
             return fn(read)
 
         run.__name__ = key

@@ -47,10 +47,10 @@ def media_metrics_gate(read):
     return O.media_metrics_gate(m)
 
 
-@query("G14", """WITH f AS (SELECT user_id * 1000 + epoch(ts)::BIGINT // 43200 % 1000 AS run_id, CASE WHEN event_type = 'error' AND user_id % 2 = 0 THEN NULL ELSE value END AS luma FROM events)
-SELECT run_id, CAST(count_if(luma < 24) AS BIGINT) AS dark, count(*) AS sampled, count_if(luma < 24) > 0 AND count_if(luma < 24) = count(*) AS defect FROM f GROUP BY 1""")
+@query("G14", """WITH f AS (SELECT user_id * 1000 + event_id // 300 AS run_id, CASE WHEN event_type = 'error' AND user_id % 2 = 0 THEN NULL ELSE value END AS luma FROM events)
+SELECT run_id, count(*) FILTER (luma < 24) AS dark, count(*) AS sampled, count(*) FILTER (luma < 24) > 0 AND count(*) FILTER (luma < 24) = count(*) AS defect FROM f GROUP BY 1""")
 def persistent_dark_band(read):
-    run = F.col("user_id") * 1000 + F.floor(F.floor(F.unix_micros("ts") / 1000000) / 43200) % 1000
+    run = F.col("user_id") * 1000 + F.floor(F.col("event_id") / 300)
     luma = F.when((F.col("event_type") == "error") & (F.col("user_id") % 2 == 0), None).otherwise(F.col("value"))
     return O.persistent_dark_band(read("events").select(run.alias("run_id"), luma.alias("luma")))
 
