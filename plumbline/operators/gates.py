@@ -60,20 +60,32 @@ def at_beat(values, pos="pos") -> Column:
     return F.get(F.array(*[F.lit(v) for v in values]), F.col(pos).cast("int"))
 
 
+def number_runs(c) -> Column:
+    """Runs of digits and dots in a normalised text, thousands commas out."""
+    return F.regexp_extract_all(F.replace(X.normalize_for_match(c), F.lit(","), F.lit("")), F.lit(r"([\p{Nd}.]+)"), F.lit(1))
+
+
+def has_number(*cols) -> Column:
+    out = F.lit(False)
+    for c in cols:
+        out = out | F.rlike(F.coalesce(F.col(c), F.lit("")), F.lit(r"\p{Nd}"))
+    return out
+
+
 def number_pool(segments: DataFrame, facts: DataFrame, rules: Rules) -> DataFrame:
-    """Segments with ``_pool``: normalised text its numbers may come from.
+    """Segments with ``_pool``: the number runs its own numbers may come from.
 
-    Only segments holding a number are looked up; a segment's own fact_ids
-    bound how many quotes are gathered for it.
+    Quotes are normalised once per fact, rule texts once per plan (they are
+    literals), and a segment gathers no more quotes than it has fact_ids.
     """
-    texts = {i: t for i, t in rules.differentiators}
+    none = X.strings([])
     refs = segments.select("run_id", "pos", F.explode(F.array_distinct("fact_ids")).alias("id"))
-    quotes = refs.join(facts.select("run_id", "id", "quote"), ["run_id", "id"]).groupBy("run_id", "pos").agg(
-        F.array_join(F.collect_list("quote"), " | ").alias("_quotes"))
+    runs = facts.select("run_id", "id", number_runs("quote").alias("_runs"))
+    quotes = refs.join(runs, ["run_id", "id"]).groupBy("run_id", "pos").agg(F.flatten(F.collect_list("_runs")).alias("_quoted"))
     out = segments.join(quotes, ["run_id", "pos"], "left")
-    own = [F.when(F.array_contains("fact_ids", i), F.lit(t)) for i, t in texts.items()]
-    pool = F.concat_ws(" | ", F.col("_quotes"), *own, *[F.lit(c) for c in rules.cta_lines], F.lit(rules.domain))
-    return out.withColumn("_pool", F.replace(X.normalize_for_match(pool), F.lit(","), F.lit(""))).drop("_quotes")
+    own = [F.when(F.array_contains("fact_ids", i), number_runs(F.lit(t))).otherwise(none) for i, t in rules.differentiators]
+    always = [number_runs(F.lit(t)) for t in [*rules.cta_lines, rules.domain]]
+    return out.withColumn("_pool", F.concat(F.coalesce("_quoted", none), *own, *always)).drop("_quoted")
 
 
 def numbers_gate(pool: str = "_pool") -> Column:
@@ -82,11 +94,9 @@ def numbers_gate(pool: str = "_pool") -> Column:
     A number is traced if a run of digits and dots in the pool is that number,
     or goes on after it with a dot: no regex is built per number.
     """
-    runs = F.regexp_extract_all(F.col(pool), F.lit(r"([\p{Nd}.]+)"), F.lit(1))
-
     def bad(source: Column, where: str):
-        missing = X.let(runs, lambda rs: F.filter(X.numeric_tokens(source), lambda t: ~F.exists(
-            rs, lambda r: (r == t) | F.startswith(r, F.concat(t, F.lit("."))))))
+        missing = F.filter(X.numeric_tokens(source), lambda t: ~F.exists(
+            F.col(pool), lambda r: (r == t) | F.startswith(r, F.concat(t, F.lit(".")))))
         return F.transform(missing, lambda t: _hit("numbers", "numbers[", F.col("beat"), "]: '", t,
                                                    f"' in {where} does not trace to any referenced fact"))
 
@@ -129,7 +139,8 @@ def _explode(segments: DataFrame, hits: Column) -> DataFrame:
 
 
 def gate_numbers(segments: DataFrame, facts: DataFrame, rules: Rules) -> DataFrame:
-    return _explode(number_pool(segments, facts, rules), numbers_gate())
+    some = segments.where(has_number("narration", "card_text") | (F.size(F.coalesce("labels", X.strings([]))) > 0))
+    return _explode(number_pool(some, facts, rules), numbers_gate())
 
 
 def gate_banned(segments: DataFrame, rules: Rules) -> DataFrame:

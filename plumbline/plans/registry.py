@@ -6,6 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from plumbline.session import spread
+
+# tables whose rows are worked on one by one (text, JSON, unpacking into segments)
+PER_ROW_WORK = {"documents", "pages", "conversations", "orders", "lineitem"}
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 SURVEY_IDS: dict[str, str] = {}
@@ -21,7 +26,8 @@ def query(survey_id: str, sql: str | None = None, name: str | None = None):
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             def read(table: str) -> DataFrame:
-                return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+                df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
+                return spread(df) if table in PER_ROW_WORK else df
 
             read.spark = spark
             read.path = lambda table: f"{sf_dir}/{table}.parquet"

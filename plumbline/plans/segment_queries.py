@@ -117,7 +117,8 @@ def parts(read):
 
 
 def starts(read):
-    return S.voice_starts(parts(read))
+    """Measured parts are a stage table: written once, read by every timing step."""
+    return S.voice_starts(cut(parts(read), "parts"))
 
 
 def spans(read):

@@ -54,13 +54,14 @@ def stream_rolling_counts(read):
     return out.select(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(epoch / 86400).cast("int")).cast("string").alias("day"), "region", "n")
 
 
-@query("X4", """SELECT user_id AS run_id, max(event_id) AS seq, arg_max(event_type, event_id) AS status, arg_max(event_type, event_id) FILTER (event_type <> 'error') AS last_ok FROM events GROUP BY 1""")
+@query("X4", """WITH r AS (SELECT user_id AS run_id, max(event_id) AS seq, arg_max(event_type, event_id) AS status, arg_max(event_type, event_id) FILTER (event_type <> 'error') AS last_ok, max(ts) AS seen FROM events GROUP BY 1)
+SELECT run_id, seq, status, last_ok, seen + INTERVAL 6 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR AS stuck FROM r""")
 def stream_run_state(read):
-    """Stateful processor with a timer for silent runs."""
-    e = _stream(read, "events").select(F.col("user_id").alias("run_id"), F.col("event_id").alias("seq"), F.col("event_type").alias("status"))
-    out = J.run_to_table(J.track_runs(e, 3_600_000, failed="error"), "runs", rocksdb=True)
-    latest = out.where("kind = 'state'").groupBy("run_id").agg(F.max_by(F.struct("seq", "status", "last_ok"), "seq").alias("s"))
-    return latest.select("run_id", "s.*")
+    """Stateful processor with an event-time timer for silent runs."""
+    e = _stream(read, "events").select(F.col("user_id").alias("run_id"), F.col("event_id").alias("seq"), F.col("event_type").alias("status"), "ts")
+    out = J.run_to_table(J.track_runs(e, 6 * 3_600_000, failed="error"), "runs", rocksdb=True)
+    latest = out.groupBy("run_id").agg(F.max_by(F.struct("seq", "status", "last_ok"), "seq").alias("s"), F.bool_or(F.col("kind") == "stuck").alias("stuck"))
+    return latest.select("run_id", "s.*", "stuck")
 
 
 @query("X5", """WITH p AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS b FROM events),

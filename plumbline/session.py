@@ -38,5 +38,20 @@ def cut(df: DataFrame, name: str = "cut") -> DataFrame:
 
 def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Hint a broadcast only if the optimiser's size estimate is under the bound; else leave it to AQE."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return F.broadcast(df) if int(size.toString()) <= max_bytes else df
+    return F.broadcast(df) if plan_bytes(df) <= max_bytes else df
+
+
+def spread(df: DataFrame, bytes_per_core: int = 4 << 20) -> DataFrame:
+    """Deal the rows of a small table out to all cores.
+
+    A table of few megabytes sits in one file split, and per-row text work would
+    run in one task. Tables above ``bytes_per_core`` per core have splits enough
+    and are left alone, so what is dealt out is bounded.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if plan_bytes(df) < cores * bytes_per_core else df
+
+
+def plan_bytes(df: DataFrame) -> int:
+    """The optimiser's size estimate of a table, without running anything."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -49,42 +49,45 @@ def current_state(events: DataFrame, failed: str = "failed") -> DataFrame:
 TRACK_SCHEMA = "run_id bigint, seq bigint, status string, last_ok string, kind string"
 
 
-def track_runs(events: DataFrame, stuck_after_ms: int, failed: str = "failed") -> DataFrame:
-    """One row per run and batch with its state, and a 'stuck' row when a run stays silent.
+def track_runs(events: DataFrame, stuck_after_ms: int, late: str = "1 hour", failed: str = "failed") -> DataFrame:
+    """One row per run and batch with its state, and a 'stuck' row for a run silent that long in event time.
 
-    Needs the RocksDB state store. ``events``: run_id, seq, status.
+    Needs the RocksDB state store. ``events``: run_id, seq, status, ts. Silence
+    is measured by the watermark, so a replay gives the same rows.
     """
     from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
     class Tracker(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.state = handle.getValueState("state", "seq bigint, status string, ok_seq bigint, last_ok string")
+            self.state = handle.getValueState("state", "seq bigint, status string, ok_seq bigint, last_ok string, seen_ms bigint")
 
-        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
-            seq, status, ok_seq, last_ok = self.state.get() if self.state.exists() else (-1, None, -1, None)
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            seq, status, ok_seq, last_ok, seen = self.state.get() if self.state.exists() else (-1, None, -1, None, 0)
             for pdf in rows:
                 top = pdf.loc[pdf["seq"].idxmax()]
+                seen = max(seen, int(pdf["ms"].max()))
                 if top["seq"] > seq:
                     seq, status = int(top["seq"]), top["status"]
                 good = pdf[pdf["status"] != failed]
                 if len(good) and good["seq"].max() > ok_seq:
                     best = good.loc[good["seq"].idxmax()]
                     ok_seq, last_ok = int(best["seq"]), best["status"]
-            self.state.update((seq, status, ok_seq, last_ok))
-            for t in self.handle.listTimers():
+            self.state.update((seq, status, ok_seq, last_ok, seen))
+            for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
-            self.handle.registerTimer(timer_values.getCurrentProcessingTimeInMs() + stuck_after_ms)
+            self.handle.registerTimer(seen + stuck_after_ms)
             yield pd.DataFrame({"run_id": [key[0]], "seq": [seq], "status": [status], "last_ok": [last_ok], "kind": ["state"]})
 
-        def handleExpiredTimer(self, key, timer_values, expired) -> Iterator[pd.DataFrame]:
-            seq, status, _, last_ok = self.state.get()
+        def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+            seq, status, _, last_ok, _ = self.state.get()
             yield pd.DataFrame({"run_id": [key[0]], "seq": [seq], "status": [status], "last_ok": [last_ok], "kind": ["stuck"]})
 
         def close(self) -> None:
             pass
 
-    return events.select("run_id", "seq", "status").groupBy("run_id").transformWithStateInPandas(Tracker(), TRACK_SCHEMA, "Append", "ProcessingTime")
+    rows = events.withWatermark("ts", late).select("run_id", "seq", "status", "ts", F.unix_millis("ts").alias("ms"))
+    return rows.groupBy("run_id").transformWithStateInPandas(Tracker(), TRACK_SCHEMA, "Append", "EventTime")
 
 
 # ── X5: sessions and cues ──────────────────────────────────────────────────
@@ -108,7 +111,7 @@ def stream_cues(words: DataFrame, max_words: int = 3, max_s: float = 1.5) -> Dat
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.open = handle.getListState("open", "idx bigint, word string, start_s double, end_s double")
 
-        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timer_values) -> Iterator[pd.DataFrame]:
+        def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
             buf = [tuple(r) for r in self.open.get()] if self.open.exists() else []
             out = []
 
