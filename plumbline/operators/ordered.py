@@ -70,21 +70,22 @@ def running_smallest(df: DataFrame, key: str, order: str, tokens: str, k: int, o
     """Per row, the ``k`` smallest distinct tokens of its key up to and including the row.
 
     Only ``k`` tokens per row or block can matter, so every level of the block
-    tree carries lists of at most ``fan * k`` tokens.
+    tree carries lists of at most ``fan * k`` tokens. ``order`` is dense from 0.
     """
     def least(arrays):
         return F.slice(F.sort_array(F.array_distinct(F.flatten(arrays))), 1, k)
 
-    rows = df.withColumn("_mine", F.slice(F.sort_array(F.array_distinct(tokens)), 1, k)).withColumn("_b", F.floor(F.col(order) / fan))
-    w = Window.partitionBy(key, "_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    b, upto = f"_b{levels}", f"_upto{levels}"  # own names per level: blocks of one level are rows of the next
+    rows = df.withColumn("_mine", F.slice(F.sort_array(F.array_distinct(tokens)), 1, k)).withColumn(b, F.floor(F.col(order) / fan))
+    w = Window.partitionBy(key, b).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     rows = rows.withColumn("_in", least(F.collect_list("_mine").over(w)))
-    blocks = rows.groupBy(key, "_b").agg(least(F.collect_list("_mine")).alias("_all"))
+    blocks = rows.groupBy(key, b).agg(least(F.collect_list("_mine")).alias(f"_all{levels}"))
     if levels > 1:
-        upto = running_smallest(blocks, key, "_b", "_all", k, "_upto", fan, levels - 1)
+        done = running_smallest(blocks, key, b, f"_all{levels}", k, upto, fan, levels - 1)
     else:
-        top = Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
-        upto = blocks.withColumn("_upto", least(F.collect_list("_all").over(top)))
-    prior = upto.select(F.col(key).alias("_k"), (F.col("_b") + 1).alias("_kb"), "_upto")
-    joined = rows.join(prior, (rows[key] == prior["_k"]) & (rows["_b"] == prior["_kb"]), "left")
-    # only the block directly before a row's block is joined; gaps are filled by pos being dense per key
-    return joined.withColumn(out, F.when(F.col("_upto").isNull(), F.col("_in")).otherwise(least(F.array("_in", "_upto")))).select(*df.columns, out)
+        top = Window.partitionBy(key).orderBy(b).rowsBetween(Window.unboundedPreceding, 0)
+        done = blocks.withColumn(upto, least(F.collect_list(f"_all{levels}").over(top)))
+    # ``order`` is dense from 0, so the block before a row's block always exists, except for the first
+    prior = done.select(F.col(key).alias("_k"), (F.col(b) + 1).alias("_kb"), upto)
+    joined = rows.join(prior, (rows[key] == prior["_k"]) & (rows[b] == prior["_kb"]), "left")
+    return joined.withColumn(out, F.when(F.col(upto).isNull(), F.col("_in")).otherwise(least(F.array("_in", upto)))).select(*df.columns, out)

@@ -285,3 +285,10 @@ WITH u AS (SELECT page_id, {_LINK} AS url FROM pages), p AS (SELECT *, lower({_P
 SELECT page_id, url, suffix(p, '.pdf') OR ((contains(p, '/pdf/') OR suffix(p, '/pdf')) AND ({_SUFFIX})) AS is_pdf FROM p""")
 def is_pdf_url(read):
     return read("pages").select("page_id", F.expr(_LINK).alias("url")).withColumn("is_pdf", L.is_pdf_url("url"))
+
+
+@query("U2", "SELECT page_id, len(regexp_extract_all(html, '<a href=')) AS n_links, regexp_extract(html, '<a href=\"([^\"]*)\"', 1) AS first_link FROM pages")
+def html_elements(read):
+    """The parser job itself: one row per page, all elements in one array."""
+    links = F.filter("elements", lambda e: e["kind"] == "link")
+    return P.html_extract(read("pages")).select("page_id", F.size(links).cast("bigint").alias("n_links"), F.get(links, F.lit(0))["url"].alias("first_link"))
