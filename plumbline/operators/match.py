@@ -35,6 +35,14 @@ def top(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, rank:
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(rank) <= k)
 
 
+def rank_all(df: DataFrame, by: Sequence[str], order: Sequence[str], block: Column, rank: str = "rank") -> DataFrame:
+    """Rank of every row per group, also of groups too large for one task.
+
+    ``order`` is ascending and unique in a group; ``block`` must not decrease along it.
+    """
+    return scan(df, list(by), list(order), sums={rank: F.lit(1)}, block=block).withColumn(rank, (F.col(rank) + 1).cast("bigint"))
+
+
 def match_by_tokens(wishes: DataFrame, assets: DataFrame, wish_id: str = "wish_id", asset_id: str = "path",
                     least: int = 2, limit: int = 8) -> DataFrame:
     """(wish, asset, overlap, rank): best assets by shared words, ties by asset key."""

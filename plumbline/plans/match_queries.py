@@ -214,15 +214,16 @@ def cascade_degraded(read):
     return _cascade(read)[1]
 
 
-_RANKED = """rk AS (SELECT l_orderkey AS scene_id, l_linenumber * 100000 + l_partkey AS cand, l_partkey % 40 AS context, CAST(l_quantity AS BIGINT) AS quality FROM lineitem),
+_RANKED = """rk AS (SELECT l_orderkey AS scene_id, (l_linenumber * 10000 + l_suppkey) * 100000 + l_partkey AS cand, l_partkey % 40 AS context, CAST(l_quantity AS BIGINT) AS quality FROM lineitem),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY scene_id ORDER BY context DESC, quality DESC, cand) AS rank FROM rk),
 scores AS (SELECT scene_id, rank, CASE WHEN cand % 5 = 0 THEN 'x' ELSE CAST((cand * 3 + scene_id) % 14 AS VARCHAR) END AS score FROM ranked WHERE rank <= 3 AND NOT (scene_id % 6 = 0 AND rank = 1))"""
 
 
 def _ranked(read):
-    li = read("lineitem").select(F.col("l_orderkey").alias("scene_id"), (F.col("l_linenumber") * 100000 + F.col("l_partkey")).alias("cand"),
+    li = read("lineitem").select(F.col("l_orderkey").alias("scene_id"), ((F.col("l_linenumber") * 10000 + F.col("l_suppkey")) * 100000 + F.col("l_partkey")).alias("cand"),
                                  (F.col("l_partkey") % 40).alias("context"), F.col("l_quantity").cast("bigint").alias("quality"))
-    ranked = M.top(li, ["scene_id"], [F.desc("context"), F.desc("quality"), F.asc("cand")], 1 << 30)
+    li = li.withColumn("_c", -F.col("context")).withColumn("_q", -F.col("quality"))
+    ranked = M.rank_all(li, ["scene_id"], ["_c", "_q", "cand"], F.col("_c")).drop("_c", "_q")
     scores = ranked.where((F.col("rank") <= 3) & ~((F.col("scene_id") % 6 == 0) & (F.col("rank") == 1))).select(
         "scene_id", "rank", F.when(F.col("cand") % 5 == 0, "x").otherwise(((F.col("cand") * 3 + F.col("scene_id")) % 14).cast("string")).alias("score"))
     return ranked, scores
@@ -249,7 +250,7 @@ def select_best(read):
     ranked, _ = _ranked(read)
     url = F.concat(F.lit("u"), F.col("cand").cast("string"))
     sl = ranked.select("scene_id", "rank", url.alias("url"), "quality", (F.col("cand") % 13 == 0).alias("is_dup"))
-    verdicts = ranked.select("scene_id", url.alias("url"), F.when(F.col("cand") % 7 == 0, None).otherwise(F.col("cand") % 11).alias("verdict")).dropDuplicates(["scene_id", "url"])
+    verdicts = ranked.select("scene_id", url.alias("url"), F.when(F.col("cand") % 7 == 0, None).otherwise(F.col("cand") % 11).alias("verdict"))
     excluded = ranked.where("cand % 10 = 1").select("scene_id", url.alias("url"))
     return M.select_best(sl, verdicts, excluded)[0]
 
