@@ -20,12 +20,16 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[st
          block: Column | None = None) -> DataFrame:
     """Add exclusive running sums, values of the previous row and of the following row.
 
-    ``order`` must be unique within a key. ``block`` must not decrease along it;
-    by default it is the first order column divided by ``BLOCK_ROWS``.
+    Keys must not be NULL (that fails loudly). ``order`` must be unique within a
+    key. ``block`` must not decrease along it; by default it is the first order
+    column divided by ``BLOCK_ROWS``.
     """
     sums, previous, following = sums or {}, previous or {}, following or {}
     block = F.floor(F.col(order[0]) / BLOCK_ROWS) if block is None else block
-    rows = df.withColumn("_blk", block)
+    empty = F.col(keys[0]).isNull()
+    for k in keys[1:]:
+        empty = empty | F.col(k).isNull()
+    rows = df.withColumn("_blk", F.when(empty, F.raise_error(F.lit("scan: a key is NULL"))).otherwise(block))
     inside = Window.partitionBy(*keys, "_blk").orderBy(*order)
     before = inside.rowsBetween(Window.unboundedPreceding, -1)
     at = F.struct(*order)
@@ -54,7 +58,8 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[st
         rows = rows.withColumn(f"_p_{n}", F.lag(F.struct(e.alias("v"))).over(inside))
     for n, e in following.items():
         rows = rows.withColumn(f"_n_{n}", F.lead(F.struct(e.alias("v"))).over(inside))
-    on = [rows[k].eqNullSafe(blocks[f"_k_{k}"]) for k in keys] + [rows["_blk"] == blocks["_k_blk"]]
+    # plain equality on the window's own keys: the big side is joined where it already lies, in its order
+    on = [rows[k] == blocks[f"_k_{k}"] for k in keys] + [rows["_blk"] == blocks["_k_blk"]]
     cond = on[0]
     for c in on[1:]:
         cond = cond & c

@@ -163,3 +163,16 @@ def test_running_smallest(spark):
         for kk, i, t in [r for r in rows if r[0] == k]:
             seen |= set(t)
             assert got[(k, i)] == sorted(seen)[:3]
+
+
+def test_scan_shuffles_the_rows_once(spark):
+    """The rows move once, by (key, block); the other exchanges carry one row per block."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.read.parquet("/root/testdata/sf0.001/events.parquet").select("user_id", "event_id", "value")
+        out = ordered.scan(df, ["user_id"], ["event_id"], sums={"s": F.col("value")})
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("Exchange hashpartitioning") == 4
