@@ -6,10 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.session import spread
-
-# tables whose rows are worked on one by one (text, JSON, unpacking into segments)
-PER_ROW_WORK = {"documents", "pages", "conversations", "orders", "lineitem"}
+from plumbline.session import use_local_shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -25,9 +22,10 @@ def query(survey_id: str, sql: str | None = None, name: str | None = None):
             raise ValueError(f"query {key} registered twice")
 
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            use_local_shared_dir(spark)
+
             def read(table: str) -> DataFrame:
-                df = spark.read.parquet(f"{sf_dir}/{table}.parquet")
-                return spread(df) if table in PER_ROW_WORK else df
+                return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
             read.spark = spark
             read.path = lambda table: f"{sf_dir}/{table}.parquet"

@@ -1,57 +1,55 @@
-"""Session helpers: where lineage may be cut, and size-checked broadcasts."""
+"""Session helpers: the folder the cluster shares, and where lineage may be cut."""
 
 from __future__ import annotations
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-BROADCAST_MAX_BYTES = 64 << 20
+from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder; a local one only where none is configured, as in tests."""
-    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if named:
-        return named
-    global _LOCAL
-    if _LOCAL is None:
-        _LOCAL = tempfile.mkdtemp(prefix="spark-plumbline-")
-    return _LOCAL
+    """The folder that driver and executors share; an error where none is named.
 
+    Intermediate tables written to one machine's own disk would be incomplete when other
+    machines read them, so nothing falls back to a temporary folder here.
+    """
+    named = (spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+             or spark.sparkContext.getCheckpointDir())
+    if not named:
+        raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
+    return named.rstrip("/")
 
-_LOCAL: str | None = None
 
+def use_local_shared_dir(spark: SparkSession) -> None:
+    """For tests and single-machine runs: name a temporary folder where none is named and there is only one machine."""
+    local = spark.sparkContext.master.split("[")[0] == "local"
+    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
+    if local and not named:
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="spark-plumbline-"))
 
-def cut(df: DataFrame, name: str = "cut") -> DataFrame:
-    """Write ``df`` once to the shared folder and read it back.
 
-    For a costly table used by several branches: later stages read columns from
-    files that outlive any executor, instead of repeating the work per branch.
-    """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/plumbline/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path in the shared folder."""
+    return f"{shared_dir(spark)}/plumbline/{name}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
-    """Hint a broadcast only if the optimiser's size estimate is under the bound; else leave it to AQE."""
-    return F.broadcast(df) if plan_bytes(df) <= max_bytes else df
+def drop(spark: SparkSession, path: str) -> None:
+    """Remove a table written by ``cut`` that no plan reads any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def spread(df: DataFrame, bytes_per_core: int = 4 << 20) -> DataFrame:
-    """Deal the rows of a small table out to all cores.
+def cut(df: DataFrame, name: str = "cut", codec: str = "snappy") -> DataFrame:
+    """Write ``df`` once to the shared folder and read it back.
 
-    A table of few megabytes sits in one file split, and per-row text work would
-    run in one task. Tables above ``bytes_per_core`` per core have splits enough
-    and are left alone, so what is dealt out is bounded.
+    For a costly table used by several branches: later stages read columns from
+    files that outlive any executor, instead of repeating the work per branch.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if plan_bytes(df) < cores * bytes_per_core else df
+    return cut_to(df, scratch(df.sparkSession, name), codec)
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """The optimiser's size estimate of a table, without running anything."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def cut_to(df: DataFrame, path: str, codec: str = "snappy") -> DataFrame:
+    """``cut`` at a path that the caller owns, and may ``drop`` when nothing reads it any more."""
+    df.write.option("compression", codec).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
