@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import decontaminate, secrets, simhash
+from plumbline.llm import decontaminate, mixing, secrets, simhash, tokens
 from plumbline.session import use_local_shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,18 @@ def query(fn):
     return fn
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query
+def op1_mixing(read):
+    """How many words of each document a mixture of the sources takes."""
+    return mixing.mix_counts(read("documents"))
+
+
 @query
 def op3_decontaminate(read):
     """Words of documents inside any ten-word window of a benchmark item."""
@@ -39,3 +51,9 @@ def op4_simhash(read):
 def op7_secrets(read):
     """Secrets in every document, weak candidates linked to their complements."""
     return secrets.secret_digest(read("documents"))
+
+
+@query
+def op10_tokens(read):
+    """Token ids of all documents, written in document order and read back."""
+    return tokens.token_digest(read("documents"), tokenizer_path())
