@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import decontaminate, mixing, secrets, simhash, tokens
+from plumbline.llm import decontaminate, language, mixing, secrets, simhash, tokens, toxicity
 from plumbline.session import use_local_shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,10 +23,10 @@ def query(fn):
     return fn
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("byte_bpe_50k.json")
+    return public_tokenizers.path(name)
 
 
 @query
@@ -35,6 +35,12 @@ def op1_mixing(read):
     return mixing.mix_counts(read("documents"))
 
 
+@query
+def op2_toxicity(read):
+    """Toxicity of every document from its nearest labelled examples."""
+    return toxicity.toxicity(read("documents"), read("labels"))
+
+
 @query
 def op3_decontaminate(read):
     """Words of documents inside any ten-word window of a benchmark item."""
@@ -47,6 +53,12 @@ def op4_simhash(read):
     return simhash.simhash_digest(read("documents"))
 
 
+@query
+def op6_language(read):
+    """Language of every document."""
+    return language.predictions(read("documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 @query
 def op7_secrets(read):
     """Secrets in every document, weak candidates linked to their complements."""
