@@ -13,5 +13,8 @@ def spark():
     s = (SparkSession.builder.master("local[4]").appName("tests").config("spark.sql.shuffle.partitions", "4")
          .config("spark.ui.enabled", "false").config("spark.sql.session.timeZone", "UTC").config("spark.driver.memory", "4g").getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
+    from plumbline.session import use_local_shared_dir
+
+    use_local_shared_dir(s)
     yield s
     s.stop()
