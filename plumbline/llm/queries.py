@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from plumbline.llm import decontaminate, language, mixing, secrets, simhash, tokens, toxicity
+from plumbline.llm import decontaminate, factors, language, mixing, secrets, simhash, suffixes, tokens, topk, toxicity
 from plumbline.session import use_local_shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -53,6 +53,12 @@ def op4_simhash(read):
     return simhash.simhash_digest(read("documents"))
 
 
+@query
+def op5_topk(read):
+    """The five largest inner products of every fiftieth vector with all others."""
+    return topk.every_fiftieth(read("embeddings"))
+
+
 @query
 def op6_language(read):
     """Language of every document."""
@@ -65,6 +71,18 @@ def op7_secrets(read):
     return secrets.secret_digest(read("documents"))
 
 
+@query
+def op8_suffixes(read):
+    """Bytes of documents in 100-byte strings that start earlier."""
+    return suffixes.byte_digest(read("documents"))
+
+
+@query
+def op9_factors(read):
+    """Words of documents in 20-word windows that start earlier."""
+    return factors.word_digest(read("documents"))
+
+
 @query
 def op10_tokens(read):
     """Token ids of all documents, written in document order and read back."""
