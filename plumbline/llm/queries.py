@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from plumbline.llm import decontaminate, factors, language, mixing, secrets, simhash, suffixes, tokens, topk, toxicity
 from plumbline.session import use_local_shared_dir
 
@@ -23,12 +24,6 @@ def query(fn):
     return fn
 
 
-def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 @query
 def op1_mixing(read):
     """How many words of each document a mixture of the sources takes."""
@@ -62,7 +57,7 @@ def op5_topk(read):
 @query
 def op6_language(read):
     """Language of every document."""
-    return language.predictions(read("documents"), tokenizer_path("piece_bpe_32k.model"))
+    return language.predictions(read("documents"), tokens.vocabulary_path("piece_bpe_32k.model"))
 
 
 @query
@@ -86,4 +81,13 @@ def op9_factors(read):
 @query
 def op10_tokens(read):
     """Token ids of all documents, written in document order and read back."""
-    return tokens.token_digest(read("documents"), tokenizer_path())
+    return tokens.token_digest(read("documents"), tokens.vocabulary_path())
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of the corpus pipeline."""
+    use_local_shared_dir(spark)
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+QUERIES["pipeline"] = pipeline

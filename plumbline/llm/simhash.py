@@ -98,12 +98,31 @@ def near_duplicates(docs: DataFrame, width: int = 3, out: list[str] | None = Non
 
 def _members(first: DataFrame) -> DataFrame:
     """(fp, component_id) from (fp, first)."""
-    groups = components(linked(first.select("fp"))).withColumnRenamed("node", "fp")
-    both = cut(first.join(groups, "fp", "left").withColumn("comp", F.coalesce("comp", "fp")), "simhash-groups")
+    both = _groups(first)
     least = both.groupBy("comp").agg(F.min("first").alias("component_id"))
     return both.join(least, "comp").select("fp", "component_id")
 
 
+def _groups(first: DataFrame) -> DataFrame:
+    """``first`` (one row for each fp) with ``comp``, the smallest fp of its component."""
+    groups = components(linked(first.select("fp"))).withColumnRenamed("node", "fp")
+    return cut(first.join(groups, "fp", "left").withColumn("comp", F.coalesce("comp", "fp")), "simhash-groups")
+
+
+def keep_one(docs: DataFrame, width: int = 3) -> DataFrame:
+    """One document of each component, all columns: the row of the smallest doc_id (NULL only where there is no other).
+
+    Of repeated rows one stays. Names starting with ``__`` are reserved.
+    """
+    names = {c: f"__own_{i}" for i, c in enumerate(docs.columns) if c in ("fp", "component_id")}
+    rows = cut(fingerprints(docs.withColumnsRenamed(names).withColumn("__rid", F.monotonically_increasing_id()), width), "simhash-rows", "zstd")
+    best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__rid"))
+    first = rows.groupBy("fp").agg(best.alias("first"))
+    stay = _groups(first).groupBy("comp").agg(F.min("first").alias("first")).select(F.col("first.__rid").alias("__rid"))
+    kept = rows.join(stay, "__rid", "left_semi").drop("__rid", "fp")
+    return kept.withColumnsRenamed({v: k for k, v in names.items()}).select(*(F.col(f"`{c}`") for c in docs.columns))
+
+
 def simhash_digest(docs: DataFrame) -> DataFrame:
     """Per document: doc_id, fingerprint (16 hex digits), component_id."""
     found = near_duplicates(docs.select("doc_id", "text"), out=["doc_id"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -15,13 +16,22 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from plumbline.session import cut_to, drop, scratch
 
-# Fixed value: where byte-level BPE parts a text before it merges.
-PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+# Where byte-level BPE parts a text before it merges, and its printable characters for bytes.
+PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+")
+_PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
+_BYTES = {b: b for b in _PRINTABLE} | {b: 256 + n for n, b in enumerate(sorted(set(range(256)) - set(_PRINTABLE)))}
 
 #: Control byte -> bytes of its four values; two bits a value, lowest first.
 LENGTHS = np.array([[1 + (c >> 2 * k & 3) for k in range(4)] for c in range(256)], np.uint8)
 
 
+def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
+    """Where the installed public vocabulary of this name lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """(control bytes, data bytes) of unsigned 32-bit values; the last control byte is filled with zero bits."""
     v = np.ascontiguousarray(values, "<u4")
@@ -45,18 +55,48 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-class _Pieces(dict):
-    """Piece -> its ids as bytes; forgets all when it holds too many."""
+class _Words(dict):
+    """What stands between two single spaces -> the ids of the space and it; None where white space at its edge would join them.
 
-    def __init__(self, tokenizer, kind: str, most: int = 200_000):
-        self.tokenizer, self.kind, self.most = tokenizer, kind, most
+    When full, the words become the ``old`` ones, from which those that come again return.
+    """
+
+    def __init__(self, tokenizer, kind: str, most: int = 300_000):
+        self.model, self.code, self.most, self.old = tokenizer.model, {"<u2": "H", "<u4": "I"}[kind], most, {}
 
-    def __missing__(self, piece: str) -> bytes:
+    def __missing__(self, word: str) -> bytes | None:
         if len(self) >= self.most:
+            self.old = dict(self)
             self.clear()
-        ids = self[piece] = np.array(self.tokenizer.encode(piece, add_special_tokens=False).ids, self.kind).tobytes()
+        ids = self.old.get(word)
+        if ids is None:
+            ids = self.encode(word)
+        self[word] = ids
         return ids
 
+    def encode(self, word: str) -> bytes | None:
+        if word.isalpha():
+            return self.pieces([" " + word])
+        if not word or word[0].isspace() or word[-1].isspace():
+            return None
+        if word[-1] in ".,;:!?" and word[:-1].isalpha():  # two pieces, of which the word may be known
+            return self[word[:-1]] + self.pieces([word[-1]])
+        return self.pieces(PIECES.findall(" " + word))
+
+    def pieces(self, found: list[str]) -> bytes:
+        tokenize, out = self.model.tokenize, []
+        for piece in found:
+            out += [t.id for t in tokenize(piece.encode().decode("latin-1").translate(_BYTES))]
+        return array(self.code, out).tobytes()
+
+    def ids(self, text: str) -> bytes:
+        """A piece never reaches over a single space between other characters, so words are looked up one by one."""
+        first, *words = text.split(" ")
+        found = list(map(self.__getitem__, words))
+        if None in found or not first or first[-1:].isspace():
+            return self.pieces(PIECES.findall(text))
+        return b"".join([self.pieces(PIECES.findall(first)), *found])
+
 
 @lru_cache(1)
 def _loaded(spec: str):
@@ -66,11 +106,11 @@ def _loaded(spec: str):
     parts = json.loads(spec)
     plain = parts["model"]["type"] == "BPE" and not parts.get("normalizer") and (parts.get("pre_tokenizer") or {}).get("type") == "ByteLevel" and not parts["pre_tokenizer"].get("add_prefix_space") and parts["pre_tokenizer"].get("use_regex", True)
     kind = "<u2" if t.get_vocab_size(with_added_tokens=True) <= 1 << 16 else "<u4"
-    return t, _Pieces(t, kind), plain, [x["content"] for x in parts.get("added_tokens", [])], kind
+    return t, _Words(t, kind), plain, [x["content"] for x in parts.get("added_tokens", [])], kind
 
 
 class _Tokenize:
-    """ids of whole texts; byte-level BPE never merges across pieces, so known pieces come from the cache."""
+    """ids of whole texts; byte-level BPE never merges across pieces, so known words come from the cache."""
 
     def __init__(self, spec: str, end_id: int):
         self.spec, self.end_id = spec, end_id
@@ -83,7 +123,7 @@ class _Tokenize:
             for x in b.column(1):
                 text = x.as_py() or ""
                 if plain and not any(a in text for a in added):
-                    ids.append(b"".join(map(cache.__getitem__, PIECES.findall(text))) + end)
+                    ids.append(cache.ids(text) + end)
                 else:
                     ids.append(np.array(t.encode(text, add_special_tokens=False).ids, kind).tobytes() + end)
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
