@@ -48,7 +48,8 @@ def _each(df: DataFrame, n: str, name: str, step: int = 1 << 14) -> DataFrame:
     """One row for each number below column ``n``, dealt out in pieces of ``step``."""
     pieces = df.where(F.col(n) > 0).withColumn("__piece", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col(n) - 1) / step))))
     at = F.col("__piece") * step
-    return pieces.repartition(*df.columns, "__piece").withColumn(name, F.explode(F.sequence(at, F.least(at + step, F.col(n)) - 1))).drop("__piece")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))  # few rows here, many after: not to be coalesced
+    return pieces.repartition(tasks, *df.columns, "__piece").withColumn(name, F.explode(F.sequence(at, F.least(at + step, F.col(n)) - 1))).drop("__piece")
 
 
 def draw(sources: DataFrame, seed: int = 7, shard_slots: int = 1 << 13) -> DataFrame:
