@@ -77,7 +77,7 @@ class _Factor:
                     anchor, block = a, Reference(self.width)
                 rows += [(doc, tie, s + x, s + z) for x, z in block.parse(piece.split())]
             cols = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["doc_id", "tie", "s", "e"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["doc_id", "tie", "s", "e"])
 
 
 def _kept_words(units: list[bytes], spans: list[list[int]]) -> bytes:

@@ -154,7 +154,12 @@ class _Extract:
             key, end = other
         elif key == other[0]:
             return
-        self.rows.append((xxhash.xxh64_intdigest(repr(key).encode()) - (1 << 63), *key, end, None))
+        doc, tie, start = key
+        last = self.rows[-1] if self.rows else None
+        if last and last[5] is None and last[1:3] == (doc, tie) and last[3] <= start <= last[4]:
+            self.rows[-1] = (*last[:4], max(end, last[4]), None)
+        else:
+            self.rows.append((xxhash.xxh64_intdigest(b"%d" % (doc or 0)) - (1 << 63), doc, tie, start, end, None))
 
     def release(self):
         self.rows += [(anchor, *key, end, piece) for (anchor, piece), (key, end) in self.held.items()]
@@ -163,7 +168,7 @@ class _Extract:
     def batch(self):
         cols = list(zip(*self.rows))
         self.rows = []
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["anchor", "doc_id", "tie", "s", "e", "piece"])
 
 
@@ -187,8 +192,8 @@ def merge(starts: np.ndarray, width: int, base: int) -> list[tuple[int, int]]:
 class _Strip:
     """Whole result of each text from its repeated spans."""
 
-    def __init__(self, kind: Kind, keep: Callable):
-        self.kind, self.keep = kind, keep
+    def __init__(self, kind: Kind, keep: Callable, texts: bool):
+        self.kind, self.keep, self.texts = kind, keep, texts
 
     def __call__(self, batches):
         for b in batches:
@@ -203,24 +208,24 @@ class _Strip:
                         joined.append([a, z])
                 units = self.kind.split(raw)
                 kept = self.keep(units, joined)
-                out.append((self.kind.count(units), sum(z - a for a, z in joined), len(joined), kept, hashlib.sha256(kept).hexdigest()))
+                out.append((self.kind.count(units), sum(z - a for a, z in joined), len(joined), kept if self.texts else None, hashlib.sha256(kept).hexdigest()))
             cols = list(zip(*out)) if out else [()] * 5
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
             arrays = [pa.array(c, k) for c, k in zip(cols, kinds)]
             yield pa.RecordBatch.from_arrays([*b.columns[:2], *arrays], names=["doc_id", "tie", "n", "n_removed", "n_spans", "kept", "kept_sha256"])
 
 
-def strip_repeats(docs: DataFrame, kind: Kind, find: Found, keep: Callable, hot: int = 1000, texts: bool = False) -> DataFrame:
+def strip_repeats(docs: DataFrame, kind: Kind, find: Found, keep: Callable, hot: int = 4000, texts: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, n (units), n_removed, n_spans, kept_sha256, and ``kept`` if ``texts``.
 
     Removed is every unit that a window of ``kind.width`` units covers whose content also starts earlier: in a smaller
     doc_id, or earlier in the document. Equal whole texts are worked on once: the copies of the smallest doc_id go whole
     if they hold a window. ``find`` gets the segments of whole anchors, sorted by anchor, and yields repeated spans.
     NULL texts are empty; NULL doc_ids count as smallest; repeated equal rows (same doc_id, same text) count as one
-    document and each get its result; rows of one doc_id with other texts stand in the order of a hash of the text.
+    document and each get its result; rows of one doc_id with other texts are told apart, and ordered, by a 32-bit hash of the text.
     """
     mine = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    mine = mine.select("doc_id", F.xxhash64("text").alias("tie"), "text")
+    mine = mine.select("doc_id", F.shiftright(F.xxhash64("text"), 32).cast("int").alias("tie"), "text")
     digest = F.sha2("text", 256).alias("sha")
     order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tie")
     first = mine.select("doc_id", "tie", digest).groupBy("sha").agg(F.min(order).alias("first")).select("sha", F.col("first.doc_id").alias("first_id"), F.col("first.tie").alias("first_tie"))
@@ -228,16 +233,17 @@ def strip_repeats(docs: DataFrame, kind: Kind, find: Found, keep: Callable, hot:
     one = first.select("first_id", "first_tie").hint("shuffle_hash")
     same = lambda left, right: left["doc_id"].eqNullSafe(right["first_id"]) & (left["tie"] == right["first_tie"])
     texts_once = mine.join(one, same(mine, one), "left_semi").select("doc_id", "tie", F.col("text").cast("binary").alias("text"))
-    places = texts_once.mapInArrow(_Anchors(kind), "anchor long, doc_id long, tie long, s int, e int")
+    places = texts_once.mapInArrow(_Anchors(kind), "anchor long, doc_id long, tie int, s int, e int")
     live = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    live = live.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # so that the join may split a frequent anchor's rows
     hits = places.join(live, "anchor").select("doc_id", "tie", F.struct("s", "e", "anchor", (F.col("n") > hot).alias("hot")).alias("seg"))
     by_doc = hits.groupBy("doc_id", "tie").agg(F.collect_set("seg").alias("live")).withColumnsRenamed({"doc_id": "first_id", "tie": "first_tie"}).hint("shuffle_hash")
-    pieces = texts_once.join(by_doc, same(texts_once, by_doc)).select("doc_id", "tie", "text", "live").mapInArrow(_Extract(kind), "anchor long, doc_id long, tie long, s int, e int, piece binary")
+    pieces = texts_once.join(by_doc, same(texts_once, by_doc)).select("doc_id", "tie", "text", "live").mapInArrow(_Extract(kind), "anchor long, doc_id long, tie int, s int, e int, piece binary")
     met = pieces.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "tie", "s")
-    spans = met.mapInArrow(find, "doc_id long, tie long, s int, e int")
+    spans = met.mapInArrow(find, "doc_id long, tie int, s int, e int")
     spans = spans.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("s", "e")).alias("spans")).withColumnsRenamed({"doc_id": "first_id", "tie": "first_tie"}).hint("shuffle_hash")
     results = texts_once.join(spans, same(texts_once, spans), "left").select("doc_id", "tie", "text", "spans")
-    results = results.mapInArrow(_Strip(kind, keep), "doc_id long, tie long, n long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    results = results.mapInArrow(_Strip(kind, keep, texts), "doc_id long, tie int, n long, n_removed long, n_spans long, kept binary, kept_sha256 string")
     results = results.select("doc_id", "tie", "n", "n_removed", "n_spans", "kept_sha256", *(["kept"] if texts else [])).dropDuplicates(["doc_id", "tie"])
     return _all_rows(mine.select("doc_id", "tie", digest), first, results, kind.width, texts)
 

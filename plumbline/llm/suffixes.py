@@ -200,7 +200,7 @@ class _Shard:
     @staticmethod
     def batch(rows):
         cols = list(zip(*rows)) or [()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["doc_id", "tie", "s", "e"])
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["doc_id", "tie", "s", "e"])
 
     def repeats(self, rows: list[tuple]) -> list[tuple]:
         """Spans of the windows that also start earlier, among these segments."""
