@@ -282,14 +282,14 @@ def unit_numerics(c) -> Column:
     return F.aggregate(pairs, start, step, lambda acc: acc["out"])
 
 
-def sentence_facts(c) -> Column:
-    """array<struct<value,unit,claim>>, one per distinct (claim, match)."""
+def sentence_facts(c, claim_chars: int | None = None) -> Column:
+    """array<struct<value,unit,claim>>, one per distinct (sentence, match); ``claim_chars`` shortens what is shown only."""
     sents = F.transform(F.regexp_extract_all(strip_tags(c), F.lit("[^.!?]*[.!?]"), F.lit(0)), strip)
     per = F.transform(sents, lambda s: F.transform(
         unit_numerics(s), lambda n: F.struct(n["value"].alias("value"), n["unit"].alias("unit"),
-                                             F.left(s, F.lit(200)).alias("claim"), n["match"].alias("match"))))
+                                             s.alias("claim"), n["match"].alias("match"))))
     return F.transform(F.array_distinct(F.flatten(per)),
-                       lambda f: F.struct(f["value"].alias("value"), f["unit"].alias("unit"), f["claim"].alias("claim")))
+                       lambda f: F.struct(f["value"].alias("value"), f["unit"].alias("unit"), (f["claim"] if claim_chars is None else F.left(f["claim"], F.lit(claim_chars))).alias("claim")))
 
 
 def is_grounded(claim, facts_text, article, context_chars: int | None = None) -> Column:

@@ -45,15 +45,15 @@ def _char_keys(c, n):
 
 def find_quotes(quotes: DataFrame, docs: DataFrame, quote_id: str = "item_id", quote: str = "text",
                 doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(quote_id, copies, doc_id, char_offset): which documents hold which quote.
+    """(quote_id, copies, doc_id, char_offset): which documents hold which quote, a row for each quote id.
 
-    Equal quotes are collapsed first (lowest id stands for all). A quote's
+    Equal quotes are collapsed for the search and get their ids back after it. A quote's
     smallest interior word shingle is its key; a document can only hold the
     quote if it has a shingle with that key, so candidates come from an equi
     join and every candidate is then verified on the whole text. Interior words
     are used because a quote may begin or end inside a word. Quotes too short
-    for a shingle take the same road over their character trigrams, and run
-    only if there are any.
+    for a shingle take the same road over their character trigrams; where there
+    are none, a join with no rows keeps every document out of that road.
     """
     q = (quotes.select(quote_id, X.normalize_for_match(quote).alias("_q")).where("_q <> ''")
          .groupBy("_q").agg(F.min(quote_id).alias(quote_id), F.count("*").alias("copies")))
@@ -64,13 +64,14 @@ def find_quotes(quotes: DataFrame, docs: DataFrame, quote_id: str = "item_id", q
 
     keyed = d.select(doc_id, F.split("_t", " ").alias("_w")).select(doc_id, F.explode(F.array_distinct(_gram_keys("_w"))).alias("_key"))
     pairs = keyed.join(long_q, "_key").drop("_key")
-    if not short_q.isEmpty():
-        for n, cond in ((3, F.length("_q") >= 3), (1, F.length("_q") < 3)):
-            part = short_q.where(cond).withColumn("_key", F.array_min(_char_keys("_q", n)))
-            chars = d.select(doc_id, F.explode(F.array_distinct(_char_keys("_t", n))).alias("_key"))
-            pairs = pairs.unionByName(chars.join(part, "_key").drop("_key"))
+    for n, cond in ((3, F.length("_q") >= 3), (1, F.length("_q") < 3)):
+        part = short_q.where(cond).withColumn("_key", F.array_min(_char_keys("_q", n)))
+        there = part.limit(1).select(F.lit(1).alias("_there"))  # at most one row
+        chars = d.crossJoin(F.broadcast(there)).select(doc_id, F.explode(F.array_distinct(_char_keys("_t", n))).alias("_key"))
+        pairs = pairs.unionByName(chars.join(part, "_key").drop("_key"))
     hits = pairs.join(d, doc_id).withColumn("char_offset", X.locate_in("_q", "_t")).where("char_offset IS NOT NULL")
-    return hits.select(quote_id, "copies", doc_id, F.col("char_offset").cast("bigint").alias("char_offset"))
+    every = quotes.select(quote_id, X.normalize_for_match(quote).alias("_q"))
+    return hits.drop(quote_id).join(every, "_q").select(quote_id, "copies", doc_id, F.col("char_offset").cast("bigint").alias("char_offset"))
 
 
 def gate_facts(facts: DataFrame, docs: DataFrame, on: str = "doc_id", quote: str = "quote", value: str = "value",

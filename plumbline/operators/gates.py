@@ -159,7 +159,8 @@ def _run_stats(segments: DataFrame) -> DataFrame:
     n = X.word_count("narration")
     room = at_beat([int(h) for h in HIGH]) - n
     inside = F.col("pos") < len(BEATS)
-    return segments.select("run_id", "pos", "beat", "fact_ids" if "fact_ids" in segments.columns else F.lit(None).cast("array<string>").alias("fact_ids"),
+    cited = F.coalesce("fact_ids", X.strings([])) if "fact_ids" in segments.columns else X.strings([])
+    return segments.select("run_id", "pos", "beat", cited.alias("fact_ids"),
                            n.alias("_n"), F.when(inside & (room > 0), F.struct(
                                room.alias("room"), at_beat(BEATS).alias("beat"), n.alias("n"), at_beat([int(h) for h in HIGH]).alias("hi"))).alias("_room")).groupBy("run_id").agg(
         F.count("*").alias("beats"), F.count_if(inside & (F.col("beat") == at_beat(BEATS))).alias("in_order"),
@@ -187,7 +188,7 @@ def _total_hit() -> Column:
 
 
 def _cta_hit(ids: list[str]) -> Column:
-    found = F.filter("last_ids", lambda f: f.isin(*ids)) if ids else X.strings([])
+    found = F.filter(F.coalesce("last_ids", X.strings([])), lambda f: f.isin(*ids)) if ids else X.strings([])
     return F.when(F.size(found) != 1, _hit("differentiator", f"differentiator[cta]: expected exactly one of {ids}, got ", quoted(found)))
 
 

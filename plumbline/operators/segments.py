@@ -102,9 +102,9 @@ def expand_segments(segments: DataFrame, facts: DataFrame, citations: DataFrame,
             _shot("BROLL", first, broll, fallback=_declared("STAT_CARD", stat(fact))), _shot("QUOTE_CARD", rest_or_all, quote)))
         .when(fact.isNotNull(), F.array(_shot("STAT_CARD", first, stat(fact)), _shot("QUOTE_CARD", rest_or_all, quote)))
         .otherwise(F.array(_shot("HEADLINE_CARD", told, head))))
-    diff = F.lit("")
-    for i, t in rules.differentiators:
-        diff = F.when(F.array_contains("fact_ids", i), F.lit(t)).otherwise(diff)
+    known = F.create_map(*(F.lit(x) for pair in rules.differentiators for x in pair)) if rules.differentiators else F.create_map().cast("map<string,string>")
+    cited = F.filter(F.coalesce("fact_ids", X.strings([])), lambda f: F.array_contains(F.map_keys(known), f))
+    diff = F.coalesce(F.try_element_at(known, F.try_element_at(cited, F.lit(-1))), F.lit(""))  # the last one cited
     cta = F.array(_shot("LOGO_CTA", told, _map(differentiator=diff, cta_line=F.lit(rules.cta_lines[0] if rules.cta_lines else ""), domain=F.lit(rules.domain))))
     shots = (F.when(F.col("beat") == "hook", hook).when(F.col("beat") == "stakes", stakes).when(F.col("beat") == "mechanism", mechanism)
              .when(F.col("beat") == "proof", proof).when(F.col("beat") == "cta", cta).otherwise(F.array(_shot("HEADLINE_CARD", told, head))))
@@ -143,7 +143,7 @@ def lint_segments(shots: DataFrame, facts: DataFrame) -> DataFrame:
     is_stat = F.col("type") == "STAT_CARD"
     looked = shots.withColumn("_fid", F.when(is_stat, F.col("payload")["fact_id"])).join(
         facts.select("run_id", F.col("id").alias("_fid"), "quote"), ["run_id", "_fid"], "left")
-    loose = F.when(is_stat, F.array_except(X.numeric_tokens(F.col("payload")["value"]), X.numeric_tokens("quote"))).otherwise(X.strings([]))
+    loose = F.when(is_stat, X.let(F.coalesce(X.numeric_tokens("quote"), X.strings([])), lambda q: F.filter(X.numeric_tokens(F.col("payload")["value"]), lambda t: ~F.array_contains(q, t)))).otherwise(X.strings([]))
     rules = F.concat(F.filter(local, lambda x: x.isNotNull()), F.transform(loose, lambda t: F.concat(F.lit("untraced value "), t)))
     total = shots.groupBy("run_id").agg(F.sum("duration_s").alias("_t")).where(
         (F.col("_t") < K.TOTAL_MIN_S - K.LINT_EPSILON_S) | (F.col("_t") > K.TOTAL_MAX_S + K.LINT_EPSILON_S))
@@ -267,8 +267,9 @@ def group_cues(words: DataFrame, doc: str = "doc", max_words: int = 3, max_s: fl
     """
     row = F.struct(F.col("idx").cast("bigint").alias("idx"), "word", "start_s", "end_s")
     blocks = words.withColumn("_b", F.floor(F.col("idx") / CUE_BLOCK)).groupBy(doc, "_b").agg(F.array_sort(F.collect_list(row)).alias("_w"))
-    nxt = F.lead(F.slice("_w", 1, max_words - 1)).over(Window.partitionBy(doc).orderBy("_b"))
-    blocks = blocks.withColumn("_n", F.size("_w")).withColumn("_ext", F.concat("_w", F.coalesce(nxt, F.expr("slice(_w, 1, 0)"))))
+    following = blocks.select(doc, (F.col("_b") - 1).alias("_b"), F.slice("_w", 1, max_words - 1).alias("_next"))
+    blocks = blocks.join(following, [doc, "_b"], "left")
+    blocks = blocks.withColumn("_n", F.size("_w")).withColumn("_ext", F.concat("_w", F.coalesce("_next", F.expr("slice(_w, 1, 0)")))).drop("_next")
 
     def jump(i):
         """Words in the cue that begins at position i (0-based) of the block."""

@@ -32,7 +32,10 @@ def muxed_covers_voice(video, voice, slack: float = 0.25) -> Column:
 
 
 def media_metrics_gate(metrics: DataFrame) -> DataFrame:
-    """(run_id, defect) from (run_id, metric, value); without a video stream nothing further is checked."""
+    """(run_id, defect) from (run_id, metric, value); without a video stream nothing further is checked.
+
+    What was not measured does not pass: no size is a defect, no resolution is a mismatch, no level a failed analysis.
+    """
     m = lambda n: F.max(F.when(F.col("metric") == n, F.col("value")))
     names = ["duration_s", "filesize_mb", "has_video", "has_audio", "width", "height", "audio_rms", "audio_peak"]
     w = metrics.groupBy("run_id").agg(*[m(n).alias(n) for n in names])
@@ -40,10 +43,11 @@ def media_metrics_gate(metrics: DataFrame) -> DataFrame:
     d = F.coalesce("duration_s", F.lit(0.0))
     hits = F.array(
         F.when(d < K.VIDEO_MIN_S, "Duration too short").when(d > K.VIDEO_MAX_S, "Duration too long"),
-        F.when(F.col("filesize_mb") > K.VIDEO_MAX_MB, "Filesize exceeds limit"),
+        F.when(F.col("filesize_mb").isNull(), "Filesize unknown").when(F.col("filesize_mb") > K.VIDEO_MAX_MB, "Filesize exceeds limit"),
         F.when(~video, "No video stream found"),
         F.when(video & ~audio, "No audio stream found"),
-        F.when(video & ~((F.col("width") == K.FRAME_W) & (F.col("height") == K.FRAME_H)), "Resolution mismatch"),
+        F.when(video & ~F.coalesce((F.col("width") == K.FRAME_W) & (F.col("height") == K.FRAME_H), F.lit(False)), "Resolution mismatch"),
+        F.when(video & audio & (F.col("audio_rms").isNull() | F.col("audio_peak").isNull()), "Audio analysis failed"),
         F.when(video & audio & (F.col("audio_rms") < K.AUDIO_RMS_FLOOR), "Audio RMS too low"),
         F.when(video & audio & (F.col("audio_peak") > K.AUDIO_PEAK_CEIL), "Audio peak too high"))
     return w.select("run_id", F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("defect"))
@@ -117,9 +121,10 @@ def classify_failures(defects: DataFrame, verdicts: DataFrame) -> DataFrame:
     g = defects.groupBy("run_id").agg(F.bool_or(low.contains("audio")).alias("a"), F.bool_or(low.contains("dark ribbon")).alias("r"))
     run_kind = F.when(F.col("a"), "heuristic_audio").when(F.col("r"), "heuristic_dark_ribbon").otherwise("heuristic_safezone")
     top = g.select("run_id", F.lit("_global").alias("id"), run_kind.alias("kind"))
-    u = F.coalesce("ungradeable", F.lit(False))
+    shown = (F.col("rendered_type") == "BROLL") & (F.col("resolved") == "acquired")
+    u = F.coalesce("ungradeable", F.lit(False)) | F.col("legible").isNull() | F.coalesce(shown & F.col("match_score").isNull(), F.lit(False))  # not judged is not passed
     kinds = F.array(F.when(u, "error_ungradeable"),
-                    F.when(~u & (F.col("rendered_type") == "BROLL") & (F.col("resolved") == "acquired") & (F.col("match_score") < 5), "broll_mismatch"),
+                    F.when(~u & shown & (F.col("match_score") < 5), "broll_mismatch"),
                     F.when(~u & ~F.col("legible"), "legibility"))
     return top.unionByName(verdicts.select("run_id", "id", F.explode(F.filter(kinds, lambda k: k.isNotNull())).alias("kind")))
 
@@ -145,7 +150,7 @@ def apply_fixes(shots: DataFrame, failures: DataFrame) -> tuple[DataFrame, DataF
     s = s.withColumn("_by_label", by_label).withColumn("payload", F.when(F.col("_field").isNotNull(), short).otherwise(F.col("payload"))).withColumn(
         "labels", F.when(F.col("_by_label"), F.transform("labels", lambda x: X.first_words(x, n_label))).otherwise(F.col("labels")))
     logs = F.array(
-        F.when(F.col("_swap"), F.concat(F.lit("swapped to fallback "), F.col("fallback")["type"])),
+        F.when(F.col("_swap"), F.concat(F.lit("swapped to fallback "), F.col("fallback")["type"])).when(F.col("_m"), "no fallback declared"),
         F.when(F.col("_l") & F.col("_field").isNotNull(), F.concat(F.lit("shortened "), "_field", F.lit(" for legibility"))),
         F.when(F.col("_by_label"), "shortened labels for legibility"),
         F.when(F.col("_l") & F.col("_field").isNull() & ~F.col("_by_label"), "no deterministic legibility fix available"))

@@ -37,12 +37,14 @@ def locate_verbatim(read):
 
 
 @query("F2", f"""
-WITH q AS (SELECT min(item_id) AS item_id, count(*) AS copies, n AS q FROM (SELECT item_id, {norm('text')} AS n FROM benchmark) t WHERE n <> '' GROUP BY n),
+WITH q AS (SELECT item_id, count(*) OVER (PARTITION BY n) AS copies, n AS q FROM (SELECT item_id, {norm('text')} AS n FROM benchmark UNION ALL SELECT item_id + 1000000, {norm('text')} FROM benchmark WHERE item_id % 5 = 0) t WHERE n <> ''),
 d AS (SELECT doc_id, {norm('text')} AS t FROM documents)
 SELECT item_id, copies, doc_id, strpos(t, q) - 1 AS char_offset FROM q JOIN d ON contains(t, q)""")
 def find_quotes(read):
     """Substring search as a shingle equi join plus verification."""
-    return O.find_quotes(read("benchmark"), read("documents").select("doc_id", "text"))
+    items = read("benchmark").select("item_id", "text")
+    twice = items.unionByName(items.where("item_id % 5 = 0").withColumn("item_id", F.col("item_id") + 1000000))  # equal quotes keep their ids
+    return O.find_quotes(twice, read("documents").select("doc_id", "text"))
 
 
 @query("F7", FACTS_SQL + rf"""
@@ -72,7 +74,7 @@ TIER_SQL = rf"""WITH {V.NOTES_SQL},
 articles AS (SELECT o_orderkey AS article_id, o_orderpriority AS category FROM orders),
 model AS (SELECT l_orderkey AS article_id, CAST(l_quantity AS VARCHAR) AS value, 'kg' AS unit, 'Part ' || l_partkey || ' shipped.' AS claim FROM lineitem WHERE l_returnflag = 'N' AND l_linestatus = 'O'),
 mined AS (SELECT article_id, claim, value FROM (SELECT n.article_id, s AS claim, unnest(regexp_extract_all(s, {_R})) AS value
-  FROM (SELECT article_id, {strip('x')} AS s FROM (SELECT article_id, unnest(regexp_extract_all(note, '[^.!?]*[.!?]')) AS x FROM notes WHERE l_partkey % 17 = 0) z) n) y
+  FROM (SELECT article_id, {strip('x')} AS s FROM (SELECT article_id, unnest(regexp_extract_all(note, '[^.!?]*[.!?]')) AS x FROM notes) z) n) y
   WHERE (article_id, claim) NOT IN (SELECT article_id, claim FROM model)),
 qual AS (SELECT l_orderkey AS article_id FROM lineitem WHERE l_returnflag = 'A' AND l_discount > 0.05),
 tpl AS (SELECT ['1-URGENT', '2-HIGH', '3-MEDIUM'][1 + r_regionkey % 3] AS category, r_name AS claim FROM region),
@@ -90,7 +92,7 @@ def _tiers(read):
     model = li.where("l_returnflag = 'N' AND l_linestatus = 'O'").select(
         F.col("l_orderkey").alias("article_id"), F.col("l_quantity").cast("string").alias("value"), F.lit("kg").alias("unit"),
         F.concat(F.lit("Part "), F.col("l_partkey").cast("string"), F.lit(" shipped.")).alias("claim"))
-    mined = notes.where("l_partkey % 17 = 0").select("article_id", F.inline(X.sentence_facts("note"))).select("article_id", "value", "unit", "claim")
+    mined = notes.select("article_id", F.inline(X.sentence_facts("note"))).select("article_id", "value", "unit", "claim")
     qual = li.where("l_returnflag = 'A' AND l_discount > 0.05").select(F.col("l_orderkey").alias("article_id"),
                                                                         F.concat(F.lit("Lot of "), F.col("l_suppkey").cast("string")).alias("claim"))
     tpl = read("region").select(F.get(X.strings(["1-URGENT", "2-HIGH", "3-MEDIUM"]), F.col("r_regionkey") % 3).alias("category"),

@@ -48,7 +48,7 @@ def _quoted(a: str) -> str:
     return f"'[' || array_to_string(list_transform({a}, lambda x: '''' || x || ''''), ', ') || ']'"
 
 
-_DIFF = f"list_filter(fact_ids, lambda f: f IN ('b0', 'b1', 'b2'))"
+_DIFF = f"list_filter(coalesce(fact_ids, []), lambda f: f IN ('b0', 'b1', 'b2'))"
 DIFF_SQL = f"""l0 AS (SELECT run_id, max(pos) AS last FROM scripts GROUP BY 1), d0 AS (SELECT run_id, pos, beat, {_DIFF} AS d, last FROM scripts JOIN l0 USING (run_id)),
 v_diff AS (SELECT run_id, CAST(NULL AS BIGINT) AS pos, 'differentiator' AS gate, 'differentiator[cta]: expected exactly one of {str(RULES.ids).replace("'", "''")}, got ' || {_quoted('d')} AS message
    FROM d0 WHERE pos = last AND len(d) <> 1

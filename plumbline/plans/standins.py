@@ -93,8 +93,8 @@ scripts AS (SELECT run_id, pos, beat, narration,
          CASE (run_id + pos) % 4 WHEN 0 THEN array_to_string(string_split(narration, ' ')[1:5], ' ') WHEN 1 THEN 'Rate ' || (run_id % 50) || ' units'
               WHEN 2 THEN 'one two three four five six seven eight' ELSE 'Certified flow' END AS card_text,
          CASE WHEN (run_id + pos) % 3 = 0 THEN '' ELSE 'pump station' END AS broll_wish,
-         list_concat(['f' || pos, 'f' || ((pos + 1) % 5)], CASE WHEN pos = 4 AND run_id % 4 > 0 THEN ['b' || (run_id % 3)]
-              WHEN pos = 2 AND run_id % 7 = 0 THEN ['b1'] ELSE [] END) AS fact_ids,
+         CASE WHEN pos = 4 AND run_id % 23 = 0 THEN NULL ELSE list_concat(['f' || pos, 'f' || ((pos + 1) % 5)], CASE WHEN pos = 4 AND run_id % 29 = 0 THEN ['b2', 'b1'] WHEN pos = 4 AND run_id % 4 > 0 THEN ['b' || (run_id % 3)]
+              WHEN pos = 2 AND run_id % 7 = 0 THEN ['b1'] ELSE [] END) END AS fact_ids,
          CASE WHEN pos = 2 AND run_id % 5 > 0 THEN ['in ' || (run_id % 50), 'mix', 'out'] END AS labels
   FROM scripts1),
 sfacts AS (SELECT o_orderkey AS run_id, 'f' || i AS id, CASE WHEN i = 3 THEN 'high' ELSE '' || (o_orderkey % 50 + CASE WHEN (o_orderkey + i) % 4 = 0 THEN 1 ELSE 0 END) END AS value,
@@ -127,9 +127,9 @@ def scripts(read) -> DataFrame:
         F.when(c == 0, F.array_join(F.slice(F.split("narration", " "), 1, 5), " ")).when(c == 1, F.concat(F.lit("Rate "), (k % 50).cast("string"), F.lit(" units")))
         .when(c == 2, "one two three four five six seven eight").otherwise("Certified flow").alias("card_text"),
         F.when((k + p) % 3 == 0, "").otherwise("pump station").alias("broll_wish"),
-        F.concat(F.array(F.concat(F.lit("f"), p.cast("string")), F.concat(F.lit("f"), ((p + 1) % 5).cast("string"))),
-                 F.when((p == 4) & (k % 4 > 0), F.array(F.concat(F.lit("b"), (k % 3).cast("string"))))
-                 .when((p == 2) & (k % 7 == 0), X.strings(["b1"])).otherwise(X.strings([]))).alias("fact_ids"),
+        F.when(~((p == 4) & (k % 23 == 0)), F.concat(F.array(F.concat(F.lit("f"), p.cast("string")), F.concat(F.lit("f"), ((p + 1) % 5).cast("string"))),
+                 F.when((p == 4) & (k % 29 == 0), X.strings(["b2", "b1"])).when((p == 4) & (k % 4 > 0), F.array(F.concat(F.lit("b"), (k % 3).cast("string"))))
+                 .when((p == 2) & (k % 7 == 0), X.strings(["b1"])).otherwise(X.strings([])))).alias("fact_ids"),
         F.when((p == 2) & (k % 5 > 0), F.array(F.concat(F.lit("in "), (k % 50).cast("string")), F.lit("mix"), F.lit("out"))).alias("labels"))
 
 

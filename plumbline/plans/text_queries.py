@@ -40,10 +40,10 @@ def mine_numeric_sentences(read):
     return mine(read("documents"))
 
 
-@query("F5", MINED_SQL + " SELECT doc_id, pos, sentence FROM mined WHERE pos < 40")
+@query("F5", MINED_SQL + " SELECT doc_id, pos, sentence, pos < 40 AS offered FROM mined")
 def cap_candidates(read):
     from plumbline.operators.facts import mine_numeric_sentences as mine
-    return mine(read("documents"), cap=40)
+    return mine(read("documents")).withColumn("offered", F.col("pos") < 40)  # no sentence is dropped; a consumer filters
 
 
 @query("F8", rf"""
@@ -66,7 +66,7 @@ def unit_numerics(read):
 WITH {V.NOTES_SQL},
 s AS (SELECT article_id, line_no, list_transform(regexp_extract_all(regexp_replace(note, '<[^>]+>', '', 'g'), '[^.!?]*[.!?]'), lambda s: {strip('s')}) AS sents FROM notes),
 m AS (SELECT article_id, line_no, unnest(list_distinct(flatten(list_transform(sents, lambda s: list_transform(
-        regexp_extract_all(s, {lit(X.UNIT_NUMBER.replace('(?U)', ''))}), lambda m: {{'claim': s[1:200], 'match': m}}))))) AS f FROM s)
+        regexp_extract_all(s, {lit(X.UNIT_NUMBER.replace('(?U)', ''))}), lambda m: {{'claim': s[1:], 'match': m}}))))) AS f FROM s)
 SELECT article_id, line_no, f.claim AS claim, regexp_extract(f.match, '^[0-9]+(?:[.,][0-9]+)?') AS value,
        CASE WHEN f.match LIKE '%C' THEN 'C' ELSE regexp_replace(f.match, '^[0-9]+(?:[.,][0-9]+)?\s*', '') END AS unit
 FROM m""")

@@ -38,13 +38,14 @@ _MEDIA_VAL = """CASE m WHEN 1 THEN 25 + o_orderkey % 45 WHEN 2 THEN o_totalprice
   WHEN 5 THEN CASE WHEN o_orderkey % 6 = 0 THEN 720 ELSE 1080 END WHEN 6 THEN 1920 WHEN 7 THEN o_custkey % 900 ELSE 30000 + o_custkey % 3000 END"""
 
 
-@query("G13", f"""WITH m AS (SELECT o_orderkey AS run_id, 25 + o_orderkey % 45 AS d, o_totalprice / 4000 AS mb, o_orderkey % 10 > 0 AS v, o_orderkey % 7 > 0 AS a, o_orderkey % 6 > 0 AS r, o_custkey % 900 AS rms, 30000 + o_custkey % 3000 AS pk FROM orders)
-SELECT run_id, unnest(list_filter([CASE WHEN d < 30 THEN 'Duration too short' WHEN d > 65 THEN 'Duration too long' END, CASE WHEN mb > 100 THEN 'Filesize exceeds limit' END, CASE WHEN NOT v THEN 'No video stream found' END,
-  CASE WHEN v AND NOT a THEN 'No audio stream found' END, CASE WHEN v AND NOT r THEN 'Resolution mismatch' END, CASE WHEN v AND a AND rms < 250 THEN 'Audio RMS too low' END, CASE WHEN v AND a AND pk > 32500 THEN 'Audio peak too high' END], lambda x: x IS NOT NULL)) AS defect FROM m""")
+@query("G13", f"""WITH m AS (SELECT o_orderkey AS run_id, 25 + o_orderkey % 45 AS d, CASE WHEN o_orderkey % 19 > 0 THEN o_totalprice / 4000 END AS mb, o_orderkey % 10 > 0 AS v, o_orderkey % 7 > 0 AS a, CASE WHEN o_orderkey % 13 > 0 THEN o_orderkey % 6 > 0 END AS r, CASE WHEN o_orderkey % 17 > 0 THEN o_custkey % 900 END AS rms, 30000 + o_custkey % 3000 AS pk FROM orders)
+SELECT run_id, unnest(list_filter([CASE WHEN d < 30 THEN 'Duration too short' WHEN d > 65 THEN 'Duration too long' END, CASE WHEN mb IS NULL THEN 'Filesize unknown' WHEN mb > 100 THEN 'Filesize exceeds limit' END, CASE WHEN NOT v THEN 'No video stream found' END,
+  CASE WHEN v AND NOT a THEN 'No audio stream found' END, CASE WHEN v AND NOT coalesce(r, false) THEN 'Resolution mismatch' END, CASE WHEN v AND a AND rms IS NULL THEN 'Audio analysis failed' END, CASE WHEN v AND a AND rms < 250 THEN 'Audio RMS too low' END, CASE WHEN v AND a AND pk > 32500 THEN 'Audio peak too high' END], lambda x: x IS NOT NULL)) AS defect FROM m""")
 def media_metrics_gate(read):
     m = read("orders").select("o_orderkey", "o_custkey", "o_totalprice", F.explode(F.sequence(F.lit(1), F.lit(8))).alias("m"))
     m = m.select(F.col("o_orderkey").alias("run_id"), F.get(X.strings(_MEDIA), F.col("m") - 1).alias("metric"), F.expr(_MEDIA_VAL).cast("double").alias("value"))
-    return O.media_metrics_gate(m)
+    missing = "metric = 'width' AND run_id % 13 = 0 OR metric = 'audio_rms' AND run_id % 17 = 0 OR metric = 'filesize_mb' AND run_id % 19 = 0"
+    return O.media_metrics_gate(m.where(f"NOT ({missing})"))
 
 
 @query("G14", """WITH f AS (SELECT user_id * 1000 + event_id // 300 AS run_id, CASE WHEN event_type = 'error' AND user_id % 2 = 0 THEN NULL ELSE value END AS luma FROM events)
@@ -133,12 +134,12 @@ def route_defects(read):
 
 
 _TXT = ["No AUDIO stream", "Dark Ribbon all frames", "Captions exceed"]
-_FAIL = f"""d AS (SELECT o_custkey AS run_id, {lits(_TXT)}[1 + (o_orderkey + o_custkey) % 3] AS defect FROM orders WHERE o_orderkey % 4 = 0),
-v AS (SELECT l_orderkey AS run_id, 's' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS id, CASE WHEN l_partkey % 2 = 0 THEN 'BROLL' ELSE 'STAT_CARD' END AS t, CASE WHEN l_returnflag = 'R' THEN 'acquired' ELSE 'fallback' END AS res, l_suppkey % 11 AS m, l_linenumber % 3 > 0 AS leg, l_partkey % 50 = 7 AS u FROM lineitem)"""
+_FAIL = f"""d AS (SELECT o_custkey AS run_id, {lits(_TXT)}[1 + (o_orderkey + o_custkey) % 3] AS defect FROM orders),
+v AS (SELECT *, u0 OR leg IS NULL OR (t = 'BROLL' AND res = 'acquired' AND m IS NULL) AS u FROM (SELECT l_orderkey AS run_id, 's' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS id, CASE WHEN l_partkey % 2 = 0 THEN 'BROLL' ELSE 'STAT_CARD' END AS t, CASE WHEN l_returnflag = 'R' THEN 'acquired' ELSE 'fallback' END AS res, CASE WHEN l_partkey % 50 = 8 THEN NULL ELSE l_suppkey % 11 END AS m, CASE WHEN l_partkey % 50 = 9 THEN NULL ELSE l_linenumber % 3 > 0 END AS leg, l_partkey % 50 = 7 AS u0 FROM lineitem) z0)"""
 
 
 def _failures(read):
-    d = read("orders").where("o_orderkey % 4 = 0").select(F.col("o_custkey").alias("run_id"), F.get(X.strings(_TXT), ((F.col("o_orderkey") + F.col("o_custkey")) % 3).cast("int")).alias("defect"))
+    d = read("orders").select(F.col("o_custkey").alias("run_id"), F.get(X.strings(_TXT), ((F.col("o_orderkey") + F.col("o_custkey")) % 3).cast("int")).alias("defect"))
     return O.classify_failures(d, _verdicts(read))
 
 
@@ -146,7 +147,7 @@ def _verdicts(read):
     return read("lineitem").select(
         F.col("l_orderkey").alias("run_id"), F.concat_ws("_", F.concat(F.lit("s"), F.col("l_linenumber").cast("string")), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("id"),
         F.when(F.col("l_partkey") % 2 == 0, "BROLL").otherwise("STAT_CARD").alias("rendered_type"), F.when(F.col("l_returnflag") == "R", "acquired").otherwise("fallback").alias("resolved"),
-        (F.col("l_suppkey") % 11).alias("match_score"), (F.col("l_linenumber") % 3 > 0).alias("legible"), (F.col("l_partkey") % 50 == 7).alias("ungradeable"), "l_linenumber", "l_partkey")
+        F.when(F.col("l_partkey") % 50 != 8, F.col("l_suppkey") % 11).alias("match_score"), F.when(F.col("l_partkey") % 50 != 9, F.col("l_linenumber") % 3 > 0).alias("legible"), (F.col("l_partkey") % 50 == 7).alias("ungradeable"), "l_linenumber", "l_partkey")
 
 
 _FAIL_ROWS = """SELECT run_id, '_global' AS id, CASE WHEN bool_or(contains(lower(defect), 'audio')) THEN 'heuristic_audio' WHEN bool_or(contains(lower(defect), 'dark ribbon')) THEN 'heuristic_dark_ribbon' ELSE 'heuristic_safezone' END AS kind FROM d GROUP BY 1
@@ -165,11 +166,11 @@ def _fix_shots(read):
     payload = F.when(F.col("l_partkey") % 5 == 0, F.create_map(F.lit("template"), F.lit("flow"))).when(
         F.col("l_partkey") % 5 == 1, F.create_map(F.lit("url"), F.lit("u"))).otherwise(F.create_map(F.lit("text"), F.lit(" "), F.lit("quote"), text))
     fb = F.struct(F.lit("HEADLINE_CARD").alias("type"), F.create_map(F.lit("text"), F.lit("a b c d e f")).alias("payload"))
-    return v.select("run_id", "id", "rendered_type", payload.alias("payload"), F.when(F.col("l_partkey") % 5 == 0, X.strings(["x y z", "p"])).alias("labels"), fb.alias("fallback"))
+    return v.select("run_id", "id", "rendered_type", payload.alias("payload"), F.when(F.col("l_partkey") % 5 == 0, X.strings(["x y z", "p"])).alias("labels"), F.when(F.col("l_partkey") % 9 != 4, fb).alias("fallback"))
 
 
 _FIXED = f"""f AS (SELECT run_id, id, bool_or(kind = 'broll_mismatch') AS sw, bool_or(kind = 'legibility') AS lg FROM ({_FAIL_ROWS}) z WHERE id <> '_global' GROUP BY 1, 2),
-x AS (SELECT v.run_id, v.id, coalesce(sw, false) AS sw, coalesce(lg, false) AS lg, CAST(split_part(v.id, '_', 2) AS BIGINT) AS pk, t FROM v LEFT JOIN f USING (run_id, id))"""
+x AS (SELECT *, sw0 AND pk % 9 <> 4 AS sw FROM (SELECT v.run_id, v.id, coalesce(sw, false) AS sw0, coalesce(lg, false) AS lg, CAST(split_part(v.id, '_', 2) AS BIGINT) AS pk, t FROM v LEFT JOIN f USING (run_id, id)) y0)"""
 
 
 @query("A7", f"""WITH {_FAIL}, {_FIXED} SELECT run_id, id, CASE WHEN sw THEN 'HEADLINE_CARD' ELSE t END AS rendered_type,
@@ -181,7 +182,7 @@ def apply_fixes(read):
     return fixed.select("run_id", "id", "rendered_type", shown.alias("shown"), F.array_join("labels", "|").alias("labels"))
 
 
-@query("A7", f"""WITH {_FAIL}, {_FIXED}, l AS (SELECT 'swapped to fallback HEADLINE_CARD' AS fix FROM x WHERE sw UNION ALL SELECT CASE WHEN sw THEN 'shortened text for legibility' WHEN pk % 5 = 0 THEN 'shortened labels for legibility'
+@query("A7", f"""WITH {_FAIL}, {_FIXED}, l AS (SELECT 'swapped to fallback HEADLINE_CARD' AS fix FROM x WHERE sw UNION ALL SELECT 'no fallback declared' FROM x WHERE sw0 AND NOT sw UNION ALL SELECT CASE WHEN sw THEN 'shortened text for legibility' WHEN pk % 5 = 0 THEN 'shortened labels for legibility'
   WHEN pk % 5 = 1 THEN 'no deterministic legibility fix available' ELSE 'shortened quote for legibility' END FROM x WHERE lg
   UNION ALL SELECT CASE kind WHEN 'heuristic_audio' THEN 'audio stage re-run' WHEN 'heuristic_safezone' THEN 'caption margin bumped +40px' ELSE 'dark-ribbon accent band added' END FROM ({_FAIL_ROWS}) z WHERE id = '_global')
 SELECT fix, count(*) AS n FROM l GROUP BY 1""")
@@ -239,7 +240,7 @@ def quality_report(read):
 
 
 @query("A12", f"""WITH {V.SCRIPTS_SQL}, sh AS (SELECT l_orderkey AS run_id, l_linenumber - 1 AS pos, 's' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS id, l_returnflag AS resolved FROM lineitem),
-v AS (SELECT l_orderkey AS run_id, 's' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS id, l_suppkey % 11 AS match_score, l_linenumber % 3 > 0 AS legible FROM lineitem WHERE l_linenumber <> 4)
+v AS (SELECT *, u0 OR leg IS NULL OR (t = 'BROLL' AND res = 'acquired' AND m IS NULL) AS u FROM (SELECT l_orderkey AS run_id, 's' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS id, l_suppkey % 11 AS match_score, l_linenumber % 3 > 0 AS legible FROM lineitem WHERE l_linenumber <> 4)
 SELECT sh.run_id, sh.pos, sh.id, resolved, match_score, legible, narration, card_text FROM sh LEFT JOIN v USING (run_id, id) LEFT JOIN scripts s ON s.run_id = sh.run_id AND s.pos = sh.pos""")
 def review_sheet(read):
     v = _verdicts(read)

@@ -40,18 +40,14 @@ def rolling_counts(events: DataFrame, ts: str = "ts", group: str = "region", siz
 
 
 # ── X4: run state ──────────────────────────────────────────────────────────
-def current_state(events: DataFrame, failed: str = "failed") -> DataFrame:
-    """Latest status per run as a streaming aggregate (update or complete mode); partial maxima make hot runs cheap."""
-    ok = F.when(F.col("status") != failed, F.col("seq"))
-    return events.groupBy("run_id").agg(F.max_by("status", "seq").alias("status"), F.max_by("status", ok).alias("last_ok"), F.max("seq").alias("seq"))
-
-
 TRACK_SCHEMA = "run_id bigint, seq bigint, status string, last_ok string, kind string"
 
 
-def track_runs(events: DataFrame, stuck_after_ms: int, late: str = "1 hour", failed: str = "failed") -> DataFrame:
+def track_runs(events: DataFrame, stuck_after_ms: int, late: str = "1 hour", failed: str = "failed", final: tuple[str, ...] = ("published",), forget_after_ms: int = 30 * 86_400_000) -> DataFrame:
     """One row per run and batch with its state, and a 'stuck' row for a run silent that long in event time.
 
+    A run's state goes with a ``final`` status, or ``forget_after_ms`` after it was reported stuck.
+
     Needs the RocksDB state store. ``events``: run_id, seq, status, ts. Silence
     is measured by the watermark, so a replay gives the same rows.
     """
@@ -60,10 +56,10 @@ def track_runs(events: DataFrame, stuck_after_ms: int, late: str = "1 hour", fai
     class Tracker(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.handle = handle
-            self.state = handle.getValueState("state", "seq bigint, status string, ok_seq bigint, last_ok string, seen_ms bigint")
+            self.state = handle.getValueState("state", "seq bigint, status string, ok_seq bigint, last_ok string, seen_ms bigint, stuck boolean")
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-            seq, status, ok_seq, last_ok, seen = self.state.get() if self.state.exists() else (-1, None, -1, None, 0)
+            seq, status, ok_seq, last_ok, seen, _ = self.state.get() if self.state.exists() else (-1, None, -1, None, 0, False)
             for pdf in rows:
                 top = pdf.loc[pdf["seq"].idxmax()]
                 seen = max(seen, int(pdf["ms"].max()))
@@ -73,14 +69,22 @@ def track_runs(events: DataFrame, stuck_after_ms: int, late: str = "1 hour", fai
                 if len(good) and good["seq"].max() > ok_seq:
                     best = good.loc[good["seq"].idxmax()]
                     ok_seq, last_ok = int(best["seq"]), best["status"]
-            self.state.update((seq, status, ok_seq, last_ok, seen))
             for t in list(self.handle.listTimers()):
                 self.handle.deleteTimer(t)
-            self.handle.registerTimer(seen + stuck_after_ms)
+            if status in final:
+                self.state.clear()
+            else:
+                self.state.update((seq, status, ok_seq, last_ok, seen, False))
+                self.handle.registerTimer(seen + stuck_after_ms)
             yield pd.DataFrame({"run_id": [key[0]], "seq": [seq], "status": [status], "last_ok": [last_ok], "kind": ["state"]})
 
         def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-            seq, status, _, last_ok, _ = self.state.get()
+            seq, status, ok_seq, last_ok, seen, stuck = self.state.get()
+            if stuck:
+                self.state.clear()
+                return
+            self.state.update((seq, status, ok_seq, last_ok, seen, True))
+            self.handle.registerTimer(seen + stuck_after_ms + forget_after_ms)
             yield pd.DataFrame({"run_id": [key[0]], "seq": [seq], "status": [status], "last_ok": [last_ok], "kind": ["stuck"]})
 
         def close(self) -> None:
@@ -101,35 +105,36 @@ CUE_SCHEMA = "doc bigint, idx bigint, start_s double, end_s double, text string"
 
 
 def stream_cues(words: DataFrame, max_words: int = 3, max_s: float = 1.5) -> DataFrame:
-    """Cues of words that arrive in order per document; the open cue waits in state.
+    """Cues as ``group_cues`` makes them, from words that may arrive in any order; idx is dense from 0 in a document.
 
-    A word with ``last`` set closes its document. Needs the RocksDB state store.
+    Words wait in state by idx until all before them have come. A cue goes out once the word after it is known, it is
+    full, or the document is closed by a word with ``last`` set, after which its state goes. Needs the RocksDB state store.
     """
     from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
     class Cues(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
-            self.open = handle.getListState("open", "idx bigint, word string, start_s double, end_s double")
+            self.waiting = handle.getMapState("waiting", "idx bigint", "word string, start_s double, end_s double, last boolean")
+            self.next = handle.getValueState("next", "idx bigint")
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-            buf = [tuple(r) for r in self.open.get()] if self.open.exists() else []
-            out = []
-
-            def close():
-                out.append((key[0], buf[0][0], buf[0][2], buf[-1][3], " ".join(w[1].strip().upper() for w in buf)))
-                buf.clear()
-
             for pdf in rows:
-                for r in pdf.sort_values("idx").itertuples(index=False):
-                    if buf and (len(buf) >= max_words or r.end_s - buf[0][2] > max_s):
-                        close()
-                    buf.append((int(r.idx), r.word, float(r.start_s), float(r.end_s)))
-                    if r.last:
-                        close()
-            if buf:
-                self.open.put(buf)
+                for r in pdf.itertuples(index=False):
+                    self.waiting.updateValue((int(r.idx),), (r.word, float(r.start_s), float(r.end_s), bool(r.last)))
+            first = self.next.get()[0] if self.next.exists() else 0
+            there = []
+            while self.waiting.containsKey((first + len(there),)):
+                there.append(self.waiting.getValue((first + len(there),)))
+            closed = any(w[3] for w in there)
+            cues, at = cue_steps([w[1] for w in there], [w[2] for w in there], closed, max_words, max_s)
+            for i in range(at):
+                self.waiting.removeKey((first + i,))
+            if closed:
+                self.waiting.clear()
+                self.next.clear()
             else:
-                self.open.clear()
+                self.next.update((first + at,))
+            out = [(key[0], first + a, there[a][1], there[z - 1][2], " ".join(w[0].strip().upper() for w in there[a:z])) for a, z in cues]
             yield pd.DataFrame(out, columns=["doc", "idx", "start_s", "end_s", "text"])
 
         def close(self) -> None:
@@ -138,6 +143,17 @@ def stream_cues(words: DataFrame, max_words: int = 3, max_s: float = 1.5) -> Dat
     return words.select("doc", "idx", "word", "start_s", "end_s", "last").groupBy("doc").transformWithStateInPandas(Cues(), CUE_SCHEMA, "Append", "None")
 
 
+def cue_steps(start_s: list[float], end_s: list[float], closed: bool, max_words: int, max_s: float) -> tuple[list[tuple[int, int]], int]:
+    """(first, end) of the cues that are certain, and the words they use: each word's own reach is looked up, then followed."""
+    n = len(start_s)
+    reach = [next((j for j in range(i + 1, min(i + max_words, n)) if end_s[j] - start_s[i] > max_s), min(i + max_words, n)) for i in range(n)]
+    cues, at = [], 0
+    while at < n and (closed or reach[at] < n or reach[at] == at + max_words):
+        cues.append((at, reach[at]))
+        at = reach[at]
+    return cues, at
+
+
 # ── X6: runs on hold ───────────────────────────────────────────────────────
 def held_sink(path: str) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: append runs on hold; a repeated batch does not repeat rows."""

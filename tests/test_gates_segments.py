@@ -112,33 +112,50 @@ def test_reflow_fits_the_measured_voice(spark):
     assert [(r["beat"], r["error"]) for r in gone] == [("proof", "no shots for beat")]
 
 
-def brute_cues(ws):
-    out, buf = [], []
-    for i, (w, a, b) in enumerate(ws):
-        if buf and (len(buf) >= 3 or b - buf[0][2] > 1.5):
-            out.append((buf[0][0], buf[0][2], buf[-1][3], " ".join(x[1].upper() for x in buf)))
-            buf = []
-        buf.append((i, w, a, b))
-    if buf:
-        out.append((buf[0][0], buf[0][2], buf[-1][3], " ".join(x[1].upper() for x in buf)))
+def timed(lengths):
+    """(word, start, end) of words w0, w1 … that follow one another without a gap."""
+    at, out = 0.0, []
+    for i, d in enumerate(lengths):
+        out.append((f"w{i}", at, at + d))
+        at += d
     return out
 
 
-def test_cues_equal_a_plain_fold_across_blocks(spark, monkeypatch):
-    monkeypatch.setattr(S, "CUE_BLOCK", 4)
-    rnd, rows, want = random.Random(5), [], set()
-    for doc, n in ((1, 57), (2, 1), (3, 4), (4, 9)):
-        t, ws = 0.0, []
-        for i in range(n):
-            d = rnd.choice([0.2, 0.5, 0.9, 1.6])
-            ws.append((f"w{i}", t, t + d))
-            t += d
-        rows += [(doc, i, *w) for i, w in enumerate(ws)]
-        want |= {(doc, *c) for c in brute_cues(ws)}
+# lengths of the words -> first words of the cues, worked out by hand for three words and 1.5 s
+CUES = [([0.5] * 9, [0, 3, 6]), ([1.0] * 5, [0, 1, 2, 3, 4]), ([0.75] * 6, [0, 2, 4]), ([0.25, 0.25, 1.25, 0.25, 2.0, 0.5, 0.5, 0.5, 0.5], [0, 2, 4, 5, 8]), ([2.0], [0]), ([0.5, 1.0, 0.25, 0.25], [0, 2])]
+
+
+def expected(doc, lengths, firsts):
+    w = timed(lengths)
+    return {(doc, a, w[a][1], w[z - 1][2], " ".join(x[0].upper() for x in w[a:z])) for a, z in zip(firsts, [*firsts[1:], len(w)])}
+
+
+@pytest.mark.parametrize("block", [2, 4, 1024])
+def test_cues_across_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(S, "CUE_BLOCK", block)
+    rows = [(d, i, *w) for d, (lengths, _) in enumerate(CUES) for i, w in enumerate(timed(lengths))]
+    want = set().union(*(expected(d, *c) for d, c in enumerate(CUES)))
     got = {tuple(r) for r in S.group_cues(spark.createDataFrame(rows, "doc bigint, idx bigint, word string, start_s double, end_s double")).select("doc", "idx", "start_s", "end_s", "text").collect()}
     assert got == want
 
 
+def test_streamed_cues_in_any_order(spark, tmp_path):
+    from plumbline.streaming import jobs as J
+
+    rows = [(d, i, *w, i + 1 == len(lengths)) for d, (lengths, _) in enumerate(CUES) for i, w in enumerate(timed(lengths))]
+    schema = "doc bigint, idx bigint, word string, start_s double, end_s double, last boolean"
+    for n in range(3):  # the last words come first, over three batches
+        spark.createDataFrame(rows[::-1][n::3], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2")
+    try:
+        stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        got = {tuple(r) for r in J.run_to_table(J.stream_cues(stream), "t", rocksdb=True).collect()}
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+    assert got == set().union(*(expected(d, *c) for d, c in enumerate(CUES)))
+
+
 @pytest.mark.parametrize("block", [1, 3, 1000])
 def test_scan_equals_a_plain_window_on_a_hot_key(spark, block):
     rows = [(0 if i % 3 else i % 5, i, i % 7) for i in range(200)]  # key 0 holds most rows
@@ -176,3 +193,20 @@ def test_scan_shuffles_the_rows_once(spark):
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert plan.count("Exchange hashpartitioning") == 4
+
+
+def test_missing_is_never_a_pass(spark):
+    from plumbline.operators import verify as VO
+
+    rows = [("r", i, b, None if i == 4 else []) for i, b in enumerate(G.BEATS)]
+    seg = spark.createDataFrame(rows, "run_id string, pos bigint, beat string, fact_ids array<string>").withColumn("narration", F.lit("a b"))
+    assert [r.gate for r in G.gate_differentiator(seg, RULES).collect()] == ["differentiator"]
+    m = spark.createDataFrame([("r", "has_video", 1.0), ("r", "has_audio", 1.0), ("r", "duration_s", 40.0)], "run_id string, metric string, value double")
+    assert {r.defect for r in VO.media_metrics_gate(m).collect()} == {"Filesize unknown", "Resolution mismatch", "Audio analysis failed"}
+    d = spark.createDataFrame([], "run_id string, defect string")
+    v = spark.createDataFrame([("r", "a", "BROLL", "acquired", None, True, None), ("r", "b", "STAT_CARD", "x", None, None, False), ("r", "c", "BROLL", "acquired", 2.0, True, False)],
+                              "run_id string, id string, rendered_type string, resolved string, match_score double, legible boolean, ungradeable boolean")
+    kinds = VO.classify_failures(d, v)
+    assert {(r.id, r.kind) for r in kinds.collect()} == {("a", "error_ungradeable"), ("b", "error_ungradeable"), ("c", "broll_mismatch")}
+    shots = spark.createDataFrame([("r", "c", "BROLL", {"text": "x"}, None, None)], "run_id string, id string, rendered_type string, payload map<string,string>, labels array<string>, fallback struct<type:string,payload:map<string,string>>")
+    assert [r.fix for r in VO.apply_fixes(shots, kinds)[1].collect()] == ["no fallback declared"]
