@@ -78,9 +78,5 @@ def blacklisted(url) -> Column:
     return on_domain(host(url), K.STOCK_DOMAINS)
 
 
-def url_key(url) -> Column:
-    return F.left(F.sha2(F.lower(F.trim(_col(url))), 256), F.lit(16))
-
-
 def citation_chip(marker, url, known, default: str = "Source") -> Column:
     return F.when(known, F.concat(F.lit("Source ["), _col(marker).cast("string"), F.lit("] — "), domain(url))).otherwise(default)

@@ -10,6 +10,7 @@ from plumbline import constants as K
 from plumbline.functions import links as L
 from plumbline.functions import text as X
 from plumbline.operators.ordered import running_smallest, scan
+from plumbline.session import cut
 
 TIERS = list(K.TIER_THRESHOLDS)
 
@@ -151,7 +152,7 @@ def pre_gates(cands: DataFrame, keys: Sequence[str] = ("segment_id", "tier"), or
     the table is reduced before it is shuffled; the join back is left to AQE's
     skew handling.
     """
-    c = cands.withColumn("_bad", L.blacklisted("url")).withColumn("_key", F.left(F.sha2(F.lower(X.strip("url")), 256), F.lit(16)))
+    c = cands.withColumn("_bad", L.blacklisted("url")).withColumn("_key", F.sha2(F.lower(X.strip("url")), 256))
     first = c.where("NOT _bad").groupBy(*keys, "_key").agg(F.min(ord).alias("_first"))
     edge = F.greatest(F.coalesce("width", F.lit(0)), F.coalesce("height", F.lit(0)))
     out = c.join(first, [*keys, "_key"], "left")
@@ -177,9 +178,9 @@ def acquire_ladder(segments: DataFrame, cands: DataFrame, bypass: bool = False,
     need = F.create_map(*[F.lit(x) for kv in K.TIER_THRESHOLDS.items() for x in kv])
     c = cands.join(live, "segment_id", "left_semi").withColumn("_t", tier_no)
     judged = c.where("gate_reason IS NULL")
-    cut = top(judged, ["segment_id", "_t"], [F.asc("ord")], per_tier, "_r").groupBy("segment_id", "_t").agg(
+    last = top(judged, ["segment_id", "_t"], [F.asc("ord")], per_tier, "_r").groupBy("segment_id", "_t").agg(
         F.count("*").alias("_n"), F.max("ord").alias("_cut")).where(F.col("_n") == per_tier).drop("_n")
-    seen = c.join(cut, ["segment_id", "_t"], "left").where(F.col("_cut").isNull() | (F.col("ord") <= F.col("_cut")))
+    seen = c.join(last, ["segment_id", "_t"], "left").where(F.col("_cut").isNull() | (F.col("ord") <= F.col("_cut")))
     ok = F.col("gate_reason").isNull() & F.col("reject_reason").isNull() & (F.col("score") >= need[F.col("tier")])
     seen = seen.withColumn("accepted", F.coalesce(ok, F.lit(False)))
     won = seen.where("accepted").groupBy("segment_id").agg(F.min_by(F.struct("_t", "ord", "tier", "url", "score"), F.struct("_t", "ord")).alias("_w"))
@@ -203,24 +204,21 @@ def round_robin(results: DataFrame, query: str = "query", provider: str = "provi
     return top(per, [query], [F.asc("_r"), F.asc(provider)], limit, "position").drop("_r")
 
 
-def candidate_cascade(cands: DataFrame, scene: str = "scene_id") -> tuple[DataFrame, DataFrame]:
+def candidate_cascade(cands: DataFrame, scenes: DataFrame, scene: str = "scene_id") -> tuple[DataFrame, DataFrame]:
     """(kept, degraded): queries in order until one brings enough quality; then the context filter.
 
     ``cands``: scene, query_no, ord, quality (for its own query), quality_first (for the first query), context.
+    ``kept`` has the survivors' ``position``: best context, then best quality for the first query, then order of
+    arrival. ``degraded`` are the ``scenes`` without a survivor, those without any candidate among them.
     """
     enough = cands.groupBy(scene, "query_no").agg(F.count_if(F.col("quality") >= K.MIN_QUALITY).alias("_n"))
     stop = enough.where(F.col("_n") >= K.ENOUGH_QUALITY_ROWS).groupBy(scene).agg(F.min("query_no").alias("_stop"))
     asked = cands.join(stop, scene, "left").where(F.col("_stop").isNull() | (F.col("query_no") <= F.col("_stop"))).drop("_stop")
     kept = asked.where(F.col("context") >= K.MIN_CONTEXT)
-    degraded = cands.select(scene).distinct().join(kept.select(scene), scene, "left_anti")
-    return kept, degraded
-
-
-RANKING = ("-context", "-quality", "query_no", "ord")
-
-
-def _order(cols: Sequence[str]) -> list[Column]:
-    return [F.desc(c[1:]) if c.startswith("-") else F.asc(c) for c in cols]
+    best = kept.withColumn("_c", -F.col("context")).withColumn("_q", -F.col("quality_first"))
+    ranked = rank_all(best, [scene], ["_c", "_q", "query_no", "ord"], F.struct("_c", "_q"), "position").drop("_c", "_q")
+    degraded = scenes.select(scene).distinct().join(kept.select(scene), scene, "left_anti")
+    return ranked, degraded
 
 
 def rerank(ranked: DataFrame, scores: DataFrame, scene: str = "scene_id", rank: str = "rank", n_top: int = K.RERANK_TOP) -> DataFrame:
@@ -230,6 +228,7 @@ def rerank(ranked: DataFrame, scores: DataFrame, scene: str = "scene_id", rank:
     from its shortlist is malformed and stays as it was. If no row of the
     shortlist survives, the whole scene is empty.
     """
+    ranked = cut(ranked, "rerank")  # read by every branch
     head = ranked.where(F.col(rank) <= n_top)
     sizes = head.groupBy(scene).agg(F.count("*").alias("_n"))
     given = scores.groupBy(scene).agg(F.count("*").alias("_g"))
@@ -271,9 +270,13 @@ def prefer_own(own: DataFrame, external: DataFrame, scene: str = "scene_id", lea
     return out.select(scene, F.coalesce("_own", "asset").alias("asset"), F.col("_own").isNotNull().alias("is_own"))
 
 
-def exclude_and_retry(current: DataFrame, ranked: DataFrame, used: DataFrame, segment: str = "segment_id") -> DataFrame:
-    """Next best URL not used before; the current one stays when nothing is left."""
-    fresh = ranked.join(used, [segment, "url"], "left_anti").groupBy(segment).agg(F.min_by("url", "rank").alias("_next"))
+def exclude_and_retry(current: DataFrame, candidates: DataFrame, used: DataFrame, order: Sequence[Column], segment: str = "segment_id") -> DataFrame:
+    """Next best URL not used before, by ascending ``order``; the current one stays when nothing is left.
+
+    One minimum per segment, so nothing is ranked.
+    """
+    first = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)])
+    fresh = candidates.join(used, [segment, "url"], "left_anti").groupBy(segment).agg(F.min_by("url", first).alias("_next"))
     return current.join(fresh, segment, "left").select(segment, F.coalesce("_next", "url").alias("url"), F.col("_next").isNotNull().alias("replaced"))
 
 

@@ -64,7 +64,7 @@ def content_key(content) -> Column:
 
 
 def page_key(url) -> Column:
-    return F.left(F.sha2(X.strip(url), 256), F.lit(16))
+    return F.sha2(X.strip(url), 256)
 
 
 def split_by_cache(requests: DataFrame, cache: DataFrame, key: str = "key") -> tuple[DataFrame, DataFrame]:

@@ -201,19 +201,27 @@ def expected_text(payload: str = "payload", labels: str = "labels") -> Column:
 
 # ── reports ────────────────────────────────────────────────────────────────
 def quality_report(scenes: DataFrame, assets: DataFrame, flags: DataFrame) -> DataFrame:
-    """One row per scene with its asset and its critic flags."""
-    f = flags.groupBy("run_id", "scene").agg(F.count("*").alias("n_flags"), F.max("flag").alias("last_flag"))
-    out = scenes.join(assets, ["run_id", "scene"], "left").join(f, ["run_id", "scene"], "left")
-    return out.select("run_id", "scene", F.round("duration_s", 2).alias("duration_s"), "source", "score", F.coalesce("width", F.lit(0)).alias("width"),
-                      F.coalesce("n_flags", F.lit(0)).alias("n_flags"), "last_flag", F.col("source").isNull().alias("degraded"),
+    """One row per scene with its asset, all its critic flags (sorted), and the totals of its run."""
+    f = flags.groupBy("run_id", "scene").agg(F.count("*").alias("n_flags"), F.array_join(F.array_sort(F.collect_list("flag")), ",").alias("flags"))
+    t = scenes.groupBy("run_id").agg(F.count("*").alias("run_scenes"), F.round(F.sum("duration_s"), 2).alias("run_duration_s"))
+    out = scenes.join(assets, ["run_id", "scene"], "left").join(f, ["run_id", "scene"], "left").join(t, "run_id")
+    return out.select("run_id", "scene", F.round("duration_s", 2).alias("duration_s"), "source", "score", F.coalesce("width", F.lit(0)).alias("width"), F.coalesce("height", F.lit(0)).alias("height"),
+                      F.coalesce("n_flags", F.lit(0)).alias("n_flags"), "flags", "run_scenes", "run_duration_s", F.col("source").isNull().alias("degraded"),
                       F.coalesce(F.col("source") == "own_footage", F.lit(False)).alias("is_own_footage"))
 
 
-def review_sheet(shots: DataFrame, verdicts: DataFrame, scripts: DataFrame) -> DataFrame:
-    """Per shot: what was shown, how it was resolved, how it was judged and what was said."""
-    v = verdicts.select("run_id", "id", "match_score", "legible")
-    s = scripts.select("run_id", "pos", "narration", "card_text")
-    return shots.join(v, ["run_id", "id"], "left").join(s, ["run_id", "pos"], "left")
+def review_sheet(shots: DataFrame, verdicts: DataFrame, scripts: DataFrame, facts: DataFrame) -> DataFrame:
+    """Per shot: what was shown, how it was resolved and why, how it was judged, its issues, what was said, and the facts cited.
+
+    ``issues`` names what a reviewer must look at; a shot without a verdict has the issue of being unjudged.
+    """
+    v = verdicts.select("run_id", "id", "match_score", "legible", F.lit(True).alias("_judged"))
+    cited = scripts.select("run_id", "pos", F.posexplode("fact_ids").alias("_i", "id")).join(facts.select("run_id", "id", "quote"), ["run_id", "id"])
+    cited = cited.groupBy("run_id", "pos").agg(F.array_sort(F.collect_list(F.struct("_i", F.concat("id", F.lit(": "), "quote").alias("t")))).alias("_f"))
+    s = scripts.select("run_id", "pos", "narration", "card_text").join(cited, ["run_id", "pos"], "left")
+    out = shots.join(v, ["run_id", "id"], "left").join(s, ["run_id", "pos"], "left")
+    issues = F.array_compact(F.array(F.when(F.col("_judged").isNull() | F.col("legible").isNull(), "not judged"), F.when(~F.col("legible"), "not legible"), F.when(F.col("match_score") < 5, "weak match")))
+    return out.withColumn("issues", F.array_join(issues, "; ")).withColumn("facts", F.array_join(F.transform(F.coalesce("_f", F.expr("cast(array() as array<struct<_i:int,t:string>>)")), lambda f: f["t"]), " | ")).drop("_judged", "_f")
 
 
 def _utc(created) -> Column:

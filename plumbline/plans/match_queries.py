@@ -9,6 +9,7 @@ from plumbline.functions import text as X
 from plumbline.operators import dedup as D
 from plumbline.operators import match as M
 from plumbline.plans import standins as V
+from plumbline.session import cut
 from plumbline.plans.registry import query
 from plumbline.plans.sqlkit import in_list, lit, lits, strip, tokens_alpha, words
 from plumbline.plans.text_queries import junk_caption_sql
@@ -191,25 +192,28 @@ def round_robin(read):
     return M.round_robin(d, ord="doc_id").withColumn("position", F.col("position").cast("bigint"))
 
 
-_CASC = """cc AS (SELECT l_suppkey AS scene_id, l_linenumber % 3 AS query_no, l_orderkey * 100000 + l_partkey AS ord, CAST(l_quantity AS BIGINT) + l_suppkey % 9 AS quality, CAST(l_quantity AS BIGINT) AS quality_first, l_partkey % 40 AS context
-  FROM lineitem WHERE l_suppkey % 11 <> 5 OR l_partkey % 40 < 15),
+_CASC = """cc AS (SELECT l_suppkey AS scene_id, l_linenumber % 3 AS query_no, l_orderkey * 100000 + l_partkey AS ord, CAST(l_quantity AS BIGINT) + l_suppkey % 9 AS quality, CAST(l_quantity AS BIGINT) AS quality_first, CASE WHEN l_suppkey % 11 = 5 THEN least(l_partkey % 40, 14) ELSE l_partkey % 40 END AS context
+  FROM lineitem),
+sn AS (SELECT s_suppkey AS scene_id FROM supplier UNION ALL SELECT s_suppkey + 1000000 FROM supplier),
 cs AS (SELECT scene_id, min(query_no) AS stop FROM (SELECT scene_id, query_no FROM cc GROUP BY 1, 2 HAVING count_if(quality >= 40) >= 3) z GROUP BY 1),
 ck AS (SELECT cc.* FROM cc LEFT JOIN cs USING (scene_id) WHERE (stop IS NULL OR query_no <= stop) AND context >= 15)"""
 
 
 def _cascade(read):
     q = F.col("l_quantity").cast("bigint")
-    li = read("lineitem").where("l_suppkey % 11 <> 5 OR l_partkey % 40 < 15")
+    li, fit = read("lineitem"), F.col("l_partkey") % 40
+    own = read("supplier").select(F.col("s_suppkey").alias("scene_id"))
+    scenes = own.unionByName(own.select((F.col("scene_id") + 1000000).alias("scene_id")))  # the latter have no candidate
     return M.candidate_cascade(li.select(F.col("l_suppkey").alias("scene_id"), (F.col("l_linenumber") % 3).alias("query_no"), (F.col("l_orderkey") * 100000 + F.col("l_partkey")).alias("ord"),
-                                         (q + F.col("l_suppkey") % 9).alias("quality"), q.alias("quality_first"), (F.col("l_partkey") % 40).alias("context")))
+                                         (q + F.col("l_suppkey") % 9).alias("quality"), q.alias("quality_first"), F.when(F.col("l_suppkey") % 11 == 5, F.least(fit, F.lit(14))).otherwise(fit).alias("context")), scenes)
 
 
-@query("M9", f"WITH {_CASC} SELECT scene_id, query_no, ord, quality, context FROM ck")
+@query("M9", f"WITH {_CASC} SELECT scene_id, query_no, ord, quality, context, row_number() OVER (PARTITION BY scene_id ORDER BY context DESC, quality_first DESC, query_no, ord) AS position FROM ck")
 def candidate_cascade(read):
-    return _cascade(read)[0].select("scene_id", "query_no", "ord", "quality", "context")
+    return _cascade(read)[0].select("scene_id", "query_no", "ord", "quality", "context", "position")
 
 
-@query("M9", f"WITH {_CASC} SELECT DISTINCT scene_id FROM cc WHERE scene_id NOT IN (SELECT scene_id FROM ck)")
+@query("M9", f"WITH {_CASC} SELECT DISTINCT scene_id FROM sn WHERE scene_id NOT IN (SELECT scene_id FROM ck)")
 def cascade_degraded(read):
     return _cascade(read)[1]
 
@@ -222,8 +226,13 @@ scores AS (SELECT scene_id, rank, CASE WHEN cand % 5 = 0 THEN 'x' ELSE CAST((can
 def _ranked(read):
     li = read("lineitem").select(F.col("l_orderkey").alias("scene_id"), ((F.col("l_linenumber") * 10000 + F.col("l_suppkey")) * 100000 + F.col("l_partkey")).alias("cand"),
                                  (F.col("l_partkey") % 40).alias("context"), F.col("l_quantity").cast("bigint").alias("quality"))
-    li = li.withColumn("_c", -F.col("context")).withColumn("_q", -F.col("quality"))
-    ranked = M.rank_all(li, ["scene_id"], ["_c", "_q", "cand"], F.col("_c")).drop("_c", "_q")
+    return li
+
+
+def _reranked(read):
+    li = _ranked(read).withColumn("_c", -F.col("context")).withColumn("_q", -F.col("quality"))
+    ranked = M.rank_all(li, ["scene_id"], ["_c", "_q", "cand"], F.struct("_c", "_q")).drop("_c", "_q")
+    ranked = cut(ranked, "ranked")
     scores = ranked.where((F.col("rank") <= 3) & ~((F.col("scene_id") % 6 == 0) & (F.col("rank") == 1))).select(
         "scene_id", "rank", F.when(F.col("cand") % 5 == 0, "x").otherwise(((F.col("cand") * 3 + F.col("scene_id")) % 14).cast("string")).alias("score"))
     return ranked, scores
@@ -237,7 +246,7 @@ al AS (SELECT scene_id, count(*) AS k FROM mv GROUP BY 1)
 SELECT scene_id, cand, rank AS position FROM g WHERE NOT valid UNION ALL SELECT scene_id, cand, position FROM mv
 UNION ALL SELECT r.scene_id, r.cand, CASE WHEN valid THEN rank - 3 + k ELSE rank END FROM ranked r JOIN v USING (scene_id) LEFT JOIN al USING (scene_id) WHERE rank > 3 AND (NOT valid OR k IS NOT NULL)""")
 def rerank(read):
-    ranked, scores = _ranked(read)
+    ranked, scores = _reranked(read)
     return M.rerank(ranked, scores, n_top=3).select("scene_id", "cand", "position")
 
 
@@ -247,7 +256,8 @@ kp AS (SELECT *, row_number() OVER (PARTITION BY scene_id ORDER BY verdict DESC,
 ch AS (SELECT scene_id, arg_min(url, place) AS url FROM kp WHERE place <= 3 AND verdict >= 6 GROUP BY 1)
 SELECT scene_id, url, url IS NULL AS degraded FROM (SELECT DISTINCT scene_id FROM ranked) s LEFT JOIN ch USING (scene_id)""")
 def select_best(read):
-    ranked, _ = _ranked(read)
+    rows = _ranked(read)
+    ranked = M.top(rows, ["scene_id"], [F.desc("context"), F.desc("quality"), F.asc("cand")], K.SELECT_SHORTLIST)  # what can be chosen; cut per task
     url = F.concat(F.lit("u"), F.col("cand").cast("string"))
     sl = ranked.select("scene_id", "rank", url.alias("url"), "quality", (F.col("cand") % 13 == 0).alias("is_dup"))
     verdicts = ranked.select("scene_id", url.alias("url"), F.when(F.col("cand") % 7 == 0, None).otherwise(F.col("cand") % 11).alias("verdict"))
@@ -300,11 +310,10 @@ def visual_jump(read):
 @query("M15", f"""WITH {_RANKED}, n AS (SELECT scene_id AS segment_id, arg_min('u' || cand, rank) AS nx FROM ranked WHERE cand % 3 <> 0 GROUP BY 1)
 SELECT o_orderkey AS segment_id, coalesce(nx, 'current') AS url, nx IS NOT NULL AS replaced FROM orders LEFT JOIN n ON segment_id = o_orderkey""")
 def exclude_and_retry(read):
-    ranked, _ = _ranked(read)
-    r = ranked.select(F.col("scene_id").alias("segment_id"), F.concat(F.lit("u"), F.col("cand").cast("string")).alias("url"), "rank", "cand")
+    r = _ranked(read).select(F.col("scene_id").alias("segment_id"), F.concat(F.lit("u"), F.col("cand").cast("string")).alias("url"), "cand", "context", "quality")
     used = r.where("cand % 3 = 0").select("segment_id", "url")
     current = read("orders").select(F.col("o_orderkey").alias("segment_id"), F.lit("current").alias("url"))
-    return M.exclude_and_retry(current, r, used)
+    return M.exclude_and_retry(current, r, used, [-F.col("context"), -F.col("quality"), F.col("cand")])
 
 
 _TOK = tokens_alpha('text', K.STOP_SCORING)

@@ -227,26 +227,28 @@ ast AS (SELECT o_custkey AS run_id, o_orderkey AS scene, CASE WHEN o_orderkey %
 fl AS (SELECT o_custkey AS run_id, l_orderkey AS scene, 'flag' || l_linenumber AS flag FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R')"""
 
 
-@query("A11", f"""WITH {_QR}, f AS (SELECT run_id, scene, count(*) AS n, max(flag) AS last_flag FROM fl GROUP BY 1, 2)
-SELECT run_id, scene, round(duration_s, 2) AS duration_s, source, score, coalesce(width, 0) AS width, coalesce(n, 0) AS n_flags, last_flag, source IS NULL AS degraded, coalesce(source = 'own_footage', false) AS is_own_footage
-FROM sc LEFT JOIN ast USING (run_id, scene) LEFT JOIN f USING (run_id, scene)""")
+@query("A11", f"""WITH {_QR}, f AS (SELECT run_id, scene, count(*) AS n, string_agg(flag, ',' ORDER BY flag) AS flags FROM fl GROUP BY 1, 2), tt AS (SELECT run_id, count(*) AS run_scenes, round(sum(duration_s), 2) AS run_duration_s FROM sc GROUP BY 1)
+SELECT run_id, scene, round(duration_s, 2) AS duration_s, source, score, coalesce(width, 0) AS width, CASE WHEN width IS NULL THEN 0 ELSE 1080 END AS height, coalesce(n, 0) AS n_flags, flags, run_scenes, run_duration_s, source IS NULL AS degraded, coalesce(source = 'own_footage', false) AS is_own_footage
+FROM sc LEFT JOIN ast USING (run_id, scene) LEFT JOIN f USING (run_id, scene) JOIN tt USING (run_id)""")
 def quality_report(read):
     o = read("orders")
     base = [F.col("o_custkey").alias("run_id"), F.col("o_orderkey").alias("scene")]
     sc = o.select(*base, (F.col("o_totalprice") / 1000).alias("duration_s"))
-    ast = o.where("o_orderkey % 4 > 0").select(*base, F.when(F.col("o_orderkey") % 3 == 0, "own_footage").otherwise("web").alias("source"), (F.col("o_orderkey") % 100).alias("score"), F.lit(1920).alias("width"))
+    ast = o.where("o_orderkey % 4 > 0").select(*base, F.when(F.col("o_orderkey") % 3 == 0, "own_footage").otherwise("web").alias("source"), (F.col("o_orderkey") % 100).alias("score"), F.lit(1920).alias("width"), F.lit(1080).alias("height"))
     fl = read("lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("scene"), F.concat(F.lit("flag"), F.col("l_linenumber").cast("string")).alias("flag")).join(o.select(*base), "scene")
     return O.quality_report(sc, ast, fl)
 
 
 @query("A12", f"""WITH {V.SCRIPTS_SQL}, sh AS (SELECT l_orderkey AS run_id, l_linenumber - 1 AS pos, 's' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS id, l_returnflag AS resolved FROM lineitem),
-v AS (SELECT *, u0 OR leg IS NULL OR (t = 'BROLL' AND res = 'acquired' AND m IS NULL) AS u FROM (SELECT l_orderkey AS run_id, 's' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS id, l_suppkey % 11 AS match_score, l_linenumber % 3 > 0 AS legible FROM lineitem WHERE l_linenumber <> 4)
-SELECT sh.run_id, sh.pos, sh.id, resolved, match_score, legible, narration, card_text FROM sh LEFT JOIN v USING (run_id, id) LEFT JOIN scripts s ON s.run_id = sh.run_id AND s.pos = sh.pos""")
+v AS (SELECT l_orderkey AS run_id, 's' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS id, CASE WHEN l_partkey % 50 = 8 THEN NULL ELSE l_suppkey % 11 END AS match_score, CASE WHEN l_partkey % 50 = 9 THEN NULL ELSE l_linenumber % 3 > 0 END AS legible, true AS judged FROM lineitem WHERE l_linenumber <> 4),
+fc AS (SELECT run_id, pos, string_agg(f.id || ': ' || f.quote, ' | ' ORDER BY i) AS facts FROM (SELECT run_id, pos, i, fact_ids[i] AS id FROM scripts, range(1, len(fact_ids) + 1) t(i)) r JOIN sfacts f USING (run_id, id) GROUP BY 1, 2)
+SELECT sh.run_id, sh.pos, sh.id, resolved, match_score, legible, narration, card_text, coalesce(facts, '') AS facts,
+  array_to_string(list_filter([CASE WHEN judged IS NULL OR legible IS NULL THEN 'not judged' END, CASE WHEN NOT legible THEN 'not legible' END, CASE WHEN match_score < 5 THEN 'weak match' END], lambda x: x IS NOT NULL), '; ') AS issues FROM sh LEFT JOIN v USING (run_id, id) LEFT JOIN scripts s ON s.run_id = sh.run_id AND s.pos = sh.pos LEFT JOIN fc ON fc.run_id = sh.run_id AND fc.pos = sh.pos""")
 def review_sheet(read):
     v = _verdicts(read)
     shots = read("lineitem").select(F.col("l_orderkey").alias("run_id"), (F.col("l_linenumber") - 1).cast(B).alias("pos"),
                                     F.concat_ws("_", F.concat(F.lit("s"), F.col("l_linenumber").cast("string")), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("id"), F.col("l_returnflag").alias("resolved"))
-    return O.review_sheet(shots, v.where("l_linenumber <> 4"), V.scripts(read)).select("run_id", "pos", "id", "resolved", "match_score", "legible", "narration", "card_text")
+    return O.review_sheet(shots, v.where("l_linenumber <> 4"), V.scripts(read), V.script_facts(read)).select("run_id", "pos", "id", "resolved", "match_score", "legible", "narration", "card_text", "facts", "issues")
 
 
 @query("A15", f"""WITH {_FAIL} SELECT run_id, id, CASE WHEN CAST(split_part(id, '_', 2) AS BIGINT) % 5 = 0 THEN 'x y z | p' WHEN CAST(split_part(id, '_', 2) AS BIGINT) % 5 = 1 THEN '' ELSE '  | one two three four five six seven ' || split_part(id, '_', 2) END AS expected FROM v""")
@@ -361,7 +363,7 @@ def content_cache_keys(read):
     return read("documents").select("doc_id", P.content_key("text").alias("key")).groupBy("key").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies"))
 
 
-@query("P6", "SELECT page_id, sha256(url)[1:16] AS key FROM pages")
+@query("P6", "SELECT page_id, sha256(url) AS key FROM pages")
 def page_cache_keys(read):
     return read("pages").select("page_id", P.page_key("url").alias("key"))
 

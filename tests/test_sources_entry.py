@@ -52,7 +52,6 @@ def test_every_surveyed_operator_is_registered_or_tested():
 
 
 def test_flagship_plan_has_no_shuffle(spark):
-    from plumbline.operators.facts import mine_numeric_sentences
-    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
-    plan = mine_numeric_sentences(docs)._jdf.queryExecution().executedPlan().toString()
+    """Through the registry, as it is run."""
+    plan = catalog.QUERIES["mine_numeric_sentences"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "lang" not in plan
