@@ -87,13 +87,13 @@ def strip_boilerplate(read):
     return P.isolate_main(posts(read)).select("page_id", F.md5(body).alias("body_md5"))
 
 
-_ARTICLE = "regexp_extract(html, '(?s)<article>(.*?)</article>', 1)"
+_ARTICLE = "array_to_string(regexp_extract_all(html, '(?s)<article>(.*?)</article>', 1), ' ')"
 
 
 @query("E4", f"SELECT page_id, {canon_sql(_ARTICLE)} AS canonical_text FROM pages")
 def canonical_text(read):
     """Expression-only path: whole-stage code, no Python worker, no shuffle."""
-    article = F.regexp_extract("html", "(?s)<article>(.*?)</article>", 1)
+    article = F.array_join(F.regexp_extract_all("html", F.lit("(?s)<article>(.*?)</article>"), F.lit(1)), " ")  # every article of the page
     return read("pages").select("page_id", P.canonical_text(article).alias("canonical_text"))
 
 

@@ -28,7 +28,7 @@ def _stream(read, table: str):
     return s
 
 
-_TEXT = canon_sql("regexp_extract(replace(html, '</p>', page_id || ' bars. </p>'), '(?s)<article>(.*?)</article>', 1)")
+_TEXT = canon_sql("array_to_string(regexp_extract_all(replace(html, '</p>', page_id || ' bars. </p>'), '(?s)<article>(.*?)</article>', 1), ' ')")
 
 
 @query("X1", f"""WITH t AS (SELECT page_id, {sentences(_TEXT)} AS s FROM pages), m AS (SELECT page_id, s[i] AS sentence, min(i) AS f FROM t, range(1, len(s) + 1) r(i) WHERE regexp_matches(s[i], '[0-9]') GROUP BY ALL)
@@ -44,12 +44,12 @@ def stream_first_seen(read):
     return J.run_to_table(J.first_seen(e, "key", horizon="400 days"), "first-seen").select("key")
 
 
-@query("X3", """WITH w AS (SELECT date_trunc('day', ts) AS d, event_type AS region, count(*) AS n FROM events GROUP BY 1, 2)
-SELECT strftime(d, '%Y-%m-%d') AS day, region, n FROM w WHERE d + INTERVAL 1 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
+@query("X3", """WITH w AS (SELECT CAST(CAST(ts AS DATE) - CAST(i AS INTEGER) AS TIMESTAMP) AS d, event_type AS region, count(*) AS n FROM events, range(7) r(i) GROUP BY 1, 2)
+SELECT strftime(d, '%Y-%m-%d') AS day, region, n FROM w WHERE d + INTERVAL 7 DAY <= (SELECT max(ts) FROM events) - INTERVAL 1 HOUR""")
 def stream_rolling_counts(read):
-    """Closed one-day windows only; the open last one is not due yet."""
+    """Seven-day windows that slide by a day, closed ones only; those still open are not due yet."""
     e = _stream(read, "events").select("ts", F.col("event_type").alias("region"))
-    out = J.run_to_table(J.rolling_counts(e, size="1 day", slide=None), "counts")
+    out = J.run_to_table(J.rolling_counts(e, size="7 days"), "counts")
     epoch = F.unix_seconds("start")
     return out.select(F.date_add(F.lit("1970-01-01").cast("date"), F.floor(epoch / 86400).cast("int")).cast("string").alias("day"), "region", "n")
 

@@ -21,7 +21,8 @@ ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvi
 # ── X1: pages to numeric sentences, stateless ──────────────────────────────
 def page_facts(pages: DataFrame, main: str = "(?s)<article>(.*?)</article>") -> DataFrame:
     """(page_id, pos, sentence) for a batch or a stream of pages."""
-    text = pages.select("page_id", PO.canonical_text(F.regexp_extract("html", main, 1)).alias("text"))
+    articles = F.array_join(F.regexp_extract_all("html", F.lit(main), F.lit(1)), " ")
+    text = pages.select("page_id", PO.canonical_text(articles).alias("text"))
     return FO.mine_numeric_sentences(text, id="page_id")
 
 
