@@ -11,8 +11,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
 from plumbline.session import cut_to, drop, scratch
 
@@ -35,11 +34,15 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """(control bytes, data bytes) of unsigned 32-bit values; the last control byte is filled with zero bits."""
     v = np.ascontiguousarray(values, "<u4")
-    extra = (v > 0xFF).astype(np.uint8) + (v > 0xFFFF) + (v > 0xFFFFFF)
     quads = np.zeros(-(-len(v) // 4) * 4, np.uint8)
-    quads[:len(v)] = extra
-    control = (quads.reshape(-1, 4) << np.array([0, 2, 4, 6], np.uint8)).sum(1, dtype=np.uint8)
-    data = v.view(np.uint8).reshape(-1, 4)[np.arange(4) <= extra[:, None]]
+    extra, width = quads[:len(v)], 2 if v.max(initial=0) <= 0xFFFF else 4
+    for k in range(1, width):
+        extra += v > (1 << 8 * k) - 1
+    control = quads[0::4] | quads[1::4] << 2 | quads[2::4] << 4 | quads[3::4] << 6
+    use = np.empty((len(v), width), bool)
+    for k in range(width):
+        use[:, k] = extra >= k
+    data = v.view(np.uint8).reshape(-1, 4)[:, :width][use]
     return control.tobytes(), data.tobytes()
 
 
@@ -63,26 +66,24 @@ class _Words(dict):
 
     def __init__(self, tokenizer, kind: str, most: int = 300_000):
         self.model, self.code, self.most, self.old = tokenizer.model, {"<u2": "H", "<u4": "I"}[kind], most, {}
+        self.stops = {c: self.pieces([c]) for c in ".,;:!?"}
 
     def __missing__(self, word: str) -> bytes | None:
         if len(self) >= self.most:
             self.old = dict(self)
             self.clear()
         ids = self.old.get(word)
-        if ids is None:
-            ids = self.encode(word)
+        if ids is not None:
+            pass
+        elif word.isalpha():  # one piece
+            ids = array(self.code, [t.id for t in self.model.tokenize((" " + word).encode().decode("latin-1").translate(_BYTES))]).tobytes()
+        elif word[-1:] in self.stops and word[:-1].isalpha():  # two pieces, of which the word may be known
+            ids = self[word[:-1]] + self.stops[word[-1]]
+        elif word and not word[0].isspace() and not word[-1].isspace():
+            ids = self.pieces(PIECES.findall(" " + word))
         self[word] = ids
         return ids
 
-    def encode(self, word: str) -> bytes | None:
-        if word.isalpha():
-            return self.pieces([" " + word])
-        if not word or word[0].isspace() or word[-1].isspace():
-            return None
-        if word[-1] in ".,;:!?" and word[:-1].isalpha():  # two pieces, of which the word may be known
-            return self[word[:-1]] + self.pieces([word[-1]])
-        return self.pieces(PIECES.findall(" " + word))
-
     def pieces(self, found: list[str]) -> bytes:
         tokenize, out = self.model.tokenize, []
         for piece in found:
@@ -92,10 +93,12 @@ class _Words(dict):
     def ids(self, text: str) -> bytes:
         """A piece never reaches over a single space between other characters, so words are looked up one by one."""
         first, *words = text.split(" ")
-        found = list(map(self.__getitem__, words))
-        if None in found or not first or first[-1:].isspace():
-            return self.pieces(PIECES.findall(text))
-        return b"".join([self.pieces(PIECES.findall(first)), *found])
+        if first and not first[-1].isspace():
+            try:
+                return self.pieces(PIECES.findall(first)) + b"".join(map(self.__getitem__, words))
+            except TypeError:  # a None: white space stands at the edge of a word
+                pass
+        return self.pieces(PIECES.findall(text))
 
 
 @lru_cache(1)
@@ -145,7 +148,8 @@ class _Count:
 
 
 class _Encode:
-    def __init__(self, kind: str, order: np.ndarray):
+    def __init__(self, kind: str, order: np.ndarray, bounds: list[int]):
+        self.bounds = np.array(bounds, np.int64)
         self.kind, self.rank = kind, np.zeros(int(order.max(initial=0)) + 1, np.uint32)
         self.rank[order] = np.arange(len(order), dtype=np.uint32)
 
@@ -156,17 +160,18 @@ class _Encode:
                 ids = np.frombuffer(x.as_py(), self.kind)
                 c, d = pack(self.rank[ids])
                 n.append(len(ids)), control.append(c), data.append(d)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(control, pa.binary()), pa.array(data, pa.binary())], names=["doc_id", "n_tokens", "control", "data"])
+            part = [0 if d is None else int(np.searchsorted(self.bounds, d, side="right")) for d in b.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), b.column(0), pa.array(n, pa.int64()), pa.array(control, pa.binary()), pa.array(data, pa.binary())], names=["part", "doc_id", "n_tokens", "control", "data"])
 
 
 def _place(batches):
-    """Each row's file and the ids before it in that file."""
-    part, at = TaskContext.get().partitionId(), 0
+    """The ids before each row in its file; a task has one file."""
+    at = 0
     for b in batches:
-        n = np.asarray(b.column(1))
+        n = np.asarray(b.column(2))
         start = at + np.cumsum(n) - n
         at += int(n.sum())
-        yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), part), pa.int32()), pa.array(start, pa.int64()), *b.columns], names=["part", "at", *b.schema.names])
+        yield pa.RecordBatch.from_arrays([pa.array(start, pa.int64()), *b.columns], names=["at", *b.schema.names])
 
 
 class _Decode:
@@ -196,9 +201,13 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int =
     ids = cut_to(docs.select("doc_id", "text").mapInArrow(_Tokenize(spec, end_id), docs.select("doc_id").schema.add("ids", "binary")), temp, "zstd")
     counts = ids.select("ids").mapInArrow(_Count(kind), "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
     counts.orderBy(F.desc("n"), "id").coalesce(1).write.parquet(f"{path}/ranks")
-    coded = ids.mapInArrow(_Encode(kind, _order(spark, path)), docs.select("doc_id").schema.add("n_tokens", "long").add("control", "binary").add("data", "binary"))
-    in_order = coded.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_tokens", "data", "control")
-    placed = in_order.mapInArrow(_place, "part int, at long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in coded.schema))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shares = [k / parts for k in range(1, parts)]
+    bounds = ids.select(F.percentile_approx(F.col("doc_id").cast("long"), shares, 20 * max(parts, 500)).alias("b")).head().b if shares else []
+    schema = T.StructType([T.StructField("part", T.IntegerType()), *docs.select("doc_id").schema.fields, *T.StructType.fromDDL("n_tokens long, control binary, data binary").fields])
+    coded = ids.mapInArrow(_Encode(kind, _order(spark, path), sorted(set(bounds or []))), schema)
+    in_order = coded.repartitionById(parts, "part").sortWithinPartitions("doc_id", "n_tokens", "data", "control")
+    placed = in_order.mapInArrow(_place, T.StructType([T.StructField("at", T.LongType()), *schema.fields]))
     placed.write.option("compression", "none").parquet(f"{path}/tokens")
     drop(spark, temp)
 
