@@ -63,12 +63,57 @@ def _expand(read):
     return S.expand_segments(V.scripts(read), V.script_facts(read), V.script_citations(read), RULES)
 
 
-@query("T4")
+def _stat_sql(f: str) -> str:
+    return f"'value=' || {f}.value || '|unit=units|label=' || card_text || '|citation=' || {_chip_sql(f)} || '|fact_id=' || {f}.id"
+
+
+def _chip_sql(f: str) -> str:
+    return (f"CASE WHEN {f}.url IS NULL THEN 'Source — blog' ELSE 'Source [' || {f}.marker || '] — ' || "
+            f"regexp_replace(regexp_extract({f}.url, '^[a-zA-Z]+://([^/?#]*)', 1), '^www\\.', '') END")
+
+
+def _shot_sql(kind: str, span: str, payload: str, labels: str = "NULL", fallback: str = "NULL") -> str:
+    return f"{{'type': '{kind}', 'span': {span}, 'labels': {labels}, 'payload': {payload}, 'fallback': {fallback}}}"
+
+
+_HEAD, _HEADLINE, _BROLL = "'text=' || card_text", "'text=' || card_text || '|wish=' || broll_wish", "'wish=' || broll_wish || '|layout=auto'"
+_QUOTE = f"'quote=' || fact.quote || '|source=' || {_chip_sql('fact')}"
+_HAS = "regexp_matches(coalesce({}.value, ''), '[0-9]')"
+_RULE_TREE = f"""CASE beat
+  WHEN 'hook' THEN CASE WHEN broll_wish <> '' AND n >= 2 THEN [{_shot_sql('BROLL', 'head', _BROLL, fallback=f"'HEADLINE_CARD:' || {_HEADLINE}")}, {_shot_sql('HEADLINE_CARD', 'rest', _HEADLINE)}]
+    ELSE [{_shot_sql('HEADLINE_CARD', 'narration', _HEADLINE)}] END
+  WHEN 'stakes' THEN list_concat(CASE WHEN num IS NOT NULL THEN [{_shot_sql('STAT_CARD', 'head', _stat_sql('num'))}] ELSE [{_shot_sql('HEADLINE_CARD', 'head', _HEAD)}] END,
+    CASE WHEN n > 1 THEN [{_shot_sql('HEADLINE_CARD', 'rest', _HEAD)}] ELSE [] END)
+  WHEN 'mechanism' THEN list_transform(range(1, k + 1), lambda i: {_shot_sql('DIAGRAM', "CASE WHEN k <= 1 THEN narration WHEN i < k THEN sp[i] ELSE array_to_string(sp[k:], ', ') END", "'template=flow|reveal_stage=' || i || '|reveal_total=' || k", labels="array_to_string(shown, '|')")})
+  WHEN 'proof' THEN CASE
+    WHEN paper IS NOT NULL THEN [{_shot_sql('PAPER_CARD', 'head', "'marker=' || coalesce(CAST(paper.marker AS VARCHAR), '') || '|url=' || paper.url || '|highlight=' || card_text || '|wish=' || broll_wish", fallback="'QUOTE_CARD:quote=' || paper.quote || '|source=' || " + _chip_sql('paper'))}, {_shot_sql('STAT_CARD', 'roa', _stat_sql('pstat'))}]
+    WHEN broll_wish <> '' AND n >= 2 AND fact IS NOT NULL THEN [{_shot_sql('BROLL', 'head', _BROLL, fallback=f"'STAT_CARD:' || {_stat_sql('fact')}")}, {_shot_sql('QUOTE_CARD', 'roa', _QUOTE)}]
+    WHEN fact IS NOT NULL THEN [{_shot_sql('STAT_CARD', 'head', _stat_sql('fact'))}, {_shot_sql('QUOTE_CARD', 'roa', _QUOTE)}] ELSE [{_shot_sql('HEADLINE_CARD', 'narration', _HEAD)}] END
+  WHEN 'cta' THEN [{_shot_sql('LOGO_CTA', 'narration', f"'differentiator=' || own || '|cta_line=' || {lit(RULES.cta_lines[0])} || '|domain=' || {lit(RULES.domain)}")}]
+  ELSE [{_shot_sql('HEADLINE_CARD', 'narration', _HEAD)}] END"""
+_OWN_TEXT = "CASE list_filter(coalesce(fact_ids, []), lambda f: f IN ('b0', 'b1', 'b2'))[-1] " + " ".join(f"WHEN {lit(i)} THEN {lit(t)}" for i, t in V.DIFFERENTIATORS) + " ELSE '' END"
+T4_SQL = f"""WITH {V.SCRIPTS_SQL}, texts AS (SELECT run_id AS id, pos, narration FROM scripts), {PACK},
+k AS (SELECT r.run_id, r.pos, r.i, {{'id': f.id, 'value': f.value, 'quote': f.quote, 'marker': f.marker, 'url': c.url}} AS f FROM (SELECT run_id, pos, fact_ids[i] AS id, i FROM scripts, range(1, len(fact_ids) + 1) t(i)) r
+  JOIN sfacts f USING (run_id, id) LEFT JOIN cites c ON c.run_id = r.run_id AND c.marker = f.marker),
+a AS (SELECT run_id, pos, arg_min(f, i) FILTER (regexp_matches(f.value, '[0-9]')) AS num, arg_min(f, i) AS anyf, arg_min(f, i) FILTER (contains(f.url, 'doi.org')) AS paper FROM k GROUP BY 1, 2),
+e0 AS (SELECT s.*, num, paper, coalesce(num, anyf) AS fact, CASE WHEN joined = '' THEN [narration] ELSE string_split(joined, chr(1)) END AS sp, list_transform(({PHRASES})[1:3], lambda p: array_to_string(({words('p')})[1:4], ' ')) AS heads
+  FROM scripts s JOIN spans p ON p.id = s.run_id AND p.pos = s.pos LEFT JOIN a ON a.run_id = s.run_id AND a.pos = s.pos),
+e AS (SELECT *, len(sp) AS n, sp[1] AS head, array_to_string(sp[2:], ', ') AS rest, CASE WHEN len(sp) > 1 THEN array_to_string(sp[2:], ', ') ELSE narration END AS roa, least(3, len(sp)) AS k,
+  CASE WHEN {_HAS.format('paper')} THEN paper ELSE coalesce(fact, paper) END AS pstat, {_OWN_TEXT} AS own,
+  CASE WHEN len(coalesce(labels, [])) > 0 THEN labels WHEN len(heads) >= 2 THEN heads ELSE (list_concat(heads, ['Result']))[1:2] END AS shown FROM e0),
+x AS (SELECT run_id, pos, beat, narration, {_RULE_TREE} AS shots FROM e),
+y AS (SELECT *, greatest(len({words('narration')}) / {W}, {K.SHOT_MIN_S}) / len(shots) AS per FROM x)
+SELECT run_id, pos, CAST(j - 1 AS BIGINT) AS sub, beat, shots[j].type AS type, round_even(least(greatest(per, {K.SHOT_MIN_S}), CASE WHEN beat = 'cta' THEN {K.END_CARD_MAX_S} ELSE {K.SHOT_MAX_S} END), 2) AS duration_s,
+  shots[j].span AS narration_span, shots[j].labels AS labels, shots[j].payload AS payload, shots[j].fallback AS fallback FROM y, range(1, len(shots) + 1) t(j)"""
+
+
+@query("T4", T4_SQL)
 def expand_segments(read):
-    """Beat rule tree; checked against hand-worked cases in the tests."""
+    """Beat rule tree over all beats, with papers, missing facts and several cited differentiators."""
     out = _expand(read)
-    return out.select("run_id", "pos", "sub", "beat", "type", "duration_s", "narration_span", F.array_join("labels", "|").alias("labels"),
-                      F.to_json("payload").alias("payload"), F.to_json("fallback").alias("fallback"))
+    line = lambda m: F.array_join(F.transform(F.map_entries(m), lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
+    return out.select("run_id", "pos", "sub", "beat", "type", "duration_s", "narration_span", F.array_join("labels", "|").alias("labels"), line(F.col("payload")).alias("payload"),
+                      F.when(F.col("fallback").isNotNull(), F.concat(F.col("fallback")["type"], F.lit(":"), line(F.col("fallback")["payload"]))).alias("fallback"))
 
 
 @query("T5", f"""WITH {V.SCRIPTS_SQL}, texts AS (SELECT run_id AS id, pos, narration FROM scripts), {PACK},
