@@ -127,7 +127,14 @@ def number_segments(read):
     return S.number_segments(shots(read)).select("run_id", "pos", "sub", F.col("ord").cast("bigint").alias("ord"))
 
 
-@query("G10")
+@query("G10", f"""WITH {V.SCRIPTS_SQL}, sh AS ({T4_SQL}),
+o AS (SELECT *, 's' || CASE WHEN ord < 10 THEN '0' ELSE '' END || ord AS id FROM (SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY pos, sub) - 1 AS ord FROM sh) z),
+q AS (SELECT o.*, regexp_extract(payload, '^value=([^|]*)', 1) AS value, f.quote FROM o LEFT JOIN sfacts f ON o.type = 'STAT_CARD' AND f.run_id = o.run_id AND f.id = regexp_extract(payload, 'fact_id=(.*)$', 1))
+SELECT run_id, id, 'duration out of range' AS rule FROM q WHERE duration_s < {K.SHOT_MIN_S} OR duration_s > CASE WHEN type = 'LOGO_CTA' THEN {K.END_CARD_MAX_S} ELSE {K.SHOT_MAX_S} END
+UNION ALL SELECT run_id, id, 'missing fallback' FROM q WHERE type IN ('PAPER_CARD', 'BROLL') AND fallback IS NULL
+UNION ALL SELECT run_id, id, 'flow label count' FROM q WHERE type = 'DIAGRAM' AND contains(payload, 'template=flow') AND NOT coalesce(len(string_split(labels, '|')), 0) BETWEEN 2 AND 4
+UNION ALL SELECT run_id, id, 'untraced value ' || t FROM (SELECT run_id, id, unnest({numbers('value')}) AS t, quote FROM q WHERE type = 'STAT_CARD') z WHERE NOT list_contains({numbers("coalesce(quote, '')")}, t)
+UNION ALL SELECT run_id, NULL, 'total duration' FROM q GROUP BY run_id HAVING sum(duration_s) < {K.TOTAL_MIN_S - K.LINT_EPSILON_S} OR sum(duration_s) > {K.TOTAL_MAX_S + K.LINT_EPSILON_S}""")
 def lint_segments(read):
     return S.lint_segments(S.number_segments(shots(read)), V.script_facts(read))
 
