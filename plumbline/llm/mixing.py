@@ -130,7 +130,7 @@ def mix(docs: DataFrame, seed: int = 7, block: int = 64, **plan) -> DataFrame:
     kept = cut(docs.withColumn("__rid", F.monotonically_increasing_id()), "mix-rows", "zstd")
     pieces, _ = _taken(kept.select("doc_id", "source", "text", F.col("__rid").alias("rid")), seed, block, **plan)
     pieces = pieces.where("times > 0 and words > 0").groupBy("rid").agg(F.array_sort(F.collect_list(F.struct("at", "words", "times"))).alias("__p"), F.max("times").alias("__n"), F.first("size").alias("__size"))
-    rows = kept.join(pieces.withColumnRenamed("rid", "__rid"), "__rid").withColumn("__e", F.explode(F.sequence(F.lit(1).cast("long"), "__n")))
+    rows = kept.join(pieces.withColumnRenamed("rid", "__rid").hint("merge"), "__rid").withColumn("__e", F.explode(F.sequence(F.lit(1).cast("long"), "__n")))
     mine = F.filter("__p", lambda p: p.times >= F.col("__e"))
     words = F.filter(F.split("text", SPACE), lambda w: w != "")
     part = F.concat_ws(" ", F.flatten(F.transform(mine, lambda p: F.slice(F.col("__w"), (p["at"] + 1).cast("int"), p.words.cast("int")))))

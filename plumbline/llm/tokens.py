@@ -64,7 +64,7 @@ class _Words(dict):
     When full, the words become the ``old`` ones, from which those that come again return.
     """
 
-    def __init__(self, tokenizer, kind: str, most: int = 300_000):
+    def __init__(self, tokenizer, kind: str, most: int = 120_000):
         self.model, self.code, self.most, self.old = tokenizer.model, {"<u2": "H", "<u4": "I"}[kind], most, {}
         self.stops = {c: self.pieces([c]) for c in ".,;:!?"}
 
