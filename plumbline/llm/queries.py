@@ -7,11 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from plumbline.llm import decontaminate, factors, language, mixing, secrets, simhash, suffixes, tokens, topk, toxicity
+from plumbline.llm import decontaminate, factors, language, mixing, oracles, secrets, simhash, suffixes, tokens, topk, toxicity
 from plumbline.session import use_local_shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = dict(oracles.ORACLES)
 
 
 def query(fn):
