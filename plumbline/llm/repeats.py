@@ -215,7 +215,7 @@ class _Strip:
             yield pa.RecordBatch.from_arrays([*b.columns[:2], *arrays], names=["doc_id", "tie", "n", "n_removed", "n_spans", "kept", "kept_sha256"])
 
 
-def strip_repeats(docs: DataFrame, kind: Kind, find: Found, keep: Callable, hot: int = 4000, texts: bool = False) -> DataFrame:
+def strip_repeats(docs: DataFrame, kind: Kind, find: Found, keep: Callable, hot: int = 50_000, texts: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, n (units), n_removed, n_spans, kept_sha256, and ``kept`` if ``texts``.
 
     Removed is every unit that a window of ``kind.width`` units covers whose content also starts earlier: in a smaller
