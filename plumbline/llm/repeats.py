@@ -226,7 +226,7 @@ def strip_repeats(docs: DataFrame, kind: Kind, find: Found, keep: Callable, hot:
     """
     mine = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     mine = mine.select("doc_id", F.shiftright(F.xxhash64("text"), 32).cast("int").alias("tie"), "text")
-    digest = F.sha2("text", 256).alias("sha")
+    digest = F.unhex(F.sha2("text", 256)).alias("sha")
     order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tie")
     first = mine.select("doc_id", "tie", digest).groupBy("sha").agg(F.min(order).alias("first")).select("sha", F.col("first.doc_id").alias("first_id"), F.col("first.tie").alias("first_tie"))
     first = cut(first, "repeats-first")

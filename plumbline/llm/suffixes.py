@@ -162,7 +162,7 @@ def common_prefixes(s: np.ndarray, sa: np.ndarray, most: int) -> np.ndarray:
 class Bytes(Kind):
     """Units are the bytes of the UTF-8 text."""
 
-    def __init__(self, width: int = 100, gram: int = 24):
+    def __init__(self, width: int = 100, gram: int = 40):
         self.width, self.gram = width, gram
 
     def split(self, text: bytes) -> bytes:
