@@ -117,8 +117,9 @@ def mix_counts(docs: DataFrame, seed: int = 7, block: int = 64, **plan) -> DataF
     NULL and empty texts have size 0 and give nothing; NULL sources are one source; repeated rows count each.
     """
     pieces, _ = _taken(docs.select("doc_id", "source", "text").withColumn("rid", F.lit(0)), seed, block, **plan)
-    keys = ["doc_id", "sid", "off", "size", "source_size", "target", "rid"]
-    return pieces.groupBy(*keys).agg(F.sum(F.col("words") * F.col("times")).alias("taken")).select("doc_id", "size", "source_size", "target", "taken")
+    keys = ["doc_id", "sid", "off", "size", "source_size", "target", "own"]
+    own = F.when(F.col("size") == 0, F.monotonically_increasing_id())  # empty rows are one piece each and do not move off
+    return pieces.withColumn("own", own).groupBy(*keys).agg(F.sum(F.col("words") * F.col("times")).alias("taken")).select("doc_id", "size", "source_size", "target", "taken")
 
 
 def mix(docs: DataFrame, seed: int = 7, block: int = 64, **plan) -> DataFrame:
