@@ -31,4 +31,16 @@ f AS (SELECT doc_id, j, row_number() OVER (PARTITION BY t ORDER BY doc_id, j) AS
 x AS (SELECT p.doc_id, p.j, word, coalesce(max(CASE WHEN k > 1 THEN p.j END) OVER (PARTITION BY p.doc_id ORDER BY p.j ROWS BETWEEN 19 PRECEDING AND CURRENT ROW), 0) > 0 AS gone FROM p LEFT JOIN f ON f.doc_id = p.doc_id AND f.j = p.j),
 e AS (SELECT doc_id, count_if(gone) AS n_removed, string_agg(word, ' ' ORDER BY j) FILTER (NOT gone) AS kept FROM x GROUP BY 1)
 SELECT w.doc_id, len(ws) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256 FROM w LEFT JOIN e ON e.doc_id = w.doc_id""",
+    "op12_prefixes": r"""WITH t AS (SELECT conv_id, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS d, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w FROM conversations WHERE conv_id IS NOT NULL),
+crc AS (SELECT DISTINCT conv_id, CAST(conv_id AS VARCHAR) AS s FROM t),
+o AS (SELECT conv_id, list(d ORDER BY turn NULLS FIRST, d) AS ds, list(w ORDER BY turn NULLS FIRST, d) AS ws FROM t GROUP BY 1),
+h AS (SELECT conv_id, xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(s, ''), lambda x: list_concat([ascii(x)], list_transform(range(8), lambda i: -1))))),
+  lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295) % 4 AS h FROM crc),
+f AS (SELECT o.conv_id, list_concat(coalesce(b.ds, [])[1:h], o.ds[h + 1:]) AS ds, list_concat(coalesce(b.ws, [])[1:h], o.ws[h + 1:]) AS ws FROM o JOIN h USING (conv_id) LEFT JOIN o b ON b.conv_id = o.conv_id - o.conv_id % 20),
+m AS (SELECT conv_id, ds[1:d] AS path, d, coalesce(ws[d], 0) AS w, d = len(ds) AS ends FROM f, range(0, len(ds) + 1) r(d)),
+n AS (SELECT path, d, array_to_string(path, ',') AS k, array_to_string(path[1:d - 1], ',') AS up, min(conv_id) AS conv_id, count(*) AS n, any_value(w) AS w, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends) AS ids FROM m GROUP BY ALL),
+c AS (SELECT d - 1 AS d, up AS k, count(*) AS kids FROM n WHERE d > 0 GROUP BY ALL),
+s AS (SELECT e AS d, array_to_string(path[1:e], ',') AS k, count_if(kids IS NULL) AS leaves, sum((n - 1) * w) AS saved FROM (SELECT n.*, kids FROM n LEFT JOIN c USING (d, k)) z, range(0, d + 1) r(e) GROUP BY ALL)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(kids, 0) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ids, '')) AS ends_sha256
+FROM n LEFT JOIN c ON c.d = n.d AND c.k = n.k LEFT JOIN n p ON p.d = n.d - 1 AND p.k = n.up JOIN s ON s.d = n.d AND s.k = n.k""",
 }
