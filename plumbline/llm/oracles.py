@@ -43,4 +43,17 @@ c AS (SELECT d - 1 AS d, up AS k, count(*) AS kids FROM n WHERE d > 0 GROUP BY A
 s AS (SELECT e AS d, array_to_string(path[1:e], ',') AS k, count_if(kids IS NULL) AS leaves, sum((n - 1) * w) AS saved FROM (SELECT n.*, kids FROM n LEFT JOIN c USING (d, k)) z, range(0, d + 1) r(e) GROUP BY ALL)
 SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(kids, 0) AS n_children, CAST(leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, sha256(coalesce(n.ids, '')) AS ends_sha256
 FROM n LEFT JOIN c ON c.d = n.d AND c.k = n.k LEFT JOIN n p ON p.d = n.d - 1 AND p.k = n.up JOIN s ON s.d = n.d AND s.k = n.k""",
+    # the given pages mark their articles plainly, so SQL can say what the trained field must find on them
+    "op11_maintext": r"""WITH a AS (SELECT page_id, url, coalesce(regexp_extract(html, '(?s)<article>(.*?)</article>', 1), '') AS x FROM pages),
+b AS (SELECT page_id, url, list_transform(string_split_regex(replace(x, '<br>', ' '), '</?(?:p|h1)>'), lambda t:
+  trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(t, '</?b>', '', 'g'), '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', chr(39)), '&amp;', '&'), '\s+', ' ', 'g'))) AS ts FROM a)
+SELECT page_id, url, array_to_string(list_filter(ts, lambda t: t <> ''), chr(10)) AS text, length(array_to_string(list_filter(ts, lambda t: t <> ''), chr(10))) AS n_chars FROM b""",
+    "op13_lexical": f"""WITH d AS (SELECT row_number() OVER () AS rid, * FROM {_folded('documents', 'doc_id')} z), i AS (SELECT row_number() OVER () AS iid, * FROM {_folded('benchmark', 'item_id')} z),
+s AS (SELECT count_if(len(ws) > 0) AS n_docs, CAST(sum(len(ws)) AS BIGINT) AS total FROM d),
+q AS (SELECT iid, item_id, term, count(*) AS c FROM (SELECT iid, item_id, unnest(ws) AS term FROM i) z GROUP BY ALL),
+tf AS (SELECT rid, doc_id, term, n, count(*) AS tf FROM (SELECT rid, doc_id, len(ws) AS n, unnest(ws) AS term FROM d) z WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, s GROUP BY term, n_docs),
+r AS (SELECT iid, item_id, rid, doc_id, CAST(sum(c * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // total)))) AS BIGINT) AS score FROM tf JOIN q USING (term) JOIN w USING (term), s GROUP BY ALL),
+k AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 10""",
 }

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from plumbline.llm import decontaminate, factors, language, mixing, oracles, prefixes, secrets, simhash, suffixes, tokens, topk, toxicity
+from plumbline.llm import decontaminate, factors, language, lexical, maintext, mixing, oracles, prefixes, secrets, simhash, suffixes, tokens, topk, toxicity
 from plumbline.session import use_local_shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,12 +84,24 @@ def op10_tokens(read):
     return tokens.token_digest(read("documents"), tokens.vocabulary_path())
 
 
+@query
+def op11_maintext(read):
+    """The article's text of every page."""
+    return maintext.main_text(read("pages").select("page_id", "url", "html"))
+
+
 @query
 def op12_prefixes(read):
     """Every distinct prefix of the rebuilt conversations."""
     return prefixes.trie_digest(read("conversations"))
 
 
+@query
+def op13_lexical(read):
+    """The ten best documents of every benchmark item."""
+    return lexical.ranked(read("documents"), read("benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages of the corpus pipeline."""
     use_local_shared_dir(spark)
