@@ -10,6 +10,7 @@ from plumbline import constants as K
 from plumbline.functions import links as L
 from plumbline.functions import text as X
 from plumbline.operators.ordered import running_smallest, scan
+from plumbline.operators.overlap import best_partner, shared_counts
 from plumbline.session import cut
 
 TIERS = list(K.TIER_THRESHOLDS)
@@ -36,52 +37,50 @@ def top(df: DataFrame, by: Sequence[str], order: Sequence[Column], k: int, rank:
     return df.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col(rank) <= k)
 
 
-def rank_all(df: DataFrame, by: Sequence[str], order: Sequence[str], block: Column, rank: str = "rank") -> DataFrame:
-    """Rank of every row per group, also of groups too large for one task.
+def rank_all(df: DataFrame, by: Sequence[str], order: Sequence[str], rank: str = "rank") -> DataFrame:
+    """Rank of every row per group, by ascending ``order``, also of groups or ties too large for one task.
 
-    ``order`` is ascending and unique in a group; ``block`` must not decrease along it.
+    Rows are dealt by splitters that Spark samples from (group, order), so equal scores part where their keys do; a
+    row's rank is its place in its task's stretch of the group plus the lengths of the stretches before.
     """
-    return scan(df, list(by), list(order), sums={rank: F.lit(1)}, block=block).withColumn(rank, (F.col(rank) + 1).cast("bigint"))
+    at = [*by, *order]
+    rows = cut(df.repartitionByRange(*at).sortWithinPartitions(*at).withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    out = scan(rows, list(by), ["_at"], sums={rank: F.lit(1)}, block=F.shiftright("_at", 33))
+    return out.withColumn(rank, (F.col(rank) + 1).cast("bigint")).drop("_at")
 
 
 def match_by_tokens(wishes: DataFrame, assets: DataFrame, wish_id: str = "wish_id", asset_id: str = "path",
-                    least: int = 2, limit: int = 8) -> DataFrame:
-    """(wish, asset, overlap, rank): best assets by shared words, ties by asset key."""
+                    least: int = 2, limit: int | None = None) -> DataFrame:
+    """(wish, asset, overlap, rank): assets by shared words, ties by asset key; the first ``limit`` if given."""
     w = wishes.select(wish_id, X.tokens_ws("wish").alias("wish_tokens"))
     a = assets.select(asset_id, X.tokens_ws("description").alias("tokens"))
-    pairs = overlap_counts(w, a, [wish_id, asset_id]).where(F.col("overlap") >= least)
-    return top(pairs, [wish_id], [F.desc("overlap"), F.asc(asset_id)], limit)
+    pairs = shared_counts(w, a, wish_id, asset_id, ("wish_tokens", "tokens"), least)
+    if limit is not None:
+        return top(pairs, [wish_id], [F.desc("overlap"), F.asc(asset_id)], limit)
+    return rank_all(pairs.withColumn("_o", -F.col("overlap")), [wish_id], ["_o", asset_id]).drop("_o")
 
 
 def match_footage(scenes: DataFrame, footage: DataFrame, own_type: str = "own_edge", own_tags: Sequence[str] = ("factory",),
-                  least: int = 2) -> DataFrame:
-    """(scene_id, id, score): the best clip per scene.
+                  least: int = 2, common: int = 64) -> DataFrame:
+    """(scene_id, id, score): the best clip per scene, lowest id on ties.
 
-    Overlap, tag and category scores come from equi joins. The bonus for own
-    clips could lift a clip without any overlap; of those only the lowest id can
-    win, so one row stands for all of them.
+    5 for the scene's category, 2 for each shared tag, 1 for each shared word of the description, 3 for own clips in
+    own scenes, 1 for broll in stock scenes. ``best_partner`` pairs only what can win.
     """
-    tok = X.tokens_alpha("text", K.STOP_FOOTAGE)
-    sc = scenes.select("scene_id", F.lower("category").alias("category"), "visual_type", tok.alias("wish_tokens"))
-    low = lambda c: F.array_distinct(F.transform(c, F.lower))
+    kind = F.when(F.col("visual_type") == own_type, "own").when(F.col("visual_type") == "stock", "stock").otherwise("")
+    sc = scenes.select("scene_id", F.lower("category").alias("category"), kind.alias("kind"), F.array_sort(X.tokens_alpha("text", K.STOP_FOOTAGE)).alias("tokens"))
+    low = lambda c: F.array_distinct(F.transform(F.coalesce(F.col(c), F.array().cast("array<string>")), F.lower))
     ft = footage.select("id", low("tags").alias("tags"), low("categories").alias("categories"), low("good_for").alias("good_for"),
-                        X.tokens_alpha("description", K.STOP_FOOTAGE).alias("desc_tokens"))
-    cat = ft.select("id", F.explode("categories").alias("category")).join(sc.select("scene_id", "category"), "category").select(
-        "scene_id", "id", F.lit(5).cast("bigint").alias("s"))
-    tags = overlap_counts(sc, ft, ["scene_id", "id"], ("wish_tokens", "tags")).select("scene_id", "id", (2 * F.col("overlap")).alias("s"))
-    desc = overlap_counts(sc, ft, ["scene_id", "id"], ("wish_tokens", "desc_tokens")).select("scene_id", "id", F.col("overlap").alias("s"))
-    base = cat.unionByName(tags).unionByName(desc).groupBy("scene_id", "id").agg(F.sum("s").alias("base"))
-    flags = ft.select("id", (F.arrays_overlap("tags", X.strings(list(own_tags))) | F.array_contains("good_for", "establishing")).alias("own"),
-                      F.array_contains("good_for", "broll").alias("broll"))
-    kind = sc.select("scene_id", "visual_type")
-    bonus = (F.when((F.col("visual_type") == own_type) & F.col("own"), 3).otherwise(0)
-             + F.when((F.col("visual_type") == "stock") & F.col("broll"), 1).otherwise(0))
-    scored = base.join(flags, "id").join(kind, "scene_id").select("scene_id", "id", (F.col("base") + bonus).alias("score"))
-    lowest = flags.where("own").agg(F.min("id").alias("id")).where("id IS NOT NULL")
-    alone = kind.where(F.col("visual_type") == own_type).join(F.broadcast(lowest)).select("scene_id", "id", F.lit(3).cast("bigint").alias("score"))
-    best = scored.unionByName(alone).where(F.col("score") >= least).groupBy("scene_id").agg(
-        F.min(F.struct((-F.col("score")).alias("neg"), "id")).alias("b"))
-    return best.select("scene_id", F.col("b")["id"].alias("id"), (-F.col("b")["neg"]).alias("score"))
+                        X.tokens_alpha("description", K.STOP_FOOTAGE).alias("said"))
+    weight = lambda t: F.array_contains("tags", t).cast("bigint") * 2 + F.array_contains("said", t).cast("bigint")
+    items = ft.select("id", "categories", F.transform(F.array_union("tags", "said"), lambda t: F.struct(t.alias("token"), weight(t).alias("weight"))).alias("bag"),
+                      F.struct((F.arrays_overlap("tags", X.strings(list(own_tags))) | F.array_contains("good_for", "establishing")).alias("own"),
+                               F.array_contains("good_for", "broll").alias("broll")).alias("flags"))
+    bonus = F.when((F.col("kind") == "own") & F.col("flags.own"), 3).when((F.col("kind") == "stock") & F.col("flags.broll"), 1).otherwise(0)
+    most = F.when(F.col("kind") == "own", 3).when(F.col("kind") == "stock", 1).otherwise(0)
+    best = best_partner(sc, items, 5, bonus, most, least, common)
+    on = sc["category"].eqNullSafe(best["category"]) & (sc["kind"] == best["kind"]) & (sc["tokens"] == best["tokens"])
+    return sc.join(best, on).select("scene_id", "id", F.col("score").cast("bigint").alias("score"))
 
 
 def match_source(scenes: DataFrame, sources: DataFrame) -> DataFrame:
@@ -216,7 +215,7 @@ def candidate_cascade(cands: DataFrame, scenes: DataFrame, scene: str = "scene_i
     asked = cands.join(stop, scene, "left").where(F.col("_stop").isNull() | (F.col("query_no") <= F.col("_stop"))).drop("_stop")
     kept = asked.where(F.col("context") >= K.MIN_CONTEXT)
     best = kept.withColumn("_c", -F.col("context")).withColumn("_q", -F.col("quality_first"))
-    ranked = rank_all(best, [scene], ["_c", "_q", "query_no", "ord"], F.struct("_c", "_q"), "position").drop("_c", "_q")
+    ranked = rank_all(best, [scene], ["_c", "_q", "query_no", "ord"], "position").drop("_c", "_q")
     degraded = scenes.select(scene).distinct().join(kept.select(scene), scene, "left_anti")
     return ranked, degraded
 

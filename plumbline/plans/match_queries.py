@@ -20,7 +20,7 @@ _WS = f"list_distinct(list_filter({words('lower(text)')}, lambda w: length(w) >
 @query("M1", f"""WITH w AS (SELECT item_id, unnest({_WS}) AS tok FROM benchmark), a AS (SELECT doc_id, unnest({_WS}) AS tok FROM documents),
 p AS (SELECT item_id, doc_id, count(*) AS overlap FROM w JOIN a USING (tok) GROUP BY 1, 2 HAVING count(*) >= 2),
 r AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY overlap DESC, doc_id) AS rank FROM p)
-SELECT * FROM r WHERE rank <= 8""")
+SELECT * FROM r""")
 def match_by_tokens(read):
     return M.match_by_tokens(read("benchmark").select("item_id", F.col("text").alias("wish")),
                              read("documents").select("doc_id", F.col("text").alias("description")), "item_id", "doc_id").withColumn("rank", F.col("rank").cast("bigint"))
@@ -231,7 +231,7 @@ def _ranked(read):
 
 def _reranked(read):
     li = _ranked(read).withColumn("_c", -F.col("context")).withColumn("_q", -F.col("quality"))
-    ranked = M.rank_all(li, ["scene_id"], ["_c", "_q", "cand"], F.struct("_c", "_q")).drop("_c", "_q")
+    ranked = M.rank_all(li, ["scene_id"], ["_c", "_q", "cand"]).drop("_c", "_q")
     ranked = cut(ranked, "ranked")
     scores = ranked.where((F.col("rank") <= 3) & ~((F.col("scene_id") % 6 == 0) & (F.col("rank") == 1))).select(
         "scene_id", "rank", F.when(F.col("cand") % 5 == 0, "x").otherwise(((F.col("cand") * 3 + F.col("scene_id")) % 14).cast("string")).alias("score"))
