@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline.functions import text as X
+from plumbline.session import cut
 
 SHINGLE = 4
 
@@ -29,49 +32,66 @@ def locate_verbatim(facts: DataFrame, docs: DataFrame, on: str = "doc_id", quote
     return f.join(d, on, "left").withColumn("char_offset", X.locate_in("_quote", "_text")).drop("_text", "_quote")
 
 
-def _gram_keys(words: str):
-    """Hashes of all shingles of the word array column ``words``."""
-    rest = [F.slice(F.col(words), F.lit(k), F.greatest(F.size(words), F.lit(1))) for k in range(2, SHINGLE + 1)]
-    zipped = F.arrays_zip(F.col(words).alias("w1"), *[r.alias(f"w{k}") for k, r in enumerate(rest, 2)])
-    last = f"w{SHINGLE}"
-    return F.transform(F.filter(zipped, lambda z: z[last].isNotNull()),
-                       lambda z: F.xxhash64(*[z[f"w{k}"] for k in range(1, SHINGLE + 1)]))
+def _word_keys(words: str, n: int) -> Column:
+    """Hashes of the shingles of ``n`` words of an array column, in order."""
+    count = F.size(words) - (n - 1)
+    shingle = lambda i: [F.get(words, i + k) for k in range(n)]
+    return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.xxhash64(F.lit(n), *shingle(i)))).otherwise(F.array().cast("array<bigint>"))
+
+
+def _char_keys(c: str, n: int) -> Column:
+    """Hashes of the runs of ``n`` characters of a text column, in order."""
+    count = F.length(c) - (n - 1)
+    return F.when(count > 0, F.transform(F.sequence(F.lit(0), count - 1), lambda i: F.xxhash64(F.lit(-n), F.substring(F.col(c), i + 1, F.lit(n))))).otherwise(F.array().cast("array<bigint>"))
 
 
-def _char_keys(c, n):
-    return X.let(F.col(c), lambda t: F.transform(
-        F.sequence(F.lit(1), F.greatest(F.length(t) - (n - 1), F.lit(1))), lambda i: F.xxhash64(F.substring(t, i, F.lit(n)))))
+def _chars_before(words: Column, n: Column) -> Column:
+    """Characters before word ``n`` (from 0) of words that one space parts."""
+    return F.length(F.array_join(F.slice(words, F.lit(1), n), " ")) + (n > 0).cast("int")
 
 
 def find_quotes(quotes: DataFrame, docs: DataFrame, quote_id: str = "item_id", quote: str = "text",
                 doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(quote_id, copies, doc_id, char_offset): which documents hold which quote, a row for each quote id.
-
-    Equal quotes are collapsed for the search and get their ids back after it. A quote's
-    smallest interior word shingle is its key; a document can only hold the
-    quote if it has a shingle with that key, so candidates come from an equi
-    join and every candidate is then verified on the whole text. Interior words
-    are used because a quote may begin or end inside a word. Quotes too short
-    for a shingle take the same road over their character trigrams; where there
-    are none, a join with no rows keeps every document out of that road.
+    """(quote_id, copies, doc_id, char_offset): which documents hold which quote first where, a row for each quote id.
+
+    Equal quotes are collapsed for the search and get their ids back after it. Documents are normalised once and
+    written; of their word shingles the positions of those that stand in some quote are kept. A quote's anchor is the
+    shingle that the fewest positions have (with none, no document can hold it), so a quote of common words is looked
+    up by its one rare place. A candidate carries the anchor's position in the document, and the quote is compared
+    there and nowhere else. Inner words are used because a quote may begin or end inside a word; a quote of one or two
+    words is looked up by runs of up to three characters the same way.
     """
-    q = (quotes.select(quote_id, X.normalize_for_match(quote).alias("_q")).where("_q <> ''")
-         .groupBy("_q").agg(F.min(quote_id).alias(quote_id), F.count("*").alias("copies")))
-    d = docs.select(doc_id, X.normalize_for_match(text).alias("_t"))
-    q = q.withColumn("_w", F.split("_q", " ")).withColumn("_in", F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 2, F.lit(0))))
-    q = q.withColumn("_key", F.array_min(_gram_keys("_in"))).drop("_w", "_in")
-    long_q, short_q = q.where("_key IS NOT NULL"), q.where("_key IS NULL").drop("_key")
-
-    keyed = d.select(doc_id, F.split("_t", " ").alias("_w")).select(doc_id, F.explode(F.array_distinct(_gram_keys("_w"))).alias("_key"))
-    pairs = keyed.join(long_q, "_key").drop("_key")
-    for n, cond in ((3, F.length("_q") >= 3), (1, F.length("_q") < 3)):
-        part = short_q.where(cond).withColumn("_key", F.array_min(_char_keys("_q", n)))
-        there = part.limit(1).select(F.lit(1).alias("_there"))  # at most one row
-        chars = d.crossJoin(F.broadcast(there)).select(doc_id, F.explode(F.array_distinct(_char_keys("_t", n))).alias("_key"))
-        pairs = pairs.unionByName(chars.join(part, "_key").drop("_key"))
-    hits = pairs.join(d, doc_id).withColumn("char_offset", X.locate_in("_q", "_t")).where("char_offset IS NOT NULL")
     every = quotes.select(quote_id, X.normalize_for_match(quote).alias("_q"))
-    return hits.drop(quote_id).join(every, "_q").select(quote_id, "copies", doc_id, F.col("char_offset").cast("bigint").alias("char_offset"))
+    q = every.where("_q <> ''").groupBy("_q").agg(F.count("*").alias("copies"))
+    q = cut(q.select("_q", "copies", F.monotonically_increasing_id().alias("_n"), F.split("_q", " ").alias("_w")), "quotes")
+    inner = F.least(F.size("_w") - 2, F.lit(SHINGLE))
+    kind = F.when(inner > 0, inner).otherwise(-F.least(F.length("_q"), F.lit(3)))  # words above 0, characters below
+    q = q.withColumn("_kind", kind)
+    kinds = sorted(r[0] for r in q.select("_kind").distinct().collect())  # seven at most
+    d = cut(docs.select(doc_id, X.normalize_for_match(text).alias("_t")).where("_t <> ''").withColumn("_d", F.monotonically_increasing_id()), "normalised")
+    wanted, there = [], []
+    for n in kinds:
+        if n > 0:
+            mine = q.select("_n", "_kind", F.slice("_w", F.lit(2), F.greatest(F.size("_w") - 2, F.lit(0))).alias("_in")).where(F.col("_kind") == n).select("_n", F.posexplode(_word_keys("_in", n)).alias("_at", "_key"))
+            wanted.append(mine.withColumn("_at", F.col("_at") + 1))
+            there.append(d.select("_d", F.split("_t", " ").alias("_w")).select("_d", F.posexplode(_word_keys("_w", n)).alias("_p", "_key")))
+        else:
+            wanted.append(q.where(F.col("_kind") == n).select("_n", F.posexplode(_char_keys("_q", -n)).alias("_at", "_key")))
+            there.append(d.select("_d", F.posexplode(_char_keys("_t", -n)).alias("_p", "_key")))
+    if not kinds:
+        empty = T.StructType([quotes.schema[quote_id], T.StructField("copies", T.LongType()), docs.schema[doc_id], T.StructField("char_offset", T.LongType())])
+        return docs.sparkSession.createDataFrame([], empty)
+    wanted, there = reduce(DataFrame.unionByName, wanted), reduce(DataFrame.unionByName, there)
+    places = cut(there.join(wanted.select("_key").distinct(), "_key", "left_semi"), "places")
+    often = places.groupBy("_key").agg(F.count("*").alias("_often"))
+    anchor = wanted.join(often, "_key", "left").groupBy("_n").agg(F.min(F.struct(F.coalesce("_often", F.lit(0)).alias("often"), "_key", "_at")).alias("_a"))
+    anchor = anchor.where(F.col("_a")["often"] > 0).select("_n", F.col("_a")["_key"].alias("_key"), F.col("_a")["_at"].alias("_at"))
+    words = F.split("_t", " ")
+    start = F.when(F.col("_kind") > 0, _chars_before(words, F.col("_p")) - _chars_before(F.col("_w"), F.col("_at"))).otherwise(F.col("_p") - F.col("_at"))
+    found = anchor.join(places, "_key").join(q, "_n").join(d, "_d").withColumn("_s", start)
+    found = found.where((F.col("_s") >= 0) & (F.substring(F.col("_t"), F.col("_s") + 1, F.length("_q")) == F.col("_q")))
+    found = found.groupBy("_n", "_d").agg(F.min("_s").cast("bigint").alias("char_offset")).join(d.select("_d", doc_id), "_d").join(q.select("_n", "_q", "copies"), "_n")
+    return found.join(every, "_q").select(quote_id, "copies", doc_id, "char_offset")
 
 
 def gate_facts(facts: DataFrame, docs: DataFrame, on: str = "doc_id", quote: str = "quote", value: str = "value",
