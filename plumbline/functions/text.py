@@ -334,34 +334,48 @@ def chunk_long(phrases) -> Column:
     return F.transform(_pieces(phrases), lambda p: p["text"])
 
 
+def marked(items, zero: Column, rule) -> Column:
+    """Positions (from 0) of the array items that one fold marks; ``rule(state, item, position)`` gives (mark, next state).
+
+    Marks are bits of a few words, so the fold does not copy what it has found at every step: linear in long arrays.
+    """
+    def step(acc, x):
+        mark, state = rule(acc["state"], x, acc["at"])
+        k = F.pmod(acc["at"], F.lit(62))
+        bits = acc["bits"].bitwiseOR(F.when(mark, F.call_function("shiftleft", F.lit(1).cast("bigint"), k)).otherwise(F.lit(0).cast("bigint")))
+        return let(bits, lambda b: F.struct(state.alias("state"), (acc["at"] + 1).alias("at"), F.when(k == 61, F.lit(0).cast("bigint")).otherwise(b).alias("bits"),
+                                            F.when(k == 61, F.array_append(acc["words"], b)).otherwise(acc["words"]).alias("words")))
+
+    def positions(acc):
+        words = lambda i: F.coalesce(F.get(acc["words"], F.floor(i / 62).cast("int")), acc["bits"])
+        found = F.filter(F.sequence(F.lit(0), F.greatest(acc["at"] - 1, F.lit(0))), lambda i: F.call_function("shiftright", words(i), F.pmod(i, F.lit(62))).bitwiseAND(F.lit(1).cast("bigint")) == 1)
+        return F.when(acc["at"] > 0, found).otherwise(F.expr("cast(array() as array<int>)"))
+
+    start = F.struct(zero.alias("state"), F.lit(0).alias("at"), F.lit(0).cast("bigint").alias("bits"), F.expr("cast(array() as array<bigint>)").alias("words"))
+    return F.aggregate(_col(items), start, step, positions)
+
+
 def pack_phrases(phrases) -> Column:
     """Greedy packing of phrases into spans of up to the target length.
 
-    Joining two phrases adds up their word counts, so the fold carries counts
-    and never splits a text again.
+    One fold over word counts marks where spans begin, then each span is joined from its own pieces. A last span that
+    is too short joins the one before.
     """
-    none = F.expr("cast(array() as array<string>)")
-
     def secs(n):
         return n / F.lit(K.WORDS_PER_SECOND)
 
-    def step(acc, p):
-        first = acc["cur"] == ""
-        fits = first | (secs(acc["n"] + p["n"]) <= K.SHOT_TARGET_MAX_S)
-        return F.struct(F.when(fits, acc["done"]).otherwise(F.concat(acc["done"], F.array(acc["cur"]))).alias("done"),
-                        F.when(first | ~fits, p["text"]).otherwise(F.concat(acc["cur"], F.lit(", "), p["text"])).alias("cur"),
-                        F.when(first | ~fits, p["n"]).otherwise(acc["n"] + p["n"]).alias("n"))
-
-    def finish(acc):
-        done, cur, k = acc["done"], acc["cur"], F.size(acc["done"])
-        merged = F.concat(F.slice(done, F.lit(1), F.greatest(k - 1, F.lit(0))),
-                          F.array(F.concat(F.get(done, k - 1), F.lit(", "), cur)))
-        return (F.when(cur == "", done)
-                .when((k > 0) & (secs(acc["n"]) < K.SHOT_TARGET_MIN_S / 2), merged)
-                .otherwise(F.concat(done, F.array(cur))))
-
-    start = F.struct(none.alias("done"), F.lit("").alias("cur"), F.lit(0).alias("n"))
-    return F.aggregate(_pieces(phrases), start, step, finish)
+    def rule(n, p, at):
+        begins = (at == 0) | (secs(n + p["n"]) > K.SHOT_TARGET_MAX_S)
+        return begins, F.when(begins, p["n"]).otherwise(n + p["n"])
+
+    def whole(ps, at):
+        """Without the last beginning, if little follows it."""
+        last = F.aggregate(F.filter(ps, lambda p, i: i >= F.element_at(at, -1)), F.lit(0), lambda n, p: n + p["n"])
+        return F.when((F.size(at) > 1) & (secs(last) < K.SHOT_TARGET_MIN_S / 2), F.slice(at, 1, F.greatest(F.size(at) - 1, F.lit(0)))).otherwise(at)
+
+    span = lambda ps, s, e: F.array_join(F.transform(F.sequence(s, e - 1), lambda k: F.get(ps, k)["text"]), ", ")
+    return let(_pieces(phrases), lambda ps: let(marked(ps, F.lit(0), rule), lambda found: let(whole(ps, found), lambda at: F.transform(
+        at, lambda s, i: span(ps, s, F.coalesce(F.get(at, i + 1), F.size(ps)))))))
 
 
 def srt_time(seconds, rounded: bool = True) -> Column:

@@ -253,6 +253,7 @@ def align_to_template(scenes: DataFrame, template: Sequence[str], run: str = "ru
 
 
 # ── cues ───────────────────────────────────────────────────────────────────
+#: Words of a block, and blocks of a stretch.
 CUE_BLOCK = 1024
 
 
@@ -261,9 +262,10 @@ def group_cues(words: DataFrame, doc: str = "doc", max_words: int = 3, max_s: fl
 
     ``words`` is (doc, idx, word, start_s, end_s) with idx dense from 0. Where a
     cue begins depends on the one before it, but a cue spans so few words that a
-    block of words is a small function from entry offset to exit offset. Blocks
-    are solved side by side, their functions chained per document over one tiny
-    row per block, and each block then emits the cues that begin in it.
+    block of words is a small map from entry offset to exit offset, found by one
+    fold from the block's end. Maps of neighbouring blocks compose to maps of
+    stretches, those chain per document (a row for a million words), and entries
+    go back down to the blocks, which then emit the cues that begin in them.
     """
     row = F.struct(F.col("idx").cast("bigint").alias("idx"), "word", "start_s", "end_s")
     blocks = words.withColumn("_b", F.floor(F.col("idx") / CUE_BLOCK)).groupBy(doc, "_b").agg(F.array_sort(F.collect_list(row)).alias("_w"))
@@ -281,29 +283,32 @@ def group_cues(words: DataFrame, doc: str = "doc", max_words: int = 3, max_s: fl
             n = n + F.when(fits, 1).otherwise(0)
         return n
 
-    blocks = blocks.withColumn("_j", F.transform("_w", lambda w, i: jump(i)))
+    blocks = blocks.withColumn("_j", F.transform("_w", lambda w, i: jump(i))).drop("_w")
+    # from the last word on: where a walk from here leaves the block, as words into the next; only the last few matter
+    ahead = F.array(*[F.lit(k) for k in range(max_words)])  # a walk that has already left
+    leave = F.aggregate(F.reverse("_j"), ahead, lambda a, j: F.slice(F.concat(F.array(F.get(a, j - 1)), a), 1, max_words))
+    maps = blocks.select(doc, "_b", leave.alias("_map"))
+    entries = _entries(maps, doc, max_words)
 
-    def begins(entry):
-        """Positions at which cues begin, given the first one."""
-        return F.aggregate(F.sequence(F.lit(0), F.col("_n") - 1),
-                           F.struct(entry.alias("at"), F.expr("cast(array() as array<int>)").alias("out")),
-                           lambda a, i: F.when(i == a["at"], F.struct((i + F.get("_j", i)).alias("at"), F.concat(a["out"], F.array(i)).alias("out"))).otherwise(a))
-
-    maps = blocks.withColumn("_exit", F.array(*[begins(F.lit(e))["at"] - F.col("_n") for e in range(max_words)]))
-    kind = words.schema[doc].dataType.simpleString()
-
-    def chain(pdf):
-        pdf = pdf.sort_values("_b")
-        at, out = 0, []
-        for exits in pdf["_exit"]:
-            out.append(at)
-            at = int(exits[at])
-        return pdf.assign(_entry=out)[[doc, "_b", "_entry"]]
-
-    entries = maps.select(doc, "_b", "_exit").groupBy(doc).applyInPandas(chain, f"{doc} {kind}, _b bigint, _entry int")
-    solved = blocks.join(entries, [doc, "_b"]).withColumn("_at", begins(F.col("_entry"))["out"])
+    walk = X.marked("_j", F.col("_entry"), lambda at, j, i: (i == at, F.when(i == at, i + j).otherwise(at)))
+    solved = blocks.join(entries, [doc, "_b"]).withColumn("_at", walk)
     cues = F.transform("_at", lambda i: F.struct(
         F.get("_ext", i)["idx"].alias("idx"), F.get("_ext", i)["start_s"].alias("start_s"),
         F.get("_ext", i + F.get("_j", i) - 1)["end_s"].alias("end_s"),
         F.array_join(F.transform(F.slice("_ext", i + 1, F.get("_j", i)), lambda w: F.upper(X.strip(w["word"]))), " ").alias("text")))
     return solved.select(doc, F.inline(cues))
+
+
+def _entries(maps: DataFrame, doc: str, width: int, stretch: int = CUE_BLOCK) -> DataFrame:
+    """(doc, _b, _entry): where each block is entered, from (doc, _b, _map) and an entry at 0 into the first."""
+    def along(steps, entry):
+        """Entries of consecutive maps, and the last exit behind them."""
+        return F.aggregate(steps, F.array(entry), lambda a, m: F.array_append(a, F.get(m["_map"], F.element_at(a, -1))))
+
+    laid = maps.withColumn("_s", F.floor(F.col("_b") / stretch)).groupBy(doc, "_s").agg(F.array_sort(F.collect_list(F.struct("_b", "_map"))).alias("_steps"))
+    through = laid.select(doc, "_s", F.array(*[F.aggregate("_steps", F.lit(e), lambda a, m: F.get(m["_map"], a)) for e in range(width)]).alias("_map"))
+    tops = through.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("_s", "_map"))).alias("_top"))
+    tops = tops.select(doc, F.posexplode(F.slice(along(F.col("_top"), F.lit(0)), F.lit(1), F.size("_top"))).alias("_s", "_in"))
+    inner = laid.join(tops.select(doc, F.col("_s").cast("bigint").alias("_s"), "_in"), [doc, "_s"])
+    inner = inner.select(doc, F.explode(F.arrays_zip(F.transform("_steps", lambda m: m["_b"]).alias("b"), F.slice(along(F.col("_steps"), F.col("_in")), F.lit(1), F.size("_steps")).alias("e"))).alias("z"))
+    return inner.select(doc, F.col("z.b").alias("_b"), F.col("z.e").alias("_entry"))
