@@ -167,11 +167,13 @@ def _page(r: random.Random) -> str:
 def train(pages: DataFrame, sample: int = 300, made: int = 500, longest: int = 200, largest: int = 1 << 18) -> Extractor:
     """Fit the field on ``made`` pages of rules and at most ``sample`` rows of ``pages`` that mark their article by an element.
 
-    The sample are the first rows by a hash of their page; pages over ``largest`` bytes or ``longest`` blocks are not
-    learned from. These bounds are on labelled rows only: every page is read whole when its text is extracted.
+    The sample are the distinct pages with the smallest hashes; pages over ``largest`` bytes or ``longest`` blocks are not
+    learned from. These bounds are on labelled rows only: every page is read whole when its text is extracted. Tasks
+    send the driver hashes to choose from, and then the pages of the chosen ones alone.
     """
-    marked = pages.select("html").where(F.col("html").rlike("(?i)<(article|main)[\\s>]") & (F.octet_length("html") <= largest))
-    rows = marked.orderBy(F.xxhash64("html"), "html").limit(sample).collect()
+    marked = pages.select("html", F.xxhash64("html").alias("h")).where(F.col("html").rlike("(?i)<(article|main)[\\s>]") & (F.octet_length("html") <= largest))
+    chosen = [r.h for r in marked.select("h").distinct().orderBy("h").limit(sample).collect()]
+    rows = marked.where(F.col("h") <= chosen[-1]).groupBy("h").agg(F.min("html").alias("html")).orderBy("h").collect() if chosen else []
     own = [x for r in rows if (x := labelled(r.html))]
     return Extractor(crf.fit([x for x in [*own, *made_pages(made)] if len(x[1]) <= longest]))
 
