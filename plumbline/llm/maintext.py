@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import random
-from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -32,9 +31,6 @@ SIGNS = "©·|»›→"
 
 def features(blocks: list[Block]) -> list[crf.Step]:
     """What the field sees of each block: the elements above it, the shape of its text, its place, and its neighbourhood."""
-    chars = Counter()
-    for b in blocks:
-        chars[b.parent if b.tag not in ("p", "li", "td", "h1", "h2", "h3") else -1] += len(b.text)
     total = sum(len(b.text) for b in blocks) or 1
     out, title, n = [], False, len(blocks)
     for i, b in enumerate(blocks):
