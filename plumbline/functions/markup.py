@@ -29,12 +29,14 @@ class Node:
     def first(self, *tags):
         return next(self.all(*tags), None)
 
-    def strings(self):
+    def strings(self, drop=None):
+        """All texts below in order, without those of nodes that ``drop`` accepts."""
         stack = list(reversed(self.kids))
         while stack:
             k = stack.pop()
             if isinstance(k, Node):
-                stack.extend(reversed(k.kids))
+                if drop is None or not drop(k):
+                    stack.extend(reversed(k.kids))
             else:
                 yield k
 

@@ -94,10 +94,8 @@ def find_quotes(quotes: DataFrame, docs: DataFrame, quote_id: str = "item_id", q
     return found.join(every, "_q").select(quote_id, "copies", doc_id, "char_offset")
 
 
-def gate_facts(facts: DataFrame, docs: DataFrame, on: str = "doc_id", quote: str = "quote", value: str = "value",
-               text: str = "text") -> DataFrame:
-    """Facts plus status ('kept'/'dropped'), reason and char_offset."""
-    located = locate_verbatim(facts, docs, on, quote, text)
+def judge_facts(located: DataFrame, quote: str = "quote", value: str = "value") -> DataFrame:
+    """Status ('kept'/'dropped') and reason of rows that carry ``char_offset``; row by row, so streams can be judged too."""
     groups = X.words(F.regexp_replace(value, r"[^\p{Nd}.]", " "))
     inside = X.let(X.normalize_for_match(quote), lambda q: F.forall(groups, lambda g: F.contains(q, g)))
     reason = F.when(F.col("char_offset").isNull(), "not located in canonical text").when(~inside, "value digits not inside the quote")
@@ -106,6 +104,12 @@ def gate_facts(facts: DataFrame, docs: DataFrame, on: str = "doc_id", quote: str
             .withColumn("char_offset", F.when(F.col("reason").isNull(), F.col("char_offset"))))
 
 
+def gate_facts(facts: DataFrame, docs: DataFrame, on: str = "doc_id", quote: str = "quote", value: str = "value",
+               text: str = "text") -> DataFrame:
+    """Facts plus status ('kept'/'dropped'), reason and char_offset."""
+    return judge_facts(locate_verbatim(facts, docs, on, quote, text), quote, value)
+
+
 def fact_yield(docs: DataFrame, gated: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: sentences mined, facts kept and dropped, and the failure if there is one."""
     mined = docs.select(id, F.size(X.numeric_sentence_array(text)).cast("bigint").alias("mined"))

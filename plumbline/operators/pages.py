@@ -11,6 +11,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F
 
 from plumbline import constants as K
@@ -68,7 +69,6 @@ def title_of(html) -> Column:
 
 
 # ── parser path ────────────────────────────────────────────────────────────
-CONTAINER = ("array<struct<pos:int,has_link:boolean,plain_title:boolean,n_text:int,title:string,html:string,body:string,text:string>>")
 ELEMENTS = "array<struct<kind:string,pos:int,url:string,text:string,note:string,mark:string>>"
 
 
@@ -87,53 +87,53 @@ def _is_boilerplate(node):
     return False
 
 
-def _containers(source, url, names):
+def _post(source, url, names):
+    """The chosen container of one page, read off its one tree: (strategy, title, body source, text); strategy None without any."""
     from plumbline.functions import markup as M
 
-    root, out = M.parse(source), []
-    for name in names:
-        for box in root.all("div"):
-            if not _classed(box, name):
-                continue
-            head = next((h for h in box.all("h3") if h.get("class") == "post-title entry-title"), None)
-            titled = next((d for d in box.all("div") if _classed(d, "post-title-container")), None)
-            title = ""
-            if titled is not None:
-                h = next((h for h in titled.all("h3") if h.get("class") == "post-title entry-title"), None)
-                title = h.text(trim=True) if h is not None else ""
-            title = title or next((t for t in (h.text(trim=True) for h in box.all("h1", "h2", "h3")) if t), "")
-            entry = next((d for d in box.all("div") if d.get("class") == "post-body entry-content"), box)
-            body = M.without(source, entry, _is_boilerplate)
-            clean = M.parse(M.without(body, M.parse(body), lambda n: n.tag in ("script", "style")))
-            out.append({"pos": len(out), "has_link": any(a.attrs.get("href") == url for a in box.all("a")),
-                        "plain_title": head is not None and head.first("a") is None, "n_text": len(box.text()),
-                        "title": title, "html": source[box.begin:box.end], "body": body, "text": clean.text()})
-    return out
+    root = M.parse(source)
+    boxes = [box for name in names for box in root.all("div") if _classed(box, name)]
+    if not boxes:
+        return None, None, None, None
+
+    def headline(box):
+        return next((h for h in box.all("h3") if h.get("class") == "post-title entry-title"), None)
+
+    linking = next((b for b in boxes if any(a.attrs.get("href") == url for a in b.all("a"))), None)
+    plain = None if linking is not None else next((b for b in boxes if (h := headline(b)) is not None and h.first("a") is None), None)
+    # of several of one length the first
+    box = linking if linking is not None else plain if plain is not None else max(boxes, key=lambda b: sum(map(len, b.strings())))
+    titled = next((d for d in box.all("div") if _classed(d, "post-title-container")), None)
+    head = headline(titled) if titled is not None else None
+    title = head.text(trim=True) if head is not None else ""
+    title = title or next((t for t in (h.text(trim=True) for h in box.all("h1", "h2", "h3")) if t), "")
+    entry = next((d for d in box.all("div") if d.get("class") == "post-body entry-content"), box)
+    text = "".join(entry.strings(lambda n: n.tag in ("script", "style") or _is_boilerplate(n)))
+    return 1 if linking is not None else 2 if plain is not None else 3, title, M.without(source, entry, _is_boilerplate), text
 
 
 def isolate_main(pages: DataFrame, names: Sequence[str] = ("post-body-container", "post-outer"),
-                 id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """One post per page: (id, url, strategy, title, body_html, canonical_text); strategy NULL means no container.
+                 id: str = "page_id", url: str = "url", html: str = "html", carry: Sequence[str] = ()) -> DataFrame:
+    """One post per page: (id, url, carry…, strategy, title, body_html, canonical_text); strategy NULL means no container.
 
     Order of choice: a container linking to the page itself, then one whose
-    title is not a link, then the longest one.
+    title is not a link, then the longest one. A page is parsed once, and only
+    the chosen container leaves the task. Works on streams; ``carry`` columns go along.
     """
-    names = list(names)
+    names, keep = list(names), [id, url, *carry]
+    made = ["strategy", "title", "body_html", "_text"]
 
     def run(batches):
         for pdf in batches:
-            pdf["_boxes"] = [_containers(h, u, names) for h, u in zip(pdf[html], pdf[url])]
-            yield pdf[[id, url, "_boxes"]]
-
-    key_type, url_type = pages.schema[id].dataType.simpleString(), pages.schema[url].dataType.simpleString()
-    boxes = pages.select(id, url, html).mapInPandas(run, f"{id} {key_type}, {url} {url_type}, _boxes {CONTAINER}")
-    ranked = F.transform("_boxes", lambda b: F.struct(
-        F.when(b["has_link"], 1).when(b["plain_title"], 2).otherwise(3).alias("strategy"),
-        F.when(b["has_link"] | b["plain_title"], 0).otherwise(-b["n_text"]).alias("_size"), b["pos"].alias("_pos")))
-    best = F.array_min(ranked)
-    out = boxes.withColumn("_best", best).withColumn("_box", F.get("_boxes", F.col("_best")["_pos"]))
-    return out.select(id, url, F.col("_best")["strategy"].alias("strategy"), F.col("_box")["title"].alias("title"),
-                      F.col("_box")["body"].alias("body_html"), tidy_lines(F.col("_box")["text"]).alias("canonical_text"))
+            found = [_post(h, u, names) for h, u in zip(pdf[html], pdf[url])]
+            out = pdf[keep].copy()
+            for k, name in enumerate(made):
+                out[name] = pd.array([f[k] for f in found], dtype="Int32" if name == "strategy" else object)
+            yield out
+
+    kept = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep)
+    posts = pages.select(*keep, html).mapInPandas(run, f"{kept}, strategy int, title string, body_html string, _text string")
+    return posts.select(*keep, "strategy", "title", "body_html", tidy_lines("_text").alias("canonical_text"))
 
 
 def quarantine(posts: DataFrame, id: str = "page_id", url: str = "url") -> DataFrame:

@@ -23,9 +23,12 @@ POSTS_SQL = f"""posts AS (SELECT page_id, url,
   replace(replace(html, '<article>', {_OPEN}), '</article>', {_TAIL}) AS html FROM pages)"""
 
 
+def post_html():
+    return F.expr(f"replace(replace(html, '<article>', {_OPEN}), '</article>', {_TAIL})")
+
+
 def posts(read):
-    return read("pages").select("page_id", "url", F.expr(
-        f"replace(replace(html, '<article>', {_OPEN}), '</article>', {_TAIL})").alias("html"))
+    return read("pages").select("page_id", "url", post_html().alias("html"))
 
 
 def canon_sql(c: str) -> str:
@@ -97,10 +100,11 @@ def canonical_text(read):
     return read("pages").select("page_id", P.canonical_text(article).alias("canonical_text"))
 
 
-@query("E5", f"""
-WITH {POSTS_SQL},
-c AS (SELECT page_id, 1 AS marker, 'https://doi.org/10.1/' || page_id AS url FROM posts UNION ALL SELECT page_id, 2, url FROM posts)
-SELECT page_id, marker, url, CASE WHEN contains(url, 'doi.org') THEN 'paper' ELSE 'web' END AS kind FROM c""")
+CITATIONS_SQL = """c AS (SELECT page_id, 1 AS marker, 'https://doi.org/10.1/' || page_id AS url FROM posts UNION ALL SELECT page_id, 2, url FROM posts),
+cites AS (SELECT page_id, marker, url, CASE WHEN contains(url, 'doi.org') THEN 'paper' ELSE 'web' END AS kind FROM c)"""
+
+
+@query("E5", f"WITH {POSTS_SQL}, {CITATIONS_SQL} SELECT * FROM cites")
 def extract_citations(read):
     return P.extract_citations(P.html_extract(posts(read)))
 

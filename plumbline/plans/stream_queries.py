@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 from plumbline.plans.registry import query
 from plumbline.plans.segment_queries import CUES_SQL
-from plumbline.plans.page_queries import canon_sql
-from plumbline.plans.sqlkit import sentences
+from plumbline.plans.page_queries import _CLEAN, CITATIONS_SQL, POSTS_SQL, canon_sql, post_html
+from plumbline.plans.sqlkit import norm, sentences, words
 from plumbline.session import shared_dir
 from plumbline.streaming import jobs as J
 
@@ -38,6 +38,56 @@ def stream_page_facts(read):
     return J.run_to_table(J.page_facts(pages), "page-facts")
 
 
+# every seventh page keeps its own markup, in which there is no post
+_HELD = "page_id % 7 = 3"
+
+
+def _post_stream(read):
+    """Pages as they arrive -> the table of their posts, read as a stream."""
+    pages = _stream(read, "pages")
+    made = pages.select("page_id", "url", F.when(F.expr(_HELD), F.col("html")).otherwise(post_html()).alias("html"), _minute().alias("ts"))
+    return J.run_posts(made)
+
+
+def _minute():
+    return F.timestamp_seconds(F.lit(1_700_000_000) + F.col("page_id") * 60)
+
+
+_WITH_POSTS = f"{POSTS_SQL}, t AS (SELECT page_id, url, html, {canon_sql(_CLEAN)} AS text FROM posts WHERE NOT ({_HELD}))"
+
+
+@query("X1", f"SELECT page_id, 'no post container' AS reason FROM pages WHERE {_HELD}")
+def stream_post_errors(read):
+    """The error stream: pages held back because there is no post in them."""
+    return J.run_to_table(J.post_errors(_post_stream(read)), "post-errors").select("page_id", "reason")
+
+
+@query("X1", f"""WITH {_WITH_POSTS}, s AS (SELECT page_id, {sentences('text')} AS s FROM t), m AS (SELECT page_id, s[i] AS sentence, min(i) AS f FROM s, range(1, len(s) + 1) r(i) WHERE regexp_matches(s[i], '[0-9]') GROUP BY ALL)
+SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY f) - 1 AS pos, sentence FROM m""")
+def stream_post_sentences(read):
+    return J.run_to_table(J.post_sentences(_post_stream(read)), "post-sentences")
+
+
+@query("X1", f"""WITH {_WITH_POSTS}, f AS (SELECT page_id, text, i AS fact_id, CASE i WHEN 0 THEN 'Tank ' || page_id || ' seen' WHEN 1 THEN 'teaser 150,000' ELSE 'tank  ' || page_id || ' SEEN' END AS quote,
+  CASE i WHEN 0 THEN '' || page_id WHEN 1 THEN '150' ELSE '9' || page_id END AS value FROM t, range(3) r(i)),
+g AS (SELECT *, CASE WHEN contains({norm('text')}, {norm('quote')}) THEN strpos({norm('text')}, {norm('quote')}) - 1 END AS off, len(list_filter({words("regexp_replace(value, '[^0-9.]', ' ', 'g')")}, lambda w: NOT contains({norm('quote')}, w))) AS missing FROM f)
+SELECT page_id, fact_id, CASE WHEN off IS NULL OR missing > 0 THEN 'dropped' ELSE 'kept' END AS status, CASE WHEN off IS NULL THEN 'not located in canonical text' WHEN missing > 0 THEN 'value digits not inside the quote' END AS reason,
+  CASE WHEN missing = 0 THEN off END AS char_offset FROM g""")
+def stream_gated_facts(read):
+    """Facts that a model gave for the pages, a stream of their own, joined to the stream of posts and judged."""
+    page = F.col("page_id").cast("string")
+    fact = lambda n, quote, value: F.struct(F.lit(n).cast("bigint").alias("fact_id"), quote.alias("quote"), value.alias("value"))
+    made = F.array(fact(0, F.concat(F.lit("Tank "), page, F.lit(" seen")), page), fact(1, F.lit("teaser 150,000"), F.lit("150")),
+                   fact(2, F.concat(F.lit("tank  "), page, F.lit(" SEEN")), F.concat(F.lit("9"), page)))
+    facts = _stream(read, "pages").select("page_id", _minute().alias("ts"), F.inline(made))
+    return J.run_to_table(J.gated_facts(_post_stream(read), facts), "gated-facts")
+
+
+@query("X1", f"WITH {POSTS_SQL}, {CITATIONS_SQL} SELECT * FROM cites WHERE NOT ({_HELD})")
+def stream_post_citations(read):
+    return J.run_to_table(J.post_citations(_post_stream(read)), "post-citations")
+
+
 @query("X2", "SELECT DISTINCT user_id || '/' || event_type AS key FROM events")
 def stream_first_seen(read):
     e = _stream(read, "events").select("ts", F.concat(F.col("user_id").cast("string"), F.lit("/"), "event_type").alias("key"))

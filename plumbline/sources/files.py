@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -140,9 +141,11 @@ def append_history(rows: DataFrame, path: str, now: str) -> None:
     with_created_at(rows, now).write.mode("append").parquet(path)
 
 
-def append_batch(rows: DataFrame, path: str, batch_id: int) -> None:
-    """Idempotent append of one stream batch: a repeated batch replaces its own folder only."""
-    rows.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def append_batch(rows: DataFrame, path: str, batch_id: int, run: str = "batches") -> None:
+    """Idempotent append of one batch of one run: repeated, it replaces its own folder only."""
+    if not re.fullmatch(r"[\w.-]+", run):
+        raise ValueError(f"a run's name becomes a folder: {run!r}")
+    rows.write.mode("overwrite").parquet(f"{path}/run={run}/batch_id={int(batch_id)}")
 
 
 def review_queue(decisions: DataFrame, runs: DataFrame, scenes: DataFrame, now: str) -> tuple[DataFrame, DataFrame]:
@@ -152,7 +155,20 @@ def review_queue(decisions: DataFrame, runs: DataFrame, scenes: DataFrame, now:
     return head, scenes.join(held, "run_id", "left_semi").select("run_id", "scene", "overall")
 
 
-def write_review_queue(decisions: DataFrame, runs: DataFrame, scenes: DataFrame, path: str, now: str) -> None:
+def write_review_queue(decisions: DataFrame, runs: DataFrame, scenes: DataFrame, path: str, now: str, run: str = "batches", batch_id: int = 0) -> None:
+    """Both tables of one batch, under one key.
+
+    Scenes go first, so a head never stands without its scenes; a batch that failed between the two is repeated with
+    the same key and replaces both of its folders.
+    """
     head, rows = review_queue(decisions, runs, scenes, now)
-    head.write.mode("append").parquet(f"{path}/queue")
-    rows.write.mode("append").parquet(f"{path}/scenes")
+    append_batch(rows, f"{path}/scenes", batch_id, run)
+    append_batch(head, f"{path}/queue", batch_id, run)
+
+
+def read_review_queue(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """(queue, queue_scenes): every head, and the scenes of heads that are there; scenes of an unfinished batch wait."""
+    head = spark.read.parquet(f"{path}/queue")
+    rows = spark.read.parquet(f"{path}/scenes")
+    done = head.select("run", "batch_id", "run_id")
+    return head, rows.join(done, ["run", "batch_id", "run_id"], "left_semi")
