@@ -41,12 +41,12 @@ def rank_all(df: DataFrame, by: Sequence[str], order: Sequence[str], rank: str =
     """Rank of every row per group, by ascending ``order``, also of groups or ties too large for one task.
 
     Rows are dealt by splitters that Spark samples from (group, order), so equal scores part where their keys do; a
-    row's rank is its place in its task's stretch of the group plus the lengths of the stretches before.
+    row's rank is its place in its task's stretch of the group plus the lengths of the stretches before. NULL is a group.
     """
     at = [*by, *order]
-    rows = cut(df.repartitionByRange(*at).sortWithinPartitions(*at).withColumn("_at", F.monotonically_increasing_id()), "ranked")
-    out = scan(rows, list(by), ["_at"], sums={rank: F.lit(1)}, block=F.shiftright("_at", 33))
-    return out.withColumn(rank, (F.col(rank) + 1).cast("bigint")).drop("_at")
+    rows = df.repartitionByRange(*at).sortWithinPartitions(*at).withColumns({"_at": F.monotonically_increasing_id(), "_key": F.struct(*by)})
+    out = scan(cut(rows, "ranked"), ["_key"], ["_at"], sums={rank: F.lit(1)}, block=F.shiftright("_at", 33))
+    return out.withColumn(rank, (F.col(rank) + 1).cast("bigint")).drop("_at", "_key")
 
 
 def match_by_tokens(wishes: DataFrame, assets: DataFrame, wish_id: str = "wish_id", asset_id: str = "path",
@@ -160,12 +160,13 @@ def pre_gates(cands: DataFrame, keys: Sequence[str] = ("segment_id", "tier"), or
     return out.withColumn("reason", reason).drop("_bad", "_key", "_first")
 
 
-def acquire_ladder(segments: DataFrame, cands: DataFrame, bypass: bool = False, per_tier: int = K.PER_TIER_CANDIDATES) -> tuple[DataFrame, DataFrame]:
+def acquire_ladder(segments: DataFrame, cands: DataFrame, bypass: bool = False, per_tier: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(choice, decisions) over the tiers own, blog, api, scrape.
 
     ``cands``: segment_id, tier, ord, url, gate_reason (a hard reject, never
-    judged), reject_reason and score of the judge. A tier ends after ``per_tier``
-    judged rows; the first accepted row ends the search of its segment.
+    judged), reject_reason and score of the judge. The first accepted row ends
+    the search of its segment; with ``per_tier``, a tier ends after so many
+    judged rows.
     """
     wish = F.coalesce(X.strip("wish"), F.lit(""))
     if bypass:
@@ -176,10 +177,12 @@ def acquire_ladder(segments: DataFrame, cands: DataFrame, bypass: bool = False,
     tier_no = F.array_position(X.strings(TIERS), F.col("tier")).cast("int")
     need = F.create_map(*[F.lit(x) for kv in K.TIER_THRESHOLDS.items() for x in kv])
     c = cands.join(live, "segment_id", "left_semi").withColumn("_t", tier_no)
-    judged = c.where("gate_reason IS NULL")
-    last = top(judged, ["segment_id", "_t"], [F.asc("ord")], per_tier, "_r").groupBy("segment_id", "_t").agg(
-        F.count("*").alias("_n"), F.max("ord").alias("_cut")).where(F.col("_n") == per_tier).drop("_n")
-    seen = c.join(last, ["segment_id", "_t"], "left").where(F.col("_cut").isNull() | (F.col("ord") <= F.col("_cut")))
+    seen = c
+    if per_tier is not None:
+        judged = c.where("gate_reason IS NULL")
+        last = top(judged, ["segment_id", "_t"], [F.asc("ord")], per_tier, "_r").groupBy("segment_id", "_t").agg(
+            F.count("*").alias("_n"), F.max("ord").alias("_cut")).where(F.col("_n") == per_tier).drop("_n")
+        seen = c.join(last, ["segment_id", "_t"], "left").where(F.col("_cut").isNull() | (F.col("ord") <= F.col("_cut")))
     ok = F.col("gate_reason").isNull() & F.col("reject_reason").isNull() & (F.col("score") >= need[F.col("tier")])
     seen = seen.withColumn("accepted", F.coalesce(ok, F.lit(False)))
     won = seen.where("accepted").groupBy("segment_id").agg(F.min_by(F.struct("_t", "ord", "tier", "url", "score"), F.struct("_t", "ord")).alias("_w"))
@@ -197,9 +200,11 @@ def provenance_summary(decisions: DataFrame) -> DataFrame:
     return decisions.groupBy("segment_id", "tier", "reason").agg(F.count("*").alias("rows"))
 
 
-def round_robin(results: DataFrame, query: str = "query", provider: str = "provider", ord: str = "ord", limit: int = K.PER_TIER_CANDIDATES) -> DataFrame:
-    """Interleave providers by their own rank; only ``limit`` rows per provider can matter."""
-    per = top(results, [query, provider], [F.asc(ord)], limit, "_r")
+def round_robin(results: DataFrame, query: str = "query", provider: str = "provider", ord: str = "ord", limit: int | None = None) -> DataFrame:
+    """Interleave providers by their own rank: ``position`` of every row of a query, or of the first ``limit`` rows."""
+    if limit is None:
+        return rank_all(rank_all(results, [query, provider], [ord], "_r"), [query], ["_r", provider], "position").drop("_r")
+    per = top(results, [query, provider], [F.asc(ord)], limit, "_r")  # no more rows of a provider can matter
     return top(per, [query], [F.asc("_r"), F.asc(provider)], limit, "position").drop("_r")
 
 
@@ -246,19 +251,24 @@ def rerank(ranked: DataFrame, scores: DataFrame, scene: str = "scene_id", rank:
     return keep.select(*cols).unionByName(moved.select(*cols)).unionByName(rest.select(*cols))
 
 
-def select_best(shortlist: DataFrame, verdicts: DataFrame, exclude: DataFrame | None = None, scene: str = "scene_id") -> tuple[DataFrame, DataFrame]:
-    """(choice, kept). Of the first twelve: excluded, duplicate and unjudged rows out, best verdicts first, three kept.
+def select_best(shortlist: DataFrame, verdicts: DataFrame, exclude: DataFrame | None = None, scene: str = "scene_id",
+                first: int | None = None, keep: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(choice, kept). Excluded, duplicate and unjudged rows out, best verdicts first; the best one chosen if good enough.
 
-    ``shortlist``: scene, rank, url, quality, is_dup. ``verdicts``: scene, url, verdict (NULL: no judgement).
+    ``shortlist``: scene, rank, url, quality, is_dup. ``verdicts``: scene, url, verdict (NULL: no judgement). Every row
+    can be chosen and is kept with its ``place``, unless only the ``first`` ranks count, or ``keep`` places are wanted.
     """
-    rows = shortlist.where((F.col("rank") <= K.SELECT_SHORTLIST) & ~F.col("is_dup"))
+    rows = shortlist.where(~F.col("is_dup"))
+    if first is not None:
+        rows = rows.where(F.col("rank") <= first)
     if exclude is not None:
         rows = rows.join(exclude, [scene, "url"], "left_anti")
-    judged = rows.join(verdicts.where("verdict IS NOT NULL"), [scene, "url"])
-    kept = top(judged, [scene], [F.desc("verdict"), F.desc("quality"), F.asc("rank")], 3, "place")
-    good = kept.where(F.col("verdict") >= K.SELECT_MIN).groupBy(scene).agg(F.min_by("url", "place").alias("url"))
+    judged = rows.join(verdicts.where("verdict IS NOT NULL"), [scene, "url"]).withColumns({"_v": -F.col("verdict"), "_q": -F.col("quality")})
+    by = ["_v", "_q", "rank"]
+    kept = rank_all(judged, [scene], by, "place") if keep is None else top(judged, [scene], [F.asc(c) for c in by], keep, "place")
+    good = judged.where(F.col("verdict") >= K.SELECT_MIN).groupBy(scene).agg(F.min_by("url", F.struct(*by)).alias("url"))
     choice = shortlist.select(scene).distinct().join(good, scene, "left").withColumn("degraded", F.col("url").isNull())
-    return choice, kept
+    return choice, kept.drop("_v", "_q")
 
 
 def prefer_own(own: DataFrame, external: DataFrame, scene: str = "scene_id", least: int = K.OWN_PREFER_MIN) -> DataFrame:

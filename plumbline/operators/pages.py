@@ -174,7 +174,7 @@ def _elements(source, base, card_class, sup_class):
             fig = n.up
             while fig is not None and fig.tag != "figure":
                 fig = fig.up
-            put("image", src, n.get("alt"), n.up.text(" ", trim=True)[:200], joined(src.strip()) or "")
+            put("image", src, n.get("alt"), n.up.text(" ", trim=True), joined(src.strip()) or "")
             put("bare_figure", (joined(lazy) or "") if lazy and not lazy.startswith("data:") else "", n.get("alt").strip(),
                 (n.get("alt") + " " + " ".join(n.classes())).lower())
         elif n.tag == "figure":
@@ -236,8 +236,9 @@ def extract_images(extracted: DataFrame, id: str = "page_id") -> DataFrame:
     return _numbered(extracted, id, imgs, ("url", "text")).select(id, "pos", F.col("url").alias("src"), F.col("text").alias("alt"))
 
 
-def content_images(extracted: DataFrame, id: str = "page_id") -> DataFrame:
-    """(id, pos, url, alt, context): images that are not decoration, with absolute URLs."""
+def content_images(extracted: DataFrame, id: str = "page_id", context_chars: int | None = None) -> DataFrame:
+    """(id, pos, url, alt, context): images that are not decoration, with absolute URLs; ``context`` is the whole text around one unless cut."""
+    context = F.col("note") if context_chars is None else F.left("note", F.lit(context_chars))
     decorative = "(?i)" + K.DECORATIVE_NAME
 
     def keep(e):
@@ -247,7 +248,7 @@ def content_images(extracted: DataFrame, id: str = "page_id") -> DataFrame:
                 & ~F.rlike(name, F.lit(decorative)) & ~F.rlike(e["text"], F.lit(decorative)) & (e["mark"] != ""))
 
     return _numbered(extracted, id, F.filter(_of("image"), keep), ("mark", "text", "note")).select(
-        id, "pos", F.col("mark").alias("url"), F.col("text").alias("alt"), F.col("note").alias("context"))
+        id, "pos", F.col("mark").alias("url"), F.col("text").alias("alt"), context.alias("context"))
 
 
 def image_size_gate(w, h, n_bytes) -> Column:
@@ -285,23 +286,26 @@ def social_preview(extracted: DataFrame, id: str = "page_id") -> DataFrame:
                             F.coalesce(meta("og:title"), title, F.col("url")).alias("title")).where("image IS NOT NULL")
 
 
-def page_figures(extracted: DataFrame, limit: int = 3, id: str = "page_id") -> DataFrame:
-    """(id, pos, url, caption): up to ``limit`` figures; bare images only where a page has no figure."""
+def page_figures(extracted: DataFrame, limit: int | None = None, id: str = "page_id") -> DataFrame:
+    """(id, pos, url, caption): the figures, or the first ``limit``; bare images only where a page has no figure."""
     usable = lambda e: (e["url"] != "") & (e["text"] != "")
     figures = F.filter(_of("figure"), usable)
     bare = F.filter(_of("bare_figure"), lambda e: usable(e) & X.any_contains(e["note"], K.FIGURE_WORDS))
-    chosen = F.slice(F.when(F.size(figures) > 0, figures).otherwise(bare), 1, limit)
+    chosen = F.when(F.size(figures) > 0, figures).otherwise(bare)
+    chosen = chosen if limit is None else F.slice(chosen, 1, limit)
     return _numbered(extracted, id, chosen, ("url", "text")).select(id, "pos", "url", F.col("text").alias("caption"))
 
 
-def page_source_table(extracted: DataFrame, rendered: DataFrame, id: str = "page_id") -> DataFrame:
+def page_source_table(extracted: DataFrame, rendered: DataFrame, id: str = "page_id", caption_chars: int | None = None) -> DataFrame:
     """Usable sources of a page: content images and rendered pages of authority PDFs.
 
-    ``rendered`` holds (id, url, page_no) for every document page that could be rendered.
+    ``rendered`` holds (id, url, page_no) for every document page that could be rendered. An image without a text of
+    its own is captioned by what stands around it, up to ``caption_chars`` if given.
     """
+    around = F.col("context") if caption_chars is None else F.left("context", F.lit(caption_chars))
     imgs = content_images(extracted, id).select(
         id, F.lit("inline_image").alias("source_type"), F.col("url").alias("source_url"), F.col("pos"),
-        F.when(F.col("alt") != "", F.col("alt")).otherwise(F.left("context", F.lit(80))).alias("caption"),
+        F.when(F.col("alt") != "", F.col("alt")).otherwise(around).alias("caption"),
         X.tokens_alpha(F.concat_ws(" ", "alt", "context"), K.STOP_SOURCE).alias("tokens"))
     pdfs = authority_links(extracted, id).where(F.endswith(F.lower("url"), F.lit(".pdf"))).join(rendered, [id, "url"])
     pdfs = pdfs.select(id, F.lit("pdf_page").alias("source_type"), F.col("url").alias("source_url"), F.col("pos"),

@@ -153,8 +153,7 @@ _THR = "CASE tier " + " ".join(f"WHEN {lit(k)} THEN {v}" for k, v in K.TIER_THRE
 _LADDER = f"""{_GATE},
 lc AS (SELECT segment_id, tier, ord, url, CASE WHEN tier <> 'own' THEN reason END AS gate_reason, CASE WHEN ord % 9 = 0 THEN 'refusal_phrase' END AS reject_reason, (ord * 7 + segment_id) % 8 AS score,
    list_position({lits(M.TIERS)}, tier) AS t FROM gated WHERE segment_id % 10 <> 3),
-lj AS (SELECT *, count(CASE WHEN gate_reason IS NULL THEN 1 END) OVER (PARTITION BY segment_id, t ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM lc),
-ls AS (SELECT *, gate_reason IS NULL AND reject_reason IS NULL AND score >= {_THR} AS accepted FROM lj WHERE before < 8),
+ls AS (SELECT *, gate_reason IS NULL AND reject_reason IS NULL AND score >= {_THR} AS accepted FROM lc),
 lw AS (SELECT segment_id, arg_min(ord, t * 1000000000000000 + ord) AS word, min(t * 1000000000000000 + ord) AS wkey FROM ls WHERE accepted GROUP BY 1),
 ld AS (SELECT ls.*, wkey FROM ls LEFT JOIN lw USING (segment_id) WHERE wkey IS NULL OR t * 1000000000000000 + ord <= wkey)"""
 
@@ -186,7 +185,7 @@ def provenance_summary(read):
 
 @query("M8", """WITH r AS (SELECT lang AS query, source AS provider, doc_id, row_number() OVER (PARTITION BY lang, source ORDER BY doc_id) AS r FROM documents),
 p AS (SELECT query, provider, doc_id, row_number() OVER (PARTITION BY query ORDER BY r, provider) AS position FROM r)
-SELECT * FROM p WHERE position <= 8""")
+SELECT * FROM p""")
 def round_robin(read):
     d = read("documents").select(F.col("lang").alias("query"), F.col("source").alias("provider"), "doc_id")
     return M.round_robin(d, ord="doc_id").withColumn("position", F.col("position").cast("bigint"))
@@ -251,13 +250,13 @@ def rerank(read):
 
 
 @query("M11", f"""WITH {_RANKED},
-sl AS (SELECT scene_id, rank, 'u' || cand AS url, quality, CASE WHEN cand % 7 = 0 THEN NULL ELSE cand % 11 END AS verdict FROM ranked WHERE rank <= 12 AND cand % 13 <> 0 AND cand % 10 <> 1),
+sl AS (SELECT scene_id, rank, 'u' || cand AS url, quality, CASE WHEN cand % 7 = 0 THEN NULL ELSE cand % 11 END AS verdict FROM ranked WHERE cand % 13 <> 0 AND cand % 10 <> 1),
 kp AS (SELECT *, row_number() OVER (PARTITION BY scene_id ORDER BY verdict DESC, quality DESC, rank) AS place FROM sl WHERE verdict IS NOT NULL),
-ch AS (SELECT scene_id, arg_min(url, place) AS url FROM kp WHERE place <= 3 AND verdict >= 6 GROUP BY 1)
+ch AS (SELECT scene_id, arg_min(url, place) AS url FROM kp WHERE verdict >= 6 GROUP BY 1)
 SELECT scene_id, url, url IS NULL AS degraded FROM (SELECT DISTINCT scene_id FROM ranked) s LEFT JOIN ch USING (scene_id)""")
 def select_best(read):
-    rows = _ranked(read)
-    ranked = M.top(rows, ["scene_id"], [F.desc("context"), F.desc("quality"), F.asc("cand")], K.SELECT_SHORTLIST)  # what can be chosen; cut per task
+    rows = _ranked(read).withColumns({"_c": -F.col("context"), "_q": -F.col("quality")})
+    ranked = cut(M.rank_all(rows, ["scene_id"], ["_c", "_q", "cand"]).drop("_c", "_q"), "shortlist")
     url = F.concat(F.lit("u"), F.col("cand").cast("string"))
     sl = ranked.select("scene_id", "rank", url.alias("url"), "quality", (F.col("cand") % 13 == 0).alias("is_dup"))
     verdicts = ranked.select("scene_id", url.alias("url"), F.when(F.col("cand") % 7 == 0, None).otherwise(F.col("cand") % 11).alias("verdict"))

@@ -194,7 +194,7 @@ _HOST = "regexp_extract(url, '^[a-z]+://[^/?#]*')"
 
 
 @query("E12", f"""
-WITH f AS (SELECT page_id, url, unnest(CASE WHEN page_id % 2 = 0 THEN [{{'p': 0, 'u': '/f/1.png', 'c': 'Flow of ' || page_id}}, {{'p': 1, 'u': '/f/2.png', 'c': 'two'}}, {{'p': 2, 'u': '/f/3.png', 'c': 'three'}}]
+WITH f AS (SELECT page_id, url, unnest(CASE WHEN page_id % 2 = 0 THEN [{{'p': 0, 'u': '/f/1.png', 'c': 'Flow of ' || page_id}}, {{'p': 1, 'u': '/f/2.png', 'c': 'two'}}, {{'p': 2, 'u': '/f/3.png', 'c': 'three'}}, {{'p': 3, 'u': '/f/4.png', 'c': 'four'}}]
   ELSE [{{'p': 0, 'u': '/g/1.png', 'c': 'A Chart of ' || page_id}}, {{'p': 1, 'u': '/g/3.png', 'c': 'third'}}] END) AS x FROM pages)
 SELECT page_id, x.p AS pos, {_HOST} || x.u AS url, x.c AS caption FROM f""")
 def page_figures(read):

@@ -48,17 +48,21 @@ class Provider:
     limit_first: bool = True                         # cut the response before dropping rows without URL
 
 
-def _archive(d):
+def _upto(c, chars):
+    return c if chars is None else F.left(c, F.lit(chars))
+
+
+def _archive(d, chars=None):
     many = F.from_json(d["description"], "array<string>")
     desc = X.strip(F.when(F.startswith(F.coalesce(d["description"], F.lit("")), F.lit("[")), F.array_join(many, " ")).otherwise(F.coalesce(d["description"], F.lit(""))))
     title = _or(d["title"], d["identifier"])
-    cap = F.when(desc != "", F.left(F.concat(title, F.lit(": "), desc), F.lit(300))).otherwise(title)
+    cap = F.when(desc != "", _upto(F.concat(title, F.lit(": "), desc), chars)).otherwise(title)
     secs = X.parse_runtime(d["runtime"])
     return _row(F.concat(F.lit(ARCHIVE_DETAILS + "/"), d["identifier"]), cap, is_clip=True, duration=F.when(secs > 0, secs).otherwise(ARCHIVE_DEFAULT_S))
 
 
-def _clip(e):
-    cap = X.strip_chars(F.concat(F.coalesce(e["title"], F.lit("")), F.lit(" — "), F.left(F.coalesce(e["description"], F.lit("")), F.lit(300))), " —")
+def _clip(e, chars=None):
+    cap = X.strip_chars(F.concat(F.coalesce(e["title"], F.lit("")), F.lit(" — "), _upto(F.coalesce(e["description"], F.lit("")), chars)), " —")
     return _row(F.concat(F.lit(CLIP_URL), F.coalesce(e["id"], F.lit(""))), cap, F.lit(1920), F.lit(1080), True, e["duration"],
                 video_id=e["id"], view_count=e["view_count"], title=e["title"], channel=_or(e["channel"], e["uploader"]), thumbnail=e["thumbnail"])
 
@@ -108,17 +112,25 @@ PROVIDERS: dict[str, Provider] = {
 }
 
 
-def normalize_candidates(responses: DataFrame, limit: int = 5) -> DataFrame:
-    """(query, source, ord, url, caption, width, height, file_size, is_clip, duration_s, extra); unreadable payloads give no rows."""
+def _row_of(p: Provider, caption_chars: int | None) -> Callable[[Column], Column]:
+    return (lambda r: p.row(r, caption_chars)) if p.row in (_archive, _clip) else (lambda r: p.row(r))
+
+
+def normalize_candidates(responses: DataFrame, limit: int | None = None, caption_chars: int | None = None) -> DataFrame:
+    """(query, source, ord, url, caption, width, height, file_size, is_clip, duration_s, extra); unreadable payloads give no rows.
+
+    Every item with a URL is a row, with its whole caption. ``limit`` cuts each response, for most providers before
+    items without a URL go; ``caption_chars`` cuts the captions that are made of descriptions.
+    """
     rows = F.expr(f"cast(array() as array<{ROW}>)")
     for name, p in PROVIDERS.items():
         items = p.items(F.from_json("payload", p.schema))
         if p.keep is not None:
             items = F.filter(items, p.keep)
-        if p.limit_first:
+        if p.limit_first and limit is not None:
             items = F.slice(items, 1, limit)
-        made = F.filter(F.transform(items, p.row), lambda r: r["url"] != "")
-        rows = F.when(F.col("provider") == name, F.slice(made, 1, limit)).otherwise(rows)
+        made = F.filter(F.transform(items, _row_of(p, caption_chars)), lambda r: r["url"] != "")
+        rows = F.when(F.col("provider") == name, made if limit is None else F.slice(made, 1, limit)).otherwise(rows)
     source = F.when(F.col("provider") == "pixabay_video", "pixabay").otherwise(F.col("provider"))
     out = responses.select("query", source.alias("source"), F.posexplode(rows).alias("ord", "_r"))
     return out.select("query", "source", F.col("ord").cast("bigint").alias("ord"), "_r.url", "_r.caption", "_r.width", "_r.height",

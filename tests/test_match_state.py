@@ -41,11 +41,13 @@ def test_ladder(spark):
             (2, "own", 0, "o", None, None, 3), (2, "blog", 0, "x", "blacklisted", None, 10), (2, "blog", 1, "b", None, None, 8),
             (3, "api", 0, "a", None, None, 5), (3, "scrape", 0, "s", None, None, 6), (4, "own", 0, "o", None, None, 9)]
     rows += [(5, "own", i, f"n{i}", None, None, 0) for i in range(8)] + [(5, "own", 8, "late", None, None, 10)]  # the ninth is never judged
-    choice, dec = M.acquire_ladder(seg, spark.createDataFrame(rows, C))
+    choice, dec = M.acquire_ladder(seg, spark.createDataFrame(rows, C), per_tier=8)
     got = {r["segment_id"]: (r["url"], r["reason"]) for r in choice.collect()}
     assert got == {1: ("o", None), 2: ("b", None), 3: (None, "no_acceptance"), 4: (None, "no_wish"), 5: (None, "no_acceptance")}
     d = [(r["segment_id"], r["url"], r["reason"]) for r in dec.collect()]
     assert (2, "x", "blacklisted") in d and (3, "a", "score_5") in d and not any(u == "late" for _, u, _ in d) and (1, "b", None) not in d
+    whole = {r["segment_id"]: r["url"] for r in M.acquire_ladder(seg, spark.createDataFrame(rows, C))[0].collect()}
+    assert whole[5] == "late"  # no limit unless given
     assert {r["reason"] for r in M.acquire_ladder(seg, spark.createDataFrame(rows, C), bypass=True)[0].collect()} == {"torture_mode"}
 
 
@@ -105,3 +107,27 @@ def test_state(spark):
     todo = P.remaining_stages(st, until="audio")
     assert [x["stage"] for x in todo.where("run_id = 1").orderBy("ord").collect()] == ["scripted", "shotlisted", "audio"]
     assert todo.where("run_id = 2").count() == 6
+
+
+def test_rank_all_splits_a_scene_of_equal_scores(spark):
+    """A scene with a third of all rows and one score is ranked in more than one task; NULL is a scene of its own."""
+    rows = spark.range(0, 6000, 1, 4).select(F.when(F.col("id") < 2000, 1).when(F.col("id") < 2005, None).otherwise(F.col("id") % 50 + 2).alias("scene"), F.lit(7).alias("score"), ((F.col("id") * 7919) % 6000).alias("cand"))
+    got = M.rank_all(rows, ["scene"], ["score", "cand"])
+    w = __import__("pyspark").sql.Window.partitionBy("scene").orderBy("score", "cand")
+    assert got.select("scene", "cand", "rank").exceptAll(rows.select("scene", "cand", F.row_number().over(w).cast("bigint").alias("rank"))).count() == 0 and got.count() == 6000
+    parts = rows.repartitionByRange(4, "scene", "score", "cand").where("scene = 1").select(F.spark_partition_id().alias("p")).distinct().count()
+    assert parts > 1
+
+
+def test_limits_are_arguments(spark):
+    rows = [("q", p, f"{p}{i}", i) for p in "ab" for i in range(6)] + [(None, None, "n", 0)]
+    d = spark.createDataFrame(rows, "query string, provider string, doc string, ord int")
+    whole = [(r.doc, r.position) for r in M.round_robin(d).where("query = 'q'").orderBy("position").collect()]
+    assert whole == [(f"{p}{i}", 2 * i + k + 1) for i in range(6) for k, p in enumerate("ab")] and M.round_robin(d).count() == 13
+    assert [(r.doc, r.position) for r in M.round_robin(d, limit=5).where("query = 'q'").orderBy("position").collect()] == whole[:5]
+    short = spark.createDataFrame([(1, i, f"u{i}", 5, False) for i in range(1, 31)], "scene_id int, rank int, url string, quality int, is_dup boolean")
+    verdicts = spark.createDataFrame([(1, f"u{i}", 9 if i == 20 else 5 if i < 15 else None) for i in range(1, 31)], "scene_id int, url string, verdict int")
+    choice, kept = M.select_best(short, verdicts)
+    assert choice.head().url == "u20" and kept.count() == 15 and kept.where("place = 2").head().url == "u1"
+    choice, kept = M.select_best(short, verdicts, first=12, keep=3)
+    assert choice.head().degraded and kept.count() == 3

@@ -55,3 +55,19 @@ def test_flagship_plan_has_no_shuffle(spark):
     """Through the registry, as it is run."""
     plan = catalog.QUERIES["mine_numeric_sentences"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan and "lang" not in plan
+
+
+def test_responses_are_read_whole(spark):
+    """Seven hits, the second without a URL, and a long description: nothing is cut unless asked for."""
+    import json
+
+    from plumbline.sources.providers import normalize_candidates
+
+    hits = json.dumps({"hits": [{"webformatURL": "" if i == 1 else f"http://x/{i}", "tags": "t", "imageWidth": 1, "imageHeight": 2} for i in range(7)]})
+    docs = json.dumps({"response": {"docs": [{"identifier": "a", "title": "T", "description": "d" * 900, "runtime": "1:00"}]}})
+    df = spark.createDataFrame([("q", "pixabay", hits), ("q", "archive_org", docs)], "query string, provider string, payload string")
+    whole = normalize_candidates(df).collect()
+    assert [r.url for r in whole if r.source == "pixabay"] == [f"http://x/{i}" for i in (0, 2, 3, 4, 5, 6)]
+    assert [len(r.caption) for r in whole if r.source == "archive_org"] == [903]
+    few = normalize_candidates(df, limit=5, caption_chars=300).collect()
+    assert len([r for r in few if r.source == "pixabay"]) == 4 and [len(r.caption) for r in few if r.source == "archive_org"] == [300]
