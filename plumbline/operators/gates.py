@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline import constants as K
 from plumbline.functions import text as X
+from plumbline.session import cut
 
 VIOLATIONS = "array<struct<gate:string,message:string>>"
 WPS = K.WORDS_PER_SECOND
@@ -228,11 +229,11 @@ def unregister_gate(name: str) -> None:
 
 def run_gates(segments: DataFrame, facts: DataFrame, rules: Rules) -> DataFrame:
     """All gates. A run with the wrong structure reports only that."""
-    stats = _run_stats(segments)
     shape = _structure_hit()
-    run_level = _run_violations(stats.where(shape.isNull()), _total_hit(), _cta_hit(rules.ids)).unionByName(_run_violations(stats, shape))
-    sound = stats.where(shape.isNull()).select("run_id")
-    ok = segments.join(sound, "run_id", "left_semi")
+    found = F.when(shape.isNull(), F.array(_total_hit(), _cta_hit(rules.ids))).otherwise(F.array(shape, F.lit(None)))
+    runs = cut(_run_stats(segments).select("run_id", shape.isNull().alias("sound"), F.filter(found, lambda h: h.isNotNull()).alias("_v")), "run-gates")  # a row for each run
+    run_level = runs.select("run_id", F.explode("_v").alias("_v")).select("run_id", F.lit(None).cast("bigint").alias("pos"), "_v.gate", "_v.message")
+    ok = segments.join(runs.where("sound").select("run_id"), "run_id", "left_semi")
     hits = F.concat(numbers_gate(), banned_gate(rules.banned), budget_gate(), card_gate(),
                     early_differentiator_gate(rules.ids, F.lit(len(BEATS) - 1)))
     out = run_level.unionByName(_explode(number_pool(ok, facts, rules), hits))

@@ -61,6 +61,14 @@ def canonical_text(html) -> Column:
     return tidy_lines(decode_entities(bare))
 
 
+def article_texts(pages: DataFrame, tag: str = "article", id: str = "page_id", html: str = "html") -> DataFrame:
+    """(id, canonical_text, error): the text of a page's articles; a page without one, or with an empty one, is an error row."""
+    found = F.regexp_extract_all(html, F.lit(f"(?is)<{tag}\\b[^>]*>(.*?)</{tag}\\s*>"), F.lit(1))
+    rows = pages.select(id, F.coalesce(found, X.strings([])).alias("_a"))
+    rows = rows.select(id, F.size("_a").alias("_n"), canonical_text(F.array_join("_a", " ")).alias("canonical_text"))
+    return rows.select(id, "canonical_text", F.when(F.col("_n") == 0, f"no {tag}").when(F.col("canonical_text") == "", f"empty {tag}").alias("error"))
+
+
 def title_of(html) -> Column:
     """First non-empty h1, h2 or h3 text in document order, else ''."""
     heads = F.regexp_extract_all(X._col(html), F.lit("(?is)<h[123]\\b[^>]*>(.*?)</h[123]\\s*>"), F.lit(1))

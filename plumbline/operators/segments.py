@@ -11,14 +11,21 @@ from plumbline.functions import links as L
 from plumbline.functions import text as X
 from plumbline.operators.gates import Rules
 from plumbline.operators.ordered import scan
+from plumbline.session import cut
 
 SHOT = ("array<struct<type:string,narration_span:string,payload:map<string,string>,labels:array<string>,"
         "fallback:struct<type:string,payload:map<string,string>>>>")
 
 
-def stat_repeat(segments: DataFrame, run: str = "run_id", pos: str = "pos", narration: str = "narration") -> DataFrame:
-    """Flag segments after the first that repeat a number of the opening one."""
+def stat_repeat(segments: DataFrame, run: str = "run_id", pos: str = "pos", narration: str = "narration", hero: DataFrame | None = None) -> DataFrame:
+    """Flag segments after the first that repeat a number of the run's claim.
+
+    ``hero`` (run, stat text) is the claim a run was built on; without it the opening segment is. A run whose claim
+    has no number of its own to repeat repeats nothing.
+    """
     first = segments.groupBy(run).agg(F.min_by(narration, pos).alias("_opening"), F.min(pos).alias("_first"))
+    if hero is not None:
+        first = first.drop("_opening").join(hero.select(run, F.col("stat").alias("_opening")), run, "left")
     first = first.select(run, "_first", X.stat_tokens("_opening").alias("stat"))
     return (segments.join(first, run).where(F.col(pos) > F.col("_first")).drop("_first")
             .withColumn("repeats", F.arrays_overlap(X.stat_numbers(narration), F.col("stat"))))
@@ -173,22 +180,20 @@ def beat_spans(beats: DataFrame, totals: DataFrame, hold: float = K.END_HOLD_S)
 def reflow(shots: DataFrame, spans: DataFrame) -> DataFrame:
     """Fit the shots of each beat into its measured span; the last shot takes the remainder.
 
-    Adds ``new_s``, ``delta_s`` and ``error``. A beat has as many shots as its
-    own segment was expanded into, so sums per beat are plain aggregates.
+    Adds ``new_s``, ``delta_s`` and ``error``. One join and no shuffle besides it.
     """
-    beat = shots.groupBy("run_id", "beat").agg(F.sum("duration_s").alias("_planned"), F.max("ord").alias("_last"))
-    s = spans.select("run_id", "beat", "span_s").join(beat, ["run_id", "beat"], "left")
+    # a beat has the few shots of its segment: everything happens where the join has put them
+    beat = Window.partitionBy("run_id", "beat")
+    s = spans.select("run_id", "beat", "span_s")
+    rows = s.join(shots, ["run_id", "beat"], "left").withColumns({"_planned": F.sum("duration_s").over(beat), "_is_last": F.col("ord") == F.max("ord").over(beat)})
     scale = F.col("span_s") / F.when(F.col("_planned") == 0, 1.0).otherwise(F.col("_planned"))
     cap = F.when(F.col("type") == "LOGO_CTA", K.END_CARD_MAX_S).otherwise(K.SHOT_MAX_S)
-    rows = s.join(shots, ["run_id", "beat"], "left")
     scaled = F.least(F.greatest(F.col("duration_s") * scale, F.lit(K.SHOT_MIN_S)), cap)
-    rows = rows.withColumn("_is_last", F.col("ord") == F.col("_last")).withColumn("_scaled", F.when(~F.col("_is_last"), scaled))
-    allotted = rows.groupBy("run_id", "beat").agg(F.coalesce(F.sum("_scaled"), F.lit(0.0)).alias("_used"))
-    rows = rows.join(allotted, ["run_id", "beat"])
-    new = F.when(F.col("_is_last"), F.col("span_s") - F.col("_used")).otherwise(F.col("_scaled"))
-    return rows.select("run_id", "beat", "ord", "type", "duration_s", new.alias("new_s"),
-                       F.bround(new - F.col("duration_s"), 3).alias("delta_s"),
-                       F.when(F.col("ord").isNull(), "no shots for beat").when(F.col("_is_last") & (new < K.SHOT_MIN_S / 2), "audio and shots do not fit").alias("error"))
+    rows = rows.withColumn("_scaled", F.when(~F.col("_is_last"), scaled))
+    used = F.coalesce(F.sum("_scaled").over(beat), F.lit(0.0))
+    rows = rows.withColumn("new_s", F.when(F.col("_is_last"), F.col("span_s") - used).otherwise(F.col("_scaled")))
+    return rows.select("run_id", "beat", "ord", "type", "duration_s", "new_s", F.bround(F.col("new_s") - F.col("duration_s"), 3).alias("delta_s"),
+                       F.when(F.col("ord").isNull(), "no shots for beat").when(F.col("_is_last") & (F.col("new_s") < K.SHOT_MIN_S / 2), "audio and shots do not fit").alias("error"))
 
 
 def render_flags(shots: DataFrame) -> DataFrame:
@@ -203,20 +208,23 @@ def render_flags(shots: DataFrame) -> DataFrame:
 def redistribute(scenes: DataFrame, totals: DataFrame, cap: float = K.SCENE_CAP_S, tail: float = K.CTA_TAIL_S) -> DataFrame:
     """Scale scenes to the audio length, spread what exceeds ``cap`` over the others, hold the last scene longer.
 
-    Every step needs only per-run sums, so each pass is an aggregation and a
-    join on the run, never a sorted run.
+    A scene's length is a function of what it was and of a few sums of its run.
+    So scenes are never rewritten: each of the three passes reads them beside
+    the sums found so far and adds two more to that small table, which is cut.
     """
-    rows = scenes.withColumn("d", F.coalesce("duration_s", F.lit(0.0)))
-    sums = rows.groupBy("run_id").agg(F.sum("d").alias("_sum"), F.count("*").alias("_n"), F.max("pos").alias("_last")).join(totals, "run_id")
-    rows = rows.join(sums, "run_id")
-    rows = rows.withColumn("d", F.when(F.col("_sum") <= 0.01, F.col("audio_s") / F.col("_n")).otherwise(F.col("d") * (F.col("audio_s") / F.col("_sum"))))
+    rows = cut(scenes.withColumn("_d", F.coalesce("duration_s", F.lit(0.0))), "scenes")
+    none = F.expr("cast(array() as array<struct<over:double,free:bigint>>)")
+    runs = rows.groupBy("run_id").agg(F.sum("_d").alias("_sum"), F.count("*").alias("_n"), F.max("pos").alias("_last"))
+    runs = cut(runs.join(totals.select("run_id", "audio_s"), "run_id").withColumn("_steps", none), "run-sums")
+    first = F.when(F.col("_sum") <= 0.01, F.col("audio_s") / F.col("_n")).otherwise(F.col("_d") * (F.col("audio_s") / F.col("_sum")))
+    moved = lambda d, s: F.when(s["over"] < 0.01, d).when(d < cap, d + s["over"] / s["free"]).otherwise(F.lit(cap))
+    now = F.aggregate("_steps", first, moved)
     for _ in range(3):
-        over = rows.groupBy("run_id").agg(F.sum(F.greatest(F.lit(0.0), F.col("d") - cap)).alias("_ex"), F.count_if(F.col("d") < cap).alias("_free"))
-        rows = rows.join(over, "run_id")
-        moved = F.when(F.col("d") < cap, F.col("d") + F.col("_ex") / F.col("_free")).otherwise(F.lit(cap))
-        rows = rows.withColumn("d", F.when(F.col("_ex") < 0.01, F.col("d")).otherwise(moved)).drop("_ex", "_free")
-    d = F.col("d") + F.when(F.col("pos") == F.col("_last"), tail).otherwise(0.0)
-    return rows.withColumn("new_s", F.when(d <= 0, 0.5).otherwise(d)).select(*scenes.columns, "new_s")
+        over = rows.join(runs, "run_id").select("run_id", now.alias("d")).groupBy("run_id").agg(
+            F.struct(F.sum(F.greatest(F.lit(0.0), F.col("d") - cap)).alias("over"), F.count_if(F.col("d") < cap).alias("free")).alias("_step"))
+        runs = cut(runs.join(over, "run_id").withColumn("_steps", F.array_append("_steps", F.col("_step"))).drop("_step"), "run-sums")
+    d = now + F.when(F.col("pos") == F.col("_last"), tail).otherwise(0.0)
+    return rows.join(runs, "run_id").select(*scenes.columns, F.when(d <= 0, 0.5).otherwise(d).alias("new_s"))
 
 
 def transition_plan(clips: DataFrame) -> DataFrame:

@@ -32,25 +32,30 @@ def muxed_covers_voice(video, voice, slack: float = 0.25) -> Column:
 
 
 def media_metrics_gate(metrics: DataFrame) -> DataFrame:
-    """(run_id, defect) from (run_id, metric, value); without a video stream nothing further is checked.
+    """(run_id, defect, measured, bound) from (run_id, metric, value); without a video stream nothing further is checked.
 
-    What was not measured does not pass: no size is a defect, no resolution is a mismatch, no level a failed analysis.
+    ``measured`` and ``bound`` are lists of numbers (a resolution has two), NULL where there is nothing to measure or
+    to keep to. What was not measured does not pass: no size is a defect, no resolution is a mismatch, no level a failed analysis.
     """
     m = lambda n: F.max(F.when(F.col("metric") == n, F.col("value")))
     names = ["duration_s", "filesize_mb", "has_video", "has_audio", "width", "height", "audio_rms", "audio_peak"]
     w = metrics.groupBy("run_id").agg(*[m(n).alias(n) for n in names])
     video, audio = F.coalesce(F.col("has_video") > 0, F.lit(False)), F.coalesce(F.col("has_audio") > 0, F.lit(False))
     d = F.coalesce("duration_s", F.lit(0.0))
+    none = F.lit(None).cast("array<double>")
+    numbers = lambda v: none if v is None else F.array(*[(x if isinstance(x, Column) else F.lit(float(x))).cast("double") for x in v])
+    hit = lambda text, measured=None, bound=None: F.struct(F.lit(text).alias("defect"), numbers(measured).alias("measured"), numbers(bound).alias("bound"))
+    size, rms, peak, shape = F.col("filesize_mb"), F.col("audio_rms"), F.col("audio_peak"), [F.col("width"), F.col("height")]
     hits = F.array(
-        F.when(d < K.VIDEO_MIN_S, "Duration too short").when(d > K.VIDEO_MAX_S, "Duration too long"),
-        F.when(F.col("filesize_mb").isNull(), "Filesize unknown").when(F.col("filesize_mb") > K.VIDEO_MAX_MB, "Filesize exceeds limit"),
-        F.when(~video, "No video stream found"),
-        F.when(video & ~audio, "No audio stream found"),
-        F.when(video & ~F.coalesce((F.col("width") == K.FRAME_W) & (F.col("height") == K.FRAME_H), F.lit(False)), "Resolution mismatch"),
-        F.when(video & audio & (F.col("audio_rms").isNull() | F.col("audio_peak").isNull()), "Audio analysis failed"),
-        F.when(video & audio & (F.col("audio_rms") < K.AUDIO_RMS_FLOOR), "Audio RMS too low"),
-        F.when(video & audio & (F.col("audio_peak") > K.AUDIO_PEAK_CEIL), "Audio peak too high"))
-    return w.select("run_id", F.explode(F.filter(hits, lambda h: h.isNotNull())).alias("defect"))
+        F.when(d < K.VIDEO_MIN_S, hit("Duration too short", [d], [K.VIDEO_MIN_S])).when(d > K.VIDEO_MAX_S, hit("Duration too long", [d], [K.VIDEO_MAX_S])),
+        F.when(size.isNull(), hit("Filesize unknown", None, [K.VIDEO_MAX_MB])).when(size > K.VIDEO_MAX_MB, hit("Filesize exceeds limit", [size], [K.VIDEO_MAX_MB])),
+        F.when(~video, hit("No video stream found")),
+        F.when(video & ~audio, hit("No audio stream found")),
+        F.when(video & ~F.coalesce((shape[0] == K.FRAME_W) & (shape[1] == K.FRAME_H), F.lit(False)), hit("Resolution mismatch", shape, [K.FRAME_W, K.FRAME_H])),
+        F.when(video & audio & (rms.isNull() | peak.isNull()), hit("Audio analysis failed")),
+        F.when(video & audio & (rms < K.AUDIO_RMS_FLOOR), hit("Audio RMS too low", [rms], [K.AUDIO_RMS_FLOOR])),
+        F.when(video & audio & (peak > K.AUDIO_PEAK_CEIL), hit("Audio peak too high", [peak], [K.AUDIO_PEAK_CEIL])))
+    return w.select("run_id", F.inline(F.filter(hits, lambda h: h.isNotNull())))
 
 
 def persistent_dark_band(frames: DataFrame) -> DataFrame:
@@ -201,13 +206,17 @@ def expected_text(payload: str = "payload", labels: str = "labels") -> Column:
 
 # ── reports ────────────────────────────────────────────────────────────────
 def quality_report(scenes: DataFrame, assets: DataFrame, flags: DataFrame) -> DataFrame:
-    """One row per scene with its asset, all its critic flags (sorted), and the totals of its run."""
+    """One row per scene with its asset, how it was come by and seen, all its critic flags (sorted), and the totals of its run.
+
+    ``scenes``: run_id, scene, duration_s, re_sourced (whether a first asset was thrown out). ``assets``: run_id, scene,
+    source, score, width, height, vision_score (NULL: nobody looked at it).
+    """
     f = flags.groupBy("run_id", "scene").agg(F.count("*").alias("n_flags"), F.array_join(F.array_sort(F.collect_list("flag")), ",").alias("flags"))
-    t = scenes.groupBy("run_id").agg(F.count("*").alias("run_scenes"), F.round(F.sum("duration_s"), 2).alias("run_duration_s"))
+    t = scenes.groupBy("run_id").agg(F.count("*").alias("run_scenes"), F.round(F.sum("duration_s"), 2).alias("run_duration_s"), F.count_if(F.col("re_sourced")).alias("run_re_sourced"))
     out = scenes.join(assets, ["run_id", "scene"], "left").join(f, ["run_id", "scene"], "left").join(t, "run_id")
     return out.select("run_id", "scene", F.round("duration_s", 2).alias("duration_s"), "source", "score", F.coalesce("width", F.lit(0)).alias("width"), F.coalesce("height", F.lit(0)).alias("height"),
-                      F.coalesce("n_flags", F.lit(0)).alias("n_flags"), "flags", "run_scenes", "run_duration_s", F.col("source").isNull().alias("degraded"),
-                      F.coalesce(F.col("source") == "own_footage", F.lit(False)).alias("is_own_footage"))
+                      "vision_score", F.coalesce("re_sourced", F.lit(False)).alias("re_sourced"), F.coalesce("n_flags", F.lit(0)).alias("n_flags"), "flags", "run_scenes", "run_duration_s", "run_re_sourced",
+                      F.col("source").isNull().alias("degraded"), F.coalesce(F.col("source") == "own_footage", F.lit(False)).alias("is_own_footage"))
 
 
 def review_sheet(shots: DataFrame, verdicts: DataFrame, scripts: DataFrame, facts: DataFrame) -> DataFrame:

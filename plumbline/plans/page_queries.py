@@ -100,6 +100,16 @@ def canonical_text(read):
     return read("pages").select("page_id", P.canonical_text(article).alias("canonical_text"))
 
 
+_SOME = "CASE page_id % 11 WHEN 5 THEN replace(replace(html, '<article>', '<div>'), '</article>', '</div>') WHEN 6 THEN html || '<article> <b></b></article>' WHEN 7 THEN '<article>&nbsp;</article>' ELSE html END"
+
+
+@query("E4", f"""WITH p AS (SELECT page_id, {_SOME} AS html FROM pages), t AS (SELECT page_id, contains(html, '<article>') AS there, {canon_sql(_ARTICLE)} AS canonical_text FROM p)
+SELECT page_id, canonical_text, CASE WHEN NOT there THEN 'no article' WHEN canonical_text = '' THEN 'empty article' END AS error FROM t""")
+def article_texts(read):
+    """Every eleventh page lost its article's mark, another is empty: error rows, not empty texts alone."""
+    return P.article_texts(read("pages").select("page_id", F.expr(_SOME).alias("html")))
+
+
 CITATIONS_SQL = """c AS (SELECT page_id, 1 AS marker, 'https://doi.org/10.1/' || page_id AS url FROM posts UNION ALL SELECT page_id, 2, url FROM posts),
 cites AS (SELECT page_id, marker, url, CASE WHEN contains(url, 'doi.org') THEN 'paper' ELSE 'web' END AS kind FROM c)"""
 

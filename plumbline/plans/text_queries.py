@@ -112,6 +112,24 @@ def stat_repeat(read):
     return out.select("run_id", "pos", F.array_join("stat", "|").alias("stat"), "repeats")
 
 
+@query("F14", f"""
+WITH {V.SEGMENTS_SQL},
+h AS (SELECT run_id, list_filter(regexp_extract_all(CASE WHEN run_id % 4 > 0 THEN 'It costs 1,5 or ' || (run_id % 5) || '.5 percent, 2 times' END, {lit(LOOSE_NUMBER)}),
+             lambda n: regexp_matches(n, '[.,]') OR CAST(replace(n, ',', '.') AS DOUBLE) >= 3) AS stat
+      FROM segments GROUP BY run_id)
+SELECT s.run_id, s.pos, coalesce(array_to_string(stat, '|'), '') AS stat,
+       coalesce(list_has_any(regexp_extract_all(narration, {lit(LOOSE_NUMBER)}), stat), false) AS repeats
+FROM segments s JOIN h USING (run_id) WHERE s.pos > 0""")
+def stat_repeat_of_claim(read):
+    """The claim a run was built on is given; every fourth run has none."""
+    from plumbline.operators.segments import stat_repeat as op
+    seg = V.segments(read)
+    claim = F.concat(F.lit("It costs 1,5 or "), (F.col("run_id") % 5).cast("string"), F.lit(".5 percent, 2 times"))
+    hero = seg.where("run_id % 4 > 0").select("run_id", claim.alias("stat")).distinct()
+    return op(seg, hero=hero).select("run_id", "pos", F.array_join("stat", "|").alias("stat"), "repeats")
+
+
+
 def _speech_sql(c: str) -> str:
     rules = [*K.SPEECH_BEFORE_DOMAIN, ("(?i)example\\.org", "example dot org"), *K.SPEECH_AFTER_DOMAIN]
     for pattern, repl in rules:

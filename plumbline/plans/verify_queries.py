@@ -38,14 +38,18 @@ _MEDIA_VAL = """CASE m WHEN 1 THEN 25 + o_orderkey % 45 WHEN 2 THEN o_totalprice
   WHEN 5 THEN CASE WHEN o_orderkey % 6 = 0 THEN 720 ELSE 1080 END WHEN 6 THEN 1920 WHEN 7 THEN o_custkey % 900 ELSE 30000 + o_custkey % 3000 END"""
 
 
-@query("G13", f"""WITH m AS (SELECT o_orderkey AS run_id, 25 + o_orderkey % 45 AS d, CASE WHEN o_orderkey % 19 > 0 THEN o_totalprice / 4000 END AS mb, o_orderkey % 10 > 0 AS v, o_orderkey % 7 > 0 AS a, CASE WHEN o_orderkey % 13 > 0 THEN o_orderkey % 6 > 0 END AS r, CASE WHEN o_orderkey % 17 > 0 THEN o_custkey % 900 END AS rms, 30000 + o_custkey % 3000 AS pk FROM orders)
-SELECT run_id, unnest(list_filter([CASE WHEN d < 30 THEN 'Duration too short' WHEN d > 65 THEN 'Duration too long' END, CASE WHEN mb IS NULL THEN 'Filesize unknown' WHEN mb > 100 THEN 'Filesize exceeds limit' END, CASE WHEN NOT v THEN 'No video stream found' END,
-  CASE WHEN v AND NOT a THEN 'No audio stream found' END, CASE WHEN v AND NOT coalesce(r, false) THEN 'Resolution mismatch' END, CASE WHEN v AND a AND rms IS NULL THEN 'Audio analysis failed' END, CASE WHEN v AND a AND rms < 250 THEN 'Audio RMS too low' END, CASE WHEN v AND a AND pk > 32500 THEN 'Audio peak too high' END], lambda x: x IS NOT NULL)) AS defect FROM m""")
+@query("G13", f"""WITH m AS (SELECT o_orderkey AS run_id, 25 + o_orderkey % 45 AS d, CASE WHEN o_orderkey % 19 > 0 THEN o_totalprice / 4000 END AS mb, o_orderkey % 10 > 0 AS v, o_orderkey % 7 > 0 AS a, CASE WHEN o_orderkey % 13 > 0 THEN o_orderkey % 6 > 0 END AS r, CASE WHEN o_orderkey % 17 > 0 THEN o_custkey % 900 END AS rms, 30000 + o_custkey % 3000 AS pk FROM orders),
+h AS (SELECT run_id, unnest(list_filter([CASE WHEN d < 30 THEN {{'x': 'Duration too short', 'm': [d], 'b': [30]}} WHEN d > 65 THEN {{'x': 'Duration too long', 'm': [d], 'b': [65]}} END,
+  CASE WHEN mb IS NULL THEN {{'x': 'Filesize unknown', 'm': NULL, 'b': [100]}} WHEN mb > 100 THEN {{'x': 'Filesize exceeds limit', 'm': [mb], 'b': [100]}} END, CASE WHEN NOT v THEN {{'x': 'No video stream found', 'm': NULL, 'b': NULL}} END,
+  CASE WHEN v AND NOT a THEN {{'x': 'No audio stream found', 'm': NULL, 'b': NULL}} END, CASE WHEN v AND NOT coalesce(r, false) THEN {{'x': 'Resolution mismatch', 'm': [CASE WHEN r IS NOT NULL THEN 720 END, 1920], 'b': [1080, 1920]}} END,
+  CASE WHEN v AND a AND rms IS NULL THEN {{'x': 'Audio analysis failed', 'm': NULL, 'b': NULL}} END, CASE WHEN v AND a AND rms < 250 THEN {{'x': 'Audio RMS too low', 'm': [rms], 'b': [250]}} END, CASE WHEN v AND a AND pk > 32500 THEN {{'x': 'Audio peak too high', 'm': [pk], 'b': [32500]}} END], lambda x: x IS NOT NULL)) AS h FROM m)
+SELECT run_id, h.x AS defect, CAST(h.m[1] AS DOUBLE) AS measured, CAST(h.b[1] AS DOUBLE) AS bound, CAST(h.m[2] AS DOUBLE) AS measured_height, CAST(h.b[2] AS DOUBLE) AS bound_height FROM h""")
 def media_metrics_gate(read):
     m = read("orders").select("o_orderkey", "o_custkey", "o_totalprice", F.explode(F.sequence(F.lit(1), F.lit(8))).alias("m"))
     m = m.select(F.col("o_orderkey").alias("run_id"), F.get(X.strings(_MEDIA), F.col("m") - 1).alias("metric"), F.expr(_MEDIA_VAL).cast("double").alias("value"))
     missing = "metric = 'width' AND run_id % 13 = 0 OR metric = 'audio_rms' AND run_id % 17 = 0 OR metric = 'filesize_mb' AND run_id % 19 = 0"
-    return O.media_metrics_gate(m.where(f"NOT ({missing})"))
+    d = O.media_metrics_gate(m.where(f"NOT ({missing})"))
+    return d.select("run_id", "defect", *[F.get(c, F.lit(i)).alias(c + n) for c in ("measured", "bound") for i, n in ((0, ""), (1, "_height"))])
 
 
 @query("G14", """WITH f AS (SELECT user_id * 1000 + event_id // 300 AS run_id, CASE WHEN event_type = 'error' AND user_id % 2 = 0 THEN NULL ELSE value END AS luma FROM events)
@@ -222,19 +226,20 @@ def revise_request(read):
     return O.revise_request(_crit(read)).select("event_id", "re_source", F.array_join("fields", "|").alias("fields"))
 
 
-_QR = """sc AS (SELECT o_custkey AS run_id, o_orderkey AS scene, o_totalprice / 1000 AS duration_s FROM orders),
-ast AS (SELECT o_custkey AS run_id, o_orderkey AS scene, CASE WHEN o_orderkey % 3 = 0 THEN 'own_footage' ELSE 'web' END AS source, o_orderkey % 100 AS score, 1920 AS width FROM orders WHERE o_orderkey % 4 > 0),
+_QR = """sc AS (SELECT o_custkey AS run_id, o_orderkey AS scene, o_totalprice / 1000 AS duration_s, o_orderkey % 9 = 4 AS re_sourced FROM orders),
+ast AS (SELECT o_custkey AS run_id, o_orderkey AS scene, CASE WHEN o_orderkey % 3 = 0 THEN 'own_footage' ELSE 'web' END AS source, o_orderkey % 100 AS score, 1920 AS width, CASE WHEN o_orderkey % 5 > 0 THEN o_orderkey % 11 END AS vision_score FROM orders WHERE o_orderkey % 4 > 0),
 fl AS (SELECT o_custkey AS run_id, l_orderkey AS scene, 'flag' || l_linenumber AS flag FROM lineitem JOIN orders ON o_orderkey = l_orderkey WHERE l_returnflag = 'R')"""
 
 
-@query("A11", f"""WITH {_QR}, f AS (SELECT run_id, scene, count(*) AS n, string_agg(flag, ',' ORDER BY flag) AS flags FROM fl GROUP BY 1, 2), tt AS (SELECT run_id, count(*) AS run_scenes, round(sum(duration_s), 2) AS run_duration_s FROM sc GROUP BY 1)
-SELECT run_id, scene, round(duration_s, 2) AS duration_s, source, score, coalesce(width, 0) AS width, CASE WHEN width IS NULL THEN 0 ELSE 1080 END AS height, coalesce(n, 0) AS n_flags, flags, run_scenes, run_duration_s, source IS NULL AS degraded, coalesce(source = 'own_footage', false) AS is_own_footage
+@query("A11", f"""WITH {_QR}, f AS (SELECT run_id, scene, count(*) AS n, string_agg(flag, ',' ORDER BY flag) AS flags FROM fl GROUP BY 1, 2), tt AS (SELECT run_id, count(*) AS run_scenes, round(sum(duration_s), 2) AS run_duration_s, count_if(re_sourced) AS run_re_sourced FROM sc GROUP BY 1)
+SELECT run_id, scene, round(duration_s, 2) AS duration_s, source, score, coalesce(width, 0) AS width, CASE WHEN width IS NULL THEN 0 ELSE 1080 END AS height, vision_score, re_sourced, coalesce(n, 0) AS n_flags, flags, run_scenes, run_duration_s, run_re_sourced, source IS NULL AS degraded, coalesce(source = 'own_footage', false) AS is_own_footage
 FROM sc LEFT JOIN ast USING (run_id, scene) LEFT JOIN f USING (run_id, scene) JOIN tt USING (run_id)""")
 def quality_report(read):
     o = read("orders")
     base = [F.col("o_custkey").alias("run_id"), F.col("o_orderkey").alias("scene")]
-    sc = o.select(*base, (F.col("o_totalprice") / 1000).alias("duration_s"))
-    ast = o.where("o_orderkey % 4 > 0").select(*base, F.when(F.col("o_orderkey") % 3 == 0, "own_footage").otherwise("web").alias("source"), (F.col("o_orderkey") % 100).alias("score"), F.lit(1920).alias("width"), F.lit(1080).alias("height"))
+    sc = o.select(*base, (F.col("o_totalprice") / 1000).alias("duration_s"), (F.col("o_orderkey") % 9 == 4).alias("re_sourced"))
+    ast = o.where("o_orderkey % 4 > 0").select(*base, F.when(F.col("o_orderkey") % 3 == 0, "own_footage").otherwise("web").alias("source"), (F.col("o_orderkey") % 100).alias("score"), F.lit(1920).alias("width"), F.lit(1080).alias("height"),
+                                              F.when(F.col("o_orderkey") % 5 > 0, F.col("o_orderkey") % 11).alias("vision_score"))
     fl = read("lineitem").where("l_returnflag = 'R'").select(F.col("l_orderkey").alias("scene"), F.concat(F.lit("flag"), F.col("l_linenumber").cast("string")).alias("flag")).join(o.select(*base), "scene")
     return O.quality_report(sc, ast, fl)
 

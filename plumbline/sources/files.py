@@ -6,7 +6,7 @@ import json
 import re
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from plumbline.functions import text as X
 from plumbline.operators.gates import Rules
@@ -97,9 +97,27 @@ def event_lines(cues: DataFrame, doc: str = "doc") -> DataFrame:
     return cues.select(doc, "idx", F.concat(F.lit("Dialogue: 0,"), X.ass_time("start_s"), F.lit(","), X.ass_time("end_s"), F.lit(",Cap,,0,0,0,,"), F.col("text")).alias("line"))
 
 
-def write_captions(cues: DataFrame, path: str, doc: str = "doc") -> None:
-    """Text per document; ranges of (doc, n) keep order across files without one task per document."""
-    caption_blocks(cues, doc).repartitionByRange(doc, "n").sortWithinPartitions(doc, "n").select(doc, "block").write.mode("overwrite").partitionBy(doc).text(path)
+def _bucket(doc: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(doc.cast("string")), F.lit(buckets))
+
+
+def write_captions(cues: DataFrame, path: str, doc: str = "doc", buckets: int = 64) -> None:
+    """Blocks as JSON lines (doc, n, block), in order, in a fixed number of folders whatever the number of documents.
+
+    Ranges of (bucket, doc, n) are the tasks, so neither a document nor a bucket is one task's alone.
+    """
+    rows = caption_blocks(cues, doc).select(_bucket(F.col(doc), buckets).alias("bucket"), F.col(doc).alias("doc"), "n", "block")
+    order = ["bucket", "doc", "n"]
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").partitionBy("bucket").json(path)
+
+
+def read_written_captions(spark: SparkSession, path: str, docs: list | None = None, buckets: int = 64) -> DataFrame:
+    """(doc, n, block) of what ``write_captions`` wrote; for given ``docs`` only their buckets are read."""
+    rows = spark.read.schema("doc string, n bigint, block string, bucket bigint").json(path)
+    if docs is not None:
+        wanted = spark.createDataFrame([(str(d),) for d in docs], "d string").select(_bucket(F.col("d"), buckets)).distinct().collect()
+        rows = rows.where(F.col("bucket").isin([r[0] for r in wanted]) & F.col("doc").isin([str(d) for d in docs]))
+    return rows.drop("bucket")
 
 
 def parse_captions(files: DataFrame, value: str = "value", keys: tuple[str, ...] = ()) -> DataFrame:

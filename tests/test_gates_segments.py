@@ -210,3 +210,44 @@ def test_missing_is_never_a_pass(spark):
     assert {(r.id, r.kind) for r in kinds.collect()} == {("a", "error_ungradeable"), ("b", "error_ungradeable"), ("c", "broll_mismatch")}
     shots = spark.createDataFrame([("r", "c", "BROLL", {"text": "x"}, None, None)], "run_id string, id string, rendered_type string, payload map<string,string>, labels array<string>, fallback struct<type:string,payload:map<string,string>>")
     assert [r.fix for r in VO.apply_fixes(shots, kinds)[1].collect()] == ["no fallback declared"]
+
+
+def test_redistribute_equals_the_loop(spark):
+    """Three passes over a run's scenes, also of a run with most rows, nothing to scale, or nobody to take what is over."""
+    import random
+
+    r = random.Random(4)
+    runs = {k: [r.choice([1.0, 5.0, 90.0, 0.0]) for _ in range(n)] for k, n in enumerate([1, 2, 5, 8, 400])} | {9: [0.0, 0.0], 10: [50.0, 50.0], 11: [None, 3.0]}
+    audio = {k: 30.0 + 7 * k for k in runs}
+    want = {}
+    for k, ds in runs.items():
+        d = [x or 0.0 for x in ds]
+        total = sum(d)
+        d = [audio[k] / len(d) for _ in d] if total <= 0.01 else [x * (audio[k] / total) for x in d]
+        for _ in range(3):
+            over, free = sum(max(0.0, x - 20.0) for x in d), sum(x < 20.0 for x in d)
+            if over >= 0.01:
+                d = [x + over / free if x < 20.0 else 20.0 for x in d]
+        for i, x in enumerate(d):
+            x += 1.2 if i == len(d) - 1 else 0.0
+            want[k, i] = round(0.5 if x <= 0 else x, 6)
+    scenes = spark.createDataFrame([(k, i, x) for k, ds in runs.items() for i, x in enumerate(ds)], "run_id int, pos int, duration_s double")
+    out = S.redistribute(scenes, spark.createDataFrame(list(audio.items()), "run_id int, audio_s double"), cap=20.0, tail=1.2).collect()
+    assert {(x.run_id, x.pos): round(x.new_s, 6) for x in out} == want
+
+
+def test_claims_may_be_given(spark):
+    seg = spark.createDataFrame([(1, 0, "opens with 7.5"), (1, 1, "again 1,5 here"), (1, 2, "7.5 there"), (2, 0, "x 4.5"), (2, 1, "4.5")], "run_id int, pos int, narration string")
+    hero = spark.createDataFrame([(1, "costs 1,5 or 2")], "run_id int, stat string")
+    got = {(x.run_id, x.pos): x.repeats for x in S.stat_repeat(seg, hero=hero).collect()}
+    assert got == {(1, 1): True, (1, 2): False, (2, 1): None} or got == {(1, 1): True, (1, 2): False, (2, 1): False}
+    assert {(x.run_id, x.pos): x.repeats for x in S.stat_repeat(seg).collect()} == {(1, 1): False, (1, 2): True, (2, 1): True}
+
+
+def test_defects_carry_what_was_measured(spark):
+    from plumbline.operators import verify as O
+
+    rows = [(1, "duration_s", 12.5), (1, "filesize_mb", 3.0), (1, "has_video", 1.0), (1, "width", 720.0), (1, "height", 1280.0), (2, "has_video", 0.0), (2, "duration_s", 40.0)]
+    got = {(x.run_id, x.defect): (x.measured, x.bound) for x in O.media_metrics_gate(spark.createDataFrame(rows, "run_id int, metric string, value double")).collect()}
+    assert got[1, "Duration too short"] == ([12.5], [30.0]) and got[1, "Resolution mismatch"] == ([720.0, 1280.0], [1080.0, 1920.0])
+    assert got[1, "No audio stream found"] == (None, None) and got[2, "Filesize unknown"] == (None, [100.0]) and (2, "Resolution mismatch") not in got

@@ -23,9 +23,14 @@ def test_rules_fail_loud(tmp_path):
 
 
 def test_captions_round_trip(spark, tmp_path):
-    cues = spark.createDataFrame([("d", 0, 0.0, 1.25, "ONE TWO"), ("d", 2, 1.25, 2.0, "THREE")], "doc string, idx bigint, start_s double, end_s double, text string")
-    IO.write_captions(cues, str(tmp_path / "srt"))
-    text = "\n".join(r["value"] for r in spark.read.text(str(tmp_path / "srt"), wholetext=True).collect())
+    schema = "doc string, idx bigint, start_s double, end_s double, text string"
+    cues = spark.createDataFrame([("d", 0, 0.0, 1.25, "ONE TWO"), ("d", 2, 1.25, 2.0, "THREE")] + [(f"e{i}", k, k * 1.0, k + 1.0, f"W{i}") for i in range(200) for k in range(3)], schema)
+    path = str(tmp_path / "srt")
+    IO.write_captions(cues, path, buckets=8)
+    assert len([p for p in (tmp_path / "srt").iterdir() if p.is_dir()]) == 8  # folders do not grow with documents
+    assert IO.read_written_captions(spark, path, buckets=8).count() == 602
+    mine = IO.read_written_captions(spark, path, ["d"], buckets=8)
+    text = "\n".join(r["block"] for r in mine.orderBy("n").collect())
     got = IO.parse_captions(spark.createDataFrame([(text,)], "value string")).orderBy("idx").collect()
     assert [(r["start"], r["end"], r["text"]) for r in got] == [("0:00:00.00", "0:00:01.25", "ONE TWO"), ("0:00:01.25", "0:00:02.00", "THREE")]
 
