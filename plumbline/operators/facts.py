@@ -82,7 +82,9 @@ def find_quotes(quotes: DataFrame, docs: DataFrame, quote_id: str = "item_id", q
         empty = T.StructType([quotes.schema[quote_id], T.StructField("copies", T.LongType()), docs.schema[doc_id], T.StructField("char_offset", T.LongType())])
         return docs.sparkSession.createDataFrame([], empty)
     wanted, there = reduce(DataFrame.unionByName, wanted), reduce(DataFrame.unionByName, there)
-    places = cut(there.join(wanted.select("_key").distinct(), "_key", "left_semi"), "places")
+    # written first, so that its size is known: small, it is broadcast and no shingle of a document is shuffled
+    keys = cut(wanted.select("_key").distinct(), "quote-keys")
+    places = cut(there.join(keys, "_key", "left_semi"), "places")
     often = places.groupBy("_key").agg(F.count("*").alias("_often"))
     anchor = wanted.join(often, "_key", "left").groupBy("_n").agg(F.min(F.struct(F.coalesce("_often", F.lit(0)).alias("often"), "_key", "_at")).alias("_a"))
     anchor = anchor.where(F.col("_a")["often"] > 0).select("_n", F.col("_a")["_key"].alias("_key"), F.col("_a")["_at"].alias("_at"))

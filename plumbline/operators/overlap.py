@@ -57,7 +57,8 @@ def shared_counts(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     """
     l = cut(left.select(left_key, tokens[0], F.monotonically_increasing_id().alias("_l")), "overlap-left")
     r = cut(right.select(right_key, tokens[1], F.monotonically_increasing_id().alias("_r")), "overlap-right")
-    met = r.select("_r", F.explode(F.array_distinct(tokens[1])).alias("_tok")).join(postings(l, "_l", tokens[0]), "_tok")
+    lists = cut(postings(l, "_l", tokens[0]), "postings")  # its size is known then: small lists are broadcast, and no token is shuffled
+    met = r.select("_r", F.explode(F.array_distinct(tokens[1])).alias("_tok")).join(lists, "_tok")
     counted = met.select("_r", "_chunk", "_list").repartition("_r", "_chunk").sortWithinPartitions("_r", "_chunk").mapInArrow(_Count(least), "_r long, _l long, overlap long")
     return counted.join(r.select("_r", right_key), "_r").join(l.select("_l", left_key), "_l").select(left_key, right_key, "overlap")
 
