@@ -88,7 +88,7 @@ class _Search:
             else:
                 out += [a, b]
                 end = b
-        return len(ws), out, sorted(hit)
+        return len(ws), out, sorted(hit - {None})
 
 
 def search_items(docs: DataFrame, items: DataFrame, width: int = 10, block_bytes: int = 64 << 20, out: list[str] | None = None) -> DataFrame:
@@ -96,11 +96,12 @@ def search_items(docs: DataFrame, items: DataFrame, width: int = 10, block_bytes
 
     ``items`` (item_id, text) is searched for in blocks of about ``block_bytes`` of text each, so what is broadcast
     stays bounded however many items there are; each block is one pass over the documents without a shuffle.
-    A NULL text has no words, an item without words no window; equal windows of several items count for each.
+    A NULL text has no words, an item without words no window; equal windows of several items count for each; an item
+    with NULL item_id is searched for like any other, but names no item.
     Repeated rows are searched each on its own. Extra columns pass through; names starting with ``__`` are reserved.
     """
     spark = docs.sparkSession
-    items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("item_id is not null and text is not null")
+    items = items.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null")
     size = items.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).head()[0]
     blocks = max(1, -(-size // block_bytes))
     mine = docs.drop("n_words", "hit_spans", "hit_items")
@@ -135,9 +136,9 @@ def contaminated(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFram
     found = search_items(docs.select("doc_id", "text"), items, width, out=["doc_id"])
     hit = F.aggregate("hit_spans", F.lit(0).cast("long"), lambda acc, x: x - acc)  # ends minus starts, by alternating signs
     return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("hit_items").cast("long").alias("n_items"),
-                        F.sha2(F.concat_ws(",", "hit_items"), 256).alias("items_sha256"), (F.size("hit_items") > 0).alias("contaminated"))
+                        F.sha2(F.concat_ws(",", "hit_items"), 256).alias("items_sha256"), (F.size("hit_spans") > 0).alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, width: int = 10) -> DataFrame:
     """The documents in which no window of any item occurs, with their own columns."""
-    return search_items(docs, items, width).where(F.size("hit_items") == 0).select(*docs.columns)
+    return search_items(docs, items, width).where(F.size("hit_spans") == 0).select(*docs.columns)

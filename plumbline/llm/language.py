@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections import defaultdict
 
 import numpy as np
@@ -117,9 +118,12 @@ _CACHE: dict[str, object] = {}
 
 
 def _lattice(pieces: list[str]) -> Lattice:
-    if "lattice" not in _CACHE:
-        _CACHE["lattice"] = Lattice(pieces)
-    return _CACHE["lattice"]
+    """The last vocabulary's lattice; another one's takes its place."""
+    key = hashlib.sha256("\n".join(pieces).encode()).hexdigest()
+    if key not in _CACHE:
+        _CACHE.clear()
+        _CACHE[key] = Lattice(pieces)
+    return _CACHE[key]
 
 
 def fit(docs: DataFrame, pieces: list[str], smooth: float = 0.5) -> tuple[list[str], np.ndarray]:

@@ -11,12 +11,12 @@ def _folded(table: str, key: str) -> str:
 
 ORACLES = {
     "op3_decontaminate": f"""WITH d AS {_folded('documents', 'doc_id')},
-it AS (SELECT CAST(item_id AS VARCHAR) AS id, ws, least(10, len(ws)) AS m FROM {_folded('benchmark', 'item_id')} b WHERE len(ws) > 0 AND item_id IS NOT NULL),
+it AS (SELECT CAST(item_id AS VARCHAR) AS id, ws, least(10, len(ws)) AS m FROM {_folded('benchmark', 'item_id')} b WHERE len(ws) > 0),
 pw AS (SELECT DISTINCT id, m, array_to_string(ws[i:i + m - 1], ' ') AS t FROM it, range(1, len(ws) - m + 2) r(i)),
 p AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM d),
 dw AS (""" + " UNION ALL ".join(f"SELECT doc_id, i, {m} AS m, string_agg(word, ' ') OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {m - 1} FOLLOWING) AS t, n FROM p WHERE EXISTS (SELECT 1 FROM pw WHERE m = {m})" for m in range(1, 11)) + f"""),
 hit AS (SELECT doc_id, i, m, id FROM dw JOIN pw USING (m, t) WHERE i + m - 1 <= n),
-h AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS j FROM hit) z GROUP BY 1), g AS (SELECT doc_id, list_sort(list(DISTINCT id)) AS ids FROM hit GROUP BY 1)
+h AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + m)) AS j FROM hit) z GROUP BY 1), g AS (SELECT doc_id, coalesce(list_sort(list(DISTINCT id) FILTER (id IS NOT NULL)), []) AS ids FROM hit GROUP BY 1)
 SELECT doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(len(ids), 0) AS n_items, sha256(coalesce(array_to_string(ids, ','), '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
 FROM d LEFT JOIN h USING (doc_id) LEFT JOIN g USING (doc_id)""",
     "op5_topk": """WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings

@@ -168,7 +168,7 @@ class _Extract:
     def batch(self):
         cols = list(zip(*self.rows))
         self.rows = []
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary()]
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["anchor", "doc_id", "tie", "s", "e", "piece"])
 
 
@@ -222,36 +222,34 @@ def strip_repeats(docs: DataFrame, kind: Kind, find: Found, keep: Callable, hot:
     doc_id, or earlier in the document. Equal whole texts are worked on once: the copies of the smallest doc_id go whole
     if they hold a window. ``find`` gets the segments of whole anchors, sorted by anchor, and yields repeated spans.
     NULL texts are empty; NULL doc_ids count as smallest; repeated equal rows (same doc_id, same text) count as one
-    document and each get its result; rows of one doc_id with other texts are told apart, and ordered, by a 32-bit hash of the text.
+    document and each get its result; rows of one doc_id with other texts are told apart, and ordered, by the number that
+    each distinct text gets in a written table.
     """
     mine = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    mine = mine.select("doc_id", F.shiftright(F.xxhash64("text"), 32).cast("int").alias("tie"), "text")
-    digest = F.unhex(F.sha2("text", 256)).alias("sha")
-    order = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "tie")
-    first = mine.select("doc_id", "tie", digest).groupBy("sha").agg(F.min(order).alias("first")).select("sha", F.col("first.doc_id").alias("first_id"), F.col("first.tie").alias("first_tie"))
-    first = cut(first, "repeats-first")
-    one = first.select("first_id", "first_tie").hint("shuffle_hash")
+    mine = mine.select("doc_id", F.unhex(F.sha2("text", 256)).alias("sha"), "text")
+    first = mine.groupBy("sha").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("first"))
+    first = cut(first.select("sha", F.col("first.doc_id").alias("first_id"), F.monotonically_increasing_id().alias("tie")), "repeats-first")
     same = lambda left, right: left["doc_id"].eqNullSafe(right["first_id"]) & (left["tie"] == right["first_tie"])
-    texts_once = mine.join(one, same(mine, one), "left_semi").select("doc_id", "tie", F.col("text").cast("binary").alias("text"))
-    places = texts_once.mapInArrow(_Anchors(kind), "anchor long, doc_id long, tie int, s int, e int")
+    one = first.withColumnRenamed("sha", "first_sha").hint("shuffle_hash")
+    texts_once = mine.join(one, mine["doc_id"].eqNullSafe(one["first_id"]) & (mine["sha"] == one["first_sha"])).select("doc_id", "tie", F.col("text").cast("binary").alias("text"))
+    places = texts_once.mapInArrow(_Anchors(kind), "anchor long, doc_id long, tie long, s int, e int")
     live = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     live = live.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # so that the join may split a frequent anchor's rows
     hits = places.join(live, "anchor").select("doc_id", "tie", F.struct("s", "e", "anchor", (F.col("n") > hot).alias("hot")).alias("seg"))
     by_doc = hits.groupBy("doc_id", "tie").agg(F.collect_set("seg").alias("live")).withColumnsRenamed({"doc_id": "first_id", "tie": "first_tie"}).hint("shuffle_hash")
-    pieces = texts_once.join(by_doc, same(texts_once, by_doc)).select("doc_id", "tie", "text", "live").mapInArrow(_Extract(kind), "anchor long, doc_id long, tie int, s int, e int, piece binary")
+    pieces = texts_once.join(by_doc, same(texts_once, by_doc)).select("doc_id", "tie", "text", "live").mapInArrow(_Extract(kind), "anchor long, doc_id long, tie long, s int, e int, piece binary")
     met = pieces.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "tie", "s")
-    spans = met.mapInArrow(find, "doc_id long, tie int, s int, e int")
+    spans = met.mapInArrow(find, "doc_id long, tie long, s int, e int")
     spans = spans.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("s", "e")).alias("spans")).withColumnsRenamed({"doc_id": "first_id", "tie": "first_tie"}).hint("shuffle_hash")
     results = texts_once.join(spans, same(texts_once, spans), "left").select("doc_id", "tie", "text", "spans")
-    results = results.mapInArrow(_Strip(kind, keep, texts), "doc_id long, tie int, n long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    results = results.mapInArrow(_Strip(kind, keep, texts), "doc_id long, tie long, n long, n_removed long, n_spans long, kept binary, kept_sha256 string")
     results = results.select("doc_id", "tie", "n", "n_removed", "n_spans", "kept_sha256", *(["kept"] if texts else [])).dropDuplicates(["doc_id", "tie"])
-    return _all_rows(mine.select("doc_id", "tie", digest), first, results, kind.width, texts)
+    return _all_rows(mine.select("doc_id", "sha"), first, results, kind.width, texts)
 
 
 def _all_rows(rows: DataFrame, first: DataFrame, results: DataFrame, width: int, texts: bool) -> DataFrame:
     """Copies of an earlier document lose all if they hold a window."""
-    results = results.withColumnsRenamed({"doc_id": "rid", "tie": "rtie"})
-    known = first.join(results, first["first_id"].eqNullSafe(results["rid"]) & (first["first_tie"] == results["rtie"])).drop("rid", "rtie", "first_tie")
+    known = first.join(results.drop("doc_id"), "tie").drop("tie")
     every = rows.join(known, "sha")
     copy = ~F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("n") >= width)
     cols = [F.col("doc_id"), F.col("n"), F.when(copy, F.col("n")).otherwise(F.col("n_removed")).alias("n_removed"), F.when(copy, F.lit(1).cast("long")).otherwise(F.col("n_spans")).alias("n_spans"),

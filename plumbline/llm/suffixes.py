@@ -200,7 +200,7 @@ class _Shard:
     @staticmethod
     def batch(rows):
         cols = list(zip(*rows)) or [()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int32(), pa.int32()))], names=["doc_id", "tie", "s", "e"])
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["doc_id", "tie", "s", "e"])
 
     def repeats(self, rows: list[tuple]) -> list[tuple]:
         """Spans of the windows that also start earlier, among these segments."""
@@ -213,8 +213,9 @@ class _Shard:
                 out.append((r[0], r[1], r[2], r[2] + len(r[3])))
         rows = list(unlike.values())
         length = np.array([len(r[3]) for r in rows])
-        text = np.frombuffer(b"\0".join(r[3] for r in rows), np.uint8)
         first = np.cumsum(length + 1) - (length + 1)
+        text = np.frombuffer(b"\0".join(r[3] for r in rows), np.uint8).astype(np.uint16) + 1
+        text[first[1:] - 1] = 0  # parts segments; no byte of a text is that
         row = np.repeat(np.arange(len(rows)), length + 1)[:len(text)]
         inside = np.arange(len(text)) - first[row]
         whole = inside + self.width <= length[row]  # a window ends in its own segment

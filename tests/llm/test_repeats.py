@@ -106,3 +106,29 @@ def test_equal_windows_share_an_anchor():
         window = {int(i): int(x) for x, lo, hi in zip(a, s, e) for i in range(lo, hi - 99)}
         found.append([window[n + i] for i in range(51)])
     assert found[0] == found[1] == found[2]
+
+
+def test_rows_without_ids_keep_their_own_results(spark):
+    """Many different texts of one (NULL) doc_id, and of one known doc_id: none gets another's result."""
+    rows = [(d, " ".join(f"{d}w{k}x{i}" for i in range(25))) for d in (None, 7) for k in range(40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(r.kept_sha256 for r in factors.word_digest(frame).collect())
+    assert got == sorted(hashlib.sha256(t.encode()).hexdigest() for _, t in rows)
+
+
+def test_texts_may_hold_any_byte():
+    """Segments with NUL bytes, against brute force: what parts segments is no byte of theirs."""
+    r = random.Random(2)
+    for _ in range(300):
+        rows = [(d, 0, 0, bytes(r.choice([0, 0, 0, 1, 255]) for _ in range(r.randrange(5, 14)))) for d in range(r.randrange(1, 8))]
+        covered = {d: set() for d, *_ in rows}
+        for d, _, a, z in suffixes._Shard(5).repeats(rows):
+            covered[d] |= set(range(a, z))
+        seen = set()
+        for d, _, _, piece in rows:
+            want = set()
+            for i in range(len(piece) - 4):
+                if piece[i:i + 5] in seen:
+                    want |= set(range(i, i + 5))
+                seen.add(piece[i:i + 5])
+            assert covered[d] == want, rows
