@@ -69,15 +69,15 @@ class _Factor:
         anchor, block = None, Reference(self.width)
         for b in batches:
             rows = []
-            for a, doc, tie, s, e, piece in zip(*(c.to_pylist() for c in b.columns)):
+            for a, no, s, e, piece in zip(*(c.to_pylist() for c in b.columns)):
                 if piece is None:
-                    rows.append((doc, tie, s, e))
+                    rows.append((no, s, e))
                     continue
                 if a != anchor:
                     anchor, block = a, Reference(self.width)
-                rows += [(doc, tie, s + x, s + z) for x, z in block.parse(piece.split())]
-            cols = list(zip(*rows)) or [()] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["doc_id", "tie", "s", "e"])
+                rows += [(no, s + x, s + z) for x, z in block.parse(piece.split())]
+            cols = list(zip(*rows)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int32()))], names=["no", "s", "e"])
 
 
 def _kept_words(units: list[bytes], spans: list[list[int]]) -> bytes:

@@ -103,13 +103,13 @@ class _Anchors:
         k = self.kind
         for b in batches:
             out, lens = [], []
-            for x in b.column(2):
+            for x in b.column(1):
                 s = segments(gram_hashes(k.hashes(k.split(x.as_py() or b"")), k.gram), k.width, k.gram)
                 out.append(s)
                 lens.append(len(s[0]))
             at = pa.array(np.repeat(np.arange(len(lens)), lens))
             cols = [np.concatenate([o[j] for o in out]) for j in range(3)] if out else [np.zeros(0, np.int64)] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0]), b.column(0).take(at), b.column(1).take(at), pa.array(cols[1].astype(np.int32)), pa.array(cols[2].astype(np.int32))], names=["anchor", "doc_id", "tie", "s", "e"])
+            yield pa.RecordBatch.from_arrays([pa.array(cols[0]), b.column(0).take(at), pa.array(cols[1].astype(np.int32)), pa.array(cols[2].astype(np.int32))], names=["anchor", "no", "s", "e"])
 
 
 class _Extract:
@@ -125,16 +125,16 @@ class _Extract:
     def __call__(self, batches):
         self.held, self.size, self.rows = {}, 0, []
         for b in batches:
-            for doc, tie, text, live in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2), b.column(3).to_pylist()):
+            for no, text, live in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
                 units = self.kind.split(text.as_py() or b"")
                 for seg in live:
                     a, z, anchor = seg["s"], seg["e"], seg["anchor"]
                     if not seg["hot"]:
-                        self.offer(anchor, (doc, tie, a), z, self.kind.slice(units, a, z))
+                        self.offer(anchor, (no, a), z, self.kind.slice(units, a, z))
                     else:
                         for i in range(a, z - self.kind.width + 1):
                             piece = self.kind.slice(units, i, i + self.kind.width)
-                            self.offer(xxhash.xxh64_intdigest(piece) - (1 << 63), (doc, tie, i), i + self.kind.width, piece)
+                            self.offer(xxhash.xxh64_intdigest(piece) - (1 << 63), (no, i), i + self.kind.width, piece)
             if self.size > HOLD:
                 self.release()
             if self.rows:
@@ -149,17 +149,17 @@ class _Extract:
             self.held[anchor, piece] = key, end
             self.size += len(piece) + 100
             return
-        if _before(key, other[0]):
+        if key < other[0]:
             self.held[anchor, piece] = key, end
             key, end = other
         elif key == other[0]:
             return
-        doc, tie, start = key
+        no, start = key
         last = self.rows[-1] if self.rows else None
-        if last and last[5] is None and last[1:3] == (doc, tie) and last[3] <= start <= last[4]:
-            self.rows[-1] = (*last[:4], max(end, last[4]), None)
+        if last and last[4] is None and last[1] == no and last[2] <= start <= last[3]:
+            self.rows[-1] = (*last[:3], max(end, last[3]), None)
         else:
-            self.rows.append((xxhash.xxh64_intdigest(b"%d" % (doc or 0)) - (1 << 63), doc, tie, start, end, None))
+            self.rows.append((xxhash.xxh64_intdigest(b"%d" % no) - (1 << 63), no, start, end, None))
 
     def release(self):
         self.rows += [(anchor, *key, end, piece) for (anchor, piece), (key, end) in self.held.items()]
@@ -168,13 +168,8 @@ class _Extract:
     def batch(self):
         cols = list(zip(*self.rows))
         self.rows = []
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["anchor", "doc_id", "tie", "s", "e", "piece"])
-
-
-def _before(a: tuple, b: tuple) -> bool:
-    """Order of places: doc_id (NULL first), tie, start."""
-    return (a[0] is not None, *((x if x is not None else 0) for x in a)) < (b[0] is not None, *((x if x is not None else 0) for x in b))
+        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=["anchor", "no", "s", "e", "piece"])
 
 
 Found = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
@@ -198,7 +193,7 @@ class _Strip:
     def __call__(self, batches):
         for b in batches:
             out = []
-            for text, spans in zip(b.column(2), b.column(3).to_pylist()):
+            for text, spans in zip(b.column(1), b.column(2).to_pylist()):
                 raw = text.as_py() or b""
                 joined: list[list[int]] = []
                 for a, z in sorted((s["s"], s["e"]) for s in spans or []):
@@ -212,7 +207,7 @@ class _Strip:
             cols = list(zip(*out)) if out else [()] * 5
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()]
             arrays = [pa.array(c, k) for c, k in zip(cols, kinds)]
-            yield pa.RecordBatch.from_arrays([*b.columns[:2], *arrays], names=["doc_id", "tie", "n", "n_removed", "n_spans", "kept", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([b.column(0), *arrays], names=["no", "n", "n_removed", "n_spans", "kept", "kept_sha256"])
 
 
 def strip_repeats(docs: DataFrame, kind: Kind, find: Found, keep: Callable, hot: int = 50_000, texts: bool = False) -> DataFrame:
@@ -228,29 +223,29 @@ def strip_repeats(docs: DataFrame, kind: Kind, find: Found, keep: Callable, hot:
     mine = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
     mine = mine.select("doc_id", F.unhex(F.sha2("text", 256)).alias("sha"), "text")
     first = mine.groupBy("sha").agg(F.min(F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id")).alias("first"))
-    first = cut(first.select("sha", F.col("first.doc_id").alias("first_id"), F.monotonically_increasing_id().alias("tie")), "repeats-first")
-    same = lambda left, right: left["doc_id"].eqNullSafe(right["first_id"]) & (left["tie"] == right["first_tie"])
+    order = ["first", "sha"]
+    first = first.repartitionByRange(*order).sortWithinPartitions(*order).select("sha", F.col("first.doc_id").alias("first_id"), F.monotonically_increasing_id().alias("no"))
+    first = cut(first, "repeats-first")  # from here on a text is its number, which grows with the doc_id
     one = first.withColumnRenamed("sha", "first_sha").hint("shuffle_hash")
-    texts_once = mine.join(one, mine["doc_id"].eqNullSafe(one["first_id"]) & (mine["sha"] == one["first_sha"])).select("doc_id", "tie", F.col("text").cast("binary").alias("text"))
-    places = texts_once.mapInArrow(_Anchors(kind), "anchor long, doc_id long, tie long, s int, e int")
+    texts_once = mine.join(one, mine["doc_id"].eqNullSafe(one["first_id"]) & (mine["sha"] == one["first_sha"])).select("no", F.col("text").cast("binary").alias("text"))
+    places = texts_once.mapInArrow(_Anchors(kind), "anchor long, no long, s int, e int")
     live = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     live = live.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # so that the join may split a frequent anchor's rows
-    hits = places.join(live, "anchor").select("doc_id", "tie", F.struct("s", "e", "anchor", (F.col("n") > hot).alias("hot")).alias("seg"))
-    by_doc = hits.groupBy("doc_id", "tie").agg(F.collect_set("seg").alias("live")).withColumnsRenamed({"doc_id": "first_id", "tie": "first_tie"}).hint("shuffle_hash")
-    pieces = texts_once.join(by_doc, same(texts_once, by_doc)).select("doc_id", "tie", "text", "live").mapInArrow(_Extract(kind), "anchor long, doc_id long, tie long, s int, e int, piece binary")
-    met = pieces.repartition("anchor").sortWithinPartitions("anchor", "doc_id", "tie", "s")
-    spans = met.mapInArrow(find, "doc_id long, tie long, s int, e int")
-    spans = spans.groupBy("doc_id", "tie").agg(F.collect_set(F.struct("s", "e")).alias("spans")).withColumnsRenamed({"doc_id": "first_id", "tie": "first_tie"}).hint("shuffle_hash")
-    results = texts_once.join(spans, same(texts_once, spans), "left").select("doc_id", "tie", "text", "spans")
-    results = results.mapInArrow(_Strip(kind, keep, texts), "doc_id long, tie long, n long, n_removed long, n_spans long, kept binary, kept_sha256 string")
-    results = results.select("doc_id", "tie", "n", "n_removed", "n_spans", "kept_sha256", *(["kept"] if texts else [])).dropDuplicates(["doc_id", "tie"])
+    hits = places.join(live, "anchor").select("no", F.struct("s", "e", "anchor", (F.col("n") > hot).alias("hot")).alias("seg"))
+    by_doc = hits.groupBy("no").agg(F.collect_set("seg").alias("live")).hint("shuffle_hash")
+    pieces = texts_once.join(by_doc, "no").select("no", "text", "live").mapInArrow(_Extract(kind), "anchor long, no long, s int, e int, piece binary")
+    met = pieces.repartition("anchor").sortWithinPartitions("anchor", "no", "s")
+    spans = met.mapInArrow(find, "no long, s int, e int")
+    spans = spans.groupBy("no").agg(F.collect_set(F.struct("s", "e")).alias("spans")).hint("shuffle_hash")
+    results = texts_once.join(spans, "no", "left").select("no", "text", "spans")
+    results = results.mapInArrow(_Strip(kind, keep, texts), "no long, n long, n_removed long, n_spans long, kept binary, kept_sha256 string")
+    results = results.select("no", "n", "n_removed", "n_spans", "kept_sha256", *(["kept"] if texts else [])).dropDuplicates(["no"])
     return _all_rows(mine.select("doc_id", "sha"), first, results, kind.width, texts)
 
 
 def _all_rows(rows: DataFrame, first: DataFrame, results: DataFrame, width: int, texts: bool) -> DataFrame:
     """Copies of an earlier document lose all if they hold a window."""
-    known = first.join(results.drop("doc_id"), "tie").drop("tie")
-    every = rows.join(known, "sha")
+    every = rows.join(first.join(results, "no").drop("no"), "sha")
     copy = ~F.col("doc_id").eqNullSafe(F.col("first_id")) & (F.col("n") >= width)
     cols = [F.col("doc_id"), F.col("n"), F.when(copy, F.col("n")).otherwise(F.col("n_removed")).alias("n_removed"), F.when(copy, F.lit(1).cast("long")).otherwise(F.col("n_spans")).alias("n_spans"),
             F.when(copy, F.sha2(F.lit(b""), 256)).otherwise(F.col("kept_sha256")).alias("kept_sha256")]

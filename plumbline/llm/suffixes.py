@@ -185,36 +185,36 @@ class _Shard:
         held, size, last = [], 0, None
         for b in batches:
             out = []
-            for anchor, doc, tie, s, e, piece in zip(*(c.to_pylist() for c in b.columns)):
+            for anchor, no, s, e, piece in zip(*(c.to_pylist() for c in b.columns)):
                 if piece is None:
-                    out.append((doc, tie, s, e))
+                    out.append((no, s, e))
                     continue
                 if size > SHARD and anchor != last:
                     out += self.repeats(held)
                     held, size = [], 0
-                held.append((doc, tie, s, piece))
+                held.append((no, s, piece))
                 size, last = size + len(piece), anchor
             yield self.batch(out)
         yield self.batch(self.repeats(held))
 
     @staticmethod
     def batch(rows):
-        cols = list(zip(*rows)) or [()] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int64(), pa.int32(), pa.int32()))], names=["doc_id", "tie", "s", "e"])
+        cols = list(zip(*rows)) or [()] * 3
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, (pa.int64(), pa.int32(), pa.int32()))], names=["no", "s", "e"])
 
     def repeats(self, rows: list[tuple]) -> list[tuple]:
         """Spans of the windows that also start earlier, among these segments."""
         if not rows:
             return []
-        rows = sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1], r[2]))  # places in order
+        rows = sorted(rows, key=lambda r: r[:2])  # places in order
         unlike, out = {}, []
         for r in rows:
-            if unlike.setdefault(r[3], r)[:3] != r[:3]:
-                out.append((r[0], r[1], r[2], r[2] + len(r[3])))
+            if unlike.setdefault(r[2], r)[:2] != r[:2]:
+                out.append((r[0], r[1], r[1] + len(r[2])))
         rows = list(unlike.values())
-        length = np.array([len(r[3]) for r in rows])
+        length = np.array([len(r[2]) for r in rows])
         first = np.cumsum(length + 1) - (length + 1)
-        text = np.frombuffer(b"\0".join(r[3] for r in rows), np.uint8).astype(np.uint16) + 1
+        text = np.frombuffer(b"\0".join(r[2] for r in rows), np.uint8).astype(np.uint16) + 1
         text[first[1:] - 1] = 0  # parts segments; no byte of a text is that
         row = np.repeat(np.arange(len(rows)), length + 1)[:len(text)]
         inside = np.arange(len(text)) - first[row]
@@ -228,8 +228,8 @@ class _Shard:
         # where in the order of places: document, then start; one start of one document may come in two segments' rows
         known, doc = {}, []
         for r in rows:
-            doc.append(known.setdefault((r[0], r[1]), len(known)))
-        place = (np.array(doc, np.int64)[row] << 32) + np.array([r[2] for r in rows], np.int64)[row] + inside
+            doc.append(known.setdefault(r[0], len(known)))
+        place = (np.array(doc, np.int64)[row] << 32) + np.array([r[1] for r in rows], np.int64)[row] + inside
         least = np.minimum.reduceat(place[sa], np.flatnonzero(~linked))
         late = np.zeros(len(text), bool)
         late[sa] = place[sa] > least[group]
@@ -238,8 +238,8 @@ class _Shard:
         if len(at):
             new = np.flatnonzero((at[1:] > at[:-1] + self.width) | (row[at[1:]] != row[at[:-1]]))
             for a, z in zip(at[np.concatenate([[0], new + 1])].tolist(), at[np.concatenate([new, [len(at) - 1]])].tolist()):
-                doc_id, tie, s, _ = rows[row[a]]
-                out.append((doc_id, tie, s + int(inside[a]), s + int(inside[z]) + self.width))
+                no, s, _ = rows[row[a]]
+                out.append((no, s + int(inside[a]), s + int(inside[z]) + self.width))
         return out
 
 

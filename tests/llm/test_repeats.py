@@ -120,12 +120,12 @@ def test_texts_may_hold_any_byte():
     """Segments with NUL bytes, against brute force: what parts segments is no byte of theirs."""
     r = random.Random(2)
     for _ in range(300):
-        rows = [(d, 0, 0, bytes(r.choice([0, 0, 0, 1, 255]) for _ in range(r.randrange(5, 14)))) for d in range(r.randrange(1, 8))]
+        rows = [(d, 0, bytes(r.choice([0, 0, 0, 1, 255]) for _ in range(r.randrange(5, 14)))) for d in range(r.randrange(1, 8))]
         covered = {d: set() for d, *_ in rows}
-        for d, _, a, z in suffixes._Shard(5).repeats(rows):
+        for d, a, z in suffixes._Shard(5).repeats(rows):
             covered[d] |= set(range(a, z))
         seen = set()
-        for d, _, _, piece in rows:
+        for d, _, piece in rows:
             want = set()
             for i in range(len(piece) - 4):
                 if piece[i:i + 5] in seen:
