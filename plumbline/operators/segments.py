@@ -64,57 +64,61 @@ def expand_segments(segments: DataFrame, facts: DataFrame, citations: DataFrame,
                     default_source: str = "Source — blog") -> DataFrame:
     """Beats to shots: (run_id, pos, sub, beat, type, duration_s, narration_span, payload, labels, fallback)."""
     seg = segments.join(referenced_facts(segments, facts, citations), ["run_id", "pos"], "left")
-    spans = X.pack_phrases(X.split_phrases("narration"))
-    seg = seg.withColumn("_sp", spans)
-    seg = seg.withColumn("_sp", F.when(F.size("_sp") > 0, F.col("_sp")).otherwise(F.array("narration")))
-    n, first = F.size("_sp"), F.get("_sp", F.lit(0))
-    rest = F.array_join(F.slice("_sp", F.lit(2), F.greatest(n - 1, F.lit(1))), ", ")
-    rest_or_all = F.when(n > 1, rest).otherwise(F.col("narration"))
-    told, card, wish = F.col("narration"), F.col("card_text"), X.strip(F.coalesce("broll_wish", F.lit("")))
-    raw_wish = F.coalesce("broll_wish", F.lit(""))
-
-    def chip(f):
-        return L.citation_chip(f["marker"], f["url"], f["url"].isNotNull(), default_source)
-
-    def stat(f):
-        return _map(value=f["value"], unit=f["unit"], label=card, citation=chip(f), fact_id=f["id"])
-
-    num, anyf, paper = F.col("numeric_fact"), F.col("any_fact"), F.col("paper_fact")
-    fact = F.coalesce(num, anyf)
-    head = _map(text=card)
-    headline = _map(text=card, wish=raw_wish)
-    broll = _map(wish=wish, layout=F.lit("auto"))
-
-    hook = F.when((wish != "") & (n >= 2), F.array(
-        _shot("BROLL", first, broll, fallback=_declared("HEADLINE_CARD", headline)), _shot("HEADLINE_CARD", rest, headline))
-    ).otherwise(F.array(_shot("HEADLINE_CARD", told, headline)))
-    none = F.expr(f"cast(array() as {SHOT})")
-    stakes = F.concat(F.when(num.isNotNull(), F.array(_shot("STAT_CARD", first, stat(num)))).otherwise(F.array(_shot("HEADLINE_CARD", first, head))),
-                      F.when(n > 1, F.array(_shot("HEADLINE_CARD", rest, head))).otherwise(none))
-    heads = F.transform(F.slice(X.split_phrases("narration"), 1, 3), lambda p: X.first_words(p, 4))
-    labels = F.when(F.size(F.coalesce("labels", X.strings([]))) > 0, F.col("labels")).when(F.size(heads) >= 2, heads).otherwise(
-        F.slice(F.concat(heads, X.strings(["Result"])), 1, 2))
-    k = F.least(F.lit(3), n)
-    groups = F.when(k > 1, F.concat(F.slice("_sp", F.lit(1), F.greatest(k - 1, F.lit(1))),
-                                    F.array(F.array_join(F.slice("_sp", k, n), ", ")))).otherwise(F.array(told))
-    mechanism = F.transform(groups, lambda span, i: _shot(
-        "DIAGRAM", span, _map(template=F.lit("flow"), reveal_stage=(i + 1).cast("string"), reveal_total=k.cast("string")), labels=labels))
-    quote = _map(quote=fact["quote"], source=chip(fact))
-    p_stat = F.when(F.size(X.numeric_tokens(paper["value"])) > 0, paper).otherwise(F.coalesce(fact, paper))
-    proof = (F.when(paper.isNotNull(), F.array(
-        _shot("PAPER_CARD", first, _map(marker=paper["marker"].cast("string"), url=paper["url"], highlight=card, wish=raw_wish),
-              fallback=_declared("QUOTE_CARD", _map(quote=paper["quote"], source=chip(paper)))),
-        _shot("STAT_CARD", rest_or_all, stat(p_stat))))
-        .when((wish != "") & (n >= 2) & fact.isNotNull(), F.array(
-            _shot("BROLL", first, broll, fallback=_declared("STAT_CARD", stat(fact))), _shot("QUOTE_CARD", rest_or_all, quote)))
-        .when(fact.isNotNull(), F.array(_shot("STAT_CARD", first, stat(fact)), _shot("QUOTE_CARD", rest_or_all, quote)))
-        .otherwise(F.array(_shot("HEADLINE_CARD", told, head))))
-    known = F.create_map(*(F.lit(x) for pair in rules.differentiators for x in pair)) if rules.differentiators else F.create_map().cast("map<string,string>")
-    cited = F.filter(F.coalesce("fact_ids", X.strings([])), lambda f: F.array_contains(F.map_keys(known), f))
-    diff = F.coalesce(F.try_element_at(known, F.try_element_at(cited, F.lit(-1))), F.lit(""))  # the last one cited
-    cta = F.array(_shot("LOGO_CTA", told, _map(differentiator=diff, cta_line=F.lit(rules.cta_lines[0] if rules.cta_lines else ""), domain=F.lit(rules.domain))))
-    shots = (F.when(F.col("beat") == "hook", hook).when(F.col("beat") == "stakes", stakes).when(F.col("beat") == "mechanism", mechanism)
-             .when(F.col("beat") == "proof", proof).when(F.col("beat") == "cta", cta).otherwise(F.array(_shot("HEADLINE_CARD", told, head))))
+    def tree(sp):
+        """The shots of a segment, given its spans."""
+        n, first = F.size(sp), F.get(sp, F.lit(0))
+        rest = F.array_join(F.slice(sp, F.lit(2), F.greatest(n - 1, F.lit(1))), ", ")
+        rest_or_all = F.when(n > 1, rest).otherwise(F.col("narration"))
+        told, card, wish = F.col("narration"), F.col("card_text"), X.strip(F.coalesce("broll_wish", F.lit("")))
+        raw_wish = F.coalesce("broll_wish", F.lit(""))
+
+        def chip(f):
+            return L.citation_chip(f["marker"], f["url"], f["url"].isNotNull(), default_source)
+
+        def stat(f):
+            return _map(value=f["value"], unit=f["unit"], label=card, citation=chip(f), fact_id=f["id"])
+
+        num, anyf, paper = F.col("numeric_fact"), F.col("any_fact"), F.col("paper_fact")
+        fact = F.coalesce(num, anyf)
+        head = _map(text=card)
+        headline = _map(text=card, wish=raw_wish)
+        broll = _map(wish=wish, layout=F.lit("auto"))
+
+        hook = F.when((wish != "") & (n >= 2), F.array(
+            _shot("BROLL", first, broll, fallback=_declared("HEADLINE_CARD", headline)), _shot("HEADLINE_CARD", rest, headline))
+        ).otherwise(F.array(_shot("HEADLINE_CARD", told, headline)))
+        none = F.expr(f"cast(array() as {SHOT})")
+        stakes = F.concat(F.when(num.isNotNull(), F.array(_shot("STAT_CARD", first, stat(num)))).otherwise(F.array(_shot("HEADLINE_CARD", first, head))),
+                          F.when(n > 1, F.array(_shot("HEADLINE_CARD", rest, head))).otherwise(none))
+        heads = F.transform(F.slice(X.split_phrases("narration"), 1, 3), lambda p: X.first_words(p, 4))
+        labels = F.when(F.size(F.coalesce("labels", X.strings([]))) > 0, F.col("labels")).when(F.size(heads) >= 2, heads).otherwise(
+            F.slice(F.concat(heads, X.strings(["Result"])), 1, 2))
+        k = F.least(F.lit(3), n)
+        groups = F.when(k > 1, F.concat(F.slice(sp, F.lit(1), F.greatest(k - 1, F.lit(1))),
+                                        F.array(F.array_join(F.slice(sp, k, n), ", ")))).otherwise(F.array(told))
+        mechanism = F.transform(groups, lambda span, i: _shot(
+            "DIAGRAM", span, _map(template=F.lit("flow"), reveal_stage=(i + 1).cast("string"), reveal_total=k.cast("string")), labels=labels))
+        quote = _map(quote=fact["quote"], source=chip(fact))
+        p_stat = F.when(F.size(X.numeric_tokens(paper["value"])) > 0, paper).otherwise(F.coalesce(fact, paper))
+        proof = (F.when(paper.isNotNull(), F.array(
+            _shot("PAPER_CARD", first, _map(marker=paper["marker"].cast("string"), url=paper["url"], highlight=card, wish=raw_wish),
+                  fallback=_declared("QUOTE_CARD", _map(quote=paper["quote"], source=chip(paper)))),
+            _shot("STAT_CARD", rest_or_all, stat(p_stat))))
+            .when((wish != "") & (n >= 2) & fact.isNotNull(), F.array(
+                _shot("BROLL", first, broll, fallback=_declared("STAT_CARD", stat(fact))), _shot("QUOTE_CARD", rest_or_all, quote)))
+            .when(fact.isNotNull(), F.array(_shot("STAT_CARD", first, stat(fact)), _shot("QUOTE_CARD", rest_or_all, quote)))
+            .otherwise(F.array(_shot("HEADLINE_CARD", told, head))))
+        known = F.create_map(*(F.lit(x) for pair in rules.differentiators for x in pair)) if rules.differentiators else F.create_map().cast("map<string,string>")
+        cited = F.filter(F.coalesce("fact_ids", X.strings([])), lambda f: F.array_contains(F.map_keys(known), f))
+        diff = F.coalesce(F.try_element_at(known, F.try_element_at(cited, F.lit(-1))), F.lit(""))  # the last one cited
+        cta = F.array(_shot("LOGO_CTA", told, _map(differentiator=diff, cta_line=F.lit(rules.cta_lines[0] if rules.cta_lines else ""), domain=F.lit(rules.domain))))
+        shots = (F.when(F.col("beat") == "hook", hook).when(F.col("beat") == "stakes", stakes).when(F.col("beat") == "mechanism", mechanism)
+                 .when(F.col("beat") == "proof", proof).when(F.col("beat") == "cta", cta).otherwise(F.array(_shot("HEADLINE_CARD", told, head))))
+        return shots
+
+    # bound once, so that the tree holds the spans by name and not by their whole expression
+    packed = X.let(X.pack_phrases(X.split_phrases("narration")), lambda sp: F.when(F.size(sp) > 0, sp).otherwise(F.array("narration")))
+    shots = X.let(packed, tree)
     seg = seg.withColumn("_shots", shots)
     per = F.greatest(X.estimate_s("narration"), F.lit(K.SHOT_MIN_S)) / F.size("_shots")
     cap = F.when(F.col("beat") == "cta", K.END_CARD_MAX_S).otherwise(K.SHOT_MAX_S)
