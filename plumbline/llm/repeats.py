@@ -226,18 +226,21 @@ def strip_repeats(docs: DataFrame, kind: Kind, find: Found, keep: Callable, hot:
     order = ["first", "sha"]
     first = first.repartitionByRange(*order).sortWithinPartitions(*order).select("sha", F.col("first.doc_id").alias("first_id"), F.monotonically_increasing_id().alias("no"))
     first = cut(first, "repeats-first")  # from here on a text is its number, which grows with the doc_id
-    one = first.withColumnRenamed("sha", "first_sha").hint("shuffle_hash")
-    texts_once = mine.join(one, mine["doc_id"].eqNullSafe(one["first_id"]) & (mine["sha"] == one["first_sha"])).select("no", F.col("text").cast("binary").alias("text"))
-    places = texts_once.mapInArrow(_Anchors(kind), "anchor long, no long, s int, e int")
+    # texts are shuffled once, by doc_id and whole digest; what is found for numbers gets these keys back and comes to them
+    keys = first.withColumnRenamed("sha", "first_sha")
+    same = lambda left, right: left["doc_id"].eqNullSafe(right["first_id"]) & (left["sha"] == right["first_sha"])
+    one = keys.hint("shuffle_hash")
+    texts_once = mine.join(one, same(mine, one)).select("doc_id", "sha", "no", F.col("text").cast("binary").alias("text"))
+    places = texts_once.select("no", "text").mapInArrow(_Anchors(kind), "anchor long, no long, s int, e int")
     live = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     live = live.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # so that the join may split a frequent anchor's rows
     hits = places.join(live, "anchor").select("no", F.struct("s", "e", "anchor", (F.col("n") > hot).alias("hot")).alias("seg"))
-    by_doc = hits.groupBy("no").agg(F.collect_set("seg").alias("live")).hint("shuffle_hash")
-    pieces = texts_once.join(by_doc, "no").select("no", "text", "live").mapInArrow(_Extract(kind), "anchor long, no long, s int, e int, piece binary")
+    by_doc = hits.groupBy("no").agg(F.collect_set("seg").alias("live")).join(keys, "no").drop("no").hint("shuffle_hash")
+    pieces = texts_once.join(by_doc, same(texts_once, by_doc)).select("no", "text", "live").mapInArrow(_Extract(kind), "anchor long, no long, s int, e int, piece binary")
     met = pieces.repartition("anchor").sortWithinPartitions("anchor", "no", "s")
     spans = met.mapInArrow(find, "no long, s int, e int")
-    spans = spans.groupBy("no").agg(F.collect_set(F.struct("s", "e")).alias("spans")).hint("shuffle_hash")
-    results = texts_once.join(spans, "no", "left").select("no", "text", "spans")
+    spans = spans.groupBy("no").agg(F.collect_set(F.struct("s", "e")).alias("spans")).join(keys, "no").drop("no").hint("shuffle_hash")
+    results = texts_once.join(spans, same(texts_once, spans), "left").select("no", "text", "spans")
     results = results.mapInArrow(_Strip(kind, keep, texts), "no long, n long, n_removed long, n_spans long, kept binary, kept_sha256 string")
     results = results.select("no", "n", "n_removed", "n_spans", "kept_sha256", *(["kept"] if texts else [])).dropDuplicates(["no"])
     return _all_rows(mine.select("doc_id", "sha"), first, results, kind.width, texts)

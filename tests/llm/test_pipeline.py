@@ -70,4 +70,4 @@ def test_stages(spark, tmp_path):
 
 
 def test_names():
-    assert {"pipeline", *(n.split("_")[0] for n in queries.QUERIES if n != "pipeline")} == {"pipeline", *(f"op{i}" for i in range(1, 11))}
+    assert {"pipeline", *(n.split("_")[0] for n in queries.QUERIES if n != "pipeline")} == {"pipeline", *(f"op{i}" for i in range(1, 14))}
