@@ -8,7 +8,6 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from plumbline import constants as K
 from plumbline.functions import text as X
 from plumbline.operators import facts as FO
 from plumbline.operators import pages as PO
