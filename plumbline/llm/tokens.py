@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -33,24 +34,38 @@ def vocabulary_path(name: str = "byte_bpe_50k.json") -> str:
 
 def pack(values: np.ndarray) -> tuple[bytes, bytes]:
     """(control bytes, data bytes) of unsigned 32-bit values; the last control byte is filled with zero bits."""
+    control, _, data, _ = pack_rows(values, np.array([len(values)]))
+    return control.tobytes(), data.tobytes()
+
+
+def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
+    """The ``n`` values: control bytes give all lengths through one table, lengths give offsets."""
+    return unpack_rows(np.frombuffer(control, np.uint8), np.frombuffer(data, np.uint8), np.array([n]))
+
+
+def pack_rows(values: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(control, its bytes a row, data, its bytes a row) of rows of ``n`` values each, one after another."""
     v = np.ascontiguousarray(values, "<u4")
-    quads = np.zeros(-(-len(v) // 4) * 4, np.uint8)
-    extra, width = quads[:len(v)], 2 if v.max(initial=0) <= 0xFFFF else 4
+    quads = -(-n // 4)
+    extra, width = np.zeros(len(v), np.uint8), 2 if v.max(initial=0) <= 0xFFFF else 4
     for k in range(1, width):
         extra += v > (1 << 8 * k) - 1
-    control = quads[0::4] | quads[1::4] << 2 | quads[2::4] << 4 | quads[3::4] << 6
+    bits = np.zeros(int(quads.sum()) * 4, np.uint8)
+    bits[_filled(n, quads)] = extra
+    control = bits[0::4] | bits[1::4] << 2 | bits[2::4] << 4 | bits[3::4] << 6
     use = np.empty((len(v), width), bool)
     for k in range(width):
         use[:, k] = extra >= k
-    data = v.view(np.uint8).reshape(-1, 4)[:, :width][use]
-    return control.tobytes(), data.tobytes()
+    ends = np.cumsum(extra, dtype=np.int64)[np.cumsum(n) - 1] if len(v) else np.zeros(len(n), np.int64)
+    ends = np.where(np.cumsum(n) > 0, ends, 0) + np.cumsum(n)
+    return control, quads, v.view(np.uint8).reshape(-1, 4)[:, :width][use], np.diff(ends, prepend=0)
 
 
-def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
-    """The ``n`` values: control bytes give all lengths through one table, lengths give offsets."""
-    size = LENGTHS[np.frombuffer(control, np.uint8)].reshape(-1)[:n]
+def unpack_rows(control: np.ndarray, data: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """The values of rows of ``n`` values each, whose control and data bytes stand one after another."""
+    size = LENGTHS[control].reshape(-1)[_filled(n, -(-n // 4))]
     at = np.cumsum(size, dtype=np.int64) - size
-    raw = np.frombuffer(data + b"\0\0\0", np.uint8)
+    raw = np.concatenate([data, np.zeros(3, np.uint8)])
     out = raw[at].astype(np.uint32)
     for k in range(1, int(size.max(initial=1))):
         more = np.flatnonzero(size > k)
@@ -58,47 +73,142 @@ def unpack(control: bytes, data: bytes, n: int) -> np.ndarray:
     return out
 
 
-class _Words(dict):
-    """What stands between two single spaces -> the ids of the space and it; None where white space at its edge would join them.
+def _filled(n: np.ndarray, quads: np.ndarray) -> np.ndarray:
+    """Where the values of rows stand when each row is filled up to whole fours."""
+    before = np.cumsum(quads * 4 - n) - (quads * 4 - n)
+    return np.arange(int(n.sum())) + np.repeat(before, n)
+
+
+def _ranges(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """start, start + 1, … of each range, one range after another."""
+    return np.arange(int(size.sum())) + np.repeat(start - (np.cumsum(size) - size), size)
 
-    When full, the words become the ``old`` ones, from which those that come again return.
+
+def _runs(sizes: np.ndarray, most: int) -> Iterator[tuple[int, int]]:
+    """Ranges of rows with about ``most`` in all, a larger row alone."""
+    ends, lo = np.cumsum(sizes), 0
+    while lo < len(ends):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, side="right")))
+        yield lo, hi
+        lo = hi
+
+
+def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes of all rows, bytes a row) of a binary column without NULLs."""
+    wide = pa.types.is_large_binary(column.type)
+    at = np.frombuffer(column.buffers()[1], np.int64 if wide else np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+    held = column.buffers()[2]
+    return np.frombuffer(held, np.uint8)[at[0]:at[-1]] if held else np.zeros(0, np.uint8), np.diff(at)
+
+
+def _binary(flat: np.ndarray, sizes: np.ndarray) -> pa.Array:
+    at = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(at), pa.py_buffer(np.ascontiguousarray(flat, np.uint8))])
+
+
+#: Byte -> the printable character that stands for it; 255 is in no UTF-8 and parts pieces.
+_SHOWN = np.array([_BYTES[b] for b in range(256)], "<u2")
+_STOPS = frozenset(".,;:!?")
+
+
+class _Words:
+    """ids of texts through the words between their single spaces; byte-level BPE never merges across pieces.
+
+    A piece never reaches over a single space between other characters, so a distinct word is parted and merged once.
+    Words stay known in a compact table; when it holds more than ``most``, those of the latest run stay.
     """
 
-    def __init__(self, tokenizer, kind: str, most: int = 120_000):
-        self.model, self.code, self.most, self.old = tokenizer.model, {"<u2": "H", "<u4": "I"}[kind], most, {}
-        self.stops = {c: self.pieces([c]) for c in ".,;:!?"}
-
-    def __missing__(self, word: str) -> bytes | None:
-        if len(self) >= self.most:
-            self.old = dict(self)
-            self.clear()
-        ids = self.old.get(word)
-        if ids is not None:
-            pass
-        elif word.isalpha():  # one piece
-            ids = array(self.code, [t.id for t in self.model.tokenize((" " + word).encode().decode("latin-1").translate(_BYTES))]).tobytes()
-        elif word[-1:] in self.stops and word[:-1].isalpha():  # two pieces, of which the word may be known
-            ids = self[word[:-1]] + self.stops[word[-1]]
-        elif word and not word[0].isspace() and not word[-1].isspace():
-            ids = self.pieces(PIECES.findall(" " + word))
-        self[word] = ids
+    def __init__(self, tokenizer, kind: str, most: int = 400_000):
+        self.model, self.kind, self.code, self.most = tokenizer.model, kind, {"<u2": "H", "<u4": "I"}[kind], most
+        self.words, self.flat, self.size = pa.array([], pa.string()), np.zeros(0, kind), np.zeros(0, np.int64)
+
+    def merged(self, pieces: set[str]) -> dict[str, bytes]:
+        """The ids of each piece, from the table where it is a space and a known word."""
+        every = list(pieces)
+        at = np.full(len(every), -1)
+        if len(every) * 20 > len(self.words):  # a look-up reads the whole table, which a few merges do not pay for
+            found = pc.index_in(pa.array([p[1:] for p in every], pa.string()), value_set=self.words)
+            at = np.where([p[0] == " " for p in every], np.asarray(pc.fill_null(found, -1)), -1)
+            at[np.append(self.size, 1)[at] == 0] = -1
+        old = np.flatnonzero(at >= 0)
+        end = np.cumsum(self.size)[at[old]]
+        spans = zip(old.tolist(), (end - self.size[at[old]]).tolist(), end.tolist())
+        out = {every[k]: self.flat[a:b].tobytes() for k, a, b in spans}
+        new = [every[k] for k in np.flatnonzero(at < 0).tolist()]
+        if new:
+            raw = np.frombuffer("\udcff".join(new).encode("utf-8", "surrogateescape"), np.uint8)
+            tokenize, code = self.model.tokenize, self.code
+            for p, shown in zip(new, _SHOWN[raw].tobytes().decode("utf-16-le").split(chr(255))):
+                out[p] = array(code, [t.id for t in tokenize(shown)]).tobytes()
+        return out
+
+    def joined(self, rows: list[list[str]]) -> list[bytes]:
+        """The ids of each row of pieces."""
+        ids = self.merged(set().union(*rows))
+        return [b"".join([ids[p] for p in row]) for row in rows]
+
+    def after_space(self, words: list[str]) -> list[bytes]:
+        """The ids of a space and each word; none where white space stands at the word's edge."""
+        lead, stops, parted = [" " + w for w in words], [], {}
+        for k, w in enumerate(words):
+            if w.isalpha():  # one piece
+                continue
+            if w[-1:] in _STOPS and w[:-1].isalpha():  # two pieces
+                lead[k] = lead[k][:-1]
+                stops.append(k)
+            else:
+                parted[k] = PIECES.findall(lead[k]) if w and not w[0].isspace() and not w[-1].isspace() else []
+                lead[k] = "."
+        known = self.merged({*lead, *_STOPS}.union(*parted.values()))
+        ids = list(map(known.__getitem__, lead))
+        for k in stops:
+            ids[k] += known[words[k][-1]]
+        for k, found in parted.items():
+            ids[k] = b"".join([known[p] for p in found])
         return ids
 
-    def pieces(self, found: list[str]) -> bytes:
-        tokenize, out = self.model.tokenize, []
-        for piece in found:
-            out += [t.id for t in tokenize(piece.encode().decode("latin-1").translate(_BYTES))]
-        return array(self.code, out).tobytes()
-
-    def ids(self, text: str) -> bytes:
-        """A piece never reaches over a single space between other characters, so words are looked up one by one."""
-        first, *words = text.split(" ")
-        if first and not first[-1].isspace():
-            try:
-                return self.pieces(PIECES.findall(first)) + b"".join(map(self.__getitem__, words))
-            except TypeError:  # a None: white space stands at the edge of a word
-                pass
-        return self.pieces(PIECES.findall(text))
+    def numbers(self, words: pa.Array) -> np.ndarray:
+        """The places of distinct words in the table, to which the new ones are added."""
+        found = pc.index_in(words, value_set=self.words)
+        new = np.asarray(pc.is_null(found))
+        at = np.asarray(pc.fill_null(found, -1)).astype(np.int64)
+        if len(self.words) > self.most:
+            stay = at[~new]
+            start = (np.cumsum(self.size) - self.size)[stay]
+            self.flat = self.flat[_ranges(start, self.size[stay])]
+            self.words, self.size = self.words.take(pa.array(stay)), self.size[stay]
+            at[~new] = np.arange(len(stay))
+        if new.any():
+            some = words.filter(pa.array(new))
+            ids = self.after_space(pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some), " ")[0].as_py().split(" "))
+            at[new] = len(self.words) + np.arange(len(some))
+            self.words = pa.concat_arrays([self.words, some])
+            self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(ids), self.kind)])
+            self.size = np.concatenate([self.size, np.fromiter(map(len, ids), np.int64, len(ids)) // self.flat.itemsize])
+        return at
+
+    def texts(self, column: pa.Array, end: bytes) -> list[bytes]:
+        """ids of each text and the end; where white space stands at the edge of a word, the whole text is parted."""
+        lists = pc.split_pattern(column.cast(pa.string()), " ")
+        at = np.asarray(lists.offsets).astype(np.int64)
+        firsts = lists.values.take(pa.array(at[:-1])).to_pylist()
+        coded = lists.values.dictionary_encode()
+        number = self.numbers(coded.dictionary)[np.asarray(coded.indices)]
+        first_ids = self.joined([PIECES.findall(w) if w and not w[-1].isspace() else [] for w in firsts])
+        size = np.concatenate([self.size, [len(x) // len(end) for x in first_ids], [1]])
+        flat = np.concatenate([self.flat, np.frombuffer(b"".join([*first_ids, end]), self.kind)])
+        number[at[:-1]] = len(self.words) + np.arange(len(firsts))
+        number = np.insert(number, at[1:], len(size) - 1)
+        begin = at[:-1] + np.arange(len(firsts))
+        held = size[number]
+        whole = np.minimum.reduceat(held, begin) > 0
+        laid = flat[_ranges((np.cumsum(size) - size)[number], held)]
+        to = np.cumsum(np.add.reduceat(held, begin)).tolist()
+        ids = [laid[a:b].tobytes() for a, b in zip([0, *to], to)]
+        rest = np.flatnonzero(~whole)
+        for k, x in zip(rest, self.joined([PIECES.findall(column[k].as_py()) for k in rest.tolist()])):
+            ids[k] = x + end
+        return ids
 
 
 @lru_cache(1)
@@ -113,23 +223,26 @@ def _loaded(spec: str):
 
 
 class _Tokenize:
-    """ids of whole texts; byte-level BPE never merges across pieces, so known words come from the cache."""
+    """ids of whole texts, in runs of about eight million bytes."""
 
     def __init__(self, spec: str, end_id: int):
         self.spec, self.end_id = spec, end_id
 
     def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        t, cache, plain, added, kind = _loaded(self.spec)
+        t, words, plain, added, kind = _loaded(self.spec)
         end = np.array([self.end_id], kind).tobytes()
         for b in batches:
-            ids = []
-            for x in b.column(1):
-                text = x.as_py() or ""
-                if plain and not any(a in text for a in added):
-                    ids.append(cache.ids(text) + end)
-                else:
-                    ids.append(np.array(t.encode(text, add_special_tokens=False).ids, kind).tobytes() + end)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
+            texts = pc.fill_null(b.column(1), "")
+            for lo, hi in _runs(np.asarray(pc.binary_length(texts)), 1 << 23):
+                some = texts.slice(lo, hi - lo)
+                ids = words.texts(some, end) if plain else [None] * len(some)
+                marked = np.zeros(len(some), bool)
+                for a in added:
+                    marked |= np.asarray(pc.match_substring(some, a))
+                for k in range(len(ids)):
+                    if marked[k] or not plain:
+                        ids[k] = np.array(t.encode(some[k].as_py(), add_special_tokens=False).ids, kind).tobytes() + end
+                yield pa.RecordBatch.from_arrays([b.column(0).slice(lo, hi - lo), pa.array(ids, pa.binary())], names=["doc_id", "ids"])
 
 
 class _Count:
@@ -139,8 +252,9 @@ class _Count:
     def __call__(self, batches):
         total = np.zeros(0, np.int64)
         for b in batches:
-            for x in b.column(0):
-                n = np.bincount(np.frombuffer(x.as_py(), self.kind), minlength=len(total))
+            ids = _flat(b.column(0))[0].view(self.kind) if b.num_rows else np.zeros(0, self.kind)
+            for lo in range(0, len(ids), 1 << 20):
+                n = np.bincount(ids[lo:lo + (1 << 20)], minlength=len(total))
                 n[:len(total)] += total
                 total = n
         at = np.flatnonzero(total)
@@ -154,14 +268,14 @@ class _Encode:
         self.rank[order] = np.arange(len(order), dtype=np.uint32)
 
     def __call__(self, batches):
+        width = np.dtype(self.kind).itemsize
         for b in batches:
-            n, control, data = [], [], []
-            for x in b.column(1):
-                ids = np.frombuffer(x.as_py(), self.kind)
-                c, d = pack(self.rank[ids])
-                n.append(len(ids)), control.append(c), data.append(d)
-            part = [0 if d is None else int(np.searchsorted(self.bounds, d, side="right")) for d in b.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), b.column(0), pa.array(n, pa.int64()), pa.array(control, pa.binary()), pa.array(data, pa.binary())], names=["part", "doc_id", "n_tokens", "control", "data"])
+            part = np.array([0 if d is None else np.searchsorted(self.bounds, d, side="right") for d in b.column(0).to_pylist()], np.int32)
+            for lo, hi in _runs(np.asarray(pc.binary_length(b.column(1))), 1 << 21):
+                flat, size = _flat(b.column(1).slice(lo, hi - lo))
+                n = size // width
+                control, c, data, d = pack_rows(self.rank[flat.view(self.kind)], n)
+                yield pa.RecordBatch.from_arrays([pa.array(part[lo:hi]), b.column(0).slice(lo, hi - lo), pa.array(n), _binary(control, c), _binary(data, d)], names=["part", "doc_id", "n_tokens", "control", "data"])
 
 
 def _place(batches):
@@ -180,8 +294,11 @@ class _Decode:
 
     def __call__(self, batches):
         for b in batches:
-            ids = [self.order[unpack(c.as_py(), d.as_py(), n.as_py())].astype("<u4").tobytes() for n, c, d in zip(b.column(2), b.column(3), b.column(4))]
-            yield pa.RecordBatch.from_arrays([*b.columns[:3], pa.array(ids, pa.binary())], names=["doc_id", "start", "n_tokens", "ids"])
+            for lo, hi in _runs(np.asarray(b.column(2)), 1 << 20):
+                some = b.slice(lo, hi - lo)
+                n = np.asarray(some.column(2))
+                ids = self.order[unpack_rows(_flat(some.column(3))[0], _flat(some.column(4))[0], n)].astype("<u4")
+                yield pa.RecordBatch.from_arrays([*some.columns[:3], _binary(ids.view(np.uint8), n * 4)], names=["doc_id", "start", "n_tokens", "ids"])
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int = 0) -> None:
