@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import hashlib
 import re
-from bisect import bisect_left
+from bisect import bisect_right
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -37,50 +38,66 @@ def base_spans(text: str) -> list[Span]:
     return sorted(out, key=lambda s: (s[0], KINDS.index(s[2])))
 
 
-def _mixed(word: str) -> bool:
-    """Looks drawn rather than written: three classes of characters, many distinct."""
-    classes = sum(any(f(c) for c in word) for f in (str.isdigit, str.isupper, str.islower))
-    return classes == 3 and len(set(word)) * 2 >= min(len(word), 40)
+def _keyish(word: str, inside: bool) -> bool:
+    """Letters and digits, since complementary parts decide; ``inside`` one of those it must look drawn, not written."""
+    if inside:
+        classes = sum(any(f(c) for c in word) for f in (str.isdigit, str.isupper, str.islower))
+        return classes == 3 and len(set(word)) * 2 >= min(len(word), 40)
+    return any(c.isdigit() for c in word) and any(c.isalpha() for c in word)
 
 
-def _within(starts: list[int], span: Span, scope: int) -> bool:
-    """Whether another part starts in the span's scope."""
-    k = bisect_left(starts, span[0] - scope)
-    return k < len(starts) and starts[k] <= span[1] + scope
+class _Parts:
+    """Intervals by start, with the furthest end so far: joins by distance without making pairs."""
 
+    def __init__(self, spans: list[Span]):
+        spans = sorted(spans)
+        self.starts = [a for a, _, _ in spans]
+        self.tops = list(accumulate((b for _, b, _ in spans), max))
 
-def linked_spans(text: str, base: list[Span], scope: int) -> list[Span]:
-    """Weak parts whose complements start within ``scope`` code points of them.
+    def near(self, span: Span, scope: int) -> bool:
+        """Whether at most ``scope`` code points lie between the span and one of the intervals, on either side."""
+        k = bisect_right(self.starts, span[1] + scope)
+        return k > 0 and self.tops[k - 1] >= span[0] - scope
 
-    A weak secret needs an access identifier, or a weak identifier and an endpoint; a weak identifier or an endpoint
-    needs a secret (base or weak) and the other one of the two. Each part is looked up in the sorted starts of the
-    others, so many parts in one scope make no pairs. Weak parts that overlap a base span are that base span's.
-    """
-    taken = [(a, b) for a, b, _ in base]
-    tops, top = [], -1
-    for _, b in taken:
-        top = max(top, b)
-        tops.append(top)
-    starts = [a for a, _ in taken]
 
-    def free(a: int, b: int) -> bool:
-        k = bisect_left(starts, b)
-        return k == 0 or tops[k - 1] <= a
+def weak_parts(text: str, base: list[Span]) -> tuple[list[Span], list[Span], list[Span]]:
+    """Weak identifiers, secrets and endpoints that overlap no base span."""
+    taken = _Parts(base)
+
+    def free(m: re.Match, group: int, kind: str) -> list[Span]:
+        span = (m.start(group), m.end(group), kind)
+        return [] if taken.near(span, -1) else [span]
 
     low = text.casefold()
-    ids = [(m.start(1), m.end(1), "weak_id") for m in _WEAK_ID.finditer(text) if free(m.start(1), m.end(1))] if any(c in low for c in ("user", "login", "account", "client")) else []
-    ends = [(m.start(), m.end(), "weak_endpoint") for m in _WEAK_ENDPOINT.finditer(text) if free(m.start(), m.end())]
-    access = [a for a, _, k in base if k == "access"]
-    if not access and not (ids and ends):
-        return []
-    keys = [(m.start(), m.end(), "weak_secret") for m in _WEAK_SECRET.finditer(text) if _mixed(m[0]) and free(m.start(), m.end())]
-    id_at, end_at = [s[0] for s in ids], [s[0] for s in ends]
-    secret_at = sorted([s[0] for s in keys] + [a for a, _, k in base if k != "access"])
-    who = sorted(id_at + access)
-    out = [s for s in keys if _within(access, s, scope) or _within(id_at, s, scope) and _within(end_at, s, scope)]
-    out += [s for s in ids if _within(secret_at, s, scope) and _within(end_at, s, scope)]
-    out += [s for s in ends if _within(secret_at, s, scope) and _within(who, s, scope)]
-    return out
+    ids = [s for m in _WEAK_ID.finditer(text) for s in free(m, 1, "weak_id")] if any(c in low for c in ("user", "login", "account", "client")) else []
+    ends = [s for m in _WEAK_ENDPOINT.finditer(text) for s in free(m, 0, "weak_endpoint")]
+    if not any(k == "access" for _, _, k in base) and not (ids and ends):
+        return ids, [], ends  # nothing could make a weak secret reportable
+    others = _Parts(ids + ends)
+    return ids, [s for m in _WEAK_SECRET.finditer(text) for s in free(m, 0, "weak_secret") if _keyish(m[0], others.near(s, -1))], ends
+
+
+def linked_spans(text: str, base: list[Span], scope: int) -> list[Span]:
+    """Weak parts with complementary parts within ``scope`` code points, from the end of one to the start of the other.
+
+    An identifier (access or weak), a secret (base or weak) and an endpoint are linked when one of the three is within
+    the scope of the other two; a weak secret is also linked to an access identifier in its scope. All weak parts of a
+    link are reported. Links are found by interval look-ups, part by part, so many parts in one scope make no pairs.
+    """
+    ids, keys, ends = weak_parts(text, base)
+    access = [s for s in base if s[2] == "access"]
+    kinds = [ids + access, keys + [s for s in base if s[2] != "access"], ends]
+    at = [_Parts(spans) for spans in kinds]
+    centres = [_Parts([s for s in kinds[k] if all(at[j].near(s, scope) for j in range(3) if j != k)]) for k in range(3)]
+
+    def linked(s: Span, k: int) -> bool:
+        others = [j for j in range(3) if j != k]
+        return all(at[j].near(s, scope) for j in others) or any(centres[j].near(s, scope) for j in others)
+
+    whose = _Parts(access)
+    out = [s for s in keys if whose.near(s, scope) or linked(s, 1)]
+    out += [s for s in ids if linked(s, 0)]
+    return out + [s for s in ends if linked(s, 2)]
 
 
 class _Scan:
