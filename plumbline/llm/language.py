@@ -130,8 +130,9 @@ def fit(docs: DataFrame, pieces: list[str], smooth: float = 0.5) -> tuple[list[s
     """(languages, piece probabilities [pieces + 1, languages]) from all rows of (lang, text) without NULLs.
 
     A piece's count in a language is its number of occurrences at any position of any word, whether or not they belong
-    to one segmentation; it is not an expected count over segmentations. The last row is the probability of a character that no piece covers. The result
-    has one row per language and piece of the fixed vocabulary, whatever the corpus' size; that is what the driver gets.
+    to one segmentation; it is not an expected count over segmentations. The last row is the probability of a
+    character that no piece covers. The result has one row per language and piece of the fixed vocabulary, whatever
+    the corpus' size; that is what the driver gets.
     """
     counts = docs.select("lang", "text").where("lang is not null and text is not null").mapInArrow(_CountPieces(pieces), "lang string, piece long, n double")
     got = counts.groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas()
