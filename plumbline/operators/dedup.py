@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline import constants as K
-from plumbline.session import cut
+from plumbline.session import cut, large
 
 #: Rows of one bucket that are compared with each other at a time; a larger bucket is settled from its start.
 BUCKET = 512
@@ -45,7 +45,7 @@ def near_pairs(hashes: DataFrame, max_dist: int = K.NEAR_DUP_BITS, agree: int =
     rows = keyed(hashes, max_dist, agree)
     a = rows.select("run_id", "_k", "_last", F.col("ord").alias("a"), F.col("h").alias("_ha"))
     b = rows.select("run_id", "_k", F.col("ord").alias("b"), F.col("h").alias("_hb"))
-    return a.join(b, ["run_id", "_k"]).where((F.col("a") < F.col("b")) & _near(F.col("_ha"), F.col("_hb"), F.col("_last"), max_dist, agree)).select("run_id", "a", "b")
+    return a.join(large(b), ["run_id", "_k"]).where((F.col("a") < F.col("b")) & _near(F.col("_ha"), F.col("_hb"), F.col("_last"), max_dist, agree)).select("run_id", "a", "b")
 
 
 def _settle(edges: DataFrame) -> list[DataFrame]:
@@ -58,10 +58,10 @@ def _settle(edges: DataFrame) -> list[DataFrame]:
     edges = cut(edges, "near-edges")
     left = edges.count()
     while left:
-        heads = edges.join(edges.select("run_id", F.col("b").alias("a")).distinct(), ["run_id", "a"], "left_anti")
+        heads = edges.join(large(edges.select("run_id", F.col("b").alias("a")).distinct()), ["run_id", "a"], "left_anti")
         gone = cut(heads.select("run_id", F.col("b").alias("ord")).distinct(), "near-dropped")
         dropped.append(gone)
-        edges = edges.join(gone.withColumnRenamed("ord", "b"), ["run_id", "b"], "left_anti").join(gone.withColumnRenamed("ord", "a"), ["run_id", "a"], "left_anti")
+        edges = edges.join(large(gone.withColumnRenamed("ord", "b")), ["run_id", "b"], "left_anti").join(large(gone.withColumnRenamed("ord", "a")), ["run_id", "a"], "left_anti")
         edges = cut(edges.select("run_id", "a", "b"), "near-edges")
         before, left = left, edges.count()
         if left >= before:
@@ -84,23 +84,23 @@ def near_dup(hashes: DataFrame, max_dist: int = K.NEAR_DUP_BITS, agree: int = 2,
         rows = keyed(open_, max_dist, agree)
         hot = rows.groupBy("run_id", "_k").agg(F.count("*").alias("_n")).where(F.col("_n") > bucket).select("run_id", "_k")
         # the row after the first ``bucket`` of each hot bucket; every task drops the rows behind it before the shuffle
-        nth = rows.join(hot, ["run_id", "_k"], "left_semi").withColumn("_r", F.row_number().over(Window.partitionBy("run_id", "_k").orderBy("ord"))).where(F.col("_r") <= bucket + 1)
+        nth = rows.join(large(hot), ["run_id", "_k"], "left_semi").withColumn("_r", F.row_number().over(Window.partitionBy("run_id", "_k").orderBy("ord"))).where(F.col("_r") <= bucket + 1)
         ends = cut(nth.where(F.col("_r") == bucket + 1).groupBy("run_id").agg(F.min("ord").alias("_end")), "near-ends")
         waiting = not ends.isEmpty()
-        now = open_ if not waiting else cut(open_.join(ends, "run_id", "left").where(F.col("_end").isNull() | (F.col("ord") < F.col("_end"))).drop("_end"), "near-now")
+        now = open_ if not waiting else cut(open_.join(large(ends), "run_id", "left").where(F.col("_end").isNull() | (F.col("ord") < F.col("_end"))).drop("_end"), "near-now")
         gone = _settle(near_pairs(now, max_dist, agree))
         dropped += gone
         if waiting:
             kept = now
             for g in gone:
-                kept = kept.join(g, ["run_id", "ord"], "left_anti")
-            rest = cut(open_.join(ends, "run_id").where(F.col("ord") >= F.col("_end")).drop("_end"), "near-rest")
+                kept = kept.join(large(g), ["run_id", "ord"], "left_anti")
+            rest = cut(open_.join(large(ends), "run_id").where(F.col("ord") >= F.col("_end")).drop("_end"), "near-rest")
             a = keyed(kept, max_dist, agree).select("run_id", "_k", "_last", F.col("h").alias("_ha"))
-            met = keyed(rest, max_dist, agree).drop("_last").join(a, ["run_id", "_k"]).where(_near(F.col("_ha"), F.col("h"), F.col("_last"), max_dist, agree))
+            met = keyed(rest, max_dist, agree).drop("_last").join(large(a), ["run_id", "_k"]).where(_near(F.col("_ha"), F.col("h"), F.col("_last"), max_dist, agree))
             dropped.append(cut(met.select("run_id", "ord").distinct(), "near-dropped"))
-            open_ = cut(rest.join(dropped[-1], ["run_id", "ord"], "left_anti"), "near-open")
+            open_ = cut(rest.join(large(dropped[-1]), ["run_id", "ord"], "left_anti"), "near-open")
     keep = first.select("run_id", "ord")
     if dropped:
-        keep = keep.join(reduce(DataFrame.unionByName, dropped), ["run_id", "ord"], "left_anti")
-    out = hashes.join(keep.withColumn("_keep", F.lit(True)), ["run_id", "ord"], "left")
+        keep = keep.join(large(reduce(DataFrame.unionByName, dropped)), ["run_id", "ord"], "left_anti")
+    out = hashes.join(large(keep.withColumn("_keep", F.lit(True))), ["run_id", "ord"], "left")
     return out.select(*hashes.columns, (F.col("h").isNotNull() & F.col("_keep").isNull()).alias("is_dup"))

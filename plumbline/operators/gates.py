@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline import constants as K
 from plumbline.functions import text as X
-from plumbline.session import cut
+from plumbline.session import cut, large
 
 VIOLATIONS = "array<struct<gate:string,message:string>>"
 WPS = K.WORDS_PER_SECOND
@@ -82,8 +82,8 @@ def number_pool(segments: DataFrame, facts: DataFrame, rules: Rules) -> DataFram
     none = X.strings([])
     refs = segments.select("run_id", "pos", F.explode(F.array_distinct("fact_ids")).alias("id"))
     runs = facts.select("run_id", "id", number_runs("quote").alias("_runs"))
-    quotes = refs.join(runs, ["run_id", "id"]).groupBy("run_id", "pos").agg(F.flatten(F.collect_list("_runs")).alias("_quoted"))
-    out = segments.join(quotes, ["run_id", "pos"], "left")
+    quotes = refs.join(large(runs), ["run_id", "id"]).groupBy("run_id", "pos").agg(F.flatten(F.collect_list("_runs")).alias("_quoted"))
+    out = segments.join(large(quotes), ["run_id", "pos"], "left")
     own = [F.when(F.array_contains("fact_ids", i), number_runs(F.lit(t))).otherwise(none) for i, t in rules.differentiators]
     always = [number_runs(F.lit(t)) for t in [*rules.cta_lines, rules.domain]]
     return out.withColumn("_pool", F.concat(F.coalesce("_quoted", none), *own, *always)).drop("_quoted")
@@ -205,7 +205,7 @@ def gate_total_duration(segments: DataFrame) -> DataFrame:
 def gate_differentiator(segments: DataFrame, rules: Rules) -> DataFrame:
     stats = _run_stats(segments)
     cited = segments.where(F.arrays_overlap("fact_ids", X.strings(rules.ids)))
-    early = _explode(cited.join(stats.select("run_id", "last"), "run_id"), early_differentiator_gate(rules.ids, F.col("last")))
+    early = _explode(cited.join(large(stats.select("run_id", "last")), "run_id"), early_differentiator_gate(rules.ids, F.col("last")))
     return _run_violations(stats, _cta_hit(rules.ids)).unionByName(early)
 
 
@@ -233,7 +233,7 @@ def run_gates(segments: DataFrame, facts: DataFrame, rules: Rules) -> DataFrame:
     found = F.when(shape.isNull(), F.array(_total_hit(), _cta_hit(rules.ids))).otherwise(F.array(shape, F.lit(None)))
     runs = cut(_run_stats(segments).select("run_id", shape.isNull().alias("sound"), F.filter(found, lambda h: h.isNotNull()).alias("_v")), "run-gates")  # a row for each run
     run_level = runs.select("run_id", F.explode("_v").alias("_v")).select("run_id", F.lit(None).cast("bigint").alias("pos"), "_v.gate", "_v.message")
-    ok = segments.join(runs.where("sound").select("run_id"), "run_id", "left_semi")
+    ok = segments.join(large(runs.where("sound").select("run_id")), "run_id", "left_semi")
     hits = F.concat(numbers_gate(), banned_gate(rules.banned), budget_gate(), card_gate(),
                     early_differentiator_gate(rules.ids, F.lit(len(BEATS) - 1)))
     out = run_level.unionByName(_explode(number_pool(ok, facts, rules), hits))
@@ -250,7 +250,7 @@ def word_topup(segments: DataFrame, violations: DataFrame) -> DataFrame:
     """
     short = F.col("message").contains("short of") & (F.col("gate") == "total_duration")
     fixable = violations.groupBy("run_id").agg(F.bool_and(short).alias("_fix")).where("_fix").select("run_id")
-    seg = segments.join(fixable.withColumn("_fix", F.lit(True)), "run_id", "left")
+    seg = segments.join(large(fixable.withColumn("_fix", F.lit(True))), "run_id", "left")
     rows = seg.where("_fix").withColumn("_n", X.word_count("narration"))
     total = F.sum("_n").over(Window.partitionBy("run_id"))
     pools = F.array(*[X.strings(K.TOPUP_WORDS[b]) for b in BEATS])

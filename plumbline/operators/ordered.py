@@ -12,6 +12,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from plumbline.session import large
+
 BLOCK_ROWS = 8192
 
 
@@ -63,7 +65,7 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[st
     cond = on[0]
     for c in on[1:]:
         cond = cond & c
-    out = rows.join(blocks, cond)
+    out = rows.join(large(blocks), cond)
     return out.select(
         *[c for c in df.columns if c not in {*sums, *previous, *following}],
         *[(F.col(f"_s_{n}") + F.col(f"_t_{n}")).alias(n) for n in sums],
@@ -92,5 +94,5 @@ def running_smallest(df: DataFrame, key: str, order: str, tokens: str, k: int, o
         done = blocks.withColumn(upto, least(F.collect_list(f"_all{levels}").over(top)))
     # ``order`` is dense from 0, so the block before a row's block always exists, except for the first
     prior = done.select(F.col(key).alias("_k"), (F.col(b) + 1).alias("_kb"), upto)
-    joined = rows.join(prior, (rows[key] == prior["_k"]) & (rows[b] == prior["_kb"]), "left")
+    joined = rows.join(large(prior), (rows[key] == prior["_k"]) & (rows[b] == prior["_kb"]), "left")
     return joined.withColumn(out, F.when(F.col(upto).isNull(), F.col("_in")).otherwise(least(F.array("_in", upto)))).select(*df.columns, out)

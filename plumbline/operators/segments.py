@@ -11,7 +11,7 @@ from plumbline.functions import links as L
 from plumbline.functions import text as X
 from plumbline.operators.gates import Rules
 from plumbline.operators.ordered import scan
-from plumbline.session import cut
+from plumbline.session import cut, large
 
 SHOT = ("array<struct<type:string,narration_span:string,payload:map<string,string>,labels:array<string>,"
         "fallback:struct<type:string,payload:map<string,string>>>>")
@@ -25,17 +25,17 @@ def stat_repeat(segments: DataFrame, run: str = "run_id", pos: str = "pos", narr
     """
     first = segments.groupBy(run).agg(F.min_by(narration, pos).alias("_opening"), F.min(pos).alias("_first"))
     if hero is not None:
-        first = first.drop("_opening").join(hero.select(run, F.col("stat").alias("_opening")), run, "left")
+        first = first.drop("_opening").join(large(hero.select(run, F.col("stat").alias("_opening"))), run, "left")
     first = first.select(run, "_first", X.stat_tokens("_opening").alias("stat"))
-    return (segments.join(first, run).where(F.col(pos) > F.col("_first")).drop("_first")
+    return (segments.join(large(first), run).where(F.col(pos) > F.col("_first")).drop("_first")
             .withColumn("repeats", F.arrays_overlap(X.stat_numbers(narration), F.col("stat"))))
 
 
 def referenced_facts(segments: DataFrame, facts: DataFrame, citations: DataFrame) -> DataFrame:
     """(run_id, pos, numeric_fact, any_fact, paper_fact): the first of each kind a segment refers to."""
     cites = citations.select("run_id", "marker", "url").withColumn("kind", L.classify_link("url"))
-    known = facts.join(cites, ["run_id", "marker"], "left")
-    refs = segments.select("run_id", "pos", F.posexplode("fact_ids").alias("_i", "id")).join(known, ["run_id", "id"])
+    known = facts.join(large(cites), ["run_id", "marker"], "left")
+    refs = segments.select("run_id", "pos", F.posexplode("fact_ids").alias("_i", "id")).join(large(known), ["run_id", "id"])
     row = F.struct("id", "value", "unit", "quote", "marker", "url")
     numeric = F.when(F.size(X.numeric_tokens("value")) > 0, F.col("_i"))
     return refs.groupBy("run_id", "pos").agg(
@@ -63,7 +63,7 @@ def _declared(type_: str, payload) -> Column:
 def expand_segments(segments: DataFrame, facts: DataFrame, citations: DataFrame, rules: Rules,
                     default_source: str = "Source — blog") -> DataFrame:
     """Beats to shots: (run_id, pos, sub, beat, type, duration_s, narration_span, payload, labels, fallback)."""
-    seg = segments.join(referenced_facts(segments, facts, citations), ["run_id", "pos"], "left")
+    seg = segments.join(large(referenced_facts(segments, facts, citations)), ["run_id", "pos"], "left")
     def tree(sp):
         """The shots of a segment, given its spans."""
         n, first = F.size(sp), F.get(sp, F.lit(0))
@@ -136,7 +136,7 @@ def number_segments(shots: DataFrame, run: str = "run_id", order=("pos", "sub"))
     pos, sub = order
     sizes = shots.groupBy(run, pos).agg(F.count("*").alias("_k"))
     offsets = scan(sizes, [run], [pos], sums={"_off": F.col("_k")}).select(run, pos, "_off")
-    out = shots.join(offsets, [run, pos]).withColumn("ord", F.col("_off") + F.col(sub))
+    out = shots.join(large(offsets), [run, pos]).withColumn("ord", F.col("_off") + F.col(sub))
     two = F.when(F.col("ord") < 10, F.concat(F.lit("0"), F.col("ord").cast("string"))).otherwise(F.col("ord").cast("string"))
     return out.withColumn("id", F.concat(F.lit("s"), two)).drop("_off")
 
@@ -152,8 +152,8 @@ def lint_segments(shots: DataFrame, facts: DataFrame) -> DataFrame:
         F.when(F.col("type").isin("PAPER_CARD", "BROLL") & F.col("fallback").isNull(), "missing fallback"),
         F.when((F.col("type") == "DIAGRAM") & (F.col("payload")["template"] == "flow") & ~n_labels.between(2, 4), "flow label count"))
     is_stat = F.col("type") == "STAT_CARD"
-    looked = shots.withColumn("_fid", F.when(is_stat, F.col("payload")["fact_id"])).join(
-        facts.select("run_id", F.col("id").alias("_fid"), "quote"), ["run_id", "_fid"], "left")
+    looked = shots.withColumn("_fid", F.when(is_stat, F.col("payload")["fact_id"])).join(large(
+        facts.select("run_id", F.col("id").alias("_fid"), "quote")), ["run_id", "_fid"], "left")
     loose = F.when(is_stat, X.let(F.coalesce(X.numeric_tokens("quote"), X.strings([])), lambda q: F.filter(X.numeric_tokens(F.col("payload")["value"]), lambda t: ~F.array_contains(q, t)))).otherwise(X.strings([]))
     rules = F.concat(F.filter(local, lambda x: x.isNotNull()), F.transform(loose, lambda t: F.concat(F.lit("untraced value "), t)))
     total = shots.groupBy("run_id").agg(F.sum("duration_s").alias("_t")).where(
@@ -177,7 +177,7 @@ def timeline(shots: DataFrame, order=("ord",)) -> DataFrame:
 
 def beat_spans(beats: DataFrame, totals: DataFrame, hold: float = K.END_HOLD_S) -> DataFrame:
     """``span_s``: time to the next beat; the last one runs to the voice total plus the end hold."""
-    out = scan(beats, ["run_id"], ["pos"], following={"_next": F.col("start_s")}).join(totals, "run_id")
+    out = scan(beats, ["run_id"], ["pos"], following={"_next": F.col("start_s")}).join(large(totals), "run_id")
     return out.withColumn("span_s", F.coalesce("_next", F.col("voice_total_s") + F.lit(hold)) - F.col("start_s")).drop("_next")
 
 
@@ -189,7 +189,7 @@ def reflow(shots: DataFrame, spans: DataFrame) -> DataFrame:
     # a beat has the few shots of its segment: everything happens where the join has put them
     beat = Window.partitionBy("run_id", "beat")
     s = spans.select("run_id", "beat", "span_s")
-    rows = s.join(shots, ["run_id", "beat"], "left").withColumns({"_planned": F.sum("duration_s").over(beat), "_is_last": F.col("ord") == F.max("ord").over(beat)})
+    rows = s.join(large(shots), ["run_id", "beat"], "left").withColumns({"_planned": F.sum("duration_s").over(beat), "_is_last": F.col("ord") == F.max("ord").over(beat)})
     scale = F.col("span_s") / F.when(F.col("_planned") == 0, 1.0).otherwise(F.col("_planned"))
     cap = F.when(F.col("type") == "LOGO_CTA", K.END_CARD_MAX_S).otherwise(K.SHOT_MAX_S)
     scaled = F.least(F.greatest(F.col("duration_s") * scale, F.lit(K.SHOT_MIN_S)), cap)
@@ -203,7 +203,7 @@ def reflow(shots: DataFrame, spans: DataFrame) -> DataFrame:
 def render_flags(shots: DataFrame) -> DataFrame:
     """``rerender`` when a shot moved noticeably; ``fade_s`` at the start of each later beat."""
     first = shots.groupBy("run_id").agg(F.min_by("beat", "ord").alias("_first"))
-    out = scan(shots, ["run_id"], ["ord"], previous={"_before": F.col("beat")}).join(first, "run_id")
+    out = scan(shots, ["run_id"], ["ord"], previous={"_before": F.col("beat")}).join(large(first), "run_id")
     fades = ~F.col("beat").eqNullSafe(F.col("_before")) & (F.col("beat") != F.col("_first"))
     return out.withColumn("rerender", F.abs("delta_s") > K.RERENDER_EPSILON_S).withColumn(
         "fade_s", F.when(fades, K.FADE_S).otherwise(0.0)).drop("_before", "_first")
@@ -219,16 +219,16 @@ def redistribute(scenes: DataFrame, totals: DataFrame, cap: float = K.SCENE_CAP_
     rows = cut(scenes.withColumn("_d", F.coalesce("duration_s", F.lit(0.0))), "scenes")
     none = F.expr("cast(array() as array<struct<over:double,free:bigint>>)")
     runs = rows.groupBy("run_id").agg(F.sum("_d").alias("_sum"), F.count("*").alias("_n"), F.max("pos").alias("_last"))
-    runs = cut(runs.join(totals.select("run_id", "audio_s"), "run_id").withColumn("_steps", none), "run-sums")
+    runs = cut(runs.join(large(totals.select("run_id", "audio_s")), "run_id").withColumn("_steps", none), "run-sums")
     first = F.when(F.col("_sum") <= 0.01, F.col("audio_s") / F.col("_n")).otherwise(F.col("_d") * (F.col("audio_s") / F.col("_sum")))
     moved = lambda d, s: F.when(s["over"] < 0.01, d).when(d < cap, d + s["over"] / s["free"]).otherwise(F.lit(cap))
     now = F.aggregate("_steps", first, moved)
     for _ in range(3):
-        over = rows.join(runs, "run_id").select("run_id", now.alias("d")).groupBy("run_id").agg(
+        over = rows.join(large(runs), "run_id").select("run_id", now.alias("d")).groupBy("run_id").agg(
             F.struct(F.sum(F.greatest(F.lit(0.0), F.col("d") - cap)).alias("over"), F.count_if(F.col("d") < cap).alias("free")).alias("_step"))
-        runs = cut(runs.join(over, "run_id").withColumn("_steps", F.array_append("_steps", F.col("_step"))).drop("_step"), "run-sums")
+        runs = cut(runs.join(large(over), "run_id").withColumn("_steps", F.array_append("_steps", F.col("_step"))).drop("_step"), "run-sums")
     d = now + F.when(F.col("pos") == F.col("_last"), tail).otherwise(0.0)
-    return rows.join(runs, "run_id").select(*scenes.columns, F.when(d <= 0, 0.5).otherwise(d).alias("new_s"))
+    return rows.join(large(runs), "run_id").select(*scenes.columns, F.when(d <= 0, 0.5).otherwise(d).alias("new_s"))
 
 
 def transition_plan(clips: DataFrame) -> DataFrame:
@@ -259,7 +259,7 @@ def align_to_template(scenes: DataFrame, template: Sequence[str], run: str = "ru
     runs = scenes.select(run).distinct()
     slots = runs.select(
         run, F.explode(F.array(*[F.struct(F.lit(i).cast("bigint").alias("pos"), F.lit(b).alias("beat")) for i, b in enumerate(template)])).alias("_t")).select(run, "_t.*")
-    out = slots.join(scenes.drop("beat"), [run, "pos"], "left")
+    out = slots.join(large(scenes.drop("beat")), [run, "pos"], "left")
     return out.select(run, "pos", "beat", *[F.coalesce(c, F.lit("")).alias(c) for c in scenes.columns if c not in (run, "pos", "beat")],
                       F.when(F.col("pos") == 0, "cut").otherwise("fade").alias("transition_in"))
 
@@ -282,7 +282,7 @@ def group_cues(words: DataFrame, doc: str = "doc", max_words: int = 3, max_s: fl
     row = F.struct(F.col("idx").cast("bigint").alias("idx"), "word", "start_s", "end_s")
     blocks = words.withColumn("_b", F.floor(F.col("idx") / CUE_BLOCK)).groupBy(doc, "_b").agg(F.array_sort(F.collect_list(row)).alias("_w"))
     following = blocks.select(doc, (F.col("_b") - 1).alias("_b"), F.slice("_w", 1, max_words - 1).alias("_next"))
-    blocks = blocks.join(following, [doc, "_b"], "left")
+    blocks = blocks.join(large(following), [doc, "_b"], "left")
     blocks = blocks.withColumn("_n", F.size("_w")).withColumn("_ext", F.concat("_w", F.coalesce("_next", F.expr("slice(_w, 1, 0)")))).drop("_next")
 
     def jump(i):
@@ -303,7 +303,7 @@ def group_cues(words: DataFrame, doc: str = "doc", max_words: int = 3, max_s: fl
     entries = _entries(maps, doc, max_words)
 
     walk = X.marked("_j", F.col("_entry"), lambda at, j, i: (i == at, F.when(i == at, i + j).otherwise(at)))
-    solved = blocks.join(entries, [doc, "_b"]).withColumn("_at", walk)
+    solved = blocks.join(large(entries), [doc, "_b"]).withColumn("_at", walk)
     cues = F.transform("_at", lambda i: F.struct(
         F.get("_ext", i)["idx"].alias("idx"), F.get("_ext", i)["start_s"].alias("start_s"),
         F.get("_ext", i + F.get("_j", i) - 1)["end_s"].alias("end_s"),
@@ -321,6 +321,6 @@ def _entries(maps: DataFrame, doc: str, width: int, stretch: int = CUE_BLOCK) ->
     through = laid.select(doc, "_s", F.array(*[F.aggregate("_steps", F.lit(e), lambda a, m: F.get(m["_map"], a)) for e in range(width)]).alias("_map"))
     tops = through.groupBy(doc).agg(F.array_sort(F.collect_list(F.struct("_s", "_map"))).alias("_top"))
     tops = tops.select(doc, F.posexplode(F.slice(along(F.col("_top"), F.lit(0)), F.lit(1), F.size("_top"))).alias("_s", "_in"))
-    inner = laid.join(tops.select(doc, F.col("_s").cast("bigint").alias("_s"), "_in"), [doc, "_s"])
+    inner = laid.join(large(tops.select(doc, F.col("_s").cast("bigint").alias("_s"), "_in")), [doc, "_s"])
     inner = inner.select(doc, F.explode(F.arrays_zip(F.transform("_steps", lambda m: m["_b"]).alias("b"), F.slice(along(F.col("_steps"), F.col("_in")), F.lit(1), F.size("_steps")).alias("e"))).alias("z"))
     return inner.select(doc, F.col("z.b").alias("_b"), F.col("z.e").alias("_entry"))

@@ -12,6 +12,7 @@ from plumbline.operators import gates as G
 from plumbline.plans import standins as V
 from plumbline.plans.registry import query
 from plumbline.plans.sqlkit import lit, lits, norm, numbers, strip, words
+from plumbline.session import large
 
 RULES = G.Rules(V.DIFFERENTIATORS, V.CTA_LINES, V.DOMAIN, V.BANNED_CLAIMS)
 
@@ -137,7 +138,7 @@ SELECT run_id, pos, coalesce(p.added, 0) AS added, coalesce(p.narration, s.narra
 def word_topup(read):
     seg = V.scripts(read)
     v = G.gate_structure(seg)
-    sound = seg.join(v, "run_id", "left_anti")
+    sound = seg.join(large(v), "run_id", "left_anti")
     v = v.unionByName(G.gate_word_budget(sound)).unionByName(G.gate_total_duration(sound))
     return G.word_topup(seg, v).select("run_id", "pos", F.col("added").cast("bigint").alias("added"), "narration")
 

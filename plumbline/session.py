@@ -53,3 +53,13 @@ def cut_to(df: DataFrame, path: str, codec: str = "snappy") -> DataFrame:
     """``cut`` at a path that the caller owns, and may ``drop`` when nothing reads it any more."""
     df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def large(df: DataFrame) -> DataFrame:
+    """``df`` as one side of a join that is shuffled and merged, whatever Spark believes its size to be.
+
+    Spark takes a table that explodes its rows, or that is packed well in its files, for as small as what it is read
+    from, and keeps a join it has planned as a broadcast while the other plan has more exchanges. So tables that grow
+    with the input would be gathered in the driver and held whole by every executor.
+    """
+    return df.hint("merge")
