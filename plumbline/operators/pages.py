@@ -11,8 +11,8 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline import constants as K
 from plumbline.functions import links as L
@@ -95,11 +95,11 @@ def _is_boilerplate(node):
     return False
 
 
-def _post(source, url, names):
+def _post(source, url, names, closed_only=False):
     """The chosen container of one page, read off its one tree: (strategy, title, body source, text); strategy None without any."""
     from plumbline.functions import markup as M
 
-    root = M.parse(source)
+    root = (M.parse_closed if closed_only else M.parse)(source)
     boxes = [box for name in names for box in root.all("div") if _classed(box, name)]
     if not boxes:
         return None, None, None, None
@@ -120,27 +120,39 @@ def _post(source, url, names):
     return 1 if linking is not None else 2 if plain is not None else 3, title, M.without(source, entry, _is_boilerplate), text
 
 
+#: Pages whose results a task holds at a time.
+PAGES = 32
+
+
+def _by_page(pages: DataFrame, keep: Sequence[str], html: str, url: str, fn, made: list[tuple[str, pa.DataType]], ddl: str) -> DataFrame:
+    """``fn`` (html, url) -> the values of ``made``, beside the ``keep`` columns; a task holds the results of ``PAGES`` pages."""
+    n = len(keep)
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, PAGES):
+                part = batch.slice(at, PAGES)
+                found = [fn(h.as_py(), u.as_py()) for h, u in zip(part.column(n), part.column(n + 1))]
+                cols = [pa.array([f[k] for f in found], type=kind) for k, (_, kind) in enumerate(made)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:n], *cols], names=[*keep, *(name for name, _ in made)])
+
+    rows = pages.select(*keep, F.col(html).alias("_html"), F.col(url).alias("_url"))
+    return rows.mapInArrow(run, T.StructType([*rows.schema.fields[:n], *T.StructType.fromDDL(ddl).fields]))
+
+
 def isolate_main(pages: DataFrame, names: Sequence[str] = ("post-body-container", "post-outer"),
-                 id: str = "page_id", url: str = "url", html: str = "html", carry: Sequence[str] = ()) -> DataFrame:
+                 id: str = "page_id", url: str = "url", html: str = "html", carry: Sequence[str] = (), closed_only: bool = False) -> DataFrame:
     """One post per page: (id, url, carry…, strategy, title, body_html, canonical_text); strategy NULL means no container.
 
     Order of choice: a container linking to the page itself, then one whose
     title is not a link, then the longest one. A page is parsed once, and only
-    the chosen container leaves the task. Works on streams; ``carry`` columns go along.
+    the chosen container leaves the task. Works on streams; ``carry`` columns go along. ``closed_only`` decodes
+    only references that end in a semicolon, as ``canonical_text`` does.
     """
     names, keep = list(names), [id, url, *carry]
-    made = ["strategy", "title", "body_html", "_text"]
-
-    def run(batches):
-        for pdf in batches:
-            found = [_post(h, u, names) for h, u in zip(pdf[html], pdf[url])]
-            out = pdf[keep].copy()
-            for k, name in enumerate(made):
-                out[name] = pd.array([f[k] for f in found], dtype="Int32" if name == "strategy" else object)
-            yield out
-
-    kept = ", ".join(f"`{c}` {pages.schema[c].dataType.simpleString()}" for c in keep)
-    posts = pages.select(*keep, html).mapInPandas(run, f"{kept}, strategy int, title string, body_html string, _text string")
+    posts = _by_page(pages, keep, html, url, lambda h, u: _post(h, u, names, closed_only),
+                     [("strategy", pa.int32()), ("title", pa.string()), ("body_html", pa.string()), ("_text", pa.string())],
+                     "strategy int, title string, body_html string, _text string")
     return posts.select(*keep, "strategy", "title", "body_html", tidy_lines("_text").alias("canonical_text"))
 
 
@@ -148,12 +160,12 @@ def quarantine(posts: DataFrame, id: str = "page_id", url: str = "url") -> DataF
     return posts.where(F.col("strategy").isNull()).select(id, url, F.lit("no post container").alias("reason"))
 
 
-def _elements(source, base, card_class, sup_class):
+def _elements(source, base, card_class, sup_class, closed_only=False):
     from urllib.parse import urljoin
 
     from plumbline.functions import markup as M
 
-    root, out = M.parse(source), []
+    root, out = (M.parse_closed if closed_only else M.parse)(source), []
 
     def put(kind, url="", text="", note="", mark=""):
         out.append({"kind": kind, "pos": sum(1 for e in out if e["kind"] == kind) if kind in ("citation",) else len(out),
@@ -207,16 +219,11 @@ def _elements(source, base, card_class, sup_class):
 
 
 def html_extract(pages: DataFrame, card_class: str = "source-card", sup_class: str = "citation",
-                 id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
+                 id: str = "page_id", url: str = "url", html: str = "html", closed_only: bool = False) -> DataFrame:
     """(id, url, elements): every element the extraction operators look at, parsed once per page."""
-
-    def run(batches):
-        for pdf in batches:
-            pdf["elements"] = [_elements(h, u, card_class, sup_class) for h, u in zip(pdf[html], pdf[url])]
-            yield pdf[[id, url, "elements"]]
-
-    key_type = pages.schema[id].dataType.simpleString()
-    return pages.select(id, url, html).mapInPandas(run, f"{id} {key_type}, {url} string, elements {ELEMENTS}")
+    text = [(f, pa.string()) for f in ("url", "text", "note", "mark")]
+    kind = pa.list_(pa.struct([("kind", pa.string()), ("pos", pa.int32()), *text]))
+    return _by_page(pages, [id, url], html, url, lambda h, u: (_elements(h, u, card_class, sup_class, closed_only),), [("elements", kind)], f"elements {ELEMENTS}")
 
 
 def _of(kind: str) -> Column:

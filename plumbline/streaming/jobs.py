@@ -26,9 +26,9 @@ def page_facts(pages: DataFrame, main: str = "(?s)<article>(.*?)</article>") ->
 
 
 # ── X1: pages to gated facts, through a table of posts ─────────────────────
-def posts(pages: DataFrame) -> DataFrame:
+def posts(pages: DataFrame, closed_only: bool = False) -> DataFrame:
     """The post of each page (page_id, url, html, ts); strategy NULL where a page holds none. Pages are parsed here and nowhere after."""
-    return PO.isolate_main(pages, carry=["ts"])
+    return PO.isolate_main(pages, carry=["ts"], closed_only=closed_only)
 
 
 def post_errors(found: DataFrame) -> DataFrame:
@@ -62,9 +62,9 @@ def gated_facts(found: DataFrame, facts: DataFrame, late: str = "1 hour", wait:
     return FO.judge_facts(located).select("page_id", "fact_id", "status", "reason", F.col("char_offset").cast("bigint").alias("char_offset"))
 
 
-def run_posts(pages: DataFrame, name: str = "posts") -> DataFrame:
+def run_posts(pages: DataFrame, name: str = "posts", closed_only: bool = False) -> DataFrame:
     """Run ``posts`` to a file table, each page once, and read that as a stream: what follows reads files, not pages."""
-    found = posts(pages)
+    found = posts(pages, closed_only)
     return pages.sparkSession.readStream.schema(found.schema).parquet(run_to_path(found, name))
 
 
