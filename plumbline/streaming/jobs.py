@@ -163,37 +163,49 @@ def stream_cues(words: DataFrame, max_words: int = 3, max_s: float = 1.5) -> Dat
     Words wait in state by idx until all before them have come. A cue goes out once the word after it is known, it is
     full, or the document is closed by a word with ``last`` set, after which its state goes. Needs the RocksDB state store.
     """
+    return words.select("doc", "idx", "word", "start_s", "end_s", "last").groupBy("doc").transformWithStateInPandas(cue_processor(max_words, max_s), CUE_SCHEMA, "Append", "None")
+
+
+def cue_processor(max_words: int, max_s: float):
+    """The processor of ``stream_cues``. Only words that must wait are written to state; a document that comes whole asks it once."""
     from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
     class Cues(StatefulProcessor):
         def init(self, handle: StatefulProcessorHandle) -> None:
             self.waiting = handle.getMapState("waiting", "idx bigint", "word string, start_s double, end_s double, last boolean")
-            self.next = handle.getValueState("next", "idx bigint")
+            self.next = handle.getValueState("next", "idx bigint, upto bigint")  # words wait in [idx, upto)
 
         def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+            come = {}
             for pdf in rows:
-                for r in pdf.itertuples(index=False):
-                    self.waiting.updateValue((int(r.idx),), (r.word, float(r.start_s), float(r.end_s), bool(r.last)))
-            first = self.next.get()[0] if self.next.exists() else 0
-            there = []
-            while self.waiting.containsKey((first + len(there),)):
-                there.append(self.waiting.getValue((first + len(there),)))
+                come.update(zip(pdf["idx"].tolist(), zip(pdf["word"].tolist(), pdf["start_s"].tolist(), pdf["end_s"].tolist(), pdf["last"].tolist())))
+            known = self.next.get()
+            first, upto = known or (0, 0)
+            there, at = [], first
+            while at in come or (at < upto and self.waiting.containsKey((at,))):
+                there.append(come[at] if at in come else self.waiting.getValue((at,)))
+                at += 1
             closed = any(w[3] for w in there)
-            cues, at = cue_steps([w[1] for w in there], [w[2] for w in there], closed, max_words, max_s)
-            for i in range(at):
-                self.waiting.removeKey((first + i,))
-            if closed:
+            cues, used = cue_steps([w[1] for w in there], [w[2] for w in there], closed, max_words, max_s)
+            if not closed:
+                for i in range(first, min(first + used, upto)):
+                    self.waiting.removeKey((i,))
+                for i, w in come.items():
+                    if i >= first + used:
+                        self.waiting.updateValue((i,), w)
+                        upto = max(upto, i + 1)
+                self.next.update((first + used, upto))
+            elif known:
                 self.waiting.clear()
                 self.next.clear()
-            else:
-                self.next.update((first + at,))
-            out = [(key[0], first + a, there[a][1], there[z - 1][2], " ".join(w[0].strip().upper() for w in there[a:z])) for a, z in cues]
-            yield pd.DataFrame(out, columns=["doc", "idx", "start_s", "end_s", "text"])
+            if cues:
+                out = [(key[0], first + a, there[a][1], there[z - 1][2], " ".join(w[0].strip().upper() for w in there[a:z])) for a, z in cues]
+                yield pd.DataFrame(out, columns=["doc", "idx", "start_s", "end_s", "text"])
 
         def close(self) -> None:
             pass
 
-    return words.select("doc", "idx", "word", "start_s", "end_s", "last").groupBy("doc").transformWithStateInPandas(Cues(), CUE_SCHEMA, "Append", "None")
+    return Cues()
 
 
 def cue_steps(start_s: list[float], end_s: list[float], closed: bool, max_words: int, max_s: float) -> tuple[list[tuple[int, int]], int]:
