@@ -12,6 +12,7 @@ from plumbline.plans import standins as V
 from plumbline.plans.registry import query
 from plumbline.plans.segment_queries import PARTS_SQL, parts
 from plumbline.plans.sqlkit import in_list, lit, lits, strip, words
+from plumbline.session import dealt
 
 B = "bigint"
 
@@ -148,7 +149,7 @@ def _failures(read):
 
 
 def _verdicts(read):
-    return read("lineitem").select(
+    return dealt(read("lineitem"), "l_orderkey").select(
         F.col("l_orderkey").alias("run_id"), F.concat_ws("_", F.concat(F.lit("s"), F.col("l_linenumber").cast("string")), F.col("l_partkey").cast("string"), F.col("l_suppkey").cast("string")).alias("id"),
         F.when(F.col("l_partkey") % 2 == 0, "BROLL").otherwise("STAT_CARD").alias("rendered_type"), F.when(F.col("l_returnflag") == "R", "acquired").otherwise("fallback").alias("resolved"),
         F.when(F.col("l_partkey") % 50 != 8, F.col("l_suppkey") % 11).alias("match_score"), F.when(F.col("l_partkey") % 50 != 9, F.col("l_linenumber") % 3 > 0).alias("legible"), (F.col("l_partkey") % 50 == 7).alias("ungradeable"), "l_linenumber", "l_partkey")

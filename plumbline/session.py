@@ -55,6 +55,15 @@ def cut_to(df: DataFrame, path: str, codec: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def dealt(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt out by ``keys`` before costly expressions: a file is read by one task for each row group, however many cores wait.
+
+    Rows that later steps group or join by the same keys are already where those steps need them. The number of parts is
+    given, since Spark would gather narrow rows in one task again, however much is made of each.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def large(df: DataFrame) -> DataFrame:
     """``df`` as one side of a join that is shuffled and merged, whatever Spark believes its size to be.
 
