@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, functions as F
@@ -137,10 +138,18 @@ def normalize_speech(c, domain: str | None = None, spoken_domain: str | None = N
     rules += K.SPEECH_AFTER_DOMAIN
     out = _col(c)
     for pattern, repl in rules:
-        out = F.regexp_replace(out, "(?U)" + pattern, repl.replace("\\1", "$1"))
+        if re.escape(pattern) == pattern:  # a plain text
+            out = F.replace(out, F.lit(pattern), F.lit(repl))
+        else:
+            out = F.regexp_replace(out, "(?U)" + _led(pattern), repl.replace("\\1", "$1"))
     return squeeze(out)
 
 
+def _led(pattern: str) -> str:
+    """The same pattern, led by a look at its first letter or digit: a word border alone is costly to try at every place."""
+    return re.sub(r"^\\b([A-Za-z0-9])(?![?*{])", r"(?=\1)\\b\1", pattern)
+
+
 def prompt_windows(prompt: str, width: int = 40, step: int = 20) -> list[str]:
     if len(prompt) < width:
         return []
@@ -257,6 +266,10 @@ UNIT_NUMBER = (
 )
 
 
+#: The same matches, found faster: digits are looked for before word borders.
+UNIT_SCAN = UNIT_NUMBER.replace(r"\b", r"(?=\d)\b", 1)
+
+
 def unit_numerics(c) -> Column:
     """array<struct<value,unit,match,start>>: numbers with a unit, left to right.
 
@@ -265,8 +278,8 @@ def unit_numerics(c) -> Column:
     lengths of the text between matches.
     """
     text = F.coalesce(_col(c), F.lit(""))
-    found = F.regexp_extract_all(text, F.lit(UNIT_NUMBER), F.lit(0))
-    gaps = F.slice(F.split(text, UNIT_NUMBER, -1), F.lit(1), F.size(found))
+    found = F.regexp_extract_all(text, F.lit(UNIT_SCAN), F.lit(0))
+    gaps = F.slice(F.split(text, UNIT_SCAN, -1), F.lit(1), F.size(found))
     start = F.struct(F.lit(0).alias("at"),
                      F.expr("cast(array() as array<struct<value:string,unit:string,match:string,start:int>>)").alias("out"))
 

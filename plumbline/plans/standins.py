@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, functions as F
 from plumbline import constants as K
 from plumbline.functions import text as X
 from plumbline.plans.sqlkit import lits, words
+from plumbline.session import dealt
 
 BEATS = [b for b, _, _ in K.BEAT_TEMPLATE]
 
@@ -59,7 +60,7 @@ def notes(read) -> DataFrame:
     qty = F.col("l_quantity").cast("bigint").cast("string")
     def pct(c):
         return F.round(F.col(c) * 100).cast("bigint").cast("string")
-    return read("lineitem").select(
+    return dealt(read("lineitem"), "l_orderkey").select(
         F.col("l_orderkey").alias("article_id"), F.col("l_linenumber").alias("line_no"), "l_partkey", "l_suppkey", "l_shipdate",
         F.concat(F.lit("Lot ["), F.col("l_linenumber").cast("string"), F.lit("] moved "), qty, F.lit(" kg of salt! It lost "),
                  pct("l_discount"), F.lit("% in "), (F.col("l_linenumber") + 2).cast("string"),
@@ -111,7 +112,7 @@ def scripts(read) -> DataFrame:
     def pick(items):
         return F.get(F.array(*[F.lit(i) for i in items]), p.cast("int"))
 
-    o = read("orders").select(F.col("o_orderkey").alias("run_id"),
+    o = dealt(read("orders"), "o_orderkey").select(F.col("o_orderkey").alias("run_id"),
                               F.explode(F.sequence(F.lit(0), F.when(F.col("o_orderkey") % 10 == 9, 3).otherwise(4))).alias("p"))
     o = o.select("run_id", F.col("p").cast("bigint").alias("pos"))
     beat = F.get(X.strings(BEATS), F.when(k % 10 == 8, 4 - p).otherwise(p).cast("int"))
@@ -134,7 +135,7 @@ def scripts(read) -> DataFrame:
 
 
 def script_facts(read) -> DataFrame:
-    o = read("orders").select(F.col("o_orderkey").alias("run_id"), F.explode(F.sequence(F.lit(0), F.lit(4))).alias("i"))
+    o = dealt(read("orders"), "o_orderkey").select(F.col("o_orderkey").alias("run_id"), F.explode(F.sequence(F.lit(0), F.lit(4))).alias("i"))
     k, i = F.col("run_id"), F.col("i")
     v = (k % 50 + F.when((k + i) % 4 == 0, 1).otherwise(0)).cast("string")
     return o.select("run_id", F.concat(F.lit("f"), i.cast("string")).alias("id"), F.when(i == 3, "high").otherwise(v).alias("value"),
