@@ -22,6 +22,9 @@ _HIGH = ~_LOW
 _EVEN = np.uint64(0x9E3779B97F4A7C15)
 #: Bytes of segment text that a task holds before it passes them on.
 HOLD = 32 << 20
+#: Parts into which anchors are dealt, and anchors that a task packs at a time.
+PARTS, PACK = 1 << 12, 1 << 20
+_ZSTD = pa.Codec("zstd")
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -94,22 +97,77 @@ class Kind:
     def slice(self, units, a: int, b: int) -> bytes:
         raise NotImplementedError
 
+    def segments(self, units) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return segments(gram_hashes(self.hashes(units), self.gram), self.width, self.gram)
+
 
 class _Anchors:
+    """The distinct anchors of each text and how often it has them, packed by part: one row for many texts.
+
+    ``more`` is the compressed steps from text to text and the counts, as the anchors' own order has them.
+    """
+
     def __init__(self, kind: Kind):
         self.kind = kind
 
     def __call__(self, batches):
-        k = self.kind
+        held, size = [], 0
+        for b in batches:
+            for no, x in zip(b.column(0).to_pylist(), b.column(1)):
+                found, count = np.unique(self.kind.segments(self.kind.split(x.as_py() or b""))[0], return_counts=True)
+                held.append((no, found, count))
+                size += len(found)
+                if size > PACK:
+                    yield self.packed(held)
+                    held, size = [], 0
+        if size:
+            yield self.packed(held)
+
+    @staticmethod
+    def packed(held):
+        no = np.repeat(np.array([h[0] for h in held], np.int64), [len(h[1]) for h in held])
+        anchor, count = (np.concatenate([h[j] for h in held]) for j in (1, 2))
+        part = anchor & (PARTS - 1)  # the low bits have no say in which anchor is the smallest
+        by = np.lexsort((no, part))
+        no, anchor, count, part = no[by], anchor[by], count[by].astype(np.int32), part[by]
+        cuts = np.concatenate([[0], np.flatnonzero(part[1:] != part[:-1]) + 1, [len(part)]])
+        more = [_ZSTD.compress(np.diff(no[a:z], prepend=0).tobytes() + count[a:z].tobytes(), asbytes=True) for a, z in zip(cuts, cuts[1:])]
+        cols = [pa.array(part[cuts[:-1]].astype(np.int32)), pa.array([anchor[a:z].tobytes() for a, z in zip(cuts, cuts[1:])], pa.binary()), pa.array(more, pa.binary())]
+        return pa.RecordBatch.from_arrays(cols, names=["part", "anchors", "more"])
+
+
+class _Live:
+    """The anchors that occur twice or more, beside each text that has them; rows come sorted by part."""
+
+    def __init__(self, hot: int):
+        self.hot = hot
+
+    def __call__(self, batches):
+        held, last = [], None
         for b in batches:
-            out, lens = [], []
-            for x in b.column(1):
-                s = segments(gram_hashes(k.hashes(k.split(x.as_py() or b"")), k.gram), k.width, k.gram)
-                out.append(s)
-                lens.append(len(s[0]))
-            at = pa.array(np.repeat(np.arange(len(lens)), lens))
-            cols = [np.concatenate([o[j] for o in out]) for j in range(3)] if out else [np.zeros(0, np.int64)] * 3
-            yield pa.RecordBatch.from_arrays([pa.array(cols[0]), b.column(0).take(at), pa.array(cols[1].astype(np.int32)), pa.array(cols[2].astype(np.int32))], names=["anchor", "no", "s", "e"])
+            for part, anchors, more in zip(*(c.to_pylist() for c in b.columns)):
+                if held and part != last:
+                    yield self.found(held)
+                    held = []
+                held.append((anchors, more))
+                last = part
+        if held:
+            yield self.found(held)
+
+    def found(self, held):
+        anchor = np.frombuffer(b"".join(h[0] for h in held), np.int64)
+        no, count = [], []
+        for anchors, more in held:
+            n = len(anchors) // 8
+            raw = _ZSTD.decompress(more, 12 * n, asbytes=True)
+            no.append(np.cumsum(np.frombuffer(raw, np.int64, n)))
+            count.append(np.frombuffer(raw, np.int32, n, 8 * n))
+        by = np.argsort(anchor, kind="stable")
+        anchor, no, count = anchor[by], np.concatenate(no)[by], np.concatenate(count)[by].astype(np.int64)
+        first = np.concatenate([[0], np.flatnonzero(anchor[1:] != anchor[:-1]) + 1])
+        total = np.repeat(np.add.reduceat(count, first), np.diff(first, append=len(anchor)))
+        live = total > 1
+        return pa.RecordBatch.from_arrays([pa.array(no[live]), pa.array(anchor[live]), pa.array(total[live] > self.hot)], names=["no", "anchor", "hot"])
 
 
 class _Extract:
@@ -125,11 +183,12 @@ class _Extract:
     def __call__(self, batches):
         self.held, self.size, self.rows = {}, 0, []
         for b in batches:
-            for no, text, live in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist()):
+            for no, text, live, hot in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(), b.column(3).to_pylist()):
                 units = self.kind.split(text.as_py() or b"")
-                for seg in live:
-                    a, z, anchor = seg["s"], seg["e"], seg["anchor"]
-                    if not seg["hot"]:
+                found, starts, ends = self.kind.segments(units)
+                at, hot = np.flatnonzero(np.isin(found, np.array(live + hot, np.int64))), set(hot)
+                for anchor, a, z in zip(found[at].tolist(), starts[at].tolist(), ends[at].tolist()):
+                    if anchor not in hot:
                         self.offer(anchor, (no, a), z, self.kind.slice(units, a, z))
                     else:
                         for i in range(a, z - self.kind.width + 1):
@@ -231,12 +290,12 @@ def strip_repeats(docs: DataFrame, kind: Kind, find: Found, keep: Callable, hot:
     same = lambda left, right: left["doc_id"].eqNullSafe(right["first_id"]) & (left["sha"] == right["first_sha"])
     one = keys.hint("shuffle_hash")
     texts_once = mine.join(one, same(mine, one)).select("doc_id", "sha", "no", F.col("text").cast("binary").alias("text"))
-    places = texts_once.select("no", "text").mapInArrow(_Anchors(kind), "anchor long, no long, s int, e int")
-    live = places.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    live = live.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))  # so that the join may split a frequent anchor's rows
-    hits = places.join(live, "anchor").select("no", F.struct("s", "e", "anchor", (F.col("n") > hot).alias("hot")).alias("seg"))
-    by_doc = hits.groupBy("no").agg(F.collect_set("seg").alias("live")).join(keys, "no").drop("no").hint("shuffle_hash")
-    pieces = texts_once.join(by_doc, same(texts_once, by_doc)).select("no", "text", "live").mapInArrow(_Extract(kind), "anchor long, no long, s int, e int, piece binary")
+    # each text sends an anchor once, so the most frequent one has a few bytes for each text in its part
+    packed = texts_once.select("no", "text").mapInArrow(_Anchors(kind), "part int, anchors binary, more binary")
+    hits = packed.repartition("part").sortWithinPartitions("part").mapInArrow(_Live(hot), "no long, anchor long, hot boolean")
+    mine_of = lambda which: F.collect_list(F.when(which, F.col("anchor")))
+    by_doc = hits.groupBy("no").agg(mine_of(~F.col("hot")).alias("live"), mine_of(F.col("hot")).alias("hot")).join(keys, "no").drop("no").hint("shuffle_hash")
+    pieces = texts_once.join(by_doc, same(texts_once, by_doc)).select("no", "text", "live", "hot").mapInArrow(_Extract(kind), "anchor long, no long, s int, e int, piece binary")
     met = pieces.repartition("anchor").sortWithinPartitions("anchor", "no", "s")
     spans = met.mapInArrow(find, "no long, s int, e int")
     spans = spans.groupBy("no").agg(F.collect_set(F.struct("s", "e")).alias("spans")).join(keys, "no").drop("no").hint("shuffle_hash")
