@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.llm.common import components, per_text
 from plumbline.session import cut
@@ -12,6 +15,9 @@ from plumbline.session import cut
 #: Sampled texts from which common shingles are learned, and the number of them that makes a shingle common. These
 #: only decide in which order shingles are looked up: any order finds every pair.
 SAMPLE, COMMON = 20_000, 4
+#: Longs of 64 bits in a sketch, the nodes of a block that are compared with those of another at once, and up to how
+#: many nodes of one key are paired by a plain join.
+LONGS, BLOCK, FEW = 16, 256, 8
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -25,40 +31,115 @@ def shingles(text: bytes, width: int) -> np.ndarray:
     return np.unique(np.array([digest(line[a:b - 1], 42) for a, b in zip(at, at[width:])] or [digest(line, 42)], "<u8"))
 
 
+def _brief(h: np.ndarray) -> np.ndarray:
+    """31 bits of each hash: what the sample counts; shingles of equal bits have one place in the order, then their hash decides."""
+    return (h.view(np.uint64) >> np.uint64(33)).astype(np.int32)
+
+
 class _Set:
-    def __init__(self, width: int):
-        self.width = width
+    def __init__(self, width: int, brief: bool = False):
+        self.width, self.brief = width, brief
 
     def __call__(self, text: bytes) -> tuple[np.ndarray]:
-        return (shingles(text, self.width).view(np.int64),)
+        h = shingles(text, self.width)
+        return (np.unique(_brief(h)) if self.brief else h.view(np.int64),)
 
 
 class _Prefix:
-    """(hash of the set, its size, its rarest shingles): two sets at the similarity or above share one of these."""
+    """Hash of the set, its size, its sketch, its rarest shingles and, of these, the common ones.
+
+    Two sets at the similarity or above share one of these shingles. The sketch has one bit for each of 1,024 places, set
+    where an odd number of shingles fall: sketches never differ in more bits than sets in shingles.
+    """
 
     def __init__(self, width: int, num: int, den: int, common: list[int], counts: list[int]):
-        order = np.argsort(np.array(common, np.int64))
-        self.width, self.num, self.den, self.common, self.counts = width, num, den, np.array(common, np.int64)[order], np.array(counts, np.int64)[order]
+        order = np.argsort(np.array(common, np.int32))
+        self.width, self.num, self.den, self.common, self.counts = width, num, den, np.array(common, np.int32)[order], np.array(counts, np.int64)[order]
 
-    def __call__(self, text: bytes) -> tuple[int, int, np.ndarray]:
+    def __call__(self, text: bytes) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
         found = shingles(text, self.width)
         h = found.view(np.int64)
-        if len(h) and len(self.common):
-            at = np.minimum(np.searchsorted(self.common, h), len(self.common) - 1)
-            h = h[np.lexsort((h, np.where(self.common[at] == h, self.counts[at], 0)))]
         n = len(h)
+        places = np.bincount((found % np.uint64(64 * LONGS)).astype(np.int64), minlength=64 * LONGS)
+        sketch = np.packbits((places & 1).astype(np.uint8), bitorder="little").view("<i8")
+        count = np.zeros(n, np.int64)
+        if n and len(self.common):
+            brief = _brief(found)
+            at = np.minimum(np.searchsorted(self.common, brief), len(self.common) - 1)
+            count = np.where(self.common[at] == brief, self.counts[at], 0)
+        first = np.lexsort((h, count))[:n and n + (-n * self.num // self.den) + 1]
         key = xxhash.xxh64_intdigest(found.tobytes(), 42)
-        return key - (1 << 64) if key >> 63 else key, n, h[:n and n + (-n * self.num // self.den) + 1]
+        rare = count[first] == 0
+        return key - (1 << 64) if key >> 63 else key, n, sketch, h[first[rare]], h[first[~rare]]
 
 
 def _common(docs: DataFrame, width: int) -> tuple[list[int], list[int]]:
     share = min(1.0, SAMPLE / max(docs.count(), 1))
     texts = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)).distinct()
-    each = per_text(texts, _Set(width), "s array<long>", []).select(F.explode("s").alias("s"))
+    each = per_text(texts, _Set(width, brief=True), "s array<int>", []).select(F.explode("s").alias("s"))
     rows = each.groupBy("s").count().where(F.col("count") >= COMMON).collect()
     return [r.s for r in rows], [r["count"] for r in rows]
 
 
+def _apart(a: str, b: str) -> Column:
+    """Bits in which two sketches differ."""
+    return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(LONGS)), F.lit(0)).cast("long")
+
+
+def _screened(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that sizes and sketches leave possible; sets at the similarity differ in at most (n + m) (den - num) / (den + num) shingles."""
+    both = pairs
+    for x in "ab":
+        both = both.join(nodes.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}")), x)
+    sizes = F.least("na", "nb") * den >= F.greatest("na", "nb") * num
+    return both.where(sizes & (_apart("ka", "kb") * (den + num) <= (F.col("na") + F.col("nb")) * (den - num))).select("a", "b")
+
+
+class _Near:
+    """Two blocks of nodes (comp, rep, n, sketch) -> the pairs (a, b) of unlike comp that sizes and sketches leave possible."""
+
+    def __init__(self, num: int, den: int):
+        self.num, self.den = num, den
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for one, two in zip(*batch.columns):
+                c, r, n, s = self._block(one)
+                d, q, m, t = self._block(two)
+                found = [np.zeros((2, 0), np.int64)]
+                for i in range(len(r)):
+                    differ = np.bitwise_count(t ^ s[i]).sum(1, dtype=np.int64)
+                    near = (d != c[i]) & (np.minimum(m, n[i]) * self.den >= np.maximum(m, n[i]) * self.num) & (differ * (self.den + self.num) <= (m + n[i]) * (self.den - self.num))
+                    found.append(np.stack([np.minimum(q[near], r[i]), np.maximum(q[near], r[i])]))
+                a, b = np.unique(np.concatenate(found, 1), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
+
+    @staticmethod
+    def _block(nodes: pa.ListScalar) -> tuple[np.ndarray, ...]:
+        of = nodes.values
+        return *(of.field(k).to_numpy() for k in ("comp", "rep", "n")), of.field("sketch").flatten().to_numpy().view(np.uint64).reshape(-1, LONGS)
+
+
+def _in_blocks(live: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) of unlike ``comp`` under one key that sizes and sketches leave possible.
+
+    Keys of few nodes are joined with themselves. The nodes of other keys are dealt to blocks, and every two blocks of a
+    key are compared in some task: no task holds more than two blocks, however many nodes share a key, and no pair
+    becomes a row that is not possible.
+    """
+    sizes = live.groupBy("key").agg(F.count("*").alias("size"))
+    live = cut(live.join(sizes, "key"), "nearcopies-sizes")
+    few = live.where(F.col("size") <= FEW).select("key", "rep", "comp")
+    met = few.join(few.select("key", F.col("rep").alias("to"), F.col("comp").alias("comp2")), "key").where("comp < comp2")
+    some = _screened(met.select(F.least("rep", "to").alias("a"), F.greatest("rep", "to").alias("b")).distinct(), nodes, num, den)
+    dealt = live.where(F.col("size") > FEW).withColumn("block", F.pmod(F.xxhash64("rep"), F.ceil(F.col("size") / BLOCK)))
+    held = dealt.join(nodes.select("rep", "n", "sketch"), "rep").groupBy("key", "block").agg(F.collect_list(F.struct("comp", "rep", "n", "sketch")).alias("one"))
+    held = cut(held, "nearcopies-blocks")
+    other = held.select("key", F.col("block").alias("block2"), F.col("one").alias("two"))
+    both = held.join(other, "key").where("block <= block2").select("one", "two")
+    return some.unionByName(both.mapInArrow(_Near(num, den), "a long, b long")).distinct()
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose sets have Jaccard similarity ``num / den`` or more, in whole numbers."""
     both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("rep").alias("b"), F.col("s").alias("sb")), "b")
@@ -66,26 +147,28 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
     return both.where(shared * (num + den) >= (F.size("sa") + F.size("sb")) * num).select("a", "b")
 
 
-def _linked(keys: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """(node, comp) of the graph of all pairs of sets at the similarity; ``keys`` (key, rep, n) holds shared keys only.
+def _linked(keys: DataFrame, nodes: DataFrame, rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """(node, comp) of the graph of all pairs of sets at the similarity; ``keys`` (key, rep) holds shared keys only.
 
     Two rounds compare all sets of a key with one of them, which joins large groups of near copies by a star each.
-    After that every pair under one key that is still in two components is compared, so no pair is left out.
+    After that every pair under one key that is still in two components is compared, so no pair is left out. Only the
+    texts of pairs that sizes and sketches leave possible are read.
     """
     links = groups = None
     for hub in (F.min, F.max, None):
         live = keys if groups is None else keys.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
         live = live.withColumn("comp", F.col("rep") if groups is None else F.coalesce("comp", "rep"))
-        of = live.groupBy("key").agg((hub or F.min)(F.struct("comp", "rep", "n")).alias("h"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+        of = live.groupBy("key").agg((hub or F.min)(F.struct("comp", "rep")).alias("h"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
         if hub:
-            met = live.join(of, "key").where("comp <> h.comp").select("rep", "n", F.col("h.rep").alias("to"), F.col("h.n").alias("m"))
+            met = live.join(of, "key").where("comp <> h.comp").select("rep", F.col("h.rep").alias("to"))
+            near = _screened(met.select(F.least("rep", "to").alias("a"), F.greatest("rep", "to").alias("b")).distinct(), nodes, num, den)
         else:
-            live = cut(live.join(of, "key", "left_semi"), "nearcopies-live")
-            other = live.select("key", F.col("rep").alias("to"), F.col("n").alias("m"), F.col("comp").alias("comp2"))
-            met = live.join(other, "key").where("comp < comp2")
-        near = met.where((F.least("n", "m") * den >= F.greatest("n", "m") * num))
-        pairs = near.select(F.least("rep", "to").alias("a"), F.greatest("rep", "to").alias("b")).distinct()
-        made = _verified(pairs, sets, num, den)
+            near = _in_blocks(cut(live.join(of, "key", "left_semi"), "nearcopies-live"), nodes, num, den)
+        pairs = cut(near, "nearcopies-pairs")
+        wanted = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "rep", "left_semi").select("__rid")
+        wanted = cut(wanted, "nearcopies-wanted")  # few rows; Spark sees their size before it shuffles any text
+        texts = rows.select("__rid", F.col("__rep").alias("rep"), "text").join(wanted, "__rid", "left_semi")
+        made = _verified(pairs, cut(per_text(texts, _Set(width), "s array<long>", ["rep"]), "nearcopies-sets"), num, den)
         links = cut(made if links is None else links.unionByName(made), "nearcopies-links")
         groups = components(links)
     return groups
@@ -100,19 +183,23 @@ def keep_one(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5) -> Dat
 
     Shingles have one order, those that are common in a sample last. Sets at the similarity share one of their first
     n - ceil(n * num / den) + 1, so only documents that share such a shingle are compared; equal sets are one node.
+    Shingles are shuffled once: the common ones, which may stand in a large share of the documents, are not counted.
     """
     common, counts = _common(docs, width)
     marked = docs.withColumn("__rid", F.monotonically_increasing_id())
-    rows = cut(per_text(marked, _Prefix(width, num, den, common, counts), "__rep long, __n long, __keys array<long>", marked.columns), "nearcopies-rows", "zstd")
-    nodes = rows.groupBy(F.col("__rep").alias("rep")).agg(F.min("__rid").alias("__rid"), F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__rid")).alias("first"))
-    nodes = cut(nodes, "nearcopies-nodes")
-    keys = rows.select(F.explode("__keys").alias("key"), F.col("__rep").alias("rep"), F.col("__n").alias("n"))
-    twice = keys.groupBy("key").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo < hi").select("key")
-    keys = cut(keys.join(twice, "key", "left_semi").distinct(), "nearcopies-keys")
-    wanted = nodes.join(keys.select("rep").distinct(), "rep", "left_semi").select("__rid")
-    texts = rows.select("__rid", F.col("__rep").alias("rep"), "text").join(wanted, "__rid", "left_semi")
-    sets = cut(per_text(texts, _Set(width), "s array<long>", ["rep"]), "nearcopies-sets")
-    groups = _linked(keys, sets, num, den).withColumnRenamed("node", "rep")
-    whole = nodes.join(groups, "rep", "left").groupBy(F.coalesce("comp", "rep")).agg(F.min("first").alias("first"))
-    stay = whole.select(F.col("first.__rid").alias("__rid"))
-    return rows.join(stay, "__rid", "left_semi").select(*(F.col(f"`{c}`") for c in docs.columns))
+    made = "__rep long, __n long, __sketch array<long>, __rare array<long>, __often array<long>"
+    rows = cut(per_text(marked, _Prefix(width, num, den, common, counts), made, marked.columns), "nearcopies-rows", "zstd")
+    ids = rows.select(F.col("__rep").alias("rep"), "__rid", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__rid").alias("first"), F.col("__n").alias("n"), F.col("__sketch").alias("sketch"))
+    nodes = ids.groupBy("rep").agg(F.min("first").alias("first"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
+    nodes = cut(nodes.select("rep", "first", "first.__rid", "n", "sketch"), "nearcopies-nodes")
+    copies = cut(ids.select("rep", "__rid").join(nodes.select("rep", F.col("__rid").alias("stays")), "rep").where("__rid <> stays").select("__rid"), "nearcopies-copies")
+    one = rows.select("__rid", F.col("__rep").alias("rep"), "__rare", "__often").join(copies, "__rid", "left_anti")
+    rare, here = one.select(F.explode("__rare").alias("key"), "rep"), Window.partitionBy("key")
+    twice = rare.select("key", "rep", F.min("rep").over(here).alias("lo"), F.max("rep").over(here).alias("hi")).where("lo < hi").select("key", "rep")
+    keys = cut(twice.unionByName(one.select(F.explode("__often").alias("key"), "rep")), "nearcopies-keys")
+    groups = _linked(keys, nodes, rows, width, num, den).withColumnRenamed("node", "rep")
+    best = groups.join(nodes.select("rep", "first"), "rep")
+    stay = best.groupBy("comp").agg(F.min("first").alias("stay"))
+    gone = best.join(stay, "comp").where("first.__rid <> stay.__rid").select("first.__rid")
+    gone = cut(copies.unionByName(gone), "nearcopies-gone")
+    return rows.join(gone, "__rid", "left_anti").select(*(F.col(f"`{c}`") for c in docs.columns))

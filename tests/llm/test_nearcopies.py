@@ -2,6 +2,9 @@
 
 import random
 
+import numpy as np
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from plumbline.llm import nearcopies
 
@@ -45,3 +48,70 @@ def test_short_near_copies(spark, tmp_path):
     assert kept.columns == docs.columns
     assert sorted(x.doc_id for x in kept.select("doc_id").collect()) == want
     assert nearcopies.keep_one(docs.where("false")).count() == 0
+
+
+def brute(rows):
+    up = list(range(len(rows)))
+
+    def top(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if jaccard(rows[i], rows[j]) >= 0.8:
+                a, b = top(i), top(j)
+                up[max(a, b)] = min(a, b)
+    return [i for i in range(len(rows)) if top(i) == i]
+
+
+def test_large_group_makes_no_rows_of_all_pairs(spark, monkeypatch):
+    """One text of which each document changes much: most share keys, many are in no link; blocks smaller than the group."""
+    r = random.Random(9)
+    base = [f"b{i}" for i in range(120)]
+    rows = []
+    for _ in range(150):
+        w = list(base)
+        for _ in range(r.randrange(0, 6)):
+            w[r.randrange(len(w))] = f"own{r.randrange(10**6)}"
+        rows.append(" ".join(w))
+    rows += rows[:40] + [" ".join(base[:60] + [f"x{i}" for i in range(20)])]
+    monkeypatch.setattr(nearcopies, "BLOCK", 16)
+    made, verified = [], nearcopies._verified
+    monkeypatch.setattr(nearcopies, "_verified", lambda pairs, *a: made.append(pairs.count()) or verified(pairs, *a))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert sorted(x.doc_id for x in nearcopies.keep_one(docs.repartition(3)).select("doc_id").collect()) == brute(rows)
+    assert sum(made) < 1500  # of 150 * 149 / 2 pairs
+
+
+def test_sketch_never_differs_more_than_the_sets():
+    r, sets = random.Random(3), []
+    find = nearcopies._Prefix(5, 4, 5, [], [])
+    for n in (0, 3, 40, 400, 3000):
+        w = [f"w{r.randrange(9**6)}" for _ in range(n)]
+        for k in range(3):
+            text = " ".join(w[:n - k * n // 12]).encode()
+            sets.append((set(nearcopies.shingles(text, 5).tolist()), find(text)[2].view(np.uint64)))
+    for s, a in sets:
+        assert len(a) == nearcopies.LONGS
+        for t, b in sets:
+            assert int(np.bitwise_count(a ^ b).sum()) <= len(s ^ t)
+
+
+def test_blocks_leave_the_same_pairs_as_a_join(spark, monkeypatch):
+    monkeypatch.setattr(nearcopies, "BLOCK", 8)
+    r, prefix, rows = random.Random(4), nearcopies._Prefix(5, 4, 5, [], []), []
+    base = [f"b{i}" for i in range(90)]
+    for i in range(60):
+        w = list(base)
+        for _ in range(r.randrange(0, 5)):
+            w[r.randrange(len(w))] = f"own{r.randrange(10**6)}"
+        rep, n, sketch, *_ = prefix(" ".join(w[:r.randrange(70, 90)]).encode())
+        rows.append((rep, n, sketch.tolist(), i % 50))
+    nodes = spark.createDataFrame(rows, "rep long, n long, sketch array<long>, comp long").dropDuplicates(["rep"])
+    live = nodes.select(F.lit(1).cast("long").alias("key"), "rep", "comp")
+    a, b = live.select(F.col("rep").alias("a"), F.col("comp").alias("c")), live.select(F.col("rep").alias("b"), F.col("comp").alias("d"))
+    want = nearcopies._screened(a.crossJoin(b).where("a < b AND c <> d").select("a", "b"), nodes, 4, 5)
+    found = nearcopies._in_blocks(live, nodes, 4, 5).collect()
+    assert 0 < len(found) < 60 * 59 / 2 and sorted(found) == sorted(want.collect())
