@@ -238,14 +238,15 @@ def rerank(ranked: DataFrame, scores: DataFrame, scene: str = "scene_id", rank:
     given = scores.groupBy(scene).agg(F.count("*").alias("_g"))
     valid = sizes.join(given, scene, "left").select(scene, (F.col("_n") == F.coalesce("_g", F.lit(0))).alias("_valid"))
     model = F.greatest(F.lit(0), F.least(F.lit(10), F.coalesce(F.col("score").try_cast("int"), F.lit(0))))
-    graded = head.join(scores, [scene, rank], "left").join(valid, scene).withColumn("_m", model)
+    # cut, so that no task holds the sorts and sums of all steps at once
+    graded = cut(head.join(scores, [scene, rank], "left").join(cut(valid, "rerank-valid"), scene).withColumn("_m", model), "rerank-graded")
     keep = graded.where("NOT _valid").withColumn("position", F.col(rank).cast("bigint"))
     # at most n_top rows per scene reach this window
     w = Window.partitionBy(scene).orderBy(F.desc("_m"), F.desc("context"), F.desc("quality"), F.asc(rank))
     moved = graded.where("_valid").where(F.col("_m") >= K.RERANK_MIN).withColumn("position", F.row_number().over(w).cast("bigint"))
-    alive = moved.groupBy(scene).agg(F.count("*").alias("_k"))
-    rest = ranked.where(F.col(rank) > n_top).join(valid, scene).join(alive, scene, "left")
-    rest = rest.where(~F.col("_valid") | F.col("_k").isNotNull()).withColumn(
+    alive = cut(graded.groupBy(scene, "_valid").agg(F.count_if(F.col("_m") >= K.RERANK_MIN).alias("_k")), "rerank-alive")
+    rest = ranked.where(F.col(rank) > n_top).join(alive, scene)
+    rest = rest.where(~F.col("_valid") | (F.col("_k") > 0)).withColumn(
         "position", F.when(F.col("_valid"), F.col(rank) - n_top + F.col("_k")).otherwise(F.col(rank)).cast("bigint"))
     cols = [*ranked.columns, "position"]
     return keep.select(*cols).unionByName(moved.select(*cols)).unionByName(rest.select(*cols))
