@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from plumbline.llm.common import components, per_text
-from plumbline.session import cut
+from plumbline.session import cut, cut_to, drop, scratch
 
 #: Sampled texts from which common shingles are learned, and the number of them that makes a shingle common. These
 #: only decide in which order shingles are looked up: any order finds every pair.
@@ -36,13 +36,29 @@ def _brief(h: np.ndarray) -> np.ndarray:
     return (h.view(np.uint64) >> np.uint64(33)).astype(np.int32)
 
 
-class _Set:
-    def __init__(self, width: int, brief: bool = False):
-        self.width, self.brief = width, brief
+class _Brief:
+    def __init__(self, width: int):
+        self.width = width
 
     def __call__(self, text: bytes) -> tuple[np.ndarray]:
+        return (np.unique(_brief(shingles(text, self.width))),)
+
+
+class _Set:
+    """The set, its size, and how many of it fall in each of a number of places that grows with the size, up to 255.
+
+    Counts of two sets never differ in more, summed over the places, than the sets in shingles. That holds for long texts
+    too, where a sketch of odd counts is full.
+    """
+
+    def __init__(self, width: int):
+        self.width = width
+
+    def __call__(self, text: bytes) -> tuple[np.ndarray, int, bytes]:
         h = shingles(text, self.width)
-        return (np.unique(_brief(h)) if self.brief else h.view(np.int64),)
+        places = 1 << (max(len(h) // 4, 1) - 1).bit_length()
+        counts = np.bincount((h >> np.uint64(32)).astype(np.int64) % places, minlength=places)
+        return h.view(np.int64), len(h), np.minimum(counts, 255).astype(np.uint8).tobytes()
 
 
 class _Prefix:
@@ -76,7 +92,7 @@ class _Prefix:
 def _common(docs: DataFrame, width: int) -> tuple[list[int], list[int]]:
     share = min(1.0, SAMPLE / max(docs.count(), 1))
     texts = docs.select("text").where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000)).distinct()
-    each = per_text(texts, _Set(width, brief=True), "s array<int>", []).select(F.explode("s").alias("s"))
+    each = per_text(texts, _Brief(width), "s array<int>", []).select(F.explode("s").alias("s"))
     rows = each.groupBy("s").count().where(F.col("count") >= COMMON).collect()
     return [r.s for r in rows], [r["count"] for r in rows]
 
@@ -86,13 +102,18 @@ def _apart(a: str, b: str) -> Column:
     return sum((F.bit_count(F.col(a)[i].bitwiseXOR(F.col(b)[i])) for i in range(LONGS)), F.lit(0)).cast("long")
 
 
+def _beside(pairs: DataFrame, of: DataFrame, *columns: str) -> DataFrame:
+    """``pairs`` (a, b) with the columns that ``of`` (rep) has for both, named with a or b at their end."""
+    for x in "ab":
+        pairs = pairs.join(of.select(F.col("rep").alias(x), *(F.col(c).alias(f"{c}{x}") for c in columns)), x)
+    return pairs
+
+
 def _screened(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) that sizes and sketches leave possible; sets at the similarity differ in at most (n + m) (den - num) / (den + num) shingles."""
-    both = pairs
-    for x in "ab":
-        both = both.join(nodes.select(F.col("rep").alias(x), F.col("n").alias(f"n{x}"), F.col("sketch").alias(f"k{x}")), x)
+    both = _beside(pairs, nodes, "n", "sketch")
     sizes = F.least("na", "nb") * den >= F.greatest("na", "nb") * num
-    return both.where(sizes & (_apart("ka", "kb") * (den + num) <= (F.col("na") + F.col("nb")) * (den - num))).select("a", "b")
+    return both.where(sizes & (_apart("sketcha", "sketchb") * (den + num) <= (F.col("na") + F.col("nb")) * (den - num))).select("a", "b")
 
 
 class _Near:
@@ -140,11 +161,32 @@ def _in_blocks(live: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFra
     return some.unionByName(both.mapInArrow(_Near(num, den), "a long, b long")).distinct()
 
 
+class _Alike:
+    """Pairs (a, b) with sizes and counts by place -> the pairs that the counts leave possible."""
+
+    def __init__(self, num: int, den: int):
+        self.num, self.den = num, den
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both = zip(*(batch.column(c).to_pylist() for c in ("na", "countsa", "nb", "countsb")))
+            yield batch.select(["a", "b"]).filter(pa.array([self._apart(c, d) * (self.den + self.num) <= (n + m) * (self.den - self.num) for n, c, m, d in both], pa.bool_()))
+
+    @staticmethod
+    def _apart(c: bytes, d: bytes) -> int:
+        places = min(len(c), len(d))  # both are powers of two: the counts of the finer one are added up
+        x, y = (np.minimum(np.frombuffer(k, np.uint8).reshape(-1, places).sum(0, dtype=np.int64), 255) for k in (c, d))
+        return int(np.abs(x - y).sum())
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """The pairs (a, b) whose sets have Jaccard similarity ``num / den`` or more, in whole numbers."""
-    both = pairs.join(sets.select(F.col("rep").alias("a"), F.col("s").alias("sa")), "a").join(sets.select(F.col("rep").alias("b"), F.col("s").alias("sb")), "b")
+    """The pairs (a, b) whose sets have Jaccard similarity ``num / den`` or more, in whole numbers.
+
+    Sets are sent to those pairs only that the counts by place, a small part of a set's size, leave possible.
+    """
+    pairs = cut(_beside(pairs, sets, "n", "counts").mapInArrow(_Alike(num, den), "a long, b long"), "nearcopies-alike")
     shared = F.size(F.array_intersect("sa", "sb")).cast("long")
-    return both.where(shared * (num + den) >= (F.size("sa") + F.size("sb")) * num).select("a", "b")
+    return _beside(pairs, sets, "s").where(shared * (num + den) >= (F.size("sa") + F.size("sb")) * num).select("a", "b")
 
 
 def _linked(keys: DataFrame, nodes: DataFrame, rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
@@ -168,8 +210,10 @@ def _linked(keys: DataFrame, nodes: DataFrame, rows: DataFrame, width: int, num:
         wanted = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "rep", "left_semi").select("__rid")
         wanted = cut(wanted, "nearcopies-wanted")  # few rows; Spark sees their size before it shuffles any text
         texts = rows.select("__rid", F.col("__rep").alias("rep"), "text").join(wanted, "__rid", "left_semi")
-        made = _verified(pairs, cut(per_text(texts, _Set(width), "s array<long>", ["rep"]), "nearcopies-sets"), num, den)
+        path = scratch(keys.sparkSession, "nearcopies-sets")
+        made = _verified(pairs, cut_to(per_text(texts, _Set(width), "s array<long>, n long, counts binary", ["rep"]), path), num, den)
         links = cut(made if links is None else links.unionByName(made), "nearcopies-links")
+        drop(keys.sparkSession, path)
         groups = components(links)
     return groups
 

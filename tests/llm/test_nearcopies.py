@@ -115,3 +115,49 @@ def test_blocks_leave_the_same_pairs_as_a_join(spark, monkeypatch):
     want = nearcopies._screened(a.crossJoin(b).where("a < b AND c <> d").select("a", "b"), nodes, 4, 5)
     found = nearcopies._in_blocks(live, nodes, 4, 5).collect()
     assert 0 < len(found) < 60 * 59 / 2 and sorted(found) == sorted(want.collect())
+
+
+def test_counts_never_differ_more_than_the_sets():
+    r, sets = random.Random(6), []
+    find = nearcopies._Set(5)
+    for n in (0, 3, 40, 400, 3000, 9000):
+        w = [f"w{r.randrange(9**6)}" for _ in range(n)]
+        for k in range(4):
+            s, m, counts = find(" ".join(w[:n - k * n // 12]).encode())
+            assert m == len(s)
+            sets.append((set(s.tolist()), counts))
+    far = 0
+    for s, a in sets:
+        for t, b in sets:
+            apart = nearcopies._Alike._apart(a, b)
+            assert apart == nearcopies._Alike._apart(b, a) <= len(s ^ t)
+            far += apart > (len(s) + len(t)) / 9
+    assert far > 200  # and they tell most apart
+    same = np.full(2000, 1 << 40, np.uint64)  # places above 255 count as 255
+    wide = [np.minimum(np.bincount((same >> np.uint64(32)).astype(np.int64) % p, minlength=p), 255).astype(np.uint8).tobytes() for p in (256, 512)]
+    assert nearcopies._Alike._apart(*wide) == 0
+
+
+def test_sets_of_long_texts_go_to_possible_pairs_only(spark, monkeypatch):
+    """Long texts, half alike: sketches of odd counts are full, so only counts by place keep their sets from being sent to every pair."""
+    r, rows = random.Random(8), []
+    for i in range(18):
+        half, own = [f"h{i // 3}x{k}" for k in range(3000)], [f"o{i}x{k}" for k in range(3000)]  # three share a half: not common in the sample
+        rows.append(" ".join(half + own))
+    rows += [" ".join(f"o{k}" for k in range(5000 - d)) for d in (0, 200)]
+    r.shuffle(rows)
+    asked, sent, paths, verified, cut, scratch = [], [], [], nearcopies._verified, nearcopies.cut, nearcopies.scratch
+    monkeypatch.setattr(nearcopies, "_verified", lambda pairs, *a: asked.append(pairs.count()) or verified(pairs, *a))
+
+    def counted(df, name="cut", *a):
+        out = cut(df, name, *a)
+        if name == "nearcopies-alike":
+            sent.append(out.count())
+        return out
+
+    monkeypatch.setattr(nearcopies, "cut", counted)
+    monkeypatch.setattr(nearcopies, "scratch", lambda *a: paths.append(scratch(*a)) or paths[-1])
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert sorted(x.doc_id for x in nearcopies.keep_one(docs.repartition(3)).select("doc_id").collect()) == brute(rows)
+    assert sum(asked) >= 18 and 1 <= sum(sent) <= 3
+    assert paths and not any(spark._jvm.java.io.File(p.removeprefix("file:")).exists() for p in paths)  # sets go when they are read
