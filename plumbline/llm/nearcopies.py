@@ -1,4 +1,4 @@
-"""Near copies by exact Jaccard similarity of word shingles: found by prefixes, verified on the whole sets."""
+"""Near copies by exact Jaccard similarity of word shingles: found by SimHash and completed by prefixes, verified on the whole sets."""
 
 from __future__ import annotations
 
@@ -9,8 +9,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from plumbline.llm import simhash
 from plumbline.llm.common import components, per_text
-from plumbline.session import cut, cut_to, drop, scratch
+from plumbline.session import cut, cut_to, dealt, drop, scratch
 
 #: Sampled texts from which common shingles are learned, and the number of them that makes a shingle common. These
 #: only decide in which order shingles are looked up: any order finds every pair.
@@ -62,7 +63,7 @@ class _Set:
 
 
 class _Prefix:
-    """Hash of the set, its size, its sketch, its rarest shingles and, of these, the common ones.
+    """Hash of the set, its size, its sketch, its SimHash, its rarest shingles and, of these, the common ones.
 
     Two sets at the similarity or above share one of these shingles. The sketch has one bit for each of 1,024 places, set
     where an odd number of shingles fall: sketches never differ in more bits than sets in shingles.
@@ -72,7 +73,7 @@ class _Prefix:
         order = np.argsort(np.array(common, np.int32))
         self.width, self.num, self.den, self.common, self.counts = width, num, den, np.array(common, np.int32)[order], np.array(counts, np.int64)[order]
 
-    def __call__(self, text: bytes) -> tuple[int, int, np.ndarray, np.ndarray, np.ndarray]:
+    def __call__(self, text: bytes) -> tuple[int, int, np.ndarray, int, np.ndarray, np.ndarray]:
         found = shingles(text, self.width)
         h = found.view(np.int64)
         n = len(h)
@@ -86,7 +87,7 @@ class _Prefix:
         first = np.lexsort((h, count))[:n and n + (-n * self.num // self.den) + 1]
         key = xxhash.xxh64_intdigest(found.tobytes(), 42)
         rare = count[first] == 0
-        return key - (1 << 64) if key >> 63 else key, n, sketch, h[first[rare]], h[first[~rare]]
+        return key - (1 << 64) if key >> 63 else key, n, sketch, simhash.majority(found), h[first[rare]], h[first[~rare]]
 
 
 def _common(docs: DataFrame, width: int) -> tuple[list[int], list[int]]:
@@ -116,6 +117,16 @@ def _screened(pairs: DataFrame, nodes: DataFrame, num: int, den: int) -> DataFra
     return both.where(sizes & (_apart("sketcha", "sketchb") * (den + num) <= (F.col("na") + F.col("nb")) * (den - num))).select("a", "b")
 
 
+def _by_grid(nodes: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets whose fingerprints differ in at most two bits, found by the popcount grid: stars, never all pairs of a group."""
+    heads = cut(nodes.groupBy("fp").agg(F.min("rep").alias("head")), "nearcopies-heads")
+    same = nodes.join(heads, "fp").where("rep <> head").select(F.col("head").alias("a"), F.col("rep").alias("b"))
+    near = simhash.linked(dealt(heads.select("fp"), "fp"))
+    for x in "ab":
+        near = near.join(heads.select(F.col("fp").alias(x), F.col("head").alias(f"head{x}")), x)
+    return same.unionByName(near.select(F.least("heada", "headb").alias("a"), F.greatest("heada", "headb").alias("b"))).distinct()
+
+
 class _Near:
     """Two blocks of nodes (comp, rep, n, sketch) -> the pairs (a, b) of unlike comp that sizes and sketches leave possible."""
 
@@ -192,20 +203,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFram
 def _linked(keys: DataFrame, nodes: DataFrame, rows: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """(node, comp) of the graph of all pairs of sets at the similarity; ``keys`` (key, rep) holds shared keys only.
 
-    Two rounds compare all sets of a key with one of them, which joins large groups of near copies by a star each.
-    After that every pair under one key that is still in two components is compared, so no pair is left out. Only the
-    texts of pairs that sizes and sketches leave possible are read.
+    First come the pairs of the popcount grid. Most sets just at the similarity differ in more than its two bits, so two
+    steps complete it: all sets of a key are compared with one of them, which joins large groups by a star each, and then
+    every pair under one key that is still in two components, so no pair is left out. Only the texts of pairs that sizes
+    and sketches leave possible are read.
     """
     links = groups = None
-    for hub in (F.min, F.max, None):
-        live = keys if groups is None else keys.join(groups.withColumnRenamed("node", "rep"), "rep", "left")
-        live = live.withColumn("comp", F.col("rep") if groups is None else F.coalesce("comp", "rep"))
-        of = live.groupBy("key").agg((hub or F.min)(F.struct("comp", "rep")).alias("h"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
-        if hub:
-            met = live.join(of, "key").where("comp <> h.comp").select("rep", F.col("h.rep").alias("to"))
-            near = _screened(met.select(F.least("rep", "to").alias("a"), F.greatest("rep", "to").alias("b")).distinct(), nodes, num, den)
+    for step in ("grid", "star", "rest"):
+        if step == "grid":
+            near = _screened(_by_grid(nodes), nodes, num, den)
         else:
-            near = _in_blocks(cut(live.join(of, "key", "left_semi"), "nearcopies-live"), nodes, num, den)
+            live = keys.join(groups.withColumnRenamed("node", "rep"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+            of = live.groupBy("key").agg(F.min(F.struct("comp", "rep")).alias("h"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+            if step == "star":
+                met = live.join(of, "key").where("comp <> h.comp").select("rep", F.col("h.rep").alias("to"))
+                near = _screened(met.select(F.least("rep", "to").alias("a"), F.greatest("rep", "to").alias("b")).distinct(), nodes, num, den)
+            else:
+                near = _in_blocks(cut(live.join(of, "key", "left_semi"), "nearcopies-live"), nodes, num, den)
         pairs = cut(near, "nearcopies-pairs")
         wanted = nodes.join(pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct(), "rep", "left_semi").select("__rid")
         wanted = cut(wanted, "nearcopies-wanted")  # few rows; Spark sees their size before it shuffles any text
@@ -225,17 +239,18 @@ def keep_one(docs: DataFrame, width: int = 5, num: int = 4, den: int = 5) -> Dat
     Words are parted by ASCII white space, A-Z lower-cased; fewer words than ``width`` are one shingle. Texts without
     words, or NULL, equal each other. Of repeated rows one stays. Names starting with ``__`` are reserved.
 
-    Shingles have one order, those that are common in a sample last. Sets at the similarity share one of their first
-    n - ceil(n * num / den) + 1, so only documents that share such a shingle are compared; equal sets are one node.
+    Equal sets are one node. Sets whose SimHash fingerprints the popcount grid finds within two bits are verified first.
+    What is farther apart in bits is found by shingles: they have one order, those that are common in a sample last, and
+    sets at the similarity share one of their first n - ceil(n * num / den) + 1.
     Shingles are shuffled once: the common ones, which may stand in a large share of the documents, are not counted.
     """
     common, counts = _common(docs, width)
     marked = docs.withColumn("__rid", F.monotonically_increasing_id())
-    made = "__rep long, __n long, __sketch array<long>, __rare array<long>, __often array<long>"
+    made = "__rep long, __n long, __sketch array<long>, __fp long, __rare array<long>, __often array<long>"
     rows = cut(per_text(marked, _Prefix(width, num, den, common, counts), made, marked.columns), "nearcopies-rows", "zstd")
-    ids = rows.select(F.col("__rep").alias("rep"), "__rid", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__rid").alias("first"), F.col("__n").alias("n"), F.col("__sketch").alias("sketch"))
-    nodes = ids.groupBy("rep").agg(F.min("first").alias("first"), F.min("n").alias("n"), F.min("sketch").alias("sketch"))
-    nodes = cut(nodes.select("rep", "first", "first.__rid", "n", "sketch"), "nearcopies-nodes")
+    ids = rows.select(F.col("__rep").alias("rep"), "__rid", F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "__rid").alias("first"), F.col("__n").alias("n"), F.col("__sketch").alias("sketch"), F.col("__fp").alias("fp"))
+    nodes = ids.groupBy("rep").agg(F.min("first").alias("first"), F.min("n").alias("n"), F.min("sketch").alias("sketch"), F.min("fp").alias("fp"))
+    nodes = cut(nodes.select("rep", "first", "first.__rid", "n", "sketch", "fp"), "nearcopies-nodes")
     copies = cut(ids.select("rep", "__rid").join(nodes.select("rep", F.col("__rid").alias("stays")), "rep").where("__rid <> stays").select("__rid"), "nearcopies-copies")
     one = rows.select("__rid", F.col("__rep").alias("rep"), "__rare", "__often").join(copies, "__rid", "left_anti")
     rare, here = one.select(F.explode("__rare").alias("key"), "rep"), Window.partitionBy("key")

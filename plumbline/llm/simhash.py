@@ -10,6 +10,15 @@ from plumbline.llm.common import components, per_text
 from plumbline.session import cut
 
 
+def majority(hashes: np.ndarray) -> int:
+    """The signed long whose bits are set in over half of the 64-bit ``hashes``; zero of none."""
+    n, counts = len(hashes), np.zeros(64, np.int64)
+    bits = np.ascontiguousarray(hashes, "<u8").view(np.uint8)
+    for k in range(0, n * 8, 1 << 20):  # bounded memory for very long texts
+        counts += np.unpackbits(bits[k:k + (1 << 20)], bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
+    return int(np.packbits(counts * 2 > n, bitorder="little").view("<i8")[0])
+
+
 class _Fingerprint:
     def __init__(self, width: int):
         self.width = width
@@ -25,11 +34,7 @@ class _Fingerprint:
             at = np.cumsum([0, *(len(w) + 1 for w in ws)]).tolist()
             digest = xxhash.xxh64_intdigest
             hashes = [digest(line[a:b - 1], 42) for a, b in zip(at, at[self.width:])]
-        n, counts = len(hashes), np.zeros(64, np.int64)
-        bits = np.array(hashes, dtype="<u8").view(np.uint8)
-        for k in range(0, n * 8, 1 << 20):  # bounded memory for very long texts
-            counts += np.unpackbits(bits[k:k + (1 << 20)], bitorder="little").reshape(-1, 64).sum(0, dtype=np.int64)
-        return (int(np.packbits(counts * 2 > n, bitorder="little").view("<i8")[0]),)
+        return (majority(np.array(hashes, dtype="<u8")),)
 
 
 def fingerprints(docs: DataFrame, width: int = 3, out: list[str] | None = None) -> DataFrame:

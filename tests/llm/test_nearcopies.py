@@ -161,3 +161,34 @@ def test_sets_of_long_texts_go_to_possible_pairs_only(spark, monkeypatch):
     assert sorted(x.doc_id for x in nearcopies.keep_one(docs.repartition(3)).select("doc_id").collect()) == brute(rows)
     assert sum(asked) >= 18 and 1 <= sum(sent) <= 3
     assert paths and not any(spark._jvm.java.io.File(p.removeprefix("file:")).exists() for p in paths)  # sets go when they are read
+
+
+def test_grid_gives_the_first_pairs(spark, monkeypatch):
+    """The first pairs that are verified are those of fingerprints within two bits, and join all of them; the rows are those of all pairs."""
+    r, rows = random.Random(12), []
+    for _ in range(5):
+        base = [f"w{r.randrange(9**6)}" for _ in range(600)]
+        for k in range(8):
+            w = list(base)
+            for _ in range(k):
+                w[r.randrange(len(w))] = f"own{r.randrange(10**6)}"
+            rows.append(" ".join(w))
+    made, asked, verified = {}, [], nearcopies._verified
+    for t in rows:
+        rep, _, _, fp, *_ = nearcopies._Prefix(5, 4, 5, [], [])(t.encode())
+        made[rep] = fp
+    monkeypatch.setattr(nearcopies, "_verified", lambda pairs, *a: asked.append([tuple(p) for p in pairs.collect()]) or verified(pairs, *a))
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    assert sorted(x.doc_id for x in nearcopies.keep_one(docs.repartition(3)).select("doc_id").collect()) == brute(rows)
+    apart = lambda a, b: ((made[a] ^ made[b]) % (1 << 64)).bit_count()
+    want = {(a, b) for a in made for b in made if a < b and apart(a, b) <= 2}
+    assert asked[0] and set(asked[0]) <= want
+
+    def groups(pairs):
+        top = {a: a for a in made}
+        for _ in made:
+            for a, b in pairs:
+                top[a] = top[b] = min(top[a], top[b])
+        return top
+
+    assert groups(asked[0]) == groups(want)
