@@ -46,7 +46,8 @@ def words(c) -> Column:
 
 
 def word_count(c) -> Column:
-    return F.size(words(c))
+    # found, not split: a split compiles its pattern anew for every row
+    return F.size(F.regexp_extract_all(_col(c), F.lit(f"[{K.NOT_WS}]++"), F.lit(0)))
 
 
 def first_words(c, n) -> Column:
@@ -325,21 +326,26 @@ def estimate_s(c) -> Column:
     return word_count(c) / F.lit(K.WORDS_PER_SECOND)
 
 
+#: What stands between marks, from its first character that is not white space to its last one.
+_PHRASE = f"[{K.NOT_WS_OR_MARK}](?:[^,.;:]*[{K.NOT_WS_OR_MARK}])?"
+
+
 def split_phrases(c) -> Column:
-    return F.filter(F.transform(F.split(_col(c), "[,.;:]+", -1), strip), lambda p: p != "")
+    return F.regexp_extract_all(_col(c), F.lit(_PHRASE), F.lit(0))
 
 
 def _pieces(phrases) -> Column:
     """array<struct<text,n>>: phrases with their word counts; long ones cut into pieces of a few words."""
     size = max(1, int(K.SHOT_TARGET_MAX_S * K.WORDS_PER_SECOND))
+    run = f"[{K.NOT_WS}]++(?:{K.WS}++[{K.NOT_WS}]++){{0,{size - 1}}}"
 
-    def piece(w, text):
-        whole = F.array(F.struct(text.alias("text"), F.size(w).alias("n")))
-        parts = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - 1, F.lit(0)), F.lit(size)), lambda i: F.struct(
-            F.array_join(F.slice(w, i + 1, F.lit(size)), " ").alias("text"), F.least(F.lit(size), F.size(w) - i).alias("n")))
-        return F.when(F.size(w) / F.lit(K.WORDS_PER_SECOND) > K.SHOT_TARGET_MAX_S, parts).otherwise(whole)
+    def pieces(p):
+        """One for a short phrase, as it stands; runs of ``size`` words of a long one, a single space between them."""
+        one = lambda text: F.struct(text.alias("text"), word_count(text).alias("n"))
+        return let(F.regexp_extract_all(p, F.lit(run), F.lit(0)), lambda runs: F.when(F.size(runs) > 1, F.transform(
+            runs, lambda r: one(F.regexp_replace(r, K.WS + "+", " ")))).otherwise(F.array(one(p))))
 
-    return F.flatten(F.transform(_col(phrases), lambda p: let(words(p), lambda w: piece(w, p))))
+    return F.flatten(F.transform(_col(phrases), pieces))
 
 
 def chunk_long(phrases) -> Column:
@@ -369,26 +375,49 @@ def marked(items, zero: Column, rule) -> Column:
 
 
 def pack_phrases(phrases) -> Column:
-    """Greedy packing of phrases into spans of up to the target length.
+    """Greedy packing of phrases into spans of up to the target length. A last span that is too short joins the one before.
 
-    One fold over word counts marks where spans begin, then each span is joined from its own pieces. A last span that
-    is too short joins the one before.
+    One fold over word counts: it grows the spans themselves for a text of few pieces; for a longer one, where that would
+    copy all spans at each new one, it marks where spans begin, then each is joined from its own pieces.
     """
     def secs(n):
         return n / F.lit(K.WORDS_PER_SECOND)
 
+    return let(_pieces(phrases), lambda ps: F.when(F.size(ps) <= FEW_PIECES, _packed_few(ps, secs)).otherwise(_packed_many(ps, secs)))
+
+
+#: Up to so many pieces spans are grown in place.
+FEW_PIECES = 64
+
+
+def _packed_few(ps: Column, secs) -> Column:
+    def step(a, p):
+        n = a["n"] + p["n"]  # none before the first piece
+        return F.when(n.isNull(), F.struct(a["done"].alias("done"), p["text"].alias("now"), p["n"].alias("n"))).when(
+            secs(n) > K.SHOT_TARGET_MAX_S, F.struct(F.array_append(a["done"], a["now"]).alias("done"), p["text"].alias("now"), p["n"].alias("n"))).otherwise(
+            F.struct(a["done"].alias("done"), F.concat_ws(", ", a["now"], p["text"]).alias("now"), n.alias("n")))
+
+    def end(a):
+        done, k = a["done"], F.size(a["done"])
+        return F.when(a["n"].isNull(), done).when((k > 0) & (secs(a["n"]) < K.SHOT_TARGET_MIN_S / 2), F.concat(
+            F.slice(done, F.lit(1), k - 1), F.array(F.concat_ws(", ", F.element_at(done, -1), a["now"])))).otherwise(F.array_append(done, a["now"]))
+
+    return F.aggregate(ps, F.expr("cast(named_struct('done', array(), 'now', null, 'n', null) as struct<done:array<string>,now:string,n:int>)"), step, end)
+
+
+def _packed_many(ps: Column, secs) -> Column:
     def rule(n, p, at):
         begins = (at == 0) | (secs(n + p["n"]) > K.SHOT_TARGET_MAX_S)
         return begins, F.when(begins, p["n"]).otherwise(n + p["n"])
 
-    def whole(ps, at):
+    def whole(at):
         """Without the last beginning, if little follows it."""
         last = F.aggregate(F.filter(ps, lambda p, i: i >= F.element_at(at, -1)), F.lit(0), lambda n, p: n + p["n"])
         return F.when((F.size(at) > 1) & (secs(last) < K.SHOT_TARGET_MIN_S / 2), F.slice(at, 1, F.greatest(F.size(at) - 1, F.lit(0)))).otherwise(at)
 
-    span = lambda ps, s, e: F.array_join(F.transform(F.sequence(s, e - 1), lambda k: F.get(ps, k)["text"]), ", ")
-    return let(_pieces(phrases), lambda ps: let(marked(ps, F.lit(0), rule), lambda found: let(whole(ps, found), lambda at: F.transform(
-        at, lambda s, i: span(ps, s, F.coalesce(F.get(at, i + 1), F.size(ps)))))))
+    span = lambda s, e: F.array_join(F.transform(F.sequence(s, e - 1), lambda k: F.get(ps, k)["text"]), ", ")
+    return let(marked(ps, F.lit(0), rule), lambda found: let(whole(found), lambda at: F.transform(
+        at, lambda s, i: span(s, F.coalesce(F.get(at, i + 1), F.size(ps))))))
 
 
 def srt_time(seconds, rounded: bool = True) -> Column:

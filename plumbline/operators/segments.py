@@ -90,7 +90,7 @@ def expand_segments(segments: DataFrame, facts: DataFrame, citations: DataFrame,
         none = F.expr(f"cast(array() as {SHOT})")
         stakes = F.concat(F.when(num.isNotNull(), F.array(_shot("STAT_CARD", first, stat(num)))).otherwise(F.array(_shot("HEADLINE_CARD", first, head))),
                           F.when(n > 1, F.array(_shot("HEADLINE_CARD", rest, head))).otherwise(none))
-        heads = F.transform(F.slice(X.split_phrases("narration"), 1, 3), lambda p: X.first_words(p, 4))
+        heads = F.transform(F.slice("_phrases", 1, 3), lambda p: X.first_words(p, 4))
         labels = F.when(F.size(F.coalesce("labels", X.strings([]))) > 0, F.col("labels")).when(F.size(heads) >= 2, heads).otherwise(
             F.slice(F.concat(heads, X.strings(["Result"])), 1, 2))
         k = F.least(F.lit(3), n)
@@ -116,14 +116,16 @@ def expand_segments(segments: DataFrame, facts: DataFrame, citations: DataFrame,
                  .when(F.col("beat") == "proof", proof).when(F.col("beat") == "cta", cta).otherwise(F.array(_shot("HEADLINE_CARD", told, head))))
         return shots
 
-    # bound once, so that the tree holds the spans by name and not by their whole expression
-    packed = X.let(X.pack_phrases(X.split_phrases("narration")), lambda sp: F.when(F.size(sp) > 0, sp).otherwise(F.array("narration")))
-    shots = X.let(packed, tree)
-    seg = seg.withColumn("_shots", shots)
+    # columns of their own, so that the tree holds them by name and not by their whole expressions
+    seg = seg.withColumn("_phrases", X.split_phrases("narration"))
+    seg = seg.withColumn("_packed", X.pack_phrases("_phrases"))
+    seg = seg.withColumn("_spans", F.when(F.size("_packed") > 0, F.col("_packed")).otherwise(F.array("narration")))
+    seg = seg.withColumn("_shots", tree(F.col("_spans")))
     per = F.greatest(X.estimate_s("narration"), F.lit(K.SHOT_MIN_S)) / F.size("_shots")
     cap = F.when(F.col("beat") == "cta", K.END_CARD_MAX_S).otherwise(K.SHOT_MAX_S)
     seg = seg.withColumn("duration_s", F.bround(F.least(F.greatest(per, F.lit(K.SHOT_MIN_S)), cap), 2))
-    out = seg.select("run_id", "pos", "beat", "duration_s", F.posexplode("_shots").alias("sub", "_s"))
+    # outer: before an inner explode Spark puts a filter that computes the whole tree again, twice (no segment is without shots)
+    out = seg.select("run_id", "pos", "beat", "duration_s", F.posexplode_outer("_shots").alias("sub", "_s")).where("_s IS NOT NULL")
     return out.select("run_id", "pos", F.col("sub").cast("bigint").alias("sub"), "beat", "duration_s", "_s.*")
 
 
