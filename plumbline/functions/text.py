@@ -271,6 +271,15 @@ UNIT_NUMBER = (
 UNIT_SCAN = UNIT_NUMBER.replace(r"\b", r"(?=\d)\b", 1)
 
 
+def _unit_value(match) -> Column:
+    return F.regexp_extract(match, r"(?U)^(\d+(?:[.,]\d+)?)", 1)
+
+
+def _unit_name(match) -> Column:
+    unit = F.regexp_replace(match, r"(?U)^\d+(?:[.,]\d+)?\s*", "")
+    return F.when(F.rlike(unit, F.lit(r"(?iU)^(?:degrees?\s*C|°C)$")), F.lit("C")).otherwise(unit)
+
+
 def unit_numerics(c) -> Column:
     """array<struct<value,unit,match,start>>: numbers with a unit, left to right.
 
@@ -286,10 +295,7 @@ def unit_numerics(c) -> Column:
 
     def step(acc, pair):
         m, begin = pair["m"], acc["at"] + F.length(pair["gap"])
-        unit = F.regexp_replace(m, r"(?U)^\d+(?:[.,]\d+)?\s*", "")
-        unit = F.when(F.rlike(unit, F.lit(r"(?iU)^(?:degrees?\s*C|°C)$")), F.lit("C")).otherwise(unit)
-        row = F.struct(F.regexp_extract(m, r"(?U)^(\d+(?:[.,]\d+)?)", 1).alias("value"), unit.alias("unit"),
-                       m.alias("match"), begin.alias("start"))
+        row = F.struct(_unit_value(m).alias("value"), _unit_name(m).alias("unit"), m.alias("match"), begin.alias("start"))
         return F.struct((begin + F.length(m)).alias("at"), F.concat(acc["out"], F.array(row)).alias("out"))
 
     pairs = F.arrays_zip(gaps.alias("gap"), found.alias("m"))
@@ -297,13 +303,18 @@ def unit_numerics(c) -> Column:
 
 
 def sentence_facts(c, claim_chars: int | None = None) -> Column:
-    """array<struct<value,unit,claim>>, one per distinct (sentence, match); ``claim_chars`` shortens what is shown only."""
-    sents = F.transform(F.regexp_extract_all(strip_tags(c), F.lit("[^.!?]*[.!?]"), F.lit(0)), strip)
-    per = F.transform(sents, lambda s: F.transform(
-        unit_numerics(s), lambda n: F.struct(n["value"].alias("value"), n["unit"].alias("unit"),
-                                             s.alias("claim"), n["match"].alias("match"))))
-    return F.transform(F.array_distinct(F.flatten(per)),
-                       lambda f: F.struct(f["value"].alias("value"), f["unit"].alias("unit"), (f["claim"] if claim_chars is None else F.left(f["claim"], F.lit(claim_chars))).alias("claim")))
+    """array<struct<value,unit,claim>>, one per distinct (sentence, match); ``claim_chars`` shortens what is shown only.
+
+    Matches are those of ``unit_numerics``, whose offsets nobody reads here.
+    """
+    sents = F.array_distinct(F.regexp_extract_all(strip_tags(c), F.lit(f"{K.WS}*+([^.!?]*[.!?])"), F.lit(1)))
+
+    def facts(s):
+        claim = s if claim_chars is None else F.left(s, F.lit(claim_chars))
+        return F.transform(F.array_distinct(F.regexp_extract_all(s, F.lit(UNIT_SCAN), F.lit(0))), lambda m: F.struct(
+            _unit_value(m).alias("value"), _unit_name(m).alias("unit"), claim.alias("claim")))
+
+    return F.flatten(F.transform(sents, facts))
 
 
 def is_grounded(claim, facts_text, article, context_chars: int | None = None) -> Column:

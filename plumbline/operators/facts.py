@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from plumbline.functions import text as X
-from plumbline.session import cut
+from plumbline.session import cut, dealt
 
 SHINGLE = 4
 
@@ -130,7 +130,8 @@ def tiered_facts(articles: DataFrame, model: DataFrame, mined: DataFrame, qualit
     """
     fresh = mined.join(model.select(id, "claim").distinct(), [id, "claim"], "left_anti")
     with_src = lambda df, n: df.withColumn("source", F.lit(n))
-    pool = with_src(model, 1).unionByName(with_src(fresh, 2)).unionByName(with_src(qualitative, 3), allowMissingColumns=True)
+    # dealt out once: counting and the join below read the same rows where they lie, and mining is not done twice
+    pool = dealt(with_src(model, 1).unionByName(with_src(fresh, 2)).unionByName(with_src(qualitative, 3), allowMissingColumns=True), id)
     n = lambda k: F.count_if(F.col("source") == k)
     counts = pool.groupBy(id).agg(n(1).alias("m"), n(2).alias("r"), n(3).alias("q"))
     per_cat = templates.groupBy("category").agg(F.count("*").alias("t"))

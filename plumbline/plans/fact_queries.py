@@ -92,7 +92,8 @@ def _tiers(read):
     model = li.where("l_returnflag = 'N' AND l_linestatus = 'O'").select(
         F.col("l_orderkey").alias("article_id"), F.col("l_quantity").cast("string").alias("value"), F.lit("kg").alias("unit"),
         F.concat(F.lit("Part "), F.col("l_partkey").cast("string"), F.lit(" shipped.")).alias("claim"))
-    mined = notes.select("article_id", F.inline(X.sentence_facts("note"))).select("article_id", "value", "unit", "claim")
+    # outer: before an inner one Spark puts a filter that finds all facts again; every fact has a claim
+    mined = notes.select("article_id", F.inline_outer(X.sentence_facts("note"))).where("claim IS NOT NULL").select("article_id", "value", "unit", "claim")
     qual = li.where("l_returnflag = 'A' AND l_discount > 0.05").select(F.col("l_orderkey").alias("article_id"),
                                                                         F.concat(F.lit("Lot of "), F.col("l_suppkey").cast("string")).alias("claim"))
     tpl = read("region").select(F.get(X.strings(["1-URGENT", "2-HIGH", "3-MEDIUM"]), F.col("r_regionkey") % 3).alias("category"),
