@@ -19,14 +19,14 @@ BLOCK_ROWS = 8192
 
 def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[str, Column] | None = None,
          previous: dict[str, Column] | None = None, following: dict[str, Column] | None = None,
-         block: Column | None = None) -> DataFrame:
-    """Add exclusive running sums, values of the previous row and of the following row.
+         block: Column | None = None, first: dict[str, Column] | None = None) -> DataFrame:
+    """Add exclusive running sums, values of the previous row and of the following row, and of the key's first row.
 
     Keys must not be NULL (that fails loudly). ``order`` must be unique within a
     key. ``block`` must not decrease along it; by default it is the first order
     column divided by ``BLOCK_ROWS``.
     """
-    sums, previous, following = sums or {}, previous or {}, following or {}
+    sums, previous, following, first = sums or {}, previous or {}, following or {}, first or {}
     block = F.floor(F.col(order[0]) / BLOCK_ROWS) if block is None else block
     empty = F.col(keys[0]).isNull()
     for k in keys[1:]:
@@ -44,6 +44,8 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[st
         parts.append(F.max_by(F.struct(e.alias("v")), at).alias(f"_l_{n}"))
     for n, e in following.items():
         parts.append(F.min_by(F.struct(e.alias("v")), at).alias(f"_f_{n}"))
+    for n, e in first.items():
+        parts.append(F.min_by(F.struct(e.alias("v")), F.when(F.col(order[0]).isNotNull(), at)).alias(f"_h_{n}"))
     blocks = rows.groupBy(*keys, "_blk").agg(*parts)
     across = Window.partitionBy(*keys).orderBy("_blk")
     for n in sums:
@@ -52,6 +54,8 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[st
         carried.append(F.lag(f"_l_{n}").over(across).alias(f"_l_{n}"))
     for n in following:
         carried.append(F.lead(f"_f_{n}").over(across).alias(f"_f_{n}"))
+    for n in first:
+        carried.append(F.first(f"_h_{n}", ignorenulls=True).over(across.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)).alias(f"_h_{n}"))
     blocks = blocks.select(*[F.col(k).alias(f"_k_{k}") for k in keys], F.col("_blk").alias("_k_blk"), *carried)
 
     for n, e in sums.items():
@@ -67,10 +71,11 @@ def scan(df: DataFrame, keys: Sequence[str], order: Sequence[str], sums: dict[st
         cond = cond & c
     out = rows.join(large(blocks), cond)
     return out.select(
-        *[c for c in df.columns if c not in {*sums, *previous, *following}],
+        *[c for c in df.columns if c not in {*sums, *previous, *following, *first}],
         *[(F.col(f"_s_{n}") + F.col(f"_t_{n}")).alias(n) for n in sums],
         *[F.coalesce(f"_p_{n}", f"_l_{n}")["v"].alias(n) for n in previous],
-        *[F.coalesce(f"_n_{n}", f"_f_{n}")["v"].alias(n) for n in following])
+        *[F.coalesce(f"_n_{n}", f"_f_{n}")["v"].alias(n) for n in following],
+        *[F.col(f"_h_{n}")["v"].alias(n) for n in first])
 
 
 def running_smallest(df: DataFrame, key: str, order: str, tokens: str, k: int, out: str, fan: int = 256, levels: int = 3) -> DataFrame:

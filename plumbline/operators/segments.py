@@ -204,8 +204,7 @@ def reflow(shots: DataFrame, spans: DataFrame) -> DataFrame:
 
 def render_flags(shots: DataFrame) -> DataFrame:
     """``rerender`` when a shot moved noticeably; ``fade_s`` at the start of each later beat."""
-    first = shots.groupBy("run_id").agg(F.min_by("beat", "ord").alias("_first"))
-    out = scan(shots, ["run_id"], ["ord"], previous={"_before": F.col("beat")}).join(large(first), "run_id")
+    out = scan(shots, ["run_id"], ["ord"], previous={"_before": F.col("beat")}, first={"_first": F.col("beat")})
     fades = ~F.col("beat").eqNullSafe(F.col("_before")) & (F.col("beat") != F.col("_first"))
     return out.withColumn("rerender", F.abs("delta_s") > K.RERENDER_EPSILON_S).withColumn(
         "fade_s", F.when(fades, K.FADE_S).otherwise(0.0)).drop("_before", "_first")

@@ -11,7 +11,7 @@ from plumbline.operators import segments as S
 from plumbline.plans import standins as V
 from plumbline.plans.gate_queries import RULES
 from plumbline.plans.registry import query
-from plumbline.session import cut
+from plumbline.session import cut, cut_in_place, dealt
 from plumbline.plans.sqlkit import lit, lits, numbers, strip, words
 
 W = "CAST(1.7 AS DOUBLE)"
@@ -174,7 +174,10 @@ def starts(read):
 
 
 def spans(read):
-    s = starts(read)
+    return _spans(starts(read))
+
+
+def _spans(s):
     totals = s.groupBy("run_id").agg(F.max(F.col("start_s") + F.col("duration_s")).alias("voice_total_s"))
     return S.beat_spans(s, totals)
 
@@ -206,8 +209,9 @@ u AS (SELECT *, coalesce(sum(scaled) OVER (PARTITION BY run_id, beat), 0) AS use
 flow AS (SELECT run_id, beat, ord, type, duration_s, CASE WHEN is_last THEN span_s - used ELSE scaled END AS new_s FROM u)"""
 
 
-def _plan(read):
-    p = parts(read).where("NOT (run_id % 97 = 0 AND pos = 2)")
+def _plan(p):
+    """Planned shots of measured parts."""
+    p = p.where("NOT (run_id % 97 = 0 AND pos = 2)")
     p = p.select("run_id", "beat", "pos", F.explode(F.sequence(F.lit(0), ((F.col("run_id") + F.col("pos")) % 3).cast("int"))).alias("j"))
     return p.select("run_id", "beat", (F.col("pos") * 3 + F.col("j")).alias("ord"), F.when(F.col("beat") == "cta", "LOGO_CTA").otherwise("DIAGRAM").alias("type"),
                     (2.0 + (F.col("run_id") + F.col("pos") + F.col("j")) % 3).alias("duration_s"))
@@ -216,14 +220,17 @@ def _plan(read):
 @query("T7", f"""WITH {SHOT_SQL} SELECT run_id, beat, ord, round(new_s, 4) AS new_s, round(new_s - duration_s, 4) AS delta_s,
   CASE WHEN ord IS NULL THEN 'no shots for beat' WHEN new_s < 0.9 THEN 'audio and shots do not fit' END AS error FROM flow""")
 def reflow(read):
-    out = S.reflow(_plan(read), spans(read))
+    out = S.reflow(_plan(parts(read)), spans(read))
     return out.select("run_id", "beat", "ord", F.round("new_s", 4).alias("new_s"), F.round(F.col("new_s") - F.col("duration_s"), 4).alias("delta_s"), "error")
 
 
 @query("T8", f"""WITH {SHOT_SQL}, o AS (SELECT *, lag(beat) OVER w AS before, first_value(beat) OVER w AS first_beat FROM flow WHERE ord IS NOT NULL WINDOW w AS (PARTITION BY run_id ORDER BY ord))
 SELECT run_id, ord, abs(round(new_s - duration_s, 3)) > 0.05 AS rerender, CASE WHEN beat IS DISTINCT FROM before AND beat <> first_beat THEN CAST(0.25 AS DOUBLE) ELSE CAST(0 AS DOUBLE) END AS fade_s FROM o""")
 def render_flags(read):
-    fitted = S.reflow(_plan(read), spans(read)).where("ord IS NOT NULL")
+    """All that precedes is joined by run and beat or block: parts are dealt out by run once, and what they become is not shuffled again."""
+    p = dealt(cut(parts(read), "parts"), "run_id")
+    fitted = S.reflow(_plan(p), _spans(S.voice_starts(p))).where("ord IS NOT NULL")
+    fitted = cut_in_place(fitted.select("run_id", "ord", "beat", "delta_s"), "fitted")  # read twice
     return S.render_flags(fitted).select("run_id", "ord", "rerender", "fade_s")
 
 

@@ -55,6 +55,21 @@ def cut_to(df: DataFrame, path: str, codec: str = "snappy") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def cut_in_place(df: DataFrame, name: str = "cut") -> DataFrame:
+    """``cut`` for a table whose inputs are all dealt out by one key: joins by that key and more leave rows where they lie.
+
+    Spark shuffles both sides of such a join again, though equal keys are together already, unless a setting tells it not
+    to. The setting holds while the table is written, not for what the caller plans later.
+    """
+    conf, key = df.sparkSession.conf, "spark.sql.requireAllClusterKeysForCoPartition"
+    before = conf.get(key, None)
+    conf.set(key, "false")
+    try:
+        return cut(df, name)
+    finally:
+        conf.unset(key) if before is None else conf.set(key, before)
+
+
 def dealt(df: DataFrame, *keys: str) -> DataFrame:
     """``df`` dealt out by ``keys`` before costly expressions: a file is read by one task for each row group, however many cores wait.
 
