@@ -144,7 +144,7 @@ def script_facts(read) -> DataFrame:
 
 
 def script_citations(read) -> DataFrame:
-    o = read("orders").select(F.col("o_orderkey").alias("run_id"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("i"))
+    o = dealt(read("orders"), "o_orderkey").select(F.col("o_orderkey").alias("run_id"), F.explode(F.sequence(F.lit(0), F.lit(2))).alias("i"))
     return o.select("run_id", (1 + 2 * F.col("i")).alias("marker"), F.concat(
         F.when((F.col("run_id") + F.col("i")) % 3 == 0, "https://www.doi.org/").otherwise("https://www.example.net/"),
         F.col("run_id").cast("string")).alias("url"))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from plumbline import session
 from plumbline.operators import ordered
 from plumbline.operators import segments as S
-from plumbline.plans import catalog
+from plumbline.plans import catalog, segment_queries
 
 KEY = "spark.sql.requireAllClusterKeysForCoPartition"
 SMALL = "/root/testdata/sf0.001"
@@ -43,3 +43,12 @@ def test_a_long_run_has_one_first_beat(spark):
     got = {(r.run_id, r.ord): (r.rerender, r.fade_s) for r in S.render_flags(shots).collect()}
     want = {("a", i): (i % 2 == 1, 0.25 if i and b != beats[i - 1] and b != "hook" else 0.0) for i, b in enumerate(beats)}
     assert got == want | {("b", 9000): (True, 0.0), ("b", 9001): (None, 0.25)}
+
+
+def test_what_shots_are_made_of_is_dealt_out_by_run(spark):
+    spark.conf.set(KEY, "false")
+    try:
+        plan = segment_queries._expand(lambda name: spark.read.parquet(f"{SMALL}/{name}.parquet"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset(KEY)
+    assert plan.count("REPARTITION_BY_NUM") == 4 and "ENSURE_REQUIREMENTS" not in plan
